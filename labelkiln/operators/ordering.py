@@ -105,10 +105,15 @@ def average_rank(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 
 def rank_by_key(df: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str],
-                col: str = "row_idx", buckets: int | None = None) -> DataFrame:
+                col: str = "row_idx", buckets: int | None = None, limit: Column | int | None = None) -> DataFrame:
     """0-based position of each row inside its group when ordered by ``key_cols``
     (the first key must be a uniform bigint hash, e.g. ``hash52``; later keys
-    break ties). Distributed: no window sees more than one bucket."""
+    break ties). Distributed: no window sees more than one bucket.
+
+    With ``limit`` (an int or a Column of the group, e.g. a per-split limit) only
+    rows with position < limit are returned, and only the buckets that can hold
+    them are ranked, so "first n after a shuffle" never merges per-task top-n
+    lists in one task."""
     g = list(group_cols)
     k0 = key_cols[0]
     nb = buckets or default_buckets(df)
@@ -116,10 +121,17 @@ def rank_by_key(df: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str
     b = df.withColumn("_lk_b", F.floor(F.col(k0).cast("double") / F.lit(float(2 ** 52)) * nb).cast("int"))
     totals = b.groupBy(*g, "_lk_b").agg(F.count(F.lit(1)).alias("_lk_t"))
     offs = totals.select(*g, "_lk_b", F.coalesce(F.sum("_lk_t").over(_before(g, "_lk_b")), F.lit(0)).alias("_lk_o"))
+    if limit is not None:
+        # the limit may only use group columns; buckets starting past it cannot
+        # hold a kept row, so they are dropped before any row-level work
+        lim = F.lit(limit) if isinstance(limit, int) else limit
+        offs = offs.withColumn("_lk_lim", lim).filter(F.col("_lk_o") < F.col("_lk_lim"))
     wi = Window.partitionBy(*g, "_lk_b").orderBy(*key_cols)  # one bucket per window
-    local = b.withColumn("_lk_l", F.row_number().over(wi) - 1)
-    return local.join(offs, [*g, "_lk_b"]).select(
-        *df.columns, (F.col("_lk_o") + F.col("_lk_l")).cast("bigint").alias(col))
+    ranked = b.join(offs, [*g, "_lk_b"]).withColumn("_lk_l", F.row_number().over(wi) - 1)
+    pos = (F.col("_lk_o") + F.col("_lk_l")).cast("bigint")
+    if limit is not None:
+        ranked = ranked.filter(pos < F.col("_lk_lim"))
+    return ranked.select(*df.columns, pos.alias(col))
 
 
 def order_key(seed: int | str, *id_cols: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelkiln.functions.columns import linspace, rounded
 from labelkiln.operators import metrics as M
+from labelkiln.operators import sampling as SA
 from labelkiln.operators import selection as S
 from labelkiln.operators.ordering import order_key, rank_by_key
 from labelkiln.plans import derived as D
@@ -193,3 +194,54 @@ def metric_history_arrays(spark, sf):
 def encoder_pivot(spark, sf):
     h = rounded(_history(spark, sf))
     return S.pivot_by(h, ["split", "label_name", "metric", "epoch"], "encoder", list(D.ENCODERS))
+
+
+# --------------------------------------------------------------- sampling --
+LIMITS = {"train": 30000, "val": 3500, "test": 3500}
+
+
+def _shuffled(spark, sf):
+    return SA.shuffle_limit(D.comments(spark, sf), "doc_id", SHUFFLE_SEED, "split", LIMITS)
+
+
+def _train_long(spark, sf):
+    t = _shuffled(spark, sf).filter(F.col("split") == "train")
+    return t.unpivot(["doc_id", "row_idx"], list(D.LABEL_NAMES), "label_name", "y")
+
+
+@register("shuffle_limit", Q.q_shuffle_limit())
+def shuffle_limit(spark, sf):
+    return _shuffled(spark, sf).select("split", "doc_id", "row_idx")
+
+
+@register("batches_of_10", Q.q_batches_of_10())
+def batches_of_10(spark, sf):
+    return SA.batches(_shuffled(spark, sf), "row_idx", BATCH_SIZE).select("split", "doc_id", "row_idx", "batch_id")
+
+
+@register("class_counts", Q.q_class_counts())
+def class_counts(spark, sf):
+    return SA.class_counts(_train_long(spark, sf))
+
+
+@register("class_weights", Q.q_class_weights())
+def class_weights(spark, sf):
+    return rounded(SA.class_weights(SA.class_counts(_train_long(spark, sf))))
+
+
+@register("row_weights", Q.q_row_weights())
+def row_weights(spark, sf):
+    tl = _train_long(spark, sf)
+    w = SA.class_weights(SA.class_counts(tl))
+    return rounded(SA.row_weights(tl, w).select("doc_id", "label_name", "y", "weight"))
+
+
+@register("weighted_resample", Q.q_weighted_resample())
+def weighted_resample(spark, sf):
+    r = SA.weighted_resample(_train_long(spark, sf), "doc_id", "row_idx", SHUFFLE_SEED)
+    return SA.batches(r, "draw", BATCH_SIZE)
+
+
+@register("label_vectors", Q.q_label_vectors())
+def label_vectors(spark, sf):
+    return SA.label_vectors(D.comments(spark, sf), D.LABEL_NAMES).select("doc_id", "split", "labels")

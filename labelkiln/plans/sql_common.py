@@ -279,3 +279,60 @@ SELECT split, label_name, metric, epoch,
        first(round(value, 6)) FILTER (WHERE encoder = 'base') AS base,
        first(round(value, 6)) FILTER (WHERE encoder = 'tuned') AS tuned
 FROM hist GROUP BY split, label_name, metric, epoch"""
+
+
+SHUFFLED = f"""shuffled AS (
+  SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY split ORDER BY {H52.format(x="'42:' || doc_id")}, doc_id) - 1
+                        AS row_idx FROM comments c) t
+  WHERE row_idx < CASE split WHEN 'train' THEN 30000 WHEN 'val' THEN 3500 WHEN 'test' THEN 3500 END)"""
+
+TRAIN_LONG = """train_long AS (
+  SELECT doc_id, row_idx, 'threat' AS label_name, threat AS y FROM shuffled WHERE split = 'train'
+  UNION ALL SELECT doc_id, row_idx, 'insult', insult FROM shuffled WHERE split = 'train'
+  UNION ALL SELECT doc_id, row_idx, 'toxic', toxic FROM shuffled WHERE split = 'train'
+  UNION ALL SELECT doc_id, row_idx, 'IsAbuse', IsAbuse FROM shuffled WHERE split = 'train')"""
+
+
+def q_shuffle_limit() -> str:
+    return with_(COMMENTS, SHUFFLED) + "SELECT split, doc_id, row_idx FROM shuffled"
+
+
+def q_batches_of_10() -> str:
+    return with_(COMMENTS, SHUFFLED) + "SELECT split, doc_id, row_idx, (row_idx // 10)::BIGINT AS batch_id FROM shuffled"
+
+
+def q_class_counts() -> str:
+    return with_(COMMENTS, SHUFFLED, TRAIN_LONG) + "SELECT label_name, y, count(*) AS n FROM train_long GROUP BY label_name, y"
+
+
+def q_class_weights() -> str:
+    return with_(COMMENTS, SHUFFLED, TRAIN_LONG) + """
+SELECT label_name, y, count(*) AS n, round(1.0::DOUBLE / count(*), 6) AS weight FROM train_long GROUP BY label_name, y"""
+
+
+def q_row_weights() -> str:
+    return with_(COMMENTS, SHUFFLED, TRAIN_LONG) + """
+SELECT t.doc_id, t.label_name, t.y, round(1.0::DOUBLE / c.n, 6) AS weight
+FROM train_long t JOIN (SELECT label_name, y, count(*) AS n FROM train_long GROUP BY label_name, y) c
+  USING (label_name, y)"""
+
+
+def q_weighted_resample() -> str:
+    return with_(COMMENTS, SHUFFLED, TRAIN_LONG) + f"""
+, cnt AS (SELECT label_name, count_if(y = 0) AS n0, count_if(y = 1) AS n1 FROM train_long GROUP BY label_name),
+cidx AS (SELECT label_name, y, doc_id,
+                row_number() OVER (PARTITION BY label_name, y ORDER BY {H52.format(x="'42:' || doc_id")}, doc_id) - 1 AS cidx
+         FROM train_long),
+draws AS (SELECT t.label_name, t.row_idx AS draw, c.n0, c.n1,
+                 CASE WHEN c.n0 = 0 THEN 1 WHEN c.n1 = 0 THEN 0
+                      ELSE {H52.format(x="'draw:' || t.label_name || ':' || t.row_idx || ':class'")} % 2 END AS cls
+          FROM train_long t JOIN cnt c USING (label_name)),
+pick AS (SELECT *, {H52.format(x="'draw:' || label_name || ':' || draw || ':idx'")}
+                   % CASE WHEN cls = 1 THEN n1 ELSE n0 END AS idx FROM draws)
+SELECT p.label_name, p.draw::BIGINT AS draw, c.doc_id, c.y, (p.draw // 10)::BIGINT AS batch_id
+FROM pick p JOIN cidx c ON c.label_name = p.label_name AND c.y = p.cls AND c.cidx = p.idx"""
+
+
+def q_label_vectors() -> str:
+    return with_(COMMENTS) + """
+SELECT doc_id, split, [threat::FLOAT, insult::FLOAT, toxic::FLOAT, IsAbuse::FLOAT] AS labels FROM comments"""
