@@ -10,3 +10,17 @@ Layers:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Python UDFs defined here are pickled with their code (and the helpers
+    they call), so executors need no installed copy of this package."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # pragma: no cover - older cloudpickle
+        pass
+
+
+_ship_by_value()

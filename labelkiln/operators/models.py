@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from labelkiln.functions.columns import dense_layer, relu, sigmoid
@@ -34,3 +36,53 @@ def two_class_head(x: Column, dim: int = EMBED_DIM) -> Column:
     """Raw 2-class scores relu(W . x), W 2 x dim by the sine rule."""
     z = dense_layer(x, rule_weights(2, dim))
     return F.transform(z, lambda v: relu(v))
+
+
+def dense_head_udf(dim: int = EMBED_DIM, hidden: int = HIDDEN):
+    """Arrow UDF version of ``dense_head`` for wide embeddings: one matrix
+    product per Arrow batch instead of per-row lambdas. The weights are a
+    parameter-sized constant shipped with the function."""
+    w1 = np.array(rule_weights(hidden, dim))
+    w2 = np.array(rule_weights(1, hidden))
+
+    @F.pandas_udf("double")
+    def head(v: pd.Series) -> pd.Series:
+        if len(v) == 0:
+            return pd.Series([], dtype="float64")
+        x = np.stack(v.to_numpy()).astype(np.float64)
+        h = 1.0 / (1.0 + np.exp(-(x @ w1.T)))
+        return pd.Series(1.0 / (1.0 + np.exp(-(h @ w2.T)[:, 0])))
+
+    return head
+
+
+def mean_pool(features, key_cols, vectors, divisor: str = "pad", pad_token: int = 0, dim: int = EMBED_DIM,
+              ids_col: str = "input_ids", broadcast_rows: int = 1_000_000):
+    """Sum of the token vectors over all positions of ``ids_col`` divided by the
+    number of padding ids ('pad', at least 1) or of real ids ('tokens').
+
+    ``vectors`` is ``vec_id, embedding`` (the vector of token id = vec_id; ids
+    without a vector add nothing). Ids are counted per row first, so the pad id
+    is one row per input row, not L; the vector table is broadcast only when
+    its row count is checked to be under ``broadcast_rows``."""
+    ids = F.col(ids_col)
+    if divisor == "pad":
+        dv = F.greatest(F.lit(1), F.size(F.filter(ids, lambda x: x == pad_token)))
+    elif divisor == "tokens":
+        dv = F.greatest(F.lit(1), F.size(F.filter(ids, lambda x: x != pad_token)))
+    else:
+        raise ValueError(divisor)
+    tok = features.select(*key_cols, dv.alias("_dv"), F.explode(ids).alias("_tok"))
+    cnt = tok.groupBy(*key_cols, "_dv", "_tok").agg(F.count(F.lit(1)).alias("_c"))
+    vec = vectors.select(F.col("vec_id").alias("_tok"), F.col("embedding"))
+    if vectors.count() <= broadcast_rows:
+        vec = F.broadcast(vec)
+    scaled = cnt.join(vec, "_tok").select(
+        *key_cols, "_dv", F.transform("embedding", lambda x: x.cast("double") * F.col("_c")).alias("_v"))
+    zeros = F.array_repeat(F.lit(0.0), dim)
+    summed = scaled.groupBy(*key_cols, "_dv").agg(
+        F.aggregate(F.collect_list("_v"), zeros, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
+        .alias("_s"))
+    pooled = summed.select(*key_cols, F.transform("_s", lambda x: x / F.col("_dv")).alias("pooled"))
+    out = features.select(*key_cols).join(pooled, key_cols, "left")
+    return out.select(*key_cols, F.coalesce(F.col("pooled"), zeros).alias("pooled"))

@@ -245,3 +245,6 @@ def weighted_resample(spark, sf):
 @register("label_vectors", Q.q_label_vectors())
 def label_vectors(spark, sf):
     return SA.label_vectors(D.comments(spark, sf), D.LABEL_NAMES).select("doc_id", "split", "labels")
+
+
+from labelkiln.plans import text_queries  # noqa: E402,F401  (registers reader/feature/head queries)
