@@ -210,9 +210,11 @@ def task_metrics(df: DataFrame, task_col: str = "task", pred: str = "pred", labe
     reg = pearson_and_spearman(df.filter(is_reg), [task_col], pred, label) \
         .unpivot([task_col], list(REGRESSION_METRICS), "metric", "value")
     computed = cls.unionByName(reg)
-    known = spec.select(task_col).distinct().withColumn("_known", F.lit(True))
-    checked = computed.join(F.broadcast(known), task_col, "left").select(
-        task_col, "metric", F.when(F.col("_known"), F.col("value"))
-        .otherwise(F.raise_error(F.concat(F.lit("KeyError: "), F.col(task_col))).cast("double")).alias("value"))
-    # spec is the registry itself: a handful of rows, safe to broadcast
-    return checked.join(F.broadcast(spec), [task_col, "metric"])
+    # the registry is a handful of rows: safe to broadcast
+    want = F.broadcast(spec.withColumn("_want", F.lit(True)))
+    known = F.broadcast(spec.select(task_col).distinct().withColumn("_known", F.lit(True)))
+    j = computed.join(want, [task_col, "metric"], "left").join(known, task_col, "left")
+    keep = F.when(F.col("_known").isNull(),
+                  F.raise_error(F.concat(F.lit("KeyError: "), F.col(task_col))).cast("boolean")) \
+        .otherwise(F.col("_want").isNotNull())
+    return j.filter(keep).select(task_col, "metric", "value")
