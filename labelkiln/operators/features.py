@@ -19,6 +19,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from labelkiln.session import cut_lineage, spread
 from labelkiln.sources.tasks import CLASSIFICATION, REGRESSION
 
 WORD_SPLIT = "[^\\p{L}\\p{N}]+"
@@ -44,8 +45,11 @@ def build_vocab(texts: DataFrame, text_col: str = "text", top_words: int = 500,
     aggregation; only bounded tables (letters, top-k lists) reach the final
     ordering."""
     spark = texts.sparkSession
-    wc = (texts.select(F.explode(words(F.col(text_col))).alias("word"))
-          .groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
+    # one scan of the corpus: word counts, cut from the lineage in the shared
+    # checkpoint folder so the four derived tables below do not rescan the text
+    wc = (texts.select(F.explode(F.split(F.lower(F.col(text_col)), WORD_SPLIT)).alias("word"))
+          .filter(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("cnt")))
+    wc = cut_lineage(wc)
     letters = wc.select(F.explode(F.split("word", "")).alias("ch")).filter(F.col("ch") != "").distinct()
     top_w = wc.orderBy(F.col("cnt").desc(), F.col("word")).limit(top_words)
     suf = wc.select(F.explode(F.array(
@@ -72,21 +76,39 @@ def build_vocab(texts: DataFrame, text_col: str = "text", top_words: int = 500,
 def collect_vocab(vocab: DataFrame, limit: int = MAX_VOCAB) -> dict[str, int]:
     """The vocabulary as a driver dict for the tokenizer UDF; its size is
     checked, it is a parameter-bounded table, not data."""
-    n = vocab.count()
-    if n > limit:
-        raise ValueError(f"vocabulary of {n} pieces exceeds {limit}")
-    return {r["piece"]: r["piece_id"] for r in vocab.collect()}
+    rows = vocab.limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"vocabulary exceeds {limit} pieces")
+    return {r["piece"]: r["piece_id"] for r in rows}
+
+
+class Vocab:
+    """A built vocabulary, computed once: the piece -> id dict (shipped to the
+    tokenizer) and the same table as a small local DataFrame (for lookups)."""
+
+    def __init__(self, spark, mapping: dict[str, int]):
+        self.map = mapping
+        self.df = spark.createDataFrame(sorted(mapping.items(), key=lambda kv: kv[1]),
+                                        "piece string, piece_id int")
+        self.max_piece = max((len(p) for p in mapping), default=1)
+
+    @classmethod
+    def of(cls, vocab_df: DataFrame, limit: int = MAX_VOCAB) -> "Vocab":
+        return cls(vocab_df.sparkSession, collect_vocab(vocab_df, limit))
 
 
 # -------------------------------------------------------------- wordpiece --
-def greedy_pieces(word: str, vocab: dict[str, int], unk: int = 1, max_chars: int = MAX_WORD_CHARS) -> list[int]:
+def greedy_pieces(word: str, vocab: dict[str, int], unk: int = 1, max_chars: int = MAX_WORD_CHARS,
+                  max_piece: int | None = None) -> list[int]:
     """Greedy longest-match-first subwords; continuation pieces carry '##'; a
-    word with an unmatched part (or longer than max_chars) is one [UNK]."""
+    word with an unmatched part (or longer than max_chars) is one [UNK].
+    ``max_piece`` (longest vocabulary entry) only skips lookups that cannot hit."""
     if len(word) > max_chars:
         return [unk]
     out, start = [], 0
+    span = max_piece or len(word)
     while start < len(word):
-        end, hit = len(word), None
+        end, hit = min(len(word), start + span), None
         while end > start:
             piece = word[start:end] if start == 0 else "##" + word[start:end]
             if piece in vocab:
@@ -100,29 +122,30 @@ def greedy_pieces(word: str, vocab: dict[str, int], unk: int = 1, max_chars: int
     return out
 
 
-def wordpiece_ids(distinct_words: DataFrame, vocab: DataFrame, vocab_map: dict[str, int] | None = None,
-                  word_col: str = "word") -> DataFrame:
+def _as_vocab(vocab) -> "Vocab":
+    return vocab if isinstance(vocab, Vocab) else Vocab.of(vocab)
+
+
+def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> DataFrame:
     """``word, ids`` for a table of distinct words. Whole-word vocabulary hits
     resolve by a broadcast lookup (bounded vocab); the rest by one Arrow UDF."""
-    spark = distinct_words.sparkSession
-    vmap = vocab_map if vocab_map is not None else collect_vocab(vocab)
-    bc = spark.sparkContext.broadcast(vmap)
-    unk = SPECIAL_IDS[UNK]
+    v = _as_vocab(vocab)
+    bc = distinct_words.sparkSession.sparkContext.broadcast(v.map)
+    unk, span = SPECIAL_IDS[UNK], v.max_piece
 
     @F.pandas_udf("array<int>")
     def tokenize(ws: pd.Series) -> pd.Series:
-        v = bc.value
-        return pd.Series([greedy_pieces(w, v, unk) for w in ws])
+        m = bc.value
+        return pd.Series([greedy_pieces(w, m, unk, MAX_WORD_CHARS, span) for w in ws])
 
-    whole = F.broadcast(vocab.select(F.col("piece").alias(word_col), F.col("piece_id")))
+    whole = F.broadcast(v.df.select(F.col("piece").alias(word_col), F.col("piece_id")))
     j = distinct_words.select(word_col).join(whole, word_col, "left")
     hit = j.filter(F.col("piece_id").isNotNull()).select(word_col, F.array(F.col("piece_id")).alias("ids"))
     miss = j.filter(F.col("piece_id").isNull()).select(word_col, tokenize(F.col(word_col)).alias("ids"))
     return hit.unionByName(miss)
 
 
-def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab: DataFrame,
-                   budget: int, vocab_map: dict[str, int] | None = None) -> DataFrame:
+def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab, budget: int) -> DataFrame:
     """Per row: ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
     in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text."""
     parts = []
@@ -132,7 +155,7 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
     exploded = parts[0]
     for p in parts[1:]:
         exploded = exploded.unionByName(p)
-    table = wordpiece_ids(exploded.select("word").distinct(), vocab, vocab_map)
+    table = wordpiece_ids(spread(exploded.select("word").distinct()), vocab)
     joined = exploded.join(table, "word")
     per_seg = joined.groupBy(*key_cols, "_seg").agg(
         F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "ids"))), lambda s: s["ids"]))
@@ -181,14 +204,14 @@ def truncate_pair(na: Column, nb: Column, budget: int) -> tuple[Column, Column]:
     return (F.when(fits, na).otherwise(ka), F.when(fits, nb).otherwise(F.lit(budget) - ka))
 
 
-def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab: DataFrame,
+def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab,
            max_length: int = 128, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
-           mask_padding_with_zero: bool = True, vocab_map: dict[str, int] | None = None) -> DataFrame:
+           mask_padding_with_zero: bool = True) -> DataFrame:
     """``key_cols, input_ids, attention_mask, token_type_ids`` (array<int> of
     ``max_length``) for single texts or text pairs."""
     texts = [text_a] + ([text_b] if text_b else [])
     budget = max_length - (3 if text_b else 2)
-    seg = segment_pieces(df, key_cols, texts, vocab, budget, vocab_map)
+    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget)
     if text_b:
         ka, kb = truncate_pair(F.col("n_0"), F.col("n_1"), budget)
         a, b = F.slice("ids_0", 1, ka), F.slice("ids_1", 1, kb)

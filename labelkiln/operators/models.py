@@ -56,33 +56,46 @@ def dense_head_udf(dim: int = EMBED_DIM, hidden: int = HIDDEN):
     return head
 
 
-def mean_pool(features, key_cols, vectors, divisor: str = "pad", pad_token: int = 0, dim: int = EMBED_DIM,
-              ids_col: str = "input_ids", broadcast_rows: int = 1_000_000):
-    """Sum of the token vectors over all positions of ``ids_col`` divided by the
-    number of padding ids ('pad', at least 1) or of real ids ('tokens').
-
-    ``vectors`` is ``vec_id, embedding`` (the vector of token id = vec_id; ids
-    without a vector add nothing). Ids are counted per row first, so the pad id
-    is one row per input row, not L; the vector table is broadcast only when
-    its row count is checked to be under ``broadcast_rows``."""
-    ids = F.col(ids_col)
-    if divisor == "pad":
-        dv = F.greatest(F.lit(1), F.size(F.filter(ids, lambda x: x == pad_token)))
-    elif divisor == "tokens":
-        dv = F.greatest(F.lit(1), F.size(F.filter(ids, lambda x: x != pad_token)))
-    else:
+def token_vectors(vectors, n_ids: int, dim: int = EMBED_DIM, max_cells: int = 50_000_000) -> np.ndarray:
+    """Dense (n_ids x dim) matrix of the vectors of token ids 0..n_ids-1 (rows
+    of ``vectors`` = ``vec_id, embedding``; ids without a row stay zero). Only
+    ids a tokenizer can emit are kept, so the size is bounded by the
+    vocabulary, and it is checked before it is collected."""
+    if n_ids * dim > max_cells:
+        raise ValueError(f"token vector table {n_ids} x {dim} exceeds {max_cells} cells")
+    m = np.zeros((n_ids, dim))
+    for r in vectors.filter(F.col("vec_id") < n_ids).select("vec_id", "embedding").collect():
+        m[r["vec_id"], :] = np.asarray(r["embedding"], dtype=np.float64)[:dim]
+    return m
+
+
+def mean_pool(features, key_cols, vectors, n_ids: int, divisor: str = "pad", pad_token: int = 0,
+              dim: int = EMBED_DIM, ids_col: str = "input_ids"):
+    """Sum of the token vectors over all positions of ``ids_col``, divided by
+    the number of padding ids ('pad', at least 1) or of real ids ('tokens').
+
+    Row-local: one Arrow batch is an (n x L) id matrix; the vectors are looked
+    up position by position from a broadcast, vocabulary-bounded matrix -- no
+    explode, no shuffle."""
+    if divisor not in ("pad", "tokens"):
         raise ValueError(divisor)
-    tok = features.select(*key_cols, dv.alias("_dv"), F.explode(ids).alias("_tok"))
-    cnt = tok.groupBy(*key_cols, "_dv", "_tok").agg(F.count(F.lit(1)).alias("_c"))
-    vec = vectors.select(F.col("vec_id").alias("_tok"), F.col("embedding"))
-    if vectors.count() <= broadcast_rows:
-        vec = F.broadcast(vec)
-    scaled = cnt.join(vec, "_tok").select(
-        *key_cols, "_dv", F.transform("embedding", lambda x: x.cast("double") * F.col("_c")).alias("_v"))
-    zeros = F.array_repeat(F.lit(0.0), dim)
-    summed = scaled.groupBy(*key_cols, "_dv").agg(
-        F.aggregate(F.collect_list("_v"), zeros, lambda acc, v: F.zip_with(acc, v, lambda a, b: a + b))
-        .alias("_s"))
-    pooled = summed.select(*key_cols, F.transform("_s", lambda x: x / F.col("_dv")).alias("pooled"))
-    out = features.select(*key_cols).join(pooled, key_cols, "left")
-    return out.select(*key_cols, F.coalesce(F.col("pooled"), zeros).alias("pooled"))
+    spark = features.sparkSession
+    bc = spark.sparkContext.broadcast(token_vectors(vectors, n_ids, dim))
+    by_pad = divisor == "pad"
+
+    @F.pandas_udf("array<double>")
+    def pool(ids: pd.Series) -> pd.Series:
+        if len(ids) == 0:
+            return pd.Series([], dtype=object)
+        m = bc.value
+        x = np.stack(ids.to_numpy()).astype(np.int64)
+        total = np.zeros((x.shape[0], m.shape[1]))
+        for pos in range(x.shape[1]):
+            col = x[:, pos]
+            inside = col < m.shape[0]
+            total[inside] += m[col[inside]]
+        n = (x == pad_token).sum(axis=1) if by_pad else (x != pad_token).sum(axis=1)
+        out = total / np.maximum(n, 1)[:, None]
+        return pd.Series(list(out))
+
+    return features.select(*key_cols, pool(F.col(ids_col)).alias("pooled"))

@@ -10,6 +10,7 @@ from labelkiln.operators import models as MO
 from labelkiln.plans import derived as D
 from labelkiln.plans import sql_text as X
 from labelkiln.plans.catalog import register
+from labelkiln.session import spread
 from labelkiln.sources import fixtures as FX
 from labelkiln.sources import readers as R
 from labelkiln.sources.tasks import TASKS
@@ -67,11 +68,19 @@ def label_quarantine(spark, sf):
 
 # --------------------------------------------------------------- features --
 def _docs(spark, sf):
-    return D.table(spark, sf, "documents")
+    return spread(D.table(spark, sf, "documents"))
+
+
+_VOCABS: dict[tuple[str, str], FE.Vocab] = {}
 
 
 def _vocab(spark, sf):
-    return FE.build_vocab(_docs(spark, sf), "text")
+    """The corpus vocabulary, built once per session and corpus (like loading a
+    tokenizer once) and kept as a bounded, size-checked local table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _VOCABS:
+        _VOCABS[key] = FE.Vocab.of(FE.build_vocab(_docs(spark, sf), "text"))
+    return _VOCABS[key]
 
 
 @register("tokens", X.q_tokens())
@@ -82,7 +91,7 @@ def tokens(spark, sf):
 
 @register("vocab_ids", X.q_vocab_ids())
 def vocab_ids(spark, sf):
-    return _vocab(spark, sf)
+    return FE.build_vocab(_docs(spark, sf), "text")
 
 
 @register("wordpiece_words", X.q_wordpiece_words())
@@ -97,7 +106,7 @@ def _single(spark, sf, **kw):
 
 
 def _pair(spark, sf, **kw):
-    p = FX.pair_rows(spark, sf)
+    p = spread(FX.pair_rows(spark, sf))
     return FE.encode(p, ["pair_id"], "text_a", "text_b", _vocab(spark, sf), MAX_LEN, **kw)
 
 
@@ -143,14 +152,20 @@ def preview_first_5(spark, sf):
     return FE.assert_lengths(feats, MAX_LEN).join(lab, "guid")
 
 
+def _pooled(spark, sf, divisor):
+    v = _vocab(spark, sf)
+    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, MAX_LEN)
+    return rounded(MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), divisor))
+
+
 @register("mean_pool_pad_divisor", X.q_mean_pool("pad", MAX_LEN))
 def mean_pool_pad_divisor(spark, sf):
-    return rounded(MO.mean_pool(_single(spark, sf), ["doc_id"], D.table(spark, sf, "embeddings"), "pad"))
+    return _pooled(spark, sf, "pad")
 
 
 @register("mean_pool_token_divisor", X.q_mean_pool("tokens", MAX_LEN))
 def mean_pool_token_divisor(spark, sf):
-    return rounded(MO.mean_pool(_single(spark, sf), ["doc_id"], D.table(spark, sf, "embeddings"), "tokens"))
+    return _pooled(spark, sf, "tokens")
 
 
 # ------------------------------------------------------------------ heads --

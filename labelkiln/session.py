@@ -72,3 +72,15 @@ def cut_lineage(df):
     """Materialise ``df`` in the checkpoint folder (survives executor loss)."""
     scratch_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df, target: int | None = None):
+    """Round-robin ``df`` over the cluster when its scan yields fewer partitions
+    than there are cores (e.g. one large row group), so CPU-heavy row-local work
+    (regex splits, tokenizing) does not run on one core. On large inputs the
+    scan already has enough splits and this is a no-op (no extra shuffle)."""
+    sc = df.sparkSession.sparkContext
+    want = target or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
