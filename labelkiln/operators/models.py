@@ -99,3 +99,80 @@ def mean_pool(features, key_cols, vectors, n_ids: int, divisor: str = "pad", pad
         return pd.Series(list(out))
 
     return features.select(*key_cols, pool(F.col(ids_col)).alias("pooled"))
+
+
+# --------------------------------------------------------------- fitting --
+def text_feature_pipeline(text_col: str, num_features: int = 4096):
+    """words (same split as the tokenizer) -> hashed term counts -> IDF.
+    The word step is a SQL transformer, so a saved model carries it."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import HashingTF, IDF, SQLTransformer
+
+    stmt = (f"SELECT *, filter(split(lower({text_col}), '[^\\\\p{{L}}\\\\p{{N}}]+'), w -> w != '') AS _words "
+            "FROM __THIS__")
+    return Pipeline(stages=[SQLTransformer(statement=stmt),
+                            HashingTF(inputCol="_words", outputCol="_tf", numFeatures=num_features),
+                            IDF(inputCol="_tf", outputCol="features")])
+
+
+def fit_per_label(train_long, feature_model, label_names, max_iter: int = 5, weight_col: str | None = "weight",
+                  reg: float = 0.0):
+    """One binary classifier per label (independent fits; the shared feature
+    model is fitted once). ``train_long``: text, label_name, y[, weight].
+    Returns {label: PipelineModel} and {label: objective history}."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.storagelevel import StorageLevel
+
+    feats = feature_model.transform(train_long).select("label_name", F.col("y").cast("double").alias("label"),
+                                                        "features", *([weight_col] if weight_col else []))
+    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)  # shared by every label's fit
+    models, losses = {}, {}
+    try:
+        for name in label_names:
+            lr = LogisticRegression(maxIter=max_iter, regParam=reg, standardization=False,
+                                    **({"weightCol": weight_col} if weight_col else {}))
+            m = lr.fit(feats.filter(F.col("label_name") == name))
+            models[name] = PipelineModel(stages=[*feature_model.stages, m])
+            losses[name] = list(m.summary.objectiveHistory)
+    finally:
+        feats.unpersist()
+    return models, losses
+
+
+def positive_probability(scored, prob_col: str = "probability"):
+    from pyspark.ml.functions import vector_to_array
+    return F.get(vector_to_array(F.col(prob_col)), 1)
+
+
+def score_per_label(models: dict, rows_long, keep_cols):
+    """Scored rows ``keep_cols..., label_name, y, p`` from each label's model."""
+    out = None
+    for name, m in models.items():
+        part = m.transform(rows_long.filter(F.col("label_name") == name)).select(
+            *keep_cols, "label_name", "y", positive_probability(None).alias("p"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fit_pooled_classifier(train, vec_col: str = "pooled", max_iter: int = 5, weight_col: str | None = None):
+    """2-class classifier on pooled sequence vectors (multinomial logistic
+    regression over the pooled vector; the decision is the arg-max class)."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    data = train.select(array_to_vector(F.col(vec_col)).alias("features"), F.col("y").cast("double").alias("label"),
+                        *([weight_col] if weight_col else []))
+    lr = LogisticRegression(family="multinomial", maxIter=max_iter,
+                            **({"weightCol": weight_col} if weight_col else {}))
+    return lr.fit(data)
+
+
+def argmax_scores(model, rows, vec_col: str = "pooled", keep_cols=()):
+    """Raw 2-class scores and the first arg-max class."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from labelkiln.functions.columns import argmax_index
+
+    t = model.transform(rows.withColumn("features", array_to_vector(F.col(vec_col))))
+    z = vector_to_array(F.col("rawPrediction"))
+    return t.select(*keep_cols, "y", argmax_index(z).alias("pred"), z.alias("z"))

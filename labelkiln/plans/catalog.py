@@ -248,3 +248,4 @@ def label_vectors(spark, sf):
 
 
 from labelkiln.plans import text_queries  # noqa: E402,F401  (registers reader/feature/head queries)
+from labelkiln.plans import model_queries  # noqa: E402,F401  (registers model-fitting queries)
