@@ -249,3 +249,13 @@ def label_vectors(spark, sf):
 
 from labelkiln.plans import text_queries  # noqa: E402,F401  (registers reader/feature/head queries)
 from labelkiln.plans import model_queries  # noqa: E402,F401  (registers model-fitting queries)
+
+
+# ------------------------------------------------------------- report sink --
+@register("metric_history_sink", Q.q_metric_history_sink())
+def metric_history_sink(spark, sf):
+    """K3: the metric history written partitioned by label and read back."""
+    from labelkiln.session import fresh_dir
+    path = fresh_dir(spark, "history") + "/history"
+    rounded(_history(spark, sf)).write.partitionBy("label_name").parquet(path)
+    return spark.read.parquet(path).select("split", "encoder", "label_name", "epoch", "metric", "value")

@@ -336,3 +336,8 @@ FROM pick p JOIN cidx c ON c.label_name = p.label_name AND c.y = p.cls AND c.cid
 def q_label_vectors() -> str:
     return with_(COMMENTS) + """
 SELECT doc_id, split, [threat::FLOAT, insult::FLOAT, toxic::FLOAT, IsAbuse::FLOAT] AS labels FROM comments"""
+
+
+def q_metric_history_sink() -> str:
+    return with_(COMMENTS, LABELLED, SCORED, CONFUSION, AUC, HISTORY) + """
+SELECT split, encoder, label_name, epoch, metric, round(value, 6) AS value FROM hist"""

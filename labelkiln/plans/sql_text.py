@@ -294,3 +294,11 @@ dims AS (SELECT c.doc_id, c.dv, u.i, sum(c.c * u.x::DOUBLE) AS s
 SELECT f.doc_id, coalesce(list(round(d.s / d.dv, 6) ORDER BY d.i) FILTER (WHERE d.i IS NOT NULL),
                           list_transform(range(64), lambda x: 0.0)) AS pooled
 FROM f LEFT JOIN dims d USING (doc_id) GROUP BY f.doc_id"""
+
+
+def q_stream_scores() -> str:
+    hidden = ", ".join(f"1.0 / (1.0 + exp(-{dot('embedding', j)}))" for j in range(64))
+    return f"""
+SELECT vec_id, label, round(p, 6) AS p, CASE WHEN p >= 0.48::DOUBLE THEN 1 ELSE 0 END AS pred
+FROM (SELECT vec_id, label, 1.0 / (1.0 + exp(-{dot('h', 0)})) AS p
+      FROM (SELECT vec_id, label, [{hidden}] AS h FROM embeddings) t) s"""

@@ -10,7 +10,7 @@ from labelkiln.operators import models as MO
 from labelkiln.plans import derived as D
 from labelkiln.plans import sql_text as X
 from labelkiln.plans.catalog import register
-from labelkiln.session import spread
+from labelkiln.session import fresh_dir, spread
 from labelkiln.sources import fixtures as FX
 from labelkiln.sources import readers as R
 from labelkiln.sources.tasks import TASKS
@@ -180,3 +180,24 @@ def argmax_class(spark, sf):
     e = D.table(spark, sf, "embeddings").select("vec_id", MO.two_class_head(F.col("embedding")).alias("z"))
     return rounded(e.select("vec_id", argmax_index("z").alias("pred_class"), F.get("z", 0).alias("z0"),
                             F.get("z", 1).alias("z1")))
+
+
+# ------------------------------------------------------------------ sinks --
+@register("feature_sink_round_trip", X.q_encode_single(MAX_LEN))
+def feature_sink_round_trip(spark, sf):
+    """K1: features written as Parquet (int arrays) and read back."""
+    path = fresh_dir(spark, "features") + "/features"
+    _single(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("stream_dense_head_scores", X.q_stream_scores())
+def stream_dense_head_scores(spark, sf):
+    """The dense head + threshold run as a Structured Streaming job over the
+    embeddings files (file source -> Parquet sink), then read back."""
+    from labelkiln.streaming import stream_scores
+    root = fresh_dir(spark, "stream")
+    q = stream_scores(spark, sf, f"{root}/out", f"{root}/checkpoint", glob="embeddings.parquet")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return rounded(out.select("vec_id", "label", "p", "pred"))
