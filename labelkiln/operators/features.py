@@ -145,12 +145,14 @@ def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> D
     return hit.unionByName(miss)
 
 
-def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab, budget: int) -> DataFrame:
+def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab, budget: int,
+                   splitter=words) -> DataFrame:
     """Per row: ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
-    in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text."""
+    in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text.
+    ``splitter`` (Column -> array<string> Column) is the pluggable word step."""
     parts = []
     for i, tc in enumerate(text_cols):
-        ws = df.select(*key_cols, F.slice(words(F.col(tc)), 1, budget).alias("_ws"))
+        ws = df.select(*key_cols, F.slice(splitter(F.col(tc)), 1, budget).alias("_ws"))
         parts.append(ws.select(*key_cols, F.lit(i).alias("_seg"), F.posexplode("_ws").alias("_pos", "word")))
     exploded = parts[0]
     for p in parts[1:]:
@@ -206,12 +208,13 @@ def truncate_pair(na: Column, nb: Column, budget: int) -> tuple[Column, Column]:
 
 def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab,
            max_length: int = 128, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
-           mask_padding_with_zero: bool = True) -> DataFrame:
+           mask_padding_with_zero: bool = True, splitter=words) -> DataFrame:
     """``key_cols, input_ids, attention_mask, token_type_ids`` (array<int> of
-    ``max_length``) for single texts or text pairs."""
+    ``max_length``) for single texts or text pairs. ``splitter`` replaces the
+    word step (any Column -> array<string> expression)."""
     texts = [text_a] + ([text_b] if text_b else [])
     budget = max_length - (3 if text_b else 2)
-    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget)
+    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget, splitter)
     if text_b:
         ka, kb = truncate_pair(F.col("n_0"), F.col("n_1"), budget)
         a, b = F.slice("ids_0", 1, ka), F.slice("ids_1", 1, kb)

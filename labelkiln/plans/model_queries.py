@@ -110,3 +110,11 @@ def model_round_trip(spark, sf):
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+@register("fit_objective_history")
+def fit_objective_history(spark, sf):
+    """A17 for fitted models: the training objective per iteration of every
+    (label, epoch) fit -- one short list per fit, bounded by maxIter."""
+    _, losses = _epoch_fits(spark, sf)
+    return spark.createDataFrame(losses, "label_name string, epoch int, iteration int, loss double")

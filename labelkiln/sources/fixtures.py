@@ -161,8 +161,11 @@ def write_named_records(spark: SparkSession, sf_dir: str, task: str) -> str:
         p = pair_rows(spark, sf_dir)
         k = len(spec.labels) if spec.labels else 0
         label = (F.col("turn") % 6).cast("double") if k == 0 else (F.col("conv_id") % k).cast("bigint")
-        df = p.select(F.col("pair_id").alias("idx"), F.col("text_a").alias(spec.record_fields[0]),
-                      F.col("text_b").alias(spec.record_fields[1]), label.alias("label"))
+        a, b = F.col("text_a"), F.col("text_b")
+        if task == "boolq":  # byte-string texts, as tensor records carry them
+            a, b = F.encode(a, "UTF-8"), F.encode(b, "UTF-8")
+        df = p.select(F.col("pair_id").alias("idx"), a.alias(spec.record_fields[0]),
+                      b.alias(spec.record_fields[1]), label.alias("label"))
     df.write.parquet(out)
     return out
 
