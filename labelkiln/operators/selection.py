@@ -68,9 +68,12 @@ def mean_over(df: DataFrame, group_cols: Sequence[str], value_col: str, name: st
     return df.groupBy(*group_cols).agg(F.avg(value_col).alias(name))
 
 
-def best_threshold(mean_f1: DataFrame, group_cols: Sequence[str], value_col: str = "mean_f1") -> DataFrame:
-    """Arg-max threshold per group, first (smallest) threshold on ties."""
-    key = F.struct(F.col(value_col), -F.col("threshold"))
+def best_threshold(mean_f1: DataFrame, group_cols: Sequence[str], value_col: str = "mean_f1",
+                   tie_digits: int = 12) -> DataFrame:
+    """Arg-max threshold per group, first (smallest) threshold on ties. Means
+    equal as fractions can differ in the last bit depending on summation
+    order, so they are compared at ``tie_digits`` decimals."""
+    key = F.struct(F.round(F.col(value_col), tie_digits), -F.col("threshold"))
     return mean_f1.groupBy(*group_cols).agg(F.max_by("threshold", key).alias("best_threshold"),
                                             F.max(value_col).alias(f"best_{value_col}"))
 

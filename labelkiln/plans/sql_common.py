@@ -247,7 +247,7 @@ SELECT split, encoder, round(threshold, 6) AS threshold, round(mean_f1, 6) AS me
 def q_best_threshold(label, start, stop, num) -> str:
     return with_(COMMENTS, LABELLED, SCORED, _grid(start, stop, num), _sweep(label, start, stop, num),
                  _mean(label, start, stop, num)) + """
-SELECT split, encoder, round(first(threshold ORDER BY mean_f1 DESC, threshold ASC), 6) AS best_threshold,
+SELECT split, encoder, round(first(threshold ORDER BY round(mean_f1, 12) DESC, threshold ASC), 6) AS best_threshold,
        round(max(mean_f1), 6) AS best_mean_f1
 FROM mean_f1 GROUP BY split, encoder"""
 
