@@ -126,11 +126,8 @@ def _as_vocab(vocab) -> "Vocab":
     return vocab if isinstance(vocab, Vocab) else Vocab.of(vocab)
 
 
-def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> DataFrame:
-    """``word, ids`` for a table of distinct words. Whole-word vocabulary hits
-    resolve by a broadcast lookup (bounded vocab); the rest by one Arrow UDF."""
-    v = _as_vocab(vocab)
-    bc = distinct_words.sparkSession.sparkContext.broadcast(v.map)
+def _tokenizer_udf(spark, v: "Vocab"):
+    bc = spark.sparkContext.broadcast(v.map)
     unk, span = SPECIAL_IDS[UNK], v.max_piece
 
     @F.pandas_udf("array<int>")
@@ -138,6 +135,14 @@ def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> D
         m = bc.value
         return pd.Series([greedy_pieces(w, m, unk, MAX_WORD_CHARS, span) for w in ws])
 
+    return tokenize
+
+
+def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> DataFrame:
+    """``word, ids`` for a table of distinct words. Whole-word vocabulary hits
+    resolve by a broadcast lookup (bounded vocab); the rest by one Arrow UDF."""
+    v = _as_vocab(vocab)
+    tokenize = _tokenizer_udf(distinct_words.sparkSession, v)
     whole = F.broadcast(v.df.select(F.col("piece").alias(word_col), F.col("piece_id")))
     j = distinct_words.select(word_col).join(whole, word_col, "left")
     hit = j.filter(F.col("piece_id").isNotNull()).select(word_col, F.array(F.col("piece_id")).alias("ids"))
@@ -157,8 +162,22 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
     exploded = parts[0]
     for p in parts[1:]:
         exploded = exploded.unionByName(p)
-    table = wordpiece_ids(spread(exploded.select("word").distinct()), vocab)
-    joined = exploded.join(table, "word")
+    # vocabulary words (the frequent ones) get their id map-side from the
+    # broadcast vocabulary; only the other words are tokenized (once per
+    # distinct word) and joined by word. Vocabulary rows join on a unique salt
+    # that matches nothing, so no hot word concentrates in one partition.
+    whole = F.broadcast(vocab.df.select(F.col("piece").alias("word"), F.col("piece_id")))
+    tagged = exploded.join(whole, "word", "left")
+    rare = tagged.filter(F.col("piece_id").isNull()).select("word").distinct()
+    tokenize = _tokenizer_udf(df.sparkSession, vocab)
+    table = spread(rare).select(F.col("word").alias("_jk"), tokenize(F.col("word")).alias("_rare_ids"))
+    salt = F.concat(F.lit("\u0000"), F.concat_ws(":", *[F.col(k).cast("string") for k in key_cols],
+                                                  F.col("_seg").cast("string"), F.col("_pos").cast("string")))
+    keyed = tagged.withColumn("_jk", F.when(F.col("piece_id").isNull(), F.col("word")).otherwise(salt))
+    joined = keyed.join(table, "_jk", "left").select(
+        *key_cols, "_seg", "_pos",
+        F.coalesce(F.when(F.col("piece_id").isNotNull(), F.array(F.col("piece_id"))), F.col("_rare_ids"))
+        .alias("ids"))
     per_seg = joined.groupBy(*key_cols, "_seg").agg(
         F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "ids"))), lambda s: s["ids"]))
         .alias("_ids"))

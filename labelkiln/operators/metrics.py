@@ -91,8 +91,24 @@ def spearman(df: DataFrame, group_cols: Sequence[str], a: str, b: str, name: str
     g = list(group_cols)
     ra = average_rank(df, g, a, "_ra", buckets=buckets)
     rb = average_rank(df, g, b, "_rb", buckets=buckets)
-    joined = df.select(*g, a, b).join(ra, [*g, a]).join(rb, [*g, b])
-    return joined.groupBy(*g).agg(_pearson_col("_ra", "_rb").alias(name))
+    # average ranks always have mean (n + 1) / 2: centre them (group sizes are
+    # one row per group) so the moments below do not cancel at large n
+    sizes = df.groupBy(*g).agg(((F.count(F.lit(1)) + 1) / F.lit(2.0)).alias("_mid"))
+    ra = ra.join(sizes, g).select(*g, a, (F.col("_ra") - F.col("_mid")).alias("_ra"))
+    rb = rb.join(sizes, g).select(*g, b, (F.col("_rb") - F.col("_mid")).alias("_rb"))
+    # collapse repeated (a, b) pairs first: a hot value joins once per partner
+    pairs = df.groupBy(*g, a, b).agg(F.count(F.lit(1)).alias("_w"))
+    j = pairs.join(ra, [*g, a]).join(rb, [*g, b])
+    w, x, y = F.col("_w").cast("double"), F.col("_ra"), F.col("_rb")
+    m = j.groupBy(*g).agg(F.sum(w).alias("_n"), F.sum(w * x).alias("_sx"), F.sum(w * y).alias("_sy"),
+                          F.sum(w * x * x).alias("_sxx"), F.sum(w * y * y).alias("_syy"),
+                          F.sum(w * x * y).alias("_sxy"))
+    n = F.col("_n")
+    cov = F.col("_sxy") / n - (F.col("_sx") / n) * (F.col("_sy") / n)
+    vx = F.col("_sxx") / n - (F.col("_sx") / n) ** 2
+    vy = F.col("_syy") / n - (F.col("_sy") / n) ** 2
+    den = F.sqrt(vx * vy)
+    return m.select(*g, F.when((vx > 0) & (vy > 0), cov / den).alias(name))
 
 
 def pearson_and_spearman(df: DataFrame, group_cols: Sequence[str], pred: str = "pred",

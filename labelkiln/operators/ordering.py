@@ -50,7 +50,9 @@ def with_file_row_index(df: DataFrame, col: str = "row_idx") -> DataFrame:
     w = _before([], "_lk_file", "_lk_block")
     offsets = blocks.select("_lk_file", "_lk_block", "_lk_first",
                             F.coalesce(F.sum("_lk_n").over(w), F.lit(0)).alias("_lk_off"))
-    return (tagged.join(offsets, ["_lk_file", "_lk_block"])
+    # one row per file split -- the same size as the file listing the driver
+    # already plans the scan from -- so it is broadcast instead of shuffling rows
+    return (tagged.join(F.broadcast(offsets), ["_lk_file", "_lk_block"])
             .select(*[F.col(c) for c in base_cols],
                     (F.col("_lk_off") + F.col("_lk_mid") - F.col("_lk_first")).cast("bigint").alias(col)))
 

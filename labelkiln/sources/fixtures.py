@@ -143,9 +143,16 @@ def write_task(spark: SparkSession, sf_dir: str, spec: TaskSpec, out_dir: str) -
     return out_dir
 
 
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
 def write_task_dir(spark: SparkSession, sf_dir: str, task: str) -> str:
-    out = fresh_dir(spark, f"task-{task}")
-    return write_task(spark, sf_dir, TASKS[task], out)
+    """The task folder for ``sf_dir``, written once per session (a fresh
+    folder under the checkpoint root; files are never rewritten in place)."""
+    key = (spark.sparkContext.applicationId, sf_dir, task)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = write_task(spark, sf_dir, TASKS[task], fresh_dir(spark, f"task-{task}"))
+    return _WRITTEN[key]
 
 
 def write_named_records(spark: SparkSession, sf_dir: str, task: str) -> str:
