@@ -19,7 +19,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from labelkiln.session import cut_lineage, spread
+from labelkiln.session import cut_lineage, rebalance
 from labelkiln.sources.tasks import CLASSIFICATION, REGRESSION
 
 WORD_SPLIT = "[^\\p{L}\\p{N}]+"
@@ -170,7 +170,7 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
     tagged = exploded.join(whole, "word", "left")
     rare = tagged.filter(F.col("piece_id").isNull()).select("word").distinct()
     tokenize = _tokenizer_udf(df.sparkSession, vocab)
-    table = spread(rare).select(F.col("word").alias("_jk"), tokenize(F.col("word")).alias("_rare_ids"))
+    table = rebalance(rare).select(F.col("word").alias("_jk"), tokenize(F.col("word")).alias("_rare_ids"))
     salt = F.concat(F.lit("\u0000"), F.concat_ws(":", *[F.col(k).cast("string") for k in key_cols],
                                                   F.col("_seg").cast("string"), F.col("_pos").cast("string")))
     keyed = tagged.withColumn("_jk", F.when(F.col("piece_id").isNull(), F.col("word")).otherwise(salt))

@@ -10,7 +10,7 @@ from labelkiln.operators import models as MO
 from labelkiln.plans import derived as D
 from labelkiln.plans import sql_text as X
 from labelkiln.plans.catalog import register
-from labelkiln.session import fresh_dir, spread
+from labelkiln.session import fresh_dir, rebalance, spread
 from labelkiln.sources import fixtures as FX
 from labelkiln.sources import readers as R
 from labelkiln.sources.tasks import TASKS
@@ -97,7 +97,7 @@ def vocab_ids(spark, sf):
 @register("wordpiece_words", X.q_wordpiece_words())
 def wordpiece_words(spark, sf):
     dw = _docs(spark, sf).select(F.explode(FE.words(F.col("text"))).alias("word")).distinct()
-    return FE.wordpiece_ids(dw, _vocab(spark, sf))
+    return FE.wordpiece_ids(rebalance(dw), _vocab(spark, sf))
 
 
 def _single(spark, sf, **kw):
@@ -106,7 +106,7 @@ def _single(spark, sf, **kw):
 
 
 def _pair(spark, sf, **kw):
-    p = spread(FX.pair_rows(spark, sf))
+    p = FX.pair_rows(spark, sf)
     return FE.encode(p, ["pair_id"], "text_a", "text_b", _vocab(spark, sf), MAX_LEN, **kw)
 
 

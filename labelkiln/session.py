@@ -74,13 +74,22 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df, target: int | None = None):
-    """Round-robin ``df`` over the cluster when its scan yields fewer partitions
-    than there are cores (e.g. one large row group), so CPU-heavy row-local work
-    (regex splits, tokenizing) does not run on one core. On large inputs the
-    scan already has enough splits and this is a no-op (no extra shuffle)."""
-    sc = df.sparkSession.sparkContext
+def spread(scan, target: int | None = None):
+    """Round-robin a *scan* over the cluster when it yields fewer partitions
+    than there are cores (e.g. one large row group), so CPU-heavy row-local
+    work (regex splits, tokenizing) does not run on one core. On large inputs
+    the scan already has enough splits and this is a no-op. Only for plans
+    without a shuffle: asking a shuffled plan for its partition count would
+    run its upstream stages."""
+    sc = scan.sparkSession.sparkContext
     want = target or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    if scan.rdd.getNumPartitions() < want:
+        return scan.repartition(want)
+    return scan
+
+
+def rebalance(df, target: int | None = None):
+    """Spread rows evenly over ``target`` (default: all cores) partitions before
+    a Python step; AQE would otherwise merge small shuffle outputs into a few
+    partitions and leave the UDF on a few cores."""
+    return df.repartition(target or df.sparkSession.sparkContext.defaultParallelism)
