@@ -146,7 +146,9 @@ def pad_count(spark, sf):
 def preview_first_5(spark, sf):
     spec = TASKS["mrpc"]
     ex = R.read_task(spark, spec, FX.write_task_dir(spark, sf, "mrpc"), "train")
-    first = ex.orderBy("row_idx").limit(5)  # the preview is a top-5 by design
+    # the preview is a top-5 by design; five rows are taken once to the driver
+    # (as a log preview is) so the branches below do not recompute the top-k
+    first = spark.createDataFrame(ex.orderBy("row_idx").limit(5).collect(), ex.schema)
     feats = FE.encode(first, ["guid"], "text_a", "text_b", _vocab(spark, sf), MAX_LEN)
     lab = FE.label_ids(first, spec.labels, spec.mode).select("guid", "row_idx", "label_id")
     return FE.assert_lengths(feats, MAX_LEN).join(lab, "guid")

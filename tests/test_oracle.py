@@ -31,3 +31,13 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["split", "encoder", "label_name", "epoch", "acc", "f1"]
+
+
+FITS = {"fit_label_classifiers", "epoch_metrics_from_fits", "fit_pooled_classifier", "model_round_trip",
+        "fit_objective_history"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - FITS))
+def test_plan_has_no_cartesian_or_nested_loop_join(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
