@@ -60,12 +60,11 @@ def acc_and_f1(conf: DataFrame, group_cols: Sequence[str]) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, group_cols: Sequence[str], y: str = "y", p: str = "p",
-            buckets: int | None = None, lo: float | None = 0.0, hi: float | None = 1.0) -> DataFrame:
+            buckets: int | None = None, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """Exact ROC-AUC per group (ties count one half); null with one class only.
 
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s)/2) / (P * N).
-    ``lo``/``hi`` give the score range used for bucketing (probabilities by
-    default); pass None for arbitrary scores."""
+    Scores may have any range; buckets adapt to their distribution."""
     g = list(group_cols)
     ties = df.groupBy(*g, p).agg(F.count_if(F.col(y) == 1).alias("pos"),
                                  F.count_if(F.col(y) != 1).alias("neg"))

@@ -9,9 +9,9 @@ Two building blocks replace ``Window.orderBy(...)`` without ``partitionBy``
   (one row per block) gives each block's offset.
 * ``prefix_below`` -- for rows keyed by ``(group, value)``, the sum of weight
   columns over all rows of the group with a strictly smaller value. Values are
-  cut into fixed-width buckets; a window over bucket totals (at most ``buckets``
-  rows per group) gives bucket offsets, and a window inside each bucket finishes
-  the job. No window ever holds a whole group.
+  cut into quantile-adaptive buckets; a window over bucket totals (at most
+  ``buckets`` rows per group) gives bucket offsets, and a window inside each
+  bucket finishes the job. No window ever holds a whole group.
 """
 
 from __future__ import annotations
@@ -57,6 +57,42 @@ def with_file_row_index(df: DataFrame, col: str = "row_idx") -> DataFrame:
                     (F.col("_lk_off") + F.col("_lk_mid") - F.col("_lk_first")).cast("bigint").alias(col)))
 
 
+COARSE_BUCKETS = 256
+
+
+def value_buckets(df: DataFrame, group_cols: Sequence[str], value_col: str, buckets: int | None = None,
+                  lo: float | None = None, hi: float | None = None, coarse: int = COARSE_BUCKETS) -> DataFrame:
+    """Adds ``_lk_b``: a bucket id that is monotone in ``value_col`` within each
+    group, with about the same number of rows per bucket whatever the value
+    distribution. Coarse cuts are approximate quantiles of the group's values
+    (a mergeable sketch, one small row per group); inside each coarse slice the
+    value range is cut into equal-width sub-buckets. Scores piled into a tiny
+    range (e.g. many probabilities just below 1.0) therefore still spread over
+    many buckets. With ``lo``/``hi`` and ``coarse=1`` it is plain fixed-width."""
+    g = list(group_cols)
+    nb = buckets or default_buckets(df)
+    c = max(1, min(coarse, nb))
+    fine = max(1, nb // c)
+    v = F.col(value_col).cast("double")
+    if c == 1 and lo is not None and hi is not None:
+        lo_c, hi_c, b1 = F.lit(float(lo)), F.lit(float(hi)), F.lit(0)
+        ranged = df
+    else:
+        probs = [k / c for k in range(1, c)]
+        stats = df.groupBy(*g).agg(F.percentile_approx(v, probs, max(10_000, 10 * c)).alias("_lk_q"),
+                                   F.min(v).alias("_lk_min"), F.max(v).alias("_lk_max"))
+        ranged = df.join(stats, g)
+        q = F.col("_lk_q")
+        b1 = F.size(F.filter(q, lambda x: x <= v))          # 0 .. c-1, monotone in v
+        lo_c = F.when(b1 == 0, F.col("_lk_min")).otherwise(F.element_at(q, b1))
+        hi_c = F.when(b1 >= c - 1, F.col("_lk_max")).otherwise(F.element_at(q, b1 + 1))
+    span = hi_c - lo_c
+    b2 = F.when(span > 0, F.least(F.lit(fine - 1), F.greatest(
+        F.lit(0), F.floor((v - lo_c) / span * fine)))).otherwise(F.lit(0))
+    out = ranged.withColumn("_lk_b", (b1 * F.lit(fine) + b2).cast("int"))
+    return out.drop("_lk_q", "_lk_min", "_lk_max")
+
+
 def prefix_below(df: DataFrame, group_cols: Sequence[str], value_col: str,
                  weight_cols: Sequence[str], buckets: int | None = None,
                  lo: float | None = None, hi: float | None = None,
@@ -64,25 +100,15 @@ def prefix_below(df: DataFrame, group_cols: Sequence[str], value_col: str,
     """For each row add ``<w><suffix>`` = sum of ``w`` over rows of the same group
     whose ``value_col`` is strictly smaller. Rows with equal values must already
     be collapsed to one row (group by value first): then "strictly smaller" is
-    "earlier in order". ``lo``/``hi`` fix the value range (e.g. 0..1 for
-    probabilities); otherwise each group's min/max is used."""
+    "earlier in order". Buckets come from ``value_buckets`` (quantile-adaptive),
+    so no window holds more than about 1/buckets of a group."""
     cols = df.columns
     g = list(group_cols)
     if not g:  # a constant group keeps every join an equi-join
         df, g = df.withColumn("_lk_all", F.lit(0)), ["_lk_all"]
-    nb = buckets or default_buckets(df)
-    v = F.col(value_col).cast("double")
-    if lo is not None and hi is not None:
-        ranged = df.withColumn("_lk_lo", F.lit(float(lo))).withColumn("_lk_hi", F.lit(float(hi)))
-    else:  # one row per group
-        bounds = df.groupBy(*g).agg(F.min(v).alias("_lk_lo"), F.max(v).alias("_lk_hi"))
-        ranged = df.join(bounds, g)
-    span = F.col("_lk_hi") - F.col("_lk_lo")
-    bucket = F.when(span > 0, F.least(F.lit(nb - 1), F.greatest(
-        F.lit(0), F.floor((v - F.col("_lk_lo")) / span * nb)))).otherwise(F.lit(0)).cast("int")
-    b = ranged.withColumn("_lk_b", bucket).drop("_lk_lo", "_lk_hi")
-
-    # bucket totals: at most nb rows per group reach the offset window
+    b = value_buckets(df, g, value_col, buckets, lo, hi)
+
+    # bucket totals: at most `buckets` rows per group reach the offset window
     totals = b.groupBy(*g, "_lk_b").agg(*[F.sum(c).alias(f"_lk_t_{c}") for c in weight_cols])
     wb = _before(g, "_lk_b")
     offs = totals.select(*g, "_lk_b", *[F.coalesce(F.sum(f"_lk_t_{c}").over(wb), F.lit(0)).alias(f"_lk_o_{c}")

@@ -217,3 +217,16 @@ def test_tail_and_history_arrays(spark):
     assert sorted((r["epoch"], r["batch"]) for r in t) == [(3, 2), (3, 3), (3, 4)]
     arr = S.history_arrays(h.filter("batch = 0"), ["g"], "epoch", "loss").collect()[0]["values"]
     assert arr == [10.0, 20.0, 30.0]
+
+
+def test_buckets_adapt_to_piled_up_scores(spark):
+    # 3000 distinct scores crammed just below 1.0 plus 300 spread ones: fixed
+    # width buckets would put 90% of them in one bucket
+    rows = [("a", i % 2, 1.0 - 1e-9 * (i + 1)) for i in range(3000)] + \
+           [("a", i % 2, i / 300) for i in range(300)]
+    df = _scored(spark, rows)
+    b = O.value_buckets(df, ["g"], "p", buckets=64, coarse=16)
+    biggest = b.groupBy("_lk_b").count().agg(F.max("count")).collect()[0][0]
+    assert biggest < 0.1 * len(rows)
+    got = M.roc_auc(df, ["g"], buckets=64).collect()[0]["roc_auc"]
+    assert abs(got - _auc_brute([(y, p) for _, y, p in rows])) < 1e-12
