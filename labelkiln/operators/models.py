@@ -115,42 +115,48 @@ def text_feature_pipeline(text_col: str, num_features: int = 4096):
                             IDF(inputCol="_tf", outputCol="features")])
 
 
-def fit_per_label(train_long, feature_model, label_names, max_iter: int = 5, weight_col: str | None = "weight",
+def featurize(feature_model, rows, keep_cols, weight_col: str | None = None):
+    """Apply the shared feature model once. Every label's (and every epoch's)
+    fit or scoring reads the result, so it is checkpointed in the shared
+    folder: computed once, no cache left behind, safe if executors are lost."""
+    from labelkiln.session import cut_lineage
+    cols = [*keep_cols, "label_name", F.col("y").cast("double").alias("label"), "features"]
+    if weight_col:
+        cols.append(weight_col)
+    return cut_lineage(feature_model.transform(rows).select(*cols))
+
+
+def fit_per_label(train_feats, feature_model, label_names, max_iter: int = 5, weight_col: str | None = "weight",
                   reg: float = 0.0):
-    """One binary classifier per label (independent fits; the shared feature
-    model is fitted once). ``train_long``: text, label_name, y[, weight].
-    Returns {label: PipelineModel} and {label: objective history}."""
+    """One binary classifier per label on featurized rows (independent fits).
+    Returns {label: LogisticRegressionModel}, {label: PipelineModel with the
+    feature stages, for saving} and {label: objective history}."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.storagelevel import StorageLevel
-
-    feats = feature_model.transform(train_long).select("label_name", F.col("y").cast("double").alias("label"),
-                                                        "features", *([weight_col] if weight_col else []))
-    feats = feats.persist(StorageLevel.MEMORY_AND_DISK)  # shared by every label's fit
-    models, losses = {}, {}
-    try:
-        for name in label_names:
-            lr = LogisticRegression(maxIter=max_iter, regParam=reg, standardization=False,
-                                    **({"weightCol": weight_col} if weight_col else {}))
-            m = lr.fit(feats.filter(F.col("label_name") == name))
-            models[name] = PipelineModel(stages=[*feature_model.stages, m])
-            losses[name] = list(m.summary.objectiveHistory)
-    finally:
-        feats.unpersist()
-    return models, losses
-
-
-def positive_probability(scored, prob_col: str = "probability"):
+
+    heads, pipes, losses = {}, {}, {}
+    for name in label_names:
+        lr = LogisticRegression(maxIter=max_iter, regParam=reg, standardization=False,
+                                **({"weightCol": weight_col} if weight_col else {}))
+        m = lr.fit(train_feats.filter(F.col("label_name") == name))
+        heads[name] = m
+        pipes[name] = PipelineModel(stages=[*feature_model.stages, m])
+        losses[name] = list(m.summary.objectiveHistory)
+    return heads, pipes, losses
+
+
+def positive_probability(prob_col: str = "probability"):
     from pyspark.ml.functions import vector_to_array
     return F.get(vector_to_array(F.col(prob_col)), 1)
 
 
-def score_per_label(models: dict, rows_long, keep_cols):
-    """Scored rows ``keep_cols..., label_name, y, p`` from each label's model."""
+def score_per_label(heads: dict, feats, keep_cols):
+    """Scored rows ``keep_cols..., label_name, y, p`` from each label's model
+    (``feats`` already featurized; a full pipeline model also accepts raw rows)."""
     out = None
-    for name, m in models.items():
-        part = m.transform(rows_long.filter(F.col("label_name") == name)).select(
-            *keep_cols, "label_name", "y", positive_probability(None).alias("p"))
+    for name, m in heads.items():
+        part = m.transform(feats.filter(F.col("label_name") == name)).select(
+            *keep_cols, "label_name", F.col("label").cast("int").alias("y"), positive_probability().alias("p"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -28,15 +28,23 @@ def _feature_model(spark, train_long):
     return MO.text_feature_pipeline("comment_text", NUM_FEATURES).fit(docs)
 
 
+def _prepared(spark, sf):
+    """Feature model fitted on train texts; train and held-out rows featurized once."""
+    train, held = _long_with_text(spark, sf)
+    fm = _feature_model(spark, train)
+    train_f = MO.featurize(fm, train, ["doc_id"], "weight")
+    held_f = MO.featurize(fm, held, ["doc_id", "split"])
+    return fm, train_f, held_f
+
+
 def _epoch_fits(spark, sf):
     """Fits with maxIter = 1..EPOCHS per label; every fit scores the held-out
     rows and is tagged with its epoch."""
-    train, held = _long_with_text(spark, sf)
-    fm = _feature_model(spark, train)
+    fm, train_f, held_f = _prepared(spark, sf)
     scored, losses = None, []
     for e in range(1, EPOCHS + 1):
-        models, hist = MO.fit_per_label(train, fm, D.LABEL_NAMES, max_iter=e)
-        s = MO.score_per_label(models, held, ["doc_id", "split"]).withColumn("epoch", F.lit(e))
+        heads, _, hist = MO.fit_per_label(train_f, fm, D.LABEL_NAMES, max_iter=e)
+        s = MO.score_per_label(heads, held_f, ["doc_id", "split"]).withColumn("epoch", F.lit(e))
         scored = s if scored is None else scored.unionByName(s)
         losses += [(name, e, i, float(v)) for name, h in hist.items() for i, v in enumerate(h)]
     return scored, losses
@@ -46,9 +54,9 @@ def _epoch_fits(spark, sf):
 def fit_label_classifiers(spark, sf):
     """M1: one weighted classifier per label on the train split, scoring
     every held-out row: doc_id, split, label_name, y, p."""
-    train, held = _long_with_text(spark, sf)
-    models, _ = MO.fit_per_label(train, _feature_model(spark, train), D.LABEL_NAMES, max_iter=EPOCHS)
-    return MO.score_per_label(models, held, ["doc_id", "split"])
+    fm, train_f, held_f = _prepared(spark, sf)
+    heads, _, _ = MO.fit_per_label(train_f, fm, D.LABEL_NAMES, max_iter=EPOCHS)
+    return MO.score_per_label(heads, held_f, ["doc_id", "split"])
 
 
 @register("epoch_metrics_from_fits")
@@ -82,27 +90,30 @@ def fit_pooled_classifier(spark, sf):
 @register("model_round_trip")
 def model_round_trip(spark, sf):
     """K2: keep the first-best epoch per label (by ROC-AUC on val), save that
-    model, load it back and re-score: label_name, best_epoch, n_rows, n_equal."""
+    model (feature stages + classifier), load it back and re-score the raw val
+    rows: label_name, best_epoch, n_rows, n_equal."""
     from pyspark.ml import PipelineModel
-    train, held = _long_with_text(spark, sf)
-    fm = _feature_model(spark, train)
-    val = held.filter(F.col("split") == "val")
+    fm, train_f, held_f = _prepared(spark, sf)
+    val_f = held_f.filter(F.col("split") == "val")
     fits, hist = {}, None
     for e in range(1, EPOCHS + 1):
-        models, _ = MO.fit_per_label(train, fm, D.LABEL_NAMES, max_iter=e)
-        fits[e] = models
-        a = M.roc_auc(MO.score_per_label(models, val, ["doc_id"]), ["label_name"]).withColumn("epoch", F.lit(e))
+        heads, pipes, _ = MO.fit_per_label(train_f, fm, D.LABEL_NAMES, max_iter=e)
+        fits[e] = (heads, pipes)
+        a = M.roc_auc(MO.score_per_label(heads, val_f, ["doc_id"]), ["label_name"]).withColumn("epoch", F.lit(e))
         hist = a if hist is None else hist.unionByName(a)
     best = {r["label_name"]: r["best_epoch"] for r in
             S.first_argmax(hist.withColumnRenamed("roc_auc", "value"), ["label_name"]).collect()}
+    _, held = _long_with_text(spark, sf)
+    val_raw = held.filter(F.col("split") == "val").withColumn("label", F.col("y").cast("double"))
     root = fresh_dir(spark, "models")
     rows = []
     for name, e in best.items():
+        heads, pipes = fits[e]
         path = f"{root}/best-{name}"
-        fits[e][name].write().save(path)
+        pipes[name].write().save(path)
         again = PipelineModel.load(path)
-        a = MO.score_per_label({name: fits[e][name]}, val, ["doc_id"]).withColumnRenamed("p", "p1")
-        b = MO.score_per_label({name: again}, val, ["doc_id"]).withColumnRenamed("p", "p2")
+        a = MO.score_per_label({name: heads[name]}, val_f, ["doc_id"]).withColumnRenamed("p", "p1")
+        b = MO.score_per_label({name: again}, val_raw, ["doc_id"]).withColumnRenamed("p", "p2")
         j = a.join(b, ["doc_id", "label_name", "y"])
         rows.append(j.agg(F.lit(name).alias("label_name"), F.lit(e).alias("best_epoch"),
                           F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("p1") == F.col("p2")).alias("n_equal")))
