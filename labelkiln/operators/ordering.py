@@ -77,6 +77,10 @@ def value_buckets(df: DataFrame, group_cols: Sequence[str], value_col: str, buck
     if c == 1 and lo is not None and hi is not None:
         lo_c, hi_c, b1 = F.lit(float(lo)), F.lit(float(hi)), F.lit(0)
         ranged = df
+    elif c == 1:  # one coarse slice: the group's own range
+        stats = df.groupBy(*g).agg(F.min(v).alias("_lk_min"), F.max(v).alias("_lk_max"))
+        ranged = df.join(stats, g)
+        lo_c, hi_c, b1 = F.col("_lk_min"), F.col("_lk_max"), F.lit(0)
     else:
         probs = [k / c for k in range(1, c)]
         stats = df.groupBy(*g).agg(F.percentile_approx(v, probs, max(10_000, 10 * c)).alias("_lk_q"),
@@ -89,7 +93,7 @@ def value_buckets(df: DataFrame, group_cols: Sequence[str], value_col: str, buck
     span = hi_c - lo_c
     b2 = F.when(span > 0, F.least(F.lit(fine - 1), F.greatest(
         F.lit(0), F.floor((v - lo_c) / span * fine)))).otherwise(F.lit(0))
-    out = ranged.withColumn("_lk_b", (b1 * F.lit(fine) + b2).cast("int"))
+    out = ranged.withColumn("_lk_b", F.coalesce((b1 * F.lit(fine) + b2).cast("int"), F.lit(0)))
     return out.drop("_lk_q", "_lk_min", "_lk_max")
 
 

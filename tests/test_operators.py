@@ -230,3 +230,9 @@ def test_buckets_adapt_to_piled_up_scores(spark):
     assert biggest < 0.1 * len(rows)
     got = M.roc_auc(df, ["g"], buckets=64).collect()[0]["roc_auc"]
     assert abs(got - _auc_brute([(y, p) for _, y, p in rows])) < 1e-12
+
+
+def test_single_bucket_keeps_every_group(spark):
+    df = _scored(spark, [("a", 0, 0.0), ("b", 1, 0.2), ("b", 0, 0.1)])
+    got = {r["g"]: r["roc_auc"] for r in M.roc_auc(df, ["g"], buckets=1).collect()}
+    assert got == {"a": None, "b": 1.0}
