@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelkiln.functions.columns import bce_term, ce_term_2class
-from labelkiln.operators.ordering import average_rank, prefix_below
+from labelkiln.operators.ordering import prefix_below
+from labelkiln.session import cut_lineage
 
 
 def predict(p="p", threshold: float = 0.48) -> Column:
@@ -66,8 +67,10 @@ def roc_auc(df: DataFrame, group_cols: Sequence[str], y: str = "y", p: str = "p"
     AUC = sum over distinct scores s of pos(s) * (neg(< s) + neg(s)/2) / (P * N).
     Scores may have any range; buckets adapt to their distribution."""
     g = list(group_cols)
-    ties = df.groupBy(*g, p).agg(F.count_if(F.col(y) == 1).alias("pos"),
-                                 F.count_if(F.col(y) != 1).alias("neg"))
+    # one row per (group, distinct score), read by several branches below:
+    # materialised once instead of rescanning the scored rows per branch
+    ties = cut_lineage(df.groupBy(*g, p).agg(F.count_if(F.col(y) == 1).alias("pos"),
+                                             F.count_if(F.col(y) != 1).alias("neg")))
     ranked = prefix_below(ties, g, p, ["neg"], buckets=buckets, lo=lo, hi=hi)
     agg = ranked.groupBy(*g).agg(
         F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))).alias("_num"),
@@ -84,40 +87,60 @@ def _pearson_col(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
-def spearman(df: DataFrame, group_cols: Sequence[str], a: str, b: str, name: str = "spearmanr",
-             buckets: int | None = None) -> DataFrame:
-    """Spearman correlation: Pearson of average ranks (ties averaged)."""
-    g = list(group_cols)
-    ra = average_rank(df, g, a, "_ra", buckets=buckets)
-    rb = average_rank(df, g, b, "_rb", buckets=buckets)
-    # average ranks always have mean (n + 1) / 2: centre them (group sizes are
-    # one row per group) so the moments below do not cancel at large n
-    sizes = df.groupBy(*g).agg(((F.count(F.lit(1)) + 1) / F.lit(2.0)).alias("_mid"))
-    ra = ra.join(sizes, g).select(*g, a, (F.col("_ra") - F.col("_mid")).alias("_ra"))
-    rb = rb.join(sizes, g).select(*g, b, (F.col("_rb") - F.col("_mid")).alias("_rb"))
-    # collapse repeated (a, b) pairs first: a hot value joins once per partner
-    pairs = df.groupBy(*g, a, b).agg(F.count(F.lit(1)).alias("_w"))
-    j = pairs.join(ra, [*g, a]).join(rb, [*g, b])
-    w, x, y = F.col("_w").cast("double"), F.col("_ra"), F.col("_rb")
-    m = j.groupBy(*g).agg(F.sum(w).alias("_n"), F.sum(w * x).alias("_sx"), F.sum(w * y).alias("_sy"),
-                          F.sum(w * x * x).alias("_sxx"), F.sum(w * y * y).alias("_syy"),
-                          F.sum(w * x * y).alias("_sxy"))
+def _weighted_corr(df: DataFrame, g: list[str], x: str, y: str, w: str, name: str) -> DataFrame:
+    """Correlation of columns already centred near their group means, rows
+    weighted by ``w``; null when either side is constant."""
+    wc, xc, yc = F.col(w).cast("double"), F.col(x), F.col(y)
+    m = df.groupBy(*g).agg(F.sum(wc).alias("_n"), F.sum(wc * xc).alias("_sx"), F.sum(wc * yc).alias("_sy"),
+                           F.sum(wc * xc * xc).alias("_sxx"), F.sum(wc * yc * yc).alias("_syy"),
+                           F.sum(wc * xc * yc).alias("_sxy"))
     n = F.col("_n")
     cov = F.col("_sxy") / n - (F.col("_sx") / n) * (F.col("_sy") / n)
     vx = F.col("_sxx") / n - (F.col("_sx") / n) ** 2
     vy = F.col("_syy") / n - (F.col("_sy") / n) ** 2
-    den = F.sqrt(vx * vy)
-    return m.select(*g, F.when((vx > 0) & (vy > 0), cov / den).alias(name))
+    return m.select(*g, F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy)).alias(name))
+
+
+def value_pairs(df: DataFrame, group_cols: Sequence[str], a: str, b: str) -> DataFrame:
+    """``group, a, b, _w``: repeated (a, b) pairs collapsed to one weighted row
+    and materialised -- every correlation branch reads this, not the input."""
+    return cut_lineage(df.groupBy(*group_cols, a, b).agg(F.count(F.lit(1)).alias("_w")))
+
+
+def spearman(df: DataFrame, group_cols: Sequence[str], a: str, b: str, name: str = "spearmanr",
+             buckets: int | None = None, pairs: DataFrame | None = None) -> DataFrame:
+    """Spearman correlation: Pearson of average ranks (ties averaged). Ranks
+    come from distributed prefix sums over value counts; they are centred at
+    (n + 1) / 2, their exact mean, so the moments do not cancel at large n."""
+    g = list(group_cols)
+    pairs = pairs if pairs is not None else value_pairs(df, g, a, b)
+    sizes = pairs.groupBy(*g).agg(((F.sum("_w") + 1) / F.lit(2.0)).alias("_mid"))
+
+    def ranks(col, out):
+        counts = pairs.groupBy(*g, col).agg(F.sum("_w").alias("_lk_cnt"))
+        r = prefix_below(counts, g, col, ["_lk_cnt"], buckets=buckets)
+        r = r.select(*g, col, (F.col("_lk_cnt_below") + (F.col("_lk_cnt") + F.lit(1)) / F.lit(2.0)).alias(out))
+        return r.join(sizes, g).select(*g, col, (F.col(out) - F.col("_mid")).alias(out))
+
+    # a hot value joins once per distinct partner value, not once per row
+    j = pairs.join(ranks(a, "_ra"), [*g, a]).join(ranks(b, "_rb"), [*g, b])
+    return _weighted_corr(j, g, "_ra", "_rb", "_w", name)
 
 
 def pearson_and_spearman(df: DataFrame, group_cols: Sequence[str], pred: str = "pred",
                          label: str = "label", buckets: int | None = None) -> DataFrame:
+    """Pearson, Spearman and their mean from one materialised pair table."""
     g = list(group_cols)
     keep = list(g)
-    if not g:  # a constant group keeps the final join an equi-join
+    if not g:  # a constant group keeps every join an equi-join
         df, g = df.withColumn("_lk_all", F.lit(0)), ["_lk_all"]
-    pe = pearson(df, g, pred, label)
-    sp = spearman(df, g, pred, label, buckets=buckets)
+    pairs = value_pairs(df, g, pred, label)
+    means = pairs.groupBy(*g).agg((F.sum(F.col("_w") * F.col(pred)) / F.sum("_w")).alias("_ma"),
+                                  (F.sum(F.col("_w") * F.col(label)) / F.sum("_w")).alias("_mb"))
+    centred = pairs.join(means, g).select(*g, "_w", (F.col(pred) - F.col("_ma")).alias("_xa"),
+                                          (F.col(label) - F.col("_mb")).alias("_xb"))
+    pe = _weighted_corr(centred, g, "_xa", "_xb", "_w", "pearson")
+    sp = spearman(df, g, pred, label, buckets=buckets, pairs=pairs)
     return pe.join(sp, g).select(*keep, "pearson", "spearmanr",
                                  ((F.col("pearson") + F.col("spearmanr")) / 2).alias("corr"))
 

@@ -150,7 +150,8 @@ def rank_by_key(df: DataFrame, group_cols: Sequence[str], key_cols: Sequence[str
     k0 = key_cols[0]
     nb = buckets or default_buckets(df)
     # 52-bit hash keys are uniform on [0, 2^52): fixed-width buckets are balanced
-    b = df.withColumn("_lk_b", F.floor(F.col(k0).cast("double") / F.lit(float(2 ** 52)) * nb).cast("int"))
+    b = df.withColumn("_lk_b", F.coalesce(
+        F.floor(F.col(k0).cast("double") / F.lit(float(2 ** 52)) * nb).cast("int"), F.lit(0)))
     totals = b.groupBy(*g, "_lk_b").agg(F.count(F.lit(1)).alias("_lk_t"))
     offs = totals.select(*g, "_lk_b", F.coalesce(F.sum("_lk_t").over(_before(g, "_lk_b")), F.lit(0)).alias("_lk_o"))
     if limit is not None:

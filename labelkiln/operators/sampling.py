@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from labelkiln.functions.columns import hash52
 from labelkiln.operators.ordering import order_key, rank_by_key
+from labelkiln.session import cut_lineage
 
 
 def shuffle_limit(df: DataFrame, id_col: str, seed: int = 42, split_col: str | None = "split",
@@ -72,6 +73,8 @@ def weighted_resample(long_df: DataFrame, id_col: str = "doc_id", draw_col: str
     row is found by an equi-join on (label, class, index within class) -- no
     cumulative weights, no range join. ``draw_col`` numbers the draws 0..N-1
     (the row's own position in the shuffled order)."""
+    # the rows are read three times below (counts, class index, draws)
+    long_df = cut_lineage(long_df.select(label_col, y, id_col, draw_col))
     counts = long_df.groupBy(label_col).agg(F.count_if(F.col(y) == 0).alias("_n0"),
                                             F.count_if(F.col(y) == 1).alias("_n1"))
     keyed = long_df.select(label_col, y, id_col).withColumn("_lk_key", order_key(seed, id_col))
