@@ -68,10 +68,14 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the checkpoint folder (survives executor loss)."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, tag: str = "table"):
+    """Materialise ``df`` as a Parquet table in a fresh folder under the shared
+    checkpoint root and continue from that table: one job (an eager RDD
+    checkpoint computes its input twice), a columnar result that later reads
+    can prune, and nothing kept on executors, so losing one costs nothing."""
+    path = fresh_dir(df.sparkSession, f"cut-{tag}") + "/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spread(scan, target: int | None = None):
