@@ -144,7 +144,7 @@ def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> D
     v = _as_vocab(vocab)
     tokenize = _tokenizer_udf(distinct_words.sparkSession, v)
     whole = F.broadcast(v.df.select(F.col("piece").alias(word_col), F.col("piece_id")))
-    j = distinct_words.select(word_col).join(whole, word_col, "left")
+    j = cut_lineage(distinct_words.select(word_col).join(whole, word_col, "left"), "wordpiece")
     hit = j.filter(F.col("piece_id").isNotNull()).select(word_col, F.array(F.col("piece_id")).alias("ids"))
     miss = j.filter(F.col("piece_id").isNull()).select(word_col, tokenize(F.col(word_col)).alias("ids"))
     return hit.unionByName(miss)
@@ -155,10 +155,12 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
     """Per row: ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
     in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text.
     ``splitter`` (Column -> array<string> Column) is the pluggable word step."""
+    # split every text once; the (key, word array) table feeds all branches
+    base = cut_lineage(df.select(*key_cols, *[F.slice(splitter(F.col(tc)), 1, budget).alias(f"_ws{i}")
+                                              for i, tc in enumerate(text_cols)]), "words")
     parts = []
-    for i, tc in enumerate(text_cols):
-        ws = df.select(*key_cols, F.slice(splitter(F.col(tc)), 1, budget).alias("_ws"))
-        parts.append(ws.select(*key_cols, F.lit(i).alias("_seg"), F.posexplode("_ws").alias("_pos", "word")))
+    for i in range(len(text_cols)):
+        parts.append(base.select(*key_cols, F.lit(i).alias("_seg"), F.posexplode(f"_ws{i}").alias("_pos", "word")))
     exploded = parts[0]
     for p in parts[1:]:
         exploded = exploded.unionByName(p)
@@ -181,7 +183,7 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
     per_seg = joined.groupBy(*key_cols, "_seg").agg(
         F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "ids"))), lambda s: s["ids"]))
         .alias("_ids"))
-    out = df.select(*key_cols)
+    out = base.select(*key_cols)
     for i in range(len(text_cols)):
         seg = per_seg.filter(F.col("_seg") == i).select(*key_cols, F.col("_ids").alias(f"ids_{i}"))
         out = out.join(seg, key_cols, "left")

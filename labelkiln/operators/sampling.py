@@ -25,7 +25,8 @@ def shuffle_limit(df: DataFrame, id_col: str, seed: int = 42, split_col: str | N
     joined back afterwards. When every split is limited, the kept ids are at
     most sum(limits) rows -- a proven bound -- and are broadcast for that join."""
     groups = [split_col] if split_col else []
-    keys = df.select(id_col, *groups).withColumn("_lk_key", order_key(seed, id_col))
+    # narrow (id, split, key) table, read twice by the ranking: written once
+    keys = cut_lineage(df.select(id_col, *groups).withColumn("_lk_key", order_key(seed, id_col)), "keys")
     lim = None
     if limits:
         lim = F.lit(2 ** 62)

@@ -18,6 +18,7 @@ from labelkiln.operators import selection as S
 from labelkiln.operators.ordering import order_key, rank_by_key
 from labelkiln.plans import derived as D
 from labelkiln.plans import sql_common as Q
+from labelkiln.session import cut_lineage
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -102,7 +103,7 @@ def pred_label_alignment_check(spark, sf):
 def _train_batches(spark, sf):
     """Train rows in seeded shuffle order with their batch number."""
     c = D.comments(spark, sf).filter(F.col("split") == "train").select("doc_id", "split")
-    c = c.withColumn("_key", order_key(SHUFFLE_SEED, "doc_id"))
+    c = cut_lineage(c.withColumn("_key", order_key(SHUFFLE_SEED, "doc_id")), "keys")
     idx = rank_by_key(c, ["split"], ["_key", "doc_id"], "row_idx")
     return idx.select("doc_id", "row_idx", F.floor(F.col("row_idx") / BATCH_SIZE).cast("bigint").alias("batch_id"))
 
@@ -205,8 +206,10 @@ def _shuffled(spark, sf):
 
 
 def _train_long(spark, sf):
-    t = _shuffled(spark, sf).filter(F.col("split") == "train")
-    return t.unpivot(["doc_id", "row_idx"], list(D.LABEL_NAMES), "label_name", "y")
+    """Training rows in long form; limit-bounded and read by several
+    aggregations, so written once."""
+    t = _shuffled(spark, sf).filter(F.col("split") == "train").drop("comment_text")
+    return cut_lineage(t.unpivot(["doc_id", "row_idx"], list(D.LABEL_NAMES), "label_name", "y"), "train")
 
 
 @register("shuffle_limit", Q.q_shuffle_limit())
