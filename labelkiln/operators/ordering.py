@@ -33,7 +33,7 @@ def default_buckets(df: DataFrame) -> int:
     return max(64, 64 * n)
 
 
-def with_file_row_index(df: DataFrame, col: str = "row_idx") -> DataFrame:
+def with_file_row_index(df: DataFrame, col: str = "row_idx", max_broadcast_blocks: int = 2_000_000) -> DataFrame:
     """Add the 0-based row position in file order (files by path, then by byte
     offset). ``df`` must be a file scan with no filter, shuffle or repartition
     before this call (row-preserving projections are fine)."""
@@ -50,9 +50,13 @@ def with_file_row_index(df: DataFrame, col: str = "row_idx") -> DataFrame:
     w = _before([], "_lk_file", "_lk_block")
     offsets = blocks.select("_lk_file", "_lk_block", "_lk_first",
                             F.coalesce(F.sum("_lk_n").over(w), F.lit(0)).alias("_lk_off"))
-    # one row per file split -- the same size as the file listing the driver
-    # already plans the scan from -- so it is broadcast instead of shuffling rows
-    return (tagged.join(F.broadcast(offsets), ["_lk_file", "_lk_block"])
+    # one row per file block: at most (#files + #scan splits) rows, read from
+    # the scan's own file listing; within the bound it is broadcast instead of
+    # shuffling every row to it
+    bound = len(df.inputFiles()) + df.rdd.getNumPartitions()
+    if bound <= max_broadcast_blocks:
+        offsets = F.broadcast(offsets)
+    return (tagged.join(offsets, ["_lk_file", "_lk_block"])
             .select(*[F.col(c) for c in base_cols],
                     (F.col("_lk_off") + F.col("_lk_mid") - F.col("_lk_first")).cast("bigint").alias(col)))
 
