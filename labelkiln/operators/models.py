@@ -182,3 +182,17 @@ def argmax_scores(model, rows, vec_col: str = "pooled", keep_cols=()):
     t = model.transform(rows.withColumn("features", array_to_vector(F.col(vec_col))))
     z = vector_to_array(F.col("rawPrediction"))
     return t.select(*keep_cols, "y", argmax_index(z).alias("pred"), z.alias("z"))
+
+
+def fit_dense_head(train, vec_col: str = "pooled", hidden: int = HIDDEN, dim: int = EMBED_DIM,
+                   max_iter: int = 50, seed: int = 1234):
+    """Dense head over a vector column: hidden layer of sigmoid units, 2-way
+    softmax output (equivalent to one sigmoid output). The classifier has no
+    row weights, so ``train`` should already be class-balanced (e.g. the
+    weighted resample)."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    data = train.select(array_to_vector(F.col(vec_col)).alias("features"), F.col("y").cast("double").alias("label"))
+    mlp = MultilayerPerceptronClassifier(layers=[dim, hidden, 2], maxIter=max_iter, seed=seed, blockSize=128)
+    return mlp.fit(data)

@@ -10,7 +10,7 @@ from labelkiln.operators import sampling as SA
 from labelkiln.operators import selection as S
 from labelkiln.plans import derived as D
 from labelkiln.plans.catalog import THRESHOLD, register
-from labelkiln.session import fresh_dir
+from labelkiln.session import cut_lineage, fresh_dir
 
 EPOCHS = 5
 NUM_FEATURES = 4096
@@ -129,3 +129,29 @@ def fit_objective_history(spark, sf):
     (label, epoch) fit -- one short list per fit, bounded by maxIter."""
     _, losses = _epoch_fits(spark, sf)
     return spark.createDataFrame(losses, "label_name string, epoch int, iteration int, loss double")
+
+
+@register("fit_dense_head_mlp")
+def fit_dense_head_mlp(spark, sf):
+    """M1 with the dense head: per label, a [64, 64, 2] perceptron on pooled
+    token vectors, trained on the class-balanced resample of the (shuffled,
+    limited) train rows; scores every held-out row: doc_id, split, label_name, y, p."""
+    from pyspark.ml.functions import array_to_vector
+    from labelkiln.operators import features as FE
+    from labelkiln.plans.catalog import _train_long
+    from labelkiln.plans.text_queries import _docs, _vocab
+    v = _vocab(spark, sf)
+    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, 128)
+    pooled = cut_lineage(MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), "tokens"),
+                         "pooled")
+    draws = SA.weighted_resample(_train_long(spark, sf), "doc_id", "row_idx", 42)
+    held = D.labelled(spark, sf).filter(F.col("split") != "train").join(pooled, "doc_id")
+    out = None
+    for name in D.LABEL_NAMES:
+        train = draws.filter(F.col("label_name") == name).join(pooled, "doc_id")
+        m = MO.fit_dense_head(train)
+        rows = held.filter(F.col("label_name") == name).withColumn("features", array_to_vector(F.col("pooled")))
+        part = m.transform(rows).select("doc_id", "split", "label_name", "y",
+                                        MO.positive_probability().alias("p"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -71,3 +71,10 @@ def test_pluggable_splitter(spark):
     comma = lambda c: F.split(F.lower(c), "[,;]")
     r = FE.encode(df, ["k"], "t", None, vocab, 6, splitter=comma).collect()[0]
     assert r["input_ids"] == [2, 4, 4, 1, 3, 0]
+
+
+def test_dense_head_mlp_scores_every_held_out_row(spark):
+    out = E.queries()["fit_dense_head_mlp"](spark, SF)
+    rows = out.collect()
+    held = E.queries()["fit_label_classifiers"](spark, SF).count()
+    assert len(rows) == held and all(0.0 <= r["p"] <= 1.0 for r in rows)
