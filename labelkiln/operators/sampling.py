@@ -16,14 +16,14 @@ from labelkiln.session import cut_lineage
 
 
 def shuffle_limit(df: DataFrame, id_col: str, seed: int = 42, split_col: str | None = "split",
-                  limits: Mapping[str, int] | None = None, index_col: str = "row_idx",
-                  broadcast_rows: int = 1_000_000) -> DataFrame:
+                  limits: Mapping[str, int] | None = None, index_col: str = "row_idx") -> DataFrame:
     """Seeded full shuffle, re-indexed from 0 per split, keeping the first
     ``limits[split]`` rows (all rows of splits without a limit).
 
     Only (id, split, key) take part in the ranking; wide columns (text) are
-    joined back afterwards. When every split is limited, the kept ids are at
-    most sum(limits) rows -- a proven bound -- and are broadcast for that join."""
+    joined back afterwards. The kept-id table is small when every split is
+    limited; AQE then broadcasts it from its measured size (no hint here,
+    because a split without a limit keeps all of its rows)."""
     groups = [split_col] if split_col else []
     # narrow (id, split, key) table, read twice by the ranking: written once
     keys = cut_lineage(df.select(id_col, *groups).withColumn("_lk_key", order_key(seed, id_col)), "keys")
@@ -33,15 +33,7 @@ def shuffle_limit(df: DataFrame, id_col: str, seed: int = 42, split_col: str | N
         for s, n in limits.items():
             lim = F.when(F.col(split_col) == s, F.lit(int(n))).otherwise(lim)
     ranked = rank_by_key(keys, groups, ["_lk_key", id_col], index_col, limit=lim).drop("_lk_key")
-    bounded = limits is not None and split_col is not None and sum(limits.values()) <= broadcast_rows
-    idx = F.broadcast(ranked) if bounded and _all_limited(df, split_col, limits) else ranked
-    return df.join(idx, [id_col, *groups])
-
-
-def _all_limited(df: DataFrame, split_col: str, limits: Mapping[str, int]) -> bool:
-    # the bound holds only if no split outside ``limits`` exists; the split
-    # domain is the caller's contract (train/val/test), checked by name here
-    return {"train", "val", "test"} <= set(limits)
+    return df.join(ranked, [id_col, *groups])
 
 
 def batches(df: DataFrame, index_col: str = "row_idx", batch_size: int = 10, name: str = "batch_id") -> DataFrame:
