@@ -262,3 +262,19 @@ def metric_history_sink(spark, sf):
     path = fresh_dir(spark, "history") + "/history"
     rounded(_history(spark, sf)).write.partitionBy("label_name").parquet(path)
     return spark.read.parquet(path).select("split", "encoder", "label_name", "epoch", "metric", "value")
+
+
+@register("metrics_report", Q.q_metrics_report())
+def metrics_report(spark, sf):
+    """K3 as one table per (encoder, label): acc, F1 and ROC-AUC per epoch on
+    the validation split, and the last 50 training batch losses in step order."""
+    h = rounded(_history(spark, sf).filter(F.col("split") == "val"))
+    arrays = S.history_arrays(h, ["encoder", "label_name", "metric"])
+    wide = arrays.groupBy("encoder", "label_name").pivot("metric", ["acc", "f1", "roc_auc"]).agg(F.first("values"))
+    tail = rounded(S.tail(_bce_history(spark, sf), ["encoder", "label_name"], ["epoch", "batch_id"], 50))
+    losses = tail.groupBy("encoder", "label_name").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("epoch", "batch_id", "loss"))), lambda s: s["loss"])
+        .alias("last_losses"))
+    return wide.join(losses, ["encoder", "label_name"]).select(
+        "encoder", "label_name", F.col("acc").alias("acc_by_epoch"), F.col("f1").alias("f1_by_epoch"),
+        F.col("roc_auc").alias("roc_auc_by_epoch"), "last_losses")

@@ -341,3 +341,21 @@ SELECT doc_id, split, [threat::FLOAT, insult::FLOAT, toxic::FLOAT, IsAbuse::FLOA
 def q_metric_history_sink() -> str:
     return with_(COMMENTS, LABELLED, SCORED, CONFUSION, AUC, HISTORY) + """
 SELECT split, encoder, label_name, epoch, metric, round(value, 6) AS value FROM hist"""
+
+
+def q_metrics_report() -> str:
+    return with_(COMMENTS, LABELLED, SCORED, CONFUSION, AUC, HISTORY, SHUFFLED_TRAIN, BCE) + """
+, arrays AS (
+  SELECT encoder, label_name,
+         list(round(value, 6) ORDER BY epoch) FILTER (WHERE metric = 'acc') AS acc_by_epoch,
+         list(round(value, 6) ORDER BY epoch) FILTER (WHERE metric = 'f1') AS f1_by_epoch,
+         list(round(value, 6) ORDER BY epoch) FILTER (WHERE metric = 'roc_auc') AS roc_auc_by_epoch
+  FROM hist WHERE split = 'val' GROUP BY encoder, label_name),
+tail AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY encoder, label_name
+                                              ORDER BY epoch DESC, batch_id DESC) AS rn FROM bce) t
+  WHERE rn <= 50),
+losses AS (SELECT encoder, label_name, list(round(loss, 6) ORDER BY epoch, batch_id) AS last_losses
+           FROM tail GROUP BY encoder, label_name)
+SELECT a.encoder, a.label_name, a.acc_by_epoch, a.f1_by_epoch, a.roc_auc_by_epoch, l.last_losses
+FROM arrays a JOIN losses l USING (encoder, label_name)"""
