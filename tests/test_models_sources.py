@@ -78,3 +78,24 @@ def test_dense_head_mlp_scores_every_held_out_row(spark):
     rows = out.collect()
     held = E.queries()["fit_label_classifiers"](spark, SF).count()
     assert len(rows) == held and all(0.0 <= r["p"] <= 1.0 for r in rows)
+
+
+def test_dense_head_expression_and_arrow_udf_agree(spark):
+    from labelkiln.operators import models as MO
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    rows = e.select("vec_id", MO.dense_head(F.col("embedding")).alias("a"),
+                    MO.dense_head_udf()(F.col("embedding")).alias("b")).collect()
+    assert rows and all(abs(r["a"] - r["b"]) < 1e-12 for r in rows)
+
+
+def test_mean_pool_matches_direct_sum(spark):
+    import numpy as np
+    from labelkiln.operators import models as MO
+    vec = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (5, [3.0, 3.0])], "vec_id long, embedding array<float>")
+    feats = spark.createDataFrame([(1, [5, 1, 7, 0, 0]), (2, [0, 0, 0, 0, 0])], "k int, input_ids array<int>")
+    got = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "pad", dim=2).collect()}
+    # row 1: vectors of 5, 1, (7 has none), 0, 0 -> (3+0+1+1, 3+2) / 2 pads
+    assert np.allclose(got[1], [5.0 / 2, 5.0 / 2])
+    assert np.allclose(got[2], [5.0 / 5, 0.0])
+    tok = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "tokens", dim=2).collect()}
+    assert np.allclose(tok[1], [5.0 / 3, 5.0 / 3]) and np.allclose(tok[2], [5.0, 0.0])
