@@ -278,3 +278,13 @@ def metrics_report(spark, sf):
     return wide.join(losses, ["encoder", "label_name"]).select(
         "encoder", "label_name", F.col("acc").alias("acc_by_epoch"), F.col("f1").alias("f1_by_epoch"),
         F.col("roc_auc").alias("roc_auc_by_epoch"), "last_losses")
+
+
+SWEEP_LIMITS = {"train": 4500, "val": 500, "test": 500}
+
+
+@register("shuffle_limit_sweep", Q.q_shuffle_limit_with(4500, 500, 500))
+def shuffle_limit_sweep(spark, sf):
+    """L1/L2 with the threshold-sweep run's smaller limits."""
+    s = SA.shuffle_limit(D.comments(spark, sf), "doc_id", SHUFFLE_SEED, "split", SWEEP_LIMITS)
+    return s.select("split", "doc_id", "row_idx")

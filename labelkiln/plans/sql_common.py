@@ -359,3 +359,9 @@ losses AS (SELECT encoder, label_name, list(round(loss, 6) ORDER BY epoch, batch
            FROM tail GROUP BY encoder, label_name)
 SELECT a.encoder, a.label_name, a.acc_by_epoch, a.f1_by_epoch, a.roc_auc_by_epoch, l.last_losses
 FROM arrays a JOIN losses l USING (encoder, label_name)"""
+
+
+def q_shuffle_limit_with(train: int, val: int, test: int) -> str:
+    shuffled = SHUFFLED.replace("THEN 30000", f"THEN {train}").replace("WHEN 'val' THEN 3500", f"WHEN 'val' THEN {val}") \
+        .replace("WHEN 'test' THEN 3500", f"WHEN 'test' THEN {test}")
+    return with_(COMMENTS, shuffled) + "SELECT split, doc_id, row_idx FROM shuffled"
