@@ -288,3 +288,15 @@ def shuffle_limit_sweep(spark, sf):
     """L1/L2 with the threshold-sweep run's smaller limits."""
     s = SA.shuffle_limit(D.comments(spark, sf), "doc_id", SHUFFLE_SEED, "split", SWEEP_LIMITS)
     return s.select("split", "doc_id", "row_idx")
+
+
+# the committed sweep script's configuration (another label and a wider grid)
+WIDE_LABEL, WIDE_START, WIDE_STOP, WIDE_NUM = "toxic", 0.45, 0.70, 26
+
+
+@register("best_threshold_toxic_wide", Q.q_best_threshold(WIDE_LABEL, WIDE_START, WIDE_STOP, WIDE_NUM))
+def best_threshold_toxic_wide(spark, sf):
+    s = D.scored(spark, sf).filter(F.col("label_name") == WIDE_LABEL)
+    sweep = S.threshold_sweep(s, ["split", "encoder", "epoch"], linspace(WIDE_START, WIDE_STOP, WIDE_NUM))
+    mean = S.mean_over(sweep, ["split", "encoder", "threshold"], "f1", "mean_f1")
+    return rounded(S.best_threshold(mean, ["split", "encoder"]))
