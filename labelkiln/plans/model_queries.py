@@ -155,3 +155,30 @@ def fit_dense_head_mlp(spark, sf):
                                         MO.positive_probability().alias("p"))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("pooled_epoch_metrics")
+def pooled_epoch_metrics(spark, sf):
+    """The pooled-sequence head run: per label, 2-class fits with maxIter =
+    1..EPOCHS on pooled token vectors, arg-max predictions on the held-out
+    rows, acc and F1 per (split, label, epoch), and the first epoch with the
+    best F1 per (split, label) (``best_epoch`` repeated on every row)."""
+    from labelkiln.operators import features as FE
+    from labelkiln.plans.text_queries import _docs, _vocab
+    v = _vocab(spark, sf)
+    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, 128)
+    pooled = cut_lineage(MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), "pad"),
+                         "pooled")
+    lab = D.labelled(spark, sf).join(pooled, "doc_id")
+    scored = None
+    for e in range(1, EPOCHS + 1):
+        for name in D.LABEL_NAMES:
+            rows = lab.filter(F.col("label_name") == name)
+            m = MO.fit_pooled_classifier(rows.filter(F.col("split") == "train"), max_iter=e)
+            part = MO.argmax_scores(m, rows.filter(F.col("split") != "train"),
+                                    keep_cols=["doc_id", "split", "label_name"]).withColumn("epoch", F.lit(e))
+            scored = part if scored is None else scored.unionByName(part)
+    g = ["split", "label_name", "epoch"]
+    hist = M.accuracy_f1(M.confusion(scored, g), g)
+    best = S.first_argmax(hist.withColumnRenamed("f1", "value"), ["split", "label_name"])
+    return hist.join(best.select("split", "label_name", "best_epoch"), ["split", "label_name"])

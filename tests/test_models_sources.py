@@ -99,3 +99,16 @@ def test_mean_pool_matches_direct_sum(spark):
     assert np.allclose(got[2], [5.0 / 5, 0.0])
     tok = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "tokens", dim=2).collect()}
     assert np.allclose(tok[1], [5.0 / 3, 5.0 / 3]) and np.allclose(tok[2], [5.0, 0.0])
+
+
+def test_pooled_epoch_metrics_pick_first_best_f1(spark):
+    rows = E.queries()["pooled_epoch_metrics"](spark, SF).collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r["split"], r["label_name"]), []).append(r)
+    assert len(by) == 8 and all(len(v) == 5 for v in by.values())
+    for v in by.values():
+        f1 = {r["epoch"]: r["f1"] for r in v}
+        best = max(f1.values())
+        assert v[0]["best_epoch"] == min(e for e, x in f1.items() if x == best)
+        assert all(0.0 <= r["acc"] <= 1.0 for r in v)
