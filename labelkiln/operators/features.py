@@ -180,13 +180,15 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
         *key_cols, "_seg", "_pos",
         F.coalesce(F.when(F.col("piece_id").isNotNull(), F.array(F.col("piece_id"))), F.col("_rare_ids"))
         .alias("ids"))
-    per_seg = joined.groupBy(*key_cols, "_seg").agg(
-        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "ids"))), lambda s: s["ids"]))
-        .alias("_ids"))
-    out = base.select(*key_cols)
+    # all segments of a row in one aggregation (at most `budget` words each):
+    # collect_list skips the other segment's nulls
+    def seg_ids(i):
+        pieces = F.collect_list(F.when(F.col("_seg") == i, F.struct("_pos", "ids")))
+        return F.flatten(F.transform(F.sort_array(pieces), lambda s: s["ids"])).alias(f"ids_{i}")
+
+    per_key = joined.groupBy(*key_cols).agg(*[seg_ids(i) for i in range(len(text_cols))])
+    out = base.select(*key_cols).join(per_key, key_cols, "left")
     for i in range(len(text_cols)):
-        seg = per_seg.filter(F.col("_seg") == i).select(*key_cols, F.col("_ids").alias(f"ids_{i}"))
-        out = out.join(seg, key_cols, "left")
         ids = F.coalesce(F.col(f"ids_{i}"), F.array().cast("array<int>"))
         out = out.withColumn(f"ids_{i}", F.slice(ids, 1, budget)).withColumn(
             f"n_{i}", F.least(F.size(ids), F.lit(budget)))
