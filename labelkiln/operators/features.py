@@ -126,7 +126,15 @@ def _as_vocab(vocab) -> "Vocab":
     return vocab if isinstance(vocab, Vocab) else Vocab.of(vocab)
 
 
-def _tokenizer_udf(spark, v: "Vocab"):
+def _tokenizer_udf(spark, v: "Vocab", piece_fn=None):
+    """Arrow UDF word -> piece ids: greedy WordPiece over the vocabulary, or a
+    caller's ``piece_fn(word) -> list[int]`` (shipped with the function)."""
+    if piece_fn is not None:
+        @F.pandas_udf("array<int>")
+        def custom(ws: pd.Series) -> pd.Series:
+            return pd.Series([[int(i) for i in piece_fn(w)] for w in ws])
+        return custom
+
     bc = spark.sparkContext.broadcast(v.map)
     unk, span = SPECIAL_IDS[UNK], v.max_piece
 
@@ -151,7 +159,7 @@ def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> D
 
 
 def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab, budget: int,
-                   splitter=words) -> DataFrame:
+                   splitter=words, piece_fn=None) -> DataFrame:
     """Per row: ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
     in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text.
     ``splitter`` (Column -> array<string> Column) is the pluggable word step."""
@@ -168,10 +176,13 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
     # broadcast vocabulary; only the other words are tokenized (once per
     # distinct word) and joined by word. Vocabulary rows join on a unique salt
     # that matches nothing, so no hot word concentrates in one partition.
-    whole = F.broadcast(vocab.df.select(F.col("piece").alias("word"), F.col("piece_id")))
-    tagged = exploded.join(whole, "word", "left")
+    if piece_fn is None:
+        whole = F.broadcast(vocab.df.select(F.col("piece").alias("word"), F.col("piece_id")))
+        tagged = exploded.join(whole, "word", "left")
+    else:  # a custom tokenizer decides every word itself
+        tagged = exploded.withColumn("piece_id", F.lit(None).cast("int"))
     rare = tagged.filter(F.col("piece_id").isNull()).select("word").distinct()
-    tokenize = _tokenizer_udf(df.sparkSession, vocab)
+    tokenize = _tokenizer_udf(df.sparkSession, vocab, piece_fn)
     table = rebalance(rare).select(F.col("word").alias("_jk"), tokenize(F.col("word")).alias("_rare_ids"))
     salt = F.concat(F.lit("\u0000"), F.concat_ws(":", *[F.col(k).cast("string") for k in key_cols],
                                                   F.col("_seg").cast("string"), F.col("_pos").cast("string")))
@@ -231,13 +242,15 @@ def truncate_pair(na: Column, nb: Column, budget: int) -> tuple[Column, Column]:
 
 def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab,
            max_length: int = 128, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
-           mask_padding_with_zero: bool = True, splitter=words) -> DataFrame:
+           mask_padding_with_zero: bool = True, splitter=words, piece_fn=None) -> DataFrame:
     """``key_cols, input_ids, attention_mask, token_type_ids`` (array<int> of
     ``max_length``) for single texts or text pairs. ``splitter`` replaces the
-    word step (any Column -> array<string> expression)."""
+    word step (any Column -> array<string> expression); ``piece_fn`` replaces
+    the subword step (a Python ``word -> list[int]``, run once per distinct
+    word). Either way each word must yield at least one id."""
     texts = [text_a] + ([text_b] if text_b else [])
     budget = max_length - (3 if text_b else 2)
-    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget, splitter)
+    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget, splitter, piece_fn)
     if text_b:
         ka, kb = truncate_pair(F.col("n_0"), F.col("n_1"), budget)
         a, b = F.slice("ids_0", 1, ka), F.slice("ids_1", 1, kb)

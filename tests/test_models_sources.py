@@ -112,3 +112,10 @@ def test_pooled_epoch_metrics_pick_first_best_f1(spark):
         best = max(f1.values())
         assert v[0]["best_epoch"] == min(e for e, x in f1.items() if x == best)
         assert all(0.0 <= r["acc"] <= 1.0 for r in v)
+
+
+def test_pluggable_piece_function(spark):
+    vocab = spark.createDataFrame([("[PAD]", 0), ("[UNK]", 1), ("[CLS]", 2), ("[SEP]", 3)], "piece string, piece_id int")
+    df = spark.createDataFrame([(1, "ab abc")], "k int, t string")
+    r = FE.encode(df, ["k"], "t", None, vocab, 8, piece_fn=lambda w: [10 + len(w)] * (len(w) - 1)).collect()[0]
+    assert r["input_ids"] == [2, 12, 13, 13, 3, 0, 0, 0]
