@@ -107,6 +107,8 @@ def read_task(spark: SparkSession, spec: TaskSpec, data_dir: str, split: str = "
     fname = spec.train_file if split == "train" else spec.dev_file
     set_type = "train" if split == "train" else spec.dev_set
     path = f"{data_dir.rstrip('/')}/{fname}"
+    if spec.reader is not None:  # a registered task's own reader
+        return spec.reader(spark, path, set_type).select(*EXAMPLE_COLS)
     if spec.fmt == "tsv":
         return tsv_examples(read_tsv(spark, path), spec, set_type)
     if spec.fmt == "jsonl":

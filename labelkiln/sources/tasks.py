@@ -31,6 +31,7 @@ class TaskSpec:
     mode: str = CLASSIFICATION
     min_cols: int | None = None       # rows with fewer columns are skipped
     record_fields: tuple[str, ...] = field(default=())  # text fields of named records
+    reader: object = None             # optional (spark, path, set_type) -> examples DataFrame
 
     @property
     def num_labels(self) -> int:

@@ -74,3 +74,26 @@ def test_abuse_csv_matches_pandas_semantics(spark, tmp_path):
     got = sorted((r["guid"], r["text_a"], r["label"])
                  for r in R.csv_examples(spark, path, TASKS["abuse"], "train").collect())
     assert got == expected
+
+
+def test_registered_task_with_its_own_reader(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from labelkiln.sources import tasks as T
+
+    def pipe_reader(spark, path, set_type):
+        rows = R.read_lines(spark, path).select("row_idx", F.split("value", r"\|").alias("c"))
+        return rows.select(F.lit(set_type).alias("set_type"), "row_idx",
+                           F.concat(F.lit(set_type + "-"), F.col("row_idx").cast("string")).alias("guid"),
+                           F.get("c", 0).alias("text_a"), F.lit(None).cast("string").alias("text_b"),
+                           F.get("c", 1).alias("label"))
+
+    spec = T.TaskSpec("pipes", "custom", "train.txt", "dev.txt", "dev", 0, "row", None, 0, None, 1, ("n", "y"),
+                      reader=pipe_reader)
+    T.register_task(spec)
+    try:
+        _write(os.path.join(str(tmp_path), "train.txt"), ["good|y", "bad|n"])
+        got = [(r["guid"], r["text_a"], r["label"]) for r in
+               R.read_task(spark, T.get_task("pipes"), str(tmp_path), "train").orderBy("row_idx").collect()]
+        assert got == [("train-0", "good", "y"), ("train-1", "bad", "n")]
+    finally:
+        del T.TASKS["pipes"]
