@@ -303,3 +303,20 @@ def label_ids(examples: DataFrame, labels: tuple[str, ...] | None, mode: str,
 def pad_count(ids: Column, pad_token: int = 0) -> Column:
     """Number of padding ids in a row, at least 1."""
     return F.greatest(F.lit(1), F.size(F.filter(ids, lambda x: x == pad_token)))
+
+
+def convert_examples_to_features(examples: DataFrame, labels: tuple[str, ...] | None, mode: str, vocab,
+                                 max_length: int = 128, on_unseen: str = "fail", pair: bool | None = None,
+                                 **encode_kw) -> DataFrame:
+    """Examples ``set_type, row_idx, guid, text_a, text_b, label`` -> features
+    ``set_type, row_idx, guid, input_ids, attention_mask, token_type_ids,
+    label_id, label_value``: pair encoding when ``text_b`` is present in any
+    row (a null ``text_b`` encodes as an empty second segment), single-text
+    otherwise; every row is checked to have ``max_length`` entries."""
+    has_b = pair if pair is not None else examples.filter(F.col("text_b").isNotNull()).limit(1).count() > 0
+    keys = ["set_type", "guid"]
+    feats = encode(examples, keys, "text_a", "text_b" if has_b else None, vocab, max_length, **encode_kw)
+    labelled = label_ids(examples, labels, mode, on_unseen).select(*keys, "row_idx", "label_id", "label_value")
+    out = assert_lengths(feats, max_length).join(labelled, keys)
+    return out.select("set_type", "row_idx", "guid", "input_ids", "attention_mask", "token_type_ids",
+                      "label_id", "label_value")

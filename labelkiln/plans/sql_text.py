@@ -302,3 +302,34 @@ def q_stream_scores() -> str:
 SELECT vec_id, label, round(p, 6) AS p, CASE WHEN p >= 0.48::DOUBLE THEN 1 ELSE 0 END AS pred
 FROM (SELECT vec_id, label, 1.0 / (1.0 + exp(-{dot('h', 0)})) AS p
       FROM (SELECT vec_id, label, [{hidden}] AS h FROM embeddings) t) s"""
+
+
+def q_task_features(task: str, L: int = 128) -> str:
+    """All examples of a task's files converted to features (single or pair
+    encoding by the task, label id from the label list or the regression value)."""
+    spec = TASKS[task]
+    ex = q_read_task(task)
+    if spec.labels:
+        lab = f"(list_position({_lst(spec.labels)}, label) - 1)::BIGINT AS label_id, NULL::DOUBLE AS label_value"
+    else:
+        lab = "NULL::BIGINT AS label_id, label::DOUBLE AS label_value"
+    if spec.text_b is None:
+        B = L - 2
+        return with_(VOCAB, f"ex AS (SELECT * FROM ({ex}) e)", _segments("ex", "guid", ["text_a"], B)) + f"""
+SELECT e.set_type, e.row_idx, e.guid,
+       {_pack(f"list_slice(coalesce(a.ids, []::INTEGER[]), 1, {B})", None, L)}, {lab}
+FROM ex e LEFT JOIN seg_0 a USING (guid)"""
+    B = L - 3
+    half = (B + 1) // 2
+    return with_(VOCAB, f"ex AS (SELECT * FROM ({ex}) e)", _segments("ex", "guid", ["text_a", "text_b"], B)) + f"""
+, lens AS (
+  SELECT e.set_type, e.guid, e.row_idx, e.label, coalesce(a.ids, []::INTEGER[]) AS ia,
+         coalesce(b.ids, []::INTEGER[]) AS ib,
+         least(len(coalesce(a.ids, [])), {B}) AS na, least(len(coalesce(b.ids, [])), {B}) AS nb
+  FROM ex e LEFT JOIN seg_0 a USING (guid) LEFT JOIN seg_1 b USING (guid)),
+cut AS (
+  SELECT *, CASE WHEN na + nb <= {B} THEN na ELSE least(na, greatest({B} - nb, {half})) END AS ka,
+            CASE WHEN na + nb <= {B} THEN nb ELSE {B} - least(na, greatest({B} - nb, {half})) END AS kb
+  FROM lens)
+SELECT set_type, row_idx, guid, {_pack('list_slice(ia, 1, ka)', 'list_slice(ib, 1, kb)', L)}, {lab}
+FROM cut"""

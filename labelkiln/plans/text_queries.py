@@ -203,3 +203,18 @@ def stream_dense_head_scores(spark, sf):
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     return rounded(out.select("vec_id", "label", "p", "pred"))
+
+
+# ------------------------------------------------- examples -> features --
+def _task_features(task: str):
+    def run(spark, sf):
+        spec = TASKS[task]
+        ex = R.read_task_all(spark, spec, FX.write_task_dir(spark, sf, task))
+        return FE.convert_examples_to_features(ex, spec.labels, spec.mode, _vocab(spark, sf), MAX_LEN,
+                                               pair=spec.text_b is not None)
+    run.__name__ = f"features_{task.replace('-', '_')}"
+    return run
+
+
+for _t in ("mrpc", "sts-b", "cola"):
+    register(f"features_{_t.replace('-', '_')}", X.q_task_features(_t, MAX_LEN))(_task_features(_t))
