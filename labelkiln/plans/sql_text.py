@@ -291,7 +291,7 @@ dims AS (SELECT c.doc_id, c.dv, u.i, sum(c.c * u.x::DOUBLE) AS s
          FROM cnt c JOIN (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM embeddings) u
            ON u.vec_id = c.tok
          GROUP BY c.doc_id, c.dv, u.i)
-SELECT f.doc_id, coalesce(list(round(d.s / d.dv, 6) ORDER BY d.i) FILTER (WHERE d.i IS NOT NULL),
+SELECT f.doc_id, coalesce(list(round(d.s / d.dv, 6) + 0.0 ORDER BY d.i) FILTER (WHERE d.i IS NOT NULL),
                           list_transform(range(64), lambda x: 0.0)) AS pooled
 FROM f LEFT JOIN dims d USING (doc_id) GROUP BY f.doc_id"""
 

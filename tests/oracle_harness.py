@@ -21,7 +21,10 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        r = round(v, 6)
+        if r == 0.0 and math.copysign(1.0, r) < 0:
+            return "-0.0"  # a value hash would tell -0.0 from 0.0
+        return r
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "asDict"):
