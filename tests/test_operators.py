@@ -236,3 +236,14 @@ def test_single_bucket_keeps_every_group(spark):
     df = _scored(spark, [("a", 0, 0.0), ("b", 1, 0.2), ("b", 0, 0.1)])
     got = {r["g"]: r["roc_auc"] for r in M.roc_auc(df, ["g"], buckets=1).collect()}
     assert got == {"a": None, "b": 1.0}
+
+
+def test_average_rank_matches_pandas(spark):
+    rnd = random.Random(2)
+    rows = [(g, float(rnd.randint(0, 15))) for g in ("a", "b") for _ in range(200)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["v"]): r["rank"] for r in O.average_rank(df, ["g"], "v", buckets=6).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    pdf["r"] = pdf.groupby("g")["v"].rank(method="average")
+    for (g, v), r in pdf.groupby(["g", "v"])["r"].first().items():
+        assert got[(g, v)] == r
