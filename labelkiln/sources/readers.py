@@ -82,10 +82,13 @@ ABUSE_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField(
                              T.StructField("toxic", T.IntegerType()), T.StructField("IsAbuse", T.IntegerType())])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """RFC-4180 CSV (doubled quotes inside quoted fields, embedded newlines).
-    A multi-line CSV file cannot be split, so each file is one task."""
-    return (spark.read.schema(schema).option("header", header).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
+             multi_line: bool = True) -> DataFrame:
+    """RFC-4180 CSV (doubled quotes inside quoted fields). With ``multi_line``
+    quoted fields may hold newlines, but such a file cannot be split, so each
+    file is one task; files known to have none can pass ``multi_line=False``
+    and are split like any text file."""
+    return (spark.read.schema(schema).option("header", header).option("multiLine", multi_line)
             .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").csv(path))
 
 
@@ -94,10 +97,11 @@ def is_missing_text(c: Column) -> Column:
 
 
 def csv_examples(spark: SparkSession, path: str, spec: TaskSpec, set_type: str,
-                 schema: T.StructType = ABUSE_SCHEMA) -> DataFrame:
+                 schema: T.StructType = ABUSE_SCHEMA, multi_line: bool = True) -> DataFrame:
     """Row position counts every data row, also the ones then dropped for a
     missing text (index first, filter second)."""
-    rows = with_file_row_index(read_csv(spark, path, schema)).select("row_idx", spec.text_a, spec.label)
+    rows = with_file_row_index(read_csv(spark, path, schema, multi_line=multi_line)) \
+        .select("row_idx", spec.text_a, spec.label)
     kept = rows.filter(~is_missing_text(F.col(spec.text_a)))
     return _examples(kept, set_type, F.col("row_idx"), F.col(spec.text_a), F.lit(None), F.col(spec.label))
 

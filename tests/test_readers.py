@@ -97,3 +97,22 @@ def test_registered_task_with_its_own_reader(spark, tmp_path):
         assert got == [("train-0", "good", "y"), ("train-1", "bad", "n")]
     finally:
         del T.TASKS["pipes"]
+
+
+def test_single_line_csv_splits_and_keeps_row_positions(spark, tmp_path):
+    import pandas as pd
+    n = 3000
+    df = pd.DataFrame({"id": [str(i) for i in range(n)],
+                       "comment_text": ["NA" if i % 97 == 0 else f"text, number {i} " + "y" * (i % 40) for i in range(n)],
+                       "threat": 0, "insult": 0, "toxic": 0, "IsAbuse": [i % 2 for i in range(n)]})
+    path = str(tmp_path / "big.csv")
+    df.to_csv(path, index=False)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        ex = R.csv_examples(spark, path, TASKS["abuse"], "train", multi_line=False)
+        assert R.read_csv(spark, path, R.ABUSE_SCHEMA, multi_line=False).rdd.getNumPartitions() > 1
+        got = sorted((r["row_idx"], r["text_a"]) for r in ex.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(i, t) for i, t in enumerate(df["comment_text"]) if t != "NA"]
