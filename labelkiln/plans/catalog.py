@@ -250,8 +250,6 @@ def label_vectors(spark, sf):
     return SA.label_vectors(D.comments(spark, sf), D.LABEL_NAMES).select("doc_id", "split", "labels")
 
 
-from labelkiln.plans import text_queries  # noqa: E402,F401  (registers reader/feature/head queries)
-from labelkiln.plans import model_queries  # noqa: E402,F401  (registers model-fitting queries)
 
 
 # ------------------------------------------------------------- report sink --
@@ -300,3 +298,8 @@ def best_threshold_toxic_wide(spark, sf):
     sweep = S.threshold_sweep(s, ["split", "encoder", "epoch"], linspace(WIDE_START, WIDE_STOP, WIDE_NUM))
     mean = S.mean_over(sweep, ["split", "encoder", "threshold"], "f1", "mean_f1")
     return rounded(S.best_threshold(mean, ["split", "encoder"]))
+
+
+# the reader / feature / head and model-fitting queries register themselves
+from labelkiln.plans import text_queries  # noqa: E402,F401  (registers reader/feature/head queries)
+from labelkiln.plans import model_queries  # noqa: E402,F401  (registers model-fitting queries)
