@@ -333,3 +333,7 @@ cut AS (
   FROM lens)
 SELECT set_type, row_idx, guid, {_pack('list_slice(ia, 1, ka)', 'list_slice(ib, 1, kb)', L)}, {lab}
 FROM cut"""
+
+
+def q_example_counts() -> str:
+    return f"SELECT task, set_type, count(*) AS n_examples FROM ({_all_examples()}) e GROUP BY task, set_type"

@@ -218,3 +218,14 @@ def _task_features(task: str):
 
 for _t in ("mrpc", "sts-b", "cola"):
     register(f"features_{_t.replace('-', '_')}", X.q_task_features(_t, MAX_LEN))(_task_features(_t))
+
+
+@register("example_counts", X.q_example_counts())
+def example_counts(spark, sf):
+    """A19: number of examples per task and set, read through the task files."""
+    out = None
+    for task, spec in TASKS.items():
+        ex = R.read_task_all(spark, spec, FX.write_task_dir(spark, sf, task)).withColumn("task", F.lit(task))
+        part = ex.groupBy("task", "set_type").agg(F.count(F.lit(1)).alias("n_examples"))
+        out = part if out is None else out.unionByName(part)
+    return out
