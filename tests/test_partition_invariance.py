@@ -8,7 +8,7 @@ from oracle_harness import spark_rows
 
 SF = "/root/testdata/sf0.01"
 NAMES = ["shuffle_limit", "weighted_resample", "roc_auc_by_label", "pearson_spearman", "bce_loss_by_batch",
-         "threshold_sweep_f1", "read_qqp"]
+         "threshold_sweep_f1", "read_qqp", "encode_pair"]
 
 
 @pytest.mark.parametrize("name", NAMES)
