@@ -159,13 +159,15 @@ def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> D
 
 
 def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab, budget: int,
-                   splitter=words, piece_fn=None) -> DataFrame:
+                   splitter=words, piece_fn=None, carry_cols: list[str] = ()) -> DataFrame:
     """Per row: ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
     in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text.
-    ``splitter`` (Column -> array<string> Column) is the pluggable word step."""
+    ``splitter`` (Column -> array<string> Column) is the pluggable word step;
+    ``carry_cols`` ride along unchanged (so the input is read only once)."""
     # split every text once; the (key, word array) table feeds all branches
-    base = cut_lineage(df.select(*key_cols, *[F.slice(splitter(F.col(tc)), 1, budget).alias(f"_ws{i}")
-                                              for i, tc in enumerate(text_cols)]), "words")
+    carry = list(carry_cols)
+    base = cut_lineage(df.select(*key_cols, *carry, *[F.slice(splitter(F.col(tc)), 1, budget).alias(f"_ws{i}")
+                                                      for i, tc in enumerate(text_cols)]), "words")
     parts = []
     for i in range(len(text_cols)):
         parts.append(base.select(*key_cols, F.lit(i).alias("_seg"), F.posexplode(f"_ws{i}").alias("_pos", "word")))
@@ -198,7 +200,7 @@ def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], voc
         return F.flatten(F.transform(F.sort_array(pieces), lambda s: s["ids"])).alias(f"ids_{i}")
 
     per_key = joined.groupBy(*key_cols).agg(*[seg_ids(i) for i in range(len(text_cols))])
-    out = base.select(*key_cols).join(per_key, key_cols, "left")
+    out = base.select(*key_cols, *carry).join(per_key, key_cols, "left")
     for i in range(len(text_cols)):
         ids = F.coalesce(F.col(f"ids_{i}"), F.array().cast("array<int>"))
         out = out.withColumn(f"ids_{i}", F.slice(ids, 1, budget)).withColumn(
@@ -242,7 +244,8 @@ def truncate_pair(na: Column, nb: Column, budget: int) -> tuple[Column, Column]:
 
 def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab,
            max_length: int = 128, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
-           mask_padding_with_zero: bool = True, splitter=words, piece_fn=None) -> DataFrame:
+           mask_padding_with_zero: bool = True, splitter=words, piece_fn=None,
+           carry_cols: list[str] = ()) -> DataFrame:
     """``key_cols, input_ids, attention_mask, token_type_ids`` (array<int> of
     ``max_length``) for single texts or text pairs. ``splitter`` replaces the
     word step (any Column -> array<string> expression); ``piece_fn`` replaces
@@ -250,7 +253,7 @@ def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None,
     word). Either way each word must yield at least one id."""
     texts = [text_a] + ([text_b] if text_b else [])
     budget = max_length - (3 if text_b else 2)
-    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget, splitter, piece_fn)
+    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget, splitter, piece_fn, carry_cols)
     if text_b:
         ka, kb = truncate_pair(F.col("n_0"), F.col("n_1"), budget)
         a, b = F.slice("ids_0", 1, ka), F.slice("ids_1", 1, kb)
@@ -259,7 +262,7 @@ def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None,
     else:
         a, b = F.col("ids_0"), None
     cols = pack(a, b, max_length, pad_on_left, pad_token, pad_token_segment_id, mask_padding_with_zero)
-    return seg.select(*key_cols, cols[0].alias("input_ids"), cols[1].alias("attention_mask"),
+    return seg.select(*key_cols, *carry_cols, cols[0].alias("input_ids"), cols[1].alias("attention_mask"),
                       cols[2].alias("token_type_ids"))
 
 
@@ -315,8 +318,9 @@ def convert_examples_to_features(examples: DataFrame, labels: tuple[str, ...] |
     otherwise; every row is checked to have ``max_length`` entries."""
     has_b = pair if pair is not None else examples.filter(F.col("text_b").isNotNull()).limit(1).count() > 0
     keys = ["set_type", "guid"]
-    feats = encode(examples, keys, "text_a", "text_b" if has_b else None, vocab, max_length, **encode_kw)
-    labelled = label_ids(examples, labels, mode, on_unseen).select(*keys, "row_idx", "label_id", "label_value")
-    out = assert_lengths(feats, max_length).join(labelled, keys)
+    # row index and label ride through the encoder: the examples are read once
+    feats = encode(examples, keys, "text_a", "text_b" if has_b else None, vocab, max_length,
+                   carry_cols=["row_idx", "label"], **encode_kw)
+    out = label_ids(assert_lengths(feats, max_length), labels, mode, on_unseen)
     return out.select("set_type", "row_idx", "guid", "input_ids", "attention_mask", "token_type_ids",
                       "label_id", "label_value")
