@@ -13,7 +13,7 @@ space, lower case, pieces by the file's pattern, bytes as printable characters,
 a word-end mark on each piece's last byte.
 
 Null text is the empty text: no ids, decoded as ''. Texts of any length are
-encoded whole; equal pieces are encoded once per worker. The special tokens'
+encoded whole; equal words are encoded once per worker. The special tokens'
 strings inside a text are single ids, as in the library.
 """
 
@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 #: One character that stands for the word-end mark; private use, so no byte maps to it.
 END = ""
-#: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
-MEMO_PIECES = 1_000_000
+#: Words remembered per worker; beyond it the memory is emptied (results do not change).
+MEMO_WORDS = 1 << 19
 #: Ids gathered at a time when decoding.
 GATHER = 1 << 20
 
@@ -49,17 +49,12 @@ def byte_characters() -> list[str]:
     return [out[b] for b in range(256)]
 
 
-def library_classes(pattern: str) -> str:
-    """The file's pattern with the character classes that the library has: its
-    white space is Unicode's (Python's also takes the separators 1C-1F), and code
-    points that Python's Unicode tables do not assign are no letters or numbers
-    (the regex module knows newer ones)."""
+def late_letters() -> frozenset[str]:
+    """Code points that are letters or numbers to the regex module but that
+    Python's own Unicode tables do not assign yet; to the library most of them
+    are neither."""
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    late = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
-    later = f"[{''.join(late)}]" if late else ""
-    for name in (r"\p{L}", r"\p{N}"):
-        pattern = pattern.replace(name, f"[{name}--{later}]" if later else name)
-    return pattern.replace(r"\s", r"\p{White_Space}")
+    return frozenset(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
 
 
 class Vocabulary:
@@ -77,7 +72,10 @@ class Vocabulary:
         self.special_re = (regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))))
                            if self.specials else None)
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces_of = regex.compile(library_classes(split["pattern"]["Regex"]), regex.V1).findall
+        # the pattern's \s is Unicode White_Space; Python's also takes the separators 1C-1F
+        self.pattern = split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}")
+        self.pieces_of = regex.compile(self.pattern).findall
+        self.late = late_letters()
         self.bytes_of = byte_characters()
 
         # (left, right) -> (rank, merged id), and how each merged token came about
@@ -90,21 +88,16 @@ class Vocabulary:
             self.made.setdefault(both, (rank, left, right))
 
         self.matcher = ahocorasick.Automaton()
-        self.size = {}
         base = {c for c in self.bytes_of} | {c + END for c in self.bytes_of}
-        self.shorter: dict[int, int] = {}
-        self.compatible_memo: dict[tuple[int, int], bool] = {}
         usable = {s: i for s, i in ids.items() if s in base or i in self.made}
+        top = max(usable.values()) + 1
+        self.size, self.shorter = [0] * top, [-1] * top  # the next shorter token with the same beginning
         for s, i in usable.items():
             self.size[i] = len(s)
-            self.matcher.add_word(s, (i, len(s)))
+            self.matcher.add_word(s, (i, len(s) - 1))
+            self.shorter[i] = next((j for n in range(len(s) - 1, 0, -1) if (j := usable.get(s[:n])) is not None), -1)
         self.matcher.make_automaton()
-        self.strings = {i: s for s, i in usable.items()}
-        for s, i in usable.items():
-            for n in range(len(s) - 1, 0, -1):
-                if (j := usable.get(s[:n])) is not None:
-                    self.shorter[i] = j
-                    break
+        self.compatible_memo: dict[tuple[int, int], bool] = {}
 
         everything = {i: s for s, i in vocab.items()} | {i: s for s, i in self.specials.items()}
         coded = [everything.get(i, "").encode() for i in range(max(everything) + 1)]
@@ -112,6 +105,7 @@ class Vocabulary:
         self.offsets = np.zeros(len(coded) + 1, np.int64)
         np.cumsum([len(c) for c in coded], out=self.offsets[1:])
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.piece_memo: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether greedy merging leaves ``left`` and ``right`` side by side.
@@ -145,53 +139,77 @@ class Vocabulary:
 
     def longest_matches(self, s: str) -> list[int]:
         """The longest token that starts at each position (-1: none), from one
-        pass of the automaton over the piece."""
-        best, length = [-1] * len(s), [0] * len(s)
-        for end, (token, n) in self.matcher.iter(s):
-            start = end - n + 1
-            if n > length[start]:
-                best[start], length[start] = token, n
+        pass of the automaton; matches come by their end, so the last is the longest."""
+        best = [-1] * (len(s) + 1)
+        for end, (token, back) in self.matcher.iter(s):
+            best[end - back] = token
         return best
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
-        s = "".join(map(self.bytes_of.__getitem__, piece.encode("utf-8", "surrogatepass")))
+        if piece.isascii() and piece.isprintable():  # these bytes stand for themselves
+            s = piece
+        else:
+            s = "".join(map(self.bytes_of.__getitem__, piece.encode("utf-8", "surrogatepass")))
         s = s + END if self.suffix else s
-        longest, n = self.longest_matches(s), len(s)
-        alive = bytearray(b"\x01") * (n + 1)
+        longest, n, size, shorter, known = self.longest_matches(s), len(s), self.size, self.shorter, self.compatible_memo
+        dead: set[int] = set()
         out: list[int] = []
-        at, token = 0, longest[0]
+        at, token, before = 0, longest[0], -1
         while at < n:
-            while token is not None and token >= 0:
-                end = at + self.size[token]
-                if alive[end] and (not out or self.compatible(out[-1], token)):
-                    break
-                token = self.shorter.get(token)
-            if token is not None and token >= 0:
+            while token >= 0:
+                if at + size[token] not in dead:
+                    if before < 0:
+                        break
+                    fits = known.get((before, token))
+                    if fits or fits is None and self.compatible(before, token):
+                        break
+                token = shorter[token]
+            if token >= 0:
                 out.append(token)
-                at = end
-                token = longest[at] if at < n else -1
+                at += size[token]
+                before, token = token, longest[at]
             else:  # nothing fits here: never come back to this position
-                alive[at] = 0
+                dead.add(at)
                 if not out:
                     raise ValueError(f"no encoding of {piece!r} in this vocabulary")
                 token = out.pop()
-                at -= self.size[token]
-                token = self.shorter.get(token)
+                at -= size[token]
+                before, token = out[-1] if out else -1, shorter[token]
         return tuple(out)
 
-    def encode_plain(self, text: str, out: list[int]) -> None:
+    def pieces(self, word: str) -> list[str]:
+        if self.late.isdisjoint(word):
+            return self.pieces_of(word)
+        late = f"[{''.join(sorted(self.late.intersection(word)))}]"
+        pattern = self.pattern
+        for name in (r"\p{L}", r"\p{N}"):
+            pattern = pattern.replace(name, f"[{name}--{late}]")
+        return regex.findall(pattern, word, regex.V1)
+
+    def encode_word(self, word: str) -> tuple[int, ...]:
         # a capital sigma is lowered without regard to its place in the word
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        out: tuple[int, ...] = ()
+        memo = self.piece_memo
+        for piece in self.pieces(word):
+            ids = memo.get(piece)
+            if ids is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                ids = memo[piece] = self.encode_piece(piece)
+            out += ids
+        return out
+
+    def encode_plain(self, text: str, out: list[int]) -> None:
+        """Pieces never reach over a space, and neither do composition and
+        lowering, so words between spaces are encoded once and remembered."""
         memo = self.memo
-        pieces = self.pieces_of(text)
-        for p in {*pieces}.difference(memo):
-            if len(memo) >= MEMO_PIECES:
-                memo.clear()
-                for q in {*pieces}:
-                    memo[q] = self.encode_piece(q)
-                break
-            memo[p] = self.encode_piece(p)
-        for ids in map(memo.__getitem__, pieces):
+        for word in text.replace("\n", " ").split(" "):
+            ids = memo.get(word)
+            if ids is None:
+                if len(memo) >= MEMO_WORDS:
+                    memo.clear()
+                ids = memo[word] = self.encode_word(word)
             out += ids
 
     def encode(self, text: str | None) -> list[int]:
