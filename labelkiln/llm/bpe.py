@@ -13,7 +13,7 @@ space, lower case, pieces by the file's pattern, bytes as printable characters,
 a word-end mark on each piece's last byte.
 
 Null text is the empty text: no ids, decoded as ''. Texts of any length are
-encoded whole; equal words are encoded once per worker. The special tokens'
+encoded whole; equal pieces are encoded once per worker. The special tokens'
 strings inside a text are single ids, as in the library.
 """
 
@@ -22,18 +22,22 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: One character that stands for the word-end mark; private use, so no byte maps to it.
 END = ""
-#: Words remembered per worker; beyond it the memory is emptied (results do not change).
-MEMO_WORDS = 1 << 19
+#: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
+MEMO_PIECES = 1 << 20
+#: Bytes of text that are split into words at a time.
+BLOCK_BYTES = 8 << 20
 #: Ids gathered at a time when decoding.
 GATHER = 1 << 20
 
@@ -105,7 +109,6 @@ class Vocabulary:
         self.offsets = np.zeros(len(coded) + 1, np.int64)
         np.cumsum([len(c) for c in coded], out=self.offsets[1:])
         self.memo: dict[str, tuple[int, ...]] = {}
-        self.piece_memo: dict[str, tuple[int, ...]] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether greedy merging leaves ``left`` and ``right`` side by side.
@@ -178,6 +181,11 @@ class Vocabulary:
         return tuple(out)
 
     def pieces(self, word: str) -> list[str]:
+        """The pieces of a normalised word."""
+        if word.isalpha():  # as Python's tables have it, so without the late letters
+            return [word]
+        if word[:-1].isalpha() and " " < word[-1] < "\x80" and not word[-1].isalnum():
+            return [word[:-1], word[-1]]
         if self.late.isdisjoint(word):
             return self.pieces_of(word)
         late = f"[{''.join(sorted(self.late.intersection(word)))}]"
@@ -187,43 +195,47 @@ class Vocabulary:
         return regex.findall(pattern, word, regex.V1)
 
     def encode_word(self, word: str) -> tuple[int, ...]:
-        # a capital sigma is lowered without regard to its place in the word
-        word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        """Ids of a text without spaces."""
+        if self.special_re is not None and (m := self.special_re.search(word)):
+            return (*self.encode_word(word[: m.start()]), self.specials[m[0]], *self.encode_word(word[m.end() :]))
+        if not word.isascii():  # a capital sigma is lowered without regard to its place in the word
+            word = unicodedata.normalize("NFC", word).replace("Σ", "σ")
         out: tuple[int, ...] = ()
-        memo = self.piece_memo
-        for piece in self.pieces(word):
+        memo = self.memo
+        for piece in self.pieces(word.lower()):
             ids = memo.get(piece)
             if ids is None:
-                if len(memo) >= MEMO_WORDS:
+                if len(memo) >= MEMO_PIECES:
                     memo.clear()
                 ids = memo[piece] = self.encode_piece(piece)
             out += ids
         return out
 
-    def encode_plain(self, text: str, out: list[int]) -> None:
-        """Pieces never reach over a space, and neither do composition and
-        lowering, so words between spaces are encoded once and remembered."""
-        memo = self.memo
-        for word in text.replace("\n", " ").split(" "):
-            ids = memo.get(word)
-            if ids is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                ids = memo[word] = self.encode_word(word)
-            out += ids
-
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        if not text:
-            return out
-        at = 0
-        if self.special_re is not None:
-            for m in self.special_re.finditer(text):
-                self.encode_plain(text[at : m.start()], out)
-                out.append(self.specials[m[0]])
-                at = m.end()
-        self.encode_plain(text[at:] if at else text, out)
-        return out
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text. Pieces never reach over a space, and neither do
+        composition, lowering and special tokens, so the words between spaces
+        are told apart first and each different word is encoded once."""
+        parts, at = [], 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BLOCK_BYTES, "right")))
+            parts.append(self._encode_block(texts.slice(at, to - at)))
+            at = to
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
+    def _encode_block(self, texts: pa.Array) -> pa.ListArray:
+        spaced = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        words = pc.split_pattern(spaced, " ")
+        coded = words.flatten().dictionary_encode()
+        each = [self.encode_word(w) for w in coded.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        flat = np.fromiter(chain.from_iterable(each), np.int32, int(sizes.sum()))
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        ends = np.r_[0, np.cumsum(n)]
+        take = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], n)
+        offsets = words.offsets.to_numpy()
+        return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]].astype(np.int32)), pa.array(flat[take]))
 
     def decode(self, ids: np.ndarray) -> str:
         """Token strings joined by single spaces (the file names no decoder)."""
@@ -264,13 +276,7 @@ class Bpe:
         shared = spark.sparkContext.broadcast(spec)
 
         def encode(texts: pa.Array) -> pa.Array:
-            v = load(shared.value)
-            counts, flat = [0], []
-            for t in texts:
-                flat.append(np.array(v.encode(t.as_py()), np.int32))
-                counts.append(counts[-1] + len(flat[-1]))
-            values = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-            return pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(values, pa.int32()))
+            return load(shared.value).encode(texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts)
 
         def decode(ids: pa.Array) -> pa.Array:
             v = load(shared.value)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from labelkiln.llm import sql_text
 from labelkiln.llm.common import table
 
 QUERIES = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6}
 
 
 def query(fn):
@@ -19,6 +20,47 @@ def query(fn):
     return fn
 
 
+#: Key of the registered pseudonyms; a real run passes its own secret.
+PII_KEY = "registered-query"
+
+
+@query
+def op1_simhash_near_dedup(spark, sf_dir):
+    """Fingerprint and component of every document (4-word shingles, 4 bits)."""
+    from labelkiln.llm.simhash import hex_digits, near_duplicates
+    near = near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_substring_dedup(spark, sf_dir):
+    """Words of every document left after removing repeated 50-word windows."""
+    from labelkiln.llm.substrings import remove_repeats
+    left = remove_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op4_mixing(spark, sf_dir):
+    """Words that the mix takes of every document."""
+    from labelkiln.llm.mixing import mix_counts
+    return mix_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_rules(spark, sf_dir):
+    """Base counts and verdict of every document."""
+    from labelkiln.llm.quality_rules import judge
+    return judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pii(spark, sf_dir):
+    """Every document with its personal data replaced by pseudonyms."""
+    from labelkiln.llm.pii import pseudonymize
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 @query
 def op10_bpe(spark, sf_dir):
     """Encode every document with the 49k word BPE file, then decode."""
