@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +31,33 @@ def utf8_words(text: str | None) -> list[bytes]:
 def word_count(text) -> "F.Column":
     """Number of words (JVM-side); null: 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def word_blocks(texts: pa.Array, block_bytes: int = 8 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+    """The words (ASCII white space splits) of runs of texts of about
+    ``block_bytes``: ``(starts, which, distinct)`` where the i-th text's words are
+    ``distinct[w] for w in which[starts[i]:starts[i + 1]]``. Null: no words."""
+    if isinstance(texts, pa.ChunkedArray):
+        texts = texts.combine_chunks()
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)) if len(texts) else []
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + block_bytes, "right")))
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.slice(at, to - at), ""))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        which = coded.indices.to_numpy()
+        starts = words.offsets.to_numpy().astype(np.int64)
+        starts = starts - starts[0]
+        if "" in distinct:  # leading and trailing white space leave empty words
+            real = which != distinct.index("")
+            starts = np.r_[0, np.cumsum(real)][starts]
+            which = which[real]
+        yield starts, which, distinct
+        at = to
+
+
+def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``values[starts[i]:starts[i + 1]]``; 0 for an empty segment."""
+    total = np.r_[0.0, np.cumsum(values, dtype=np.float64)]
+    return total[starts[1:]] - total[starts[:-1]]

@@ -6,13 +6,15 @@ the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from labelkiln.llm import sql_text
 from labelkiln.llm.common import table
 
 QUERIES = {}
-ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6}
+ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
+                          "op7_chat_format": sql_text.OP7}
 
 
 def query(fn):
@@ -20,10 +22,6 @@ def query(fn):
     return fn
 
 
-#: Key of the registered pseudonyms; a real run passes its own secret.
-PII_KEY = "registered-query"
-
-
 @query
 def op1_simhash_near_dedup(spark, sf_dir):
     """Fingerprint and component of every document (4-word shingles, 4 bits)."""
@@ -40,6 +38,13 @@ def op2_substring_dedup(spark, sf_dir):
     return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op3_quality_resampling(spark, sf_dir):
+    """Log weight, Gumbel draw and verdict of every document."""
+    from labelkiln.llm.resampling import draw
+    return draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_mixing(spark, sf_dir):
     """Words that the mix takes of every document."""
@@ -47,6 +52,13 @@ def op4_mixing(spark, sf_dir):
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_nearest_neighbours(spark, sf_dir):
+    """The 10 nearest vectors of every vector whose id is divisible by 100."""
+    from labelkiln.llm.neighbours import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @query
 def op6_quality_rules(spark, sf_dir):
     """Base counts and verdict of every document."""
@@ -54,11 +66,39 @@ def op6_quality_rules(spark, sf_dir):
     return judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_chat_format(spark, sf_dir):
+    """Every conversation formatted, then read back from the output."""
+    from labelkiln.llm.chat import fold, masked_text, read_back, render, rows_to_events
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)],
+                                "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    done = render(fold(rows_to_events(rows)))
+    back = done.select("conv_id", F.length("formatted").cast("long").alias("formatted_chars"),
+                       read_back(F.col("formatted")).alias("turns"),
+                       masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       "formatted_chars")
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    """Toxicity of every document; a quarter of the ids is held out of training."""
+    from labelkiln.llm.toxicity import score
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    scored = score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), ~out)
+    return scored.select("doc_id", out.alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
+
+
 @query
 def op9_pii(spark, sf_dir):
     """Every document with its personal data replaced by pseudonyms."""
     from labelkiln.llm.pii import pseudonymize
-    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    return pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), corpus_pipeline.PII_KEY)
 
 
 @query
@@ -73,3 +113,9 @@ def op10_bpe(spark, sf_dir):
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    """The stages of corpus_pipeline.py over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)

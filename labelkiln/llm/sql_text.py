@@ -81,3 +81,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND symbols <= s AND dup_lines <= dl AND repeats <= rp AS kept
 FROM r JOIN x ON r.lang IS NOT DISTINCT FROM x.lang AND r.source IS NOT DISTINCT FROM x.source
 """
+
+OP7 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(regexp_replace(replace(text, '\', '\\'), '([<\[])(/?(?:s>|INST\]))', '\1\\\2', 'g')) AS n,
+             length(regexp_replace(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '\', '\\'),
+                                   '([<\[])(/?(?:s>|INST\]))', '\1\\\2', 'g')) AS r FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(CASE WHEN role = 'assistant' THEN 7 + n ELSE 16 + r + n END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
