@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from itertools import chain
+from array import array
 
 import ahocorasick
 import numpy as np
@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 END = ""
 #: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
 MEMO_PIECES = 1 << 20
+#: ASCII marks that are pieces of their own after a letter.
+MARKS = frozenset(".,;:!?")
 #: Bytes of text that are split into words at a time.
 BLOCK_BYTES = 8 << 20
 #: Ids gathered at a time when decoding.
@@ -101,14 +103,14 @@ class Vocabulary:
             self.matcher.add_word(s, (i, len(s) - 1))
             self.shorter[i] = next((j for n in range(len(s) - 1, 0, -1) if (j := usable.get(s[:n])) is not None), -1)
         self.matcher.make_automaton()
-        self.compatible_memo: dict[tuple[int, int], bool] = {}
+        self.compatible_memo: dict[int, bool] = {}
 
         everything = {i: s for s, i in vocab.items()} | {i: s for s, i in self.specials.items()}
         coded = [everything.get(i, "").encode() for i in range(max(everything) + 1)]
         self.buffer = np.frombuffer(b"".join(coded), np.uint8)
         self.offsets = np.zeros(len(coded) + 1, np.int64)
         np.cumsum([len(c) for c in coded], out=self.offsets[1:])
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether greedy merging leaves ``left`` and ``right`` side by side.
@@ -119,7 +121,7 @@ class Vocabulary:
         them would have crossed the border. Equal ranks are applied from the
         left, so at a tie the left token's own merge comes first and the right
         token's comes last."""
-        key = (left, right)
+        key = left << 24 | right
         known = self.compatible_memo.get(key)
         if known is None:
             known = self.compatible_memo[key] = self._compatible(left, right)
@@ -148,7 +150,7 @@ class Vocabulary:
             best[end - back] = token
         return best
 
-    def encode_piece(self, piece: str) -> tuple[int, ...]:
+    def encode_piece(self, piece: str) -> list[int]:
         if piece.isascii() and piece.isprintable():  # these bytes stand for themselves
             s = piece
         else:
@@ -163,7 +165,7 @@ class Vocabulary:
                 if at + size[token] not in dead:
                     if before < 0:
                         break
-                    fits = known.get((before, token))
+                    fits = known.get(before << 24 | token)
                     if fits or fits is None and self.compatible(before, token):
                         break
                 token = shorter[token]
@@ -178,7 +180,7 @@ class Vocabulary:
                 token = out.pop()
                 at -= size[token]
                 before, token = out[-1] if out else -1, shorter[token]
-        return tuple(out)
+        return out
 
     def pieces(self, word: str) -> list[str]:
         """The pieces of a normalised word."""
@@ -194,20 +196,29 @@ class Vocabulary:
             pattern = pattern.replace(name, f"[{name}--{late}]")
         return regex.findall(pattern, word, regex.V1)
 
-    def encode_word(self, word: str) -> tuple[int, ...]:
-        """Ids of a text without spaces."""
+    def encode_word(self, word: str) -> bytes:
+        """Ids (int32) of a text without spaces."""
+        low, memo = word.lower(), self.memo
+        if "Σ" not in word:  # known pieces, alone or before a mark, need no further look
+            ids = memo.get(low)
+            if ids is not None:
+                return ids
+            if low[-1:] in MARKS and low[-2:-1].isalpha():
+                ids, mark = memo.get(low[:-1]), memo.get(low[-1])
+                if ids is not None and mark is not None:
+                    return ids + mark
         if self.special_re is not None and (m := self.special_re.search(word)):
-            return (*self.encode_word(word[: m.start()]), self.specials[m[0]], *self.encode_word(word[m.end() :]))
+            return (self.encode_word(word[: m.start()]) + np.int32(self.specials[m[0]]).tobytes()
+                    + self.encode_word(word[m.end() :]))
         if not word.isascii():  # a capital sigma is lowered without regard to its place in the word
-            word = unicodedata.normalize("NFC", word).replace("Σ", "σ")
-        out: tuple[int, ...] = ()
-        memo = self.memo
-        for piece in self.pieces(word.lower()):
+            low = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        out = b""
+        for piece in self.pieces(low):
             ids = memo.get(piece)
             if ids is None:
                 if len(memo) >= MEMO_PIECES:
                     memo.clear()
-                ids = memo[piece] = self.encode_piece(piece)
+                ids = memo[piece] = array("i", self.encode_piece(piece)).tobytes()
             out += ids
         return out
 
@@ -228,8 +239,8 @@ class Vocabulary:
         words = pc.split_pattern(spaced, " ")
         coded = words.flatten().dictionary_encode()
         each = [self.encode_word(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, each), np.int64, len(each))
-        flat = np.fromiter(chain.from_iterable(each), np.int32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat = np.frombuffer(b"".join(each), np.int32)
         which = coded.indices.to_numpy()
         n = sizes[which]
         ends = np.r_[0, np.cumsum(n)]
