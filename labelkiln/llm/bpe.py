@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 #: One character that stands for the word-end mark; private use, so no byte maps to it.
 END = ""
 #: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
-MEMO_PIECES = 1 << 20
+MEMO_PIECES = 3 << 18
 #: ASCII marks that are pieces of their own after a letter.
 MARKS = frozenset(".,;:!?")
 #: Bytes of text that are split into words at a time.

@@ -38,7 +38,7 @@ from labelkiln.llm.common import utf8_words
 from labelkiln.session import cut_lineage
 
 #: Words hashed together, word hashes remembered per worker.
-BLOCK, MEMO_WORDS = 1 << 19, 1 << 20
+BLOCK, MEMO_WORDS = 1 << 18, 1 << 17
 #: Bits of a position in a block (a block and the overlap of a cut text fit).
 AT_BITS = np.uint64(20)
 

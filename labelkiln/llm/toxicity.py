@@ -8,10 +8,10 @@ whitened by their own kernel matrix), on which a linear machine is trained.
 
 Training is on sentences of labelled documents. A sentence's value is that of its
 highest word, and which word that is follows from the machine itself (multiple
-instances): sentences of toxic documents start with the word whose document
-frequencies speak most for label 1, then the machine is fitted and the witnesses
-are chosen again, with the clean sentences it scores highest as new negatives. A
-logistic curve over the documents' highest values makes the score.
+instances): sentences of toxic documents start with the word whose numbers of
+different contexts speak most for label 1, then the machine is fitted and the
+witnesses are chosen again, with the clean sentences it scores highest as new
+negatives; witnesses are also learned with a letter put in. A logistic curve over the documents' highest values makes the score.
 
 All of it is fitted on at most ``MAX_TOXIC`` + ``MAX_CLEAN`` labelled documents
 (smallest id hash first); every document's whole text is scored. Single letters
@@ -25,6 +25,7 @@ empty table gives no rows; labels, language, source and id are never features.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,14 +41,25 @@ from labelkiln.session import cut_lineage
 ORDER, DECAY = 3, 0.7
 #: Bounds of the fit: documents per label, words from each side, landmarks, rounds.
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS, LANDMARKS, ROUNDS = 4000, 8000, 4000, 40, 3
-#: Sentences end at these marks or at a line's end; words are read without these marks around them.
-SENTENCE_END, AROUND = r"[.!?\n]+", ".,;:!?\"'()[]{}<>|*#$%&-_~"
+#: A word speaks for a label from this evidence and odds on; letters that are put into training insults.
+EVIDENCE, ODDS, INSERTED = 8.0, 4.0, "xyzkvjq0"
+#: Sentences end at these marks or at a line's end; longer words are read in parts of this many letters.
+SENTENCE_END, WIDEST = r"[.!?]+\s|\n", 32
 #: Scores remembered per worker.
 MEMO_WORDS = 1 << 20
 
 
 def normal(word: str) -> str:
-    return word.strip(AROUND).lower()
+    """Lower-case letters and digits of a word."""
+    word = word.lower()
+    return word if word.isalpha() else "".join(filter(str.isalnum, word))
+
+
+def windows(word: str) -> list[str]:
+    """A long word as overlapping parts that cover it."""
+    if len(word) <= WIDEST:
+        return [word]
+    return [word[i : i + WIDEST] for i in range(0, len(word) - WIDEST // 2, WIDEST // 2)]
 
 
 def _codes(words: list[str], length: int) -> np.ndarray:
@@ -139,6 +151,9 @@ class Machine:
         self.whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
         self.weights, self.bias, self.curve = np.zeros(len(landmarks)), -1.0, (0.0, 0.0)
 
+    def key(self) -> str:
+        return hashlib.sha256(repr((self.landmarks, self.weights.tolist(), self.bias)).encode()).hexdigest()
+
     def similarity(self, words: list[str]) -> np.ndarray:
         return similarity(words, self.landmarks, self.self_landmarks)
 
@@ -158,7 +173,11 @@ class Machine:
         self.weights, self.bias = self.whiten @ w[:-1], float(w[-1])
 
     def values(self, words: list[str]) -> np.ndarray:
-        return self.similarity(words) @ self.weights + self.bias
+        """Value of each word; of a long one the highest of its parts."""
+        parts = [windows(w) for w in words]
+        value = self.similarity([p for ps in parts for p in ps]) @ self.weights + self.bias
+        starts = np.cumsum([0, *map(len, parts)])[:-1]
+        return np.maximum.reduceat(value, starts) if len(words) else value
 
     def calibrate(self, value: np.ndarray, y: np.ndarray) -> None:
         """Logistic curve over document values, by Newton steps with a small ridge."""
@@ -210,7 +229,7 @@ class Reader:
     @staticmethod
     def _spelled(starts: np.ndarray, which: np.ndarray, distinct: list[str]) -> Iterator[tuple[int, str]]:
         """Runs of three or more single letters, as (text, word)."""
-        single = np.array([len(w.strip(AROUND)) == 1 for w in distinct], bool)[which] if len(which) else which
+        single = np.array([len(normal(w)) == 1 for w in distinct], bool)[which] if len(which) else which
         at = np.flatnonzero(single)
         if not len(at):
             return
@@ -233,7 +252,7 @@ def reader(key: str, machine: Machine) -> Reader:
 
 
 def highest_value(text: Column | str, machine: Machine) -> Column:
-    key = str(hash((tuple(machine.landmarks), machine.weights.tobytes(), machine.bias)))
+    key = machine.key()
 
     def udf(texts: pa.Array) -> pa.Array:
         return pa.array(reader(key, machine).highest(texts))
@@ -242,27 +261,32 @@ def highest_value(text: Column | str, machine: Machine) -> Column:
 
 
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, y) for each different word of each text."""
+    """(word, before, y) for each different word and word before it of each batch."""
     for b in batches:
+        found = set()
         for t, y in zip(b.column(0), b.column(1)):
-            found = sorted({normal(w) for w in (t.as_py() or "").split()} - {""})
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([y.as_py()] * len(found), pa.int32())],
-                                             ["word", "y"])
+            words = [w for w in map(normal, (t.as_py() or "").split()) if w]
+            found.update(zip(words, ["", *words], [y.as_py()] * len(words)))
+        rows = sorted(found)
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
+                                          pa.array([r[1] for r in rows], pa.string()),
+                                          pa.array([r[2] for r in rows], pa.int32())], ["word", "before", "y"])
 
 
-def _sentences(choose):
-    """(sentence, y): of each text the sentence that ``choose`` values most."""
+def _sentences(value_of):
+    """(sentence, y): of each text the sentence whose highest word is highest by
+    ``value_of`` (a list of words to their values)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for t, y in zip(b.column(0), b.column(1)):
-                parts = [s for s in regex.split(SENTENCE_END, t.as_py() or "") if s.strip()]
-                if parts:
-                    values = choose([[normal(w) for w in s.split()] for s in parts])
-                    out.append((parts[int(np.argmax(values))], y.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.string()),
-                                              pa.array([y for _, y in out], pa.int32())], ["sentence", "y"])
+            texts = [[(s, words) for s in regex.split(SENTENCE_END, t.as_py() or "")
+                      if (words := [w for w in map(normal, s.split()) if w])] for t in b.column(0)]
+            every = sorted({w for parts in texts for _, words in parts for w in words})
+            value = dict(zip(every, value_of(every)))
+            best = [(max(parts, key=lambda p: max(map(value.__getitem__, p[1])))[0], y.as_py())
+                    for parts, y in zip(texts, b.column(1)) if parts]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in best], pa.string()),
+                                              pa.array([y for _, y in best], pa.int32())], ["sentence", "y"])
 
     return run
 
@@ -279,60 +303,71 @@ def training_documents(docs: DataFrame, labels: DataFrame, allowed: Column, id_c
 
 def train(sample: DataFrame) -> Machine | None:
     """A machine from ``sample(text, y)``; None without both labels."""
-    sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
+    # a word counts once for each different word before it: copies of a text add nothing
+    contexts = (sample.mapInArrow(_words_of, "word string, before string, y int").filter(F.length("word") >= ORDER)
+                .groupBy("word", "before").agg(F.max("y").alias("n1"), F.max(1 - F.col("y")).alias("n0")))
+    counts = cut_lineage(contexts.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "words")
+    all_ = counts.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
+    if not all_["n1"] or not all_["n0"]:
         return None
-    n1, n0 = sizes[1], sizes[0]
-    counts = cut_lineage(sample.mapInArrow(_words_of, "word string, y int").filter(F.length("word") >= ORDER)
-                         .groupBy("word").agg(F.sum("y").alias("n1"), F.sum(1 - F.col("y")).alias("n0")), "words")
-    odds = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
-    evidence = odds * F.sqrt(F.col("n1"))
-    top = counts.filter((F.col("n1") >= 3) | (F.col("n1") * 4 >= n1)).withColumn("e", evidence).orderBy(
-        F.desc("e"), "word").limit(MAX_WORDS // 4).select("word", "e").collect()
-    plain = counts.filter(F.col("n0") > 0).orderBy(F.desc("n0"), "word").limit(MAX_WORDS // 4).union(
-        counts.filter(F.col("n0") > 0).orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS)).select("word").distinct().collect()
-    speaks = {r["word"]: r["e"] for r in top if r["e"] > 0}
+    odds = F.log((F.col("n1") + 0.5) / all_["n1"]) - F.log((F.col("n0") + 0.5) / all_["n0"])
+    top = (counts.withColumn("odds", odds).withColumn("e", F.col("odds") * F.sqrt("n1"))
+           .filter((F.col("e") >= EVIDENCE) & (F.col("odds") >= float(np.log(ODDS))))
+           .orderBy(F.desc("e"), "word").limit(MAX_WORDS // 4).select("word", "e").collect())
+    clean = counts.filter(F.col("n0") > 0)
+    plain = clean.orderBy(F.desc("n0"), "word").limit(MAX_WORDS // 4).union(
+        clean.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS)).select("word").distinct().collect()
+    speaks = {r["word"]: r["e"] for r in top}
     if not speaks or not plain:
         return None
-    clean_words = sorted(r["word"] for r in plain)
+    clean_words = sorted({r["word"] for r in plain}.difference(speaks))
 
-    def by_words(sentences):
-        return [max((speaks.get(w, 0.0) for w in s), default=0.0) for s in sentences]
+    def by_words(words):
+        return [speaks.get(w, 0.0) for w in words]
 
     got = sample.mapInArrow(_sentences(by_words), "sentence string, y int").collect()  # one per sample document
     toxic = [[w for w in map(normal, r["sentence"].split()) if w] for r in got if r["y"] == 1]
     clean = [[w for w in map(normal, r["sentence"].split()) if w] for r in got if r["y"] == 0]
-    witness = [max(s, key=lambda w: speaks.get(w, 0.0)) for s in toxic if any(w in speaks for w in s)]
+    witness = [max(s, key=lambda w: speaks.get(w, 0.0))[:WIDEST] for s in toxic if any(w in speaks for w in s)]
     if not witness:
         return None
     machine = Machine(_spread(sorted({*witness}, key=lambda w: (-witness.count(w), w))[:400], LANDMARKS))
-    negative = sorted({*clean_words, *(w for s in clean for w in s)} - {""})
+    negative = sorted({p for w in {*clean_words, *(w for s in clean for w in s)} for p in windows(w)}.difference(speaks))
     far = machine.similarity(negative)
     for _ in range(ROUNDS):
-        machine.fit(machine.similarity(witness), far)
-        value = {w: v for words in ([w for s in toxic for w in s],) for w, v in
-                 zip(dict.fromkeys(words), machine.values(list(dict.fromkeys(words))))}
-        # a sentence whose highest word is below the clean side tells nothing
-        witness = [w for w, v in ((max(s, key=value.__getitem__), max(map(value.__getitem__, s))) for s in toxic if s)
-                   if v > -1.0] or witness
+        machine.fit(machine.similarity(_inserted(witness)), far)
+        every = sorted({w for s in toxic for w in s})
+        value = dict(zip(every, machine.values(every)))
+        # the machine names the witnesses; a sentence without a word on its own side tells nothing
+        witness = [w[:WIDEST] for w in (max(s, key=value.__getitem__) for s in toxic if s) if value[w] > 0] or witness
 
-        def by_machine(sentences, machine=machine):
-            return [float(machine.values(s).max()) if s else -np.inf for s in sentences]
+        key = machine.key()
+
+        def by_machine(words, machine=machine, key=key):
+            return reader(key, machine).word_values(words).tolist()
 
         hard = sample.filter("y = 0").mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
-        worst = {max(ws, key=lambda w: v[w]) for ws, v in
-                 ((ws, dict(zip(ws, machine.values(ws)))) for ws in ([w for w in map(normal, r["sentence"].split()) if w]
-                                                                     for r in hard) if ws)}
-        more = sorted(worst.difference(negative))
+        own = [[w for w in map(normal, r["sentence"].split()) if w] for r in hard]
+        every = sorted({w for s in own for w in s})
+        value = dict(zip(every, machine.values(every)))
+        more = sorted({p for s in own if s for p in windows(max(s, key=value.__getitem__))}.difference(negative, speaks))
         if more:
             negative = negative + more
             far = np.r_[far, machine.similarity(more)]
-    machine.fit(machine.similarity(witness), far)
+    machine.fit(machine.similarity(_inserted(witness)), far)
     judged = sample.select("y", highest_value("text", machine).alias("v")).toPandas()  # bounded sample
     machine.calibrate(judged["v"].to_numpy(), judged["y"].to_numpy())
     return machine
 
 
+def _inserted(words: list[str]) -> list[str]:
+    """The different words, and longer ones again with a letter put in."""
+    words = sorted({*words})
+    more = [w[:i] + INSERTED[(len(w) + i) % len(INSERTED)] + w[i:] for w in words if len(w) >= 5
+            for i in (2, 3, len(w) - 2)]
+    return words + more
+
+
 def _spread(words: list[str], most: int) -> list[str]:
     """Landmarks: the first word, then always the one least like those chosen
     (weighted by its place), so that they cover all kinds of words."""
