@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 #: One character that stands for the word-end mark; private use, so no byte maps to it.
 END = ""
 #: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
-MEMO_PIECES = 3 << 18
+MEMO_PIECES = 1 << 19
 #: ASCII marks that are pieces of their own after a letter.
 MARKS = frozenset(".,;:!?")
 #: Bytes of text that are split into words at a time.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
 #: Ids gathered at a time when decoding.
 GATHER = 1 << 20
 
@@ -305,5 +305,8 @@ class Bpe:
         return self._encode(text)
 
     def decode(self, ids: Column | str) -> Column:
-        """Text of an id array column (null: null)."""
-        return self._decode(ids)
+        """Text of an id array column (null: null). The ids pass through an
+        expression of Spark's own, so that ids which are encoded in the same plan
+        are computed once and not again as a part of this function."""
+        ids = F.col(ids) if isinstance(ids, str) else ids
+        return self._decode(F.when(ids.isNotNull(), ids))
