@@ -43,6 +43,8 @@ ORDER, DECAY = 3, 0.7
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS, LANDMARKS, ROUNDS = 4000, 8000, 4000, 40, 3
 #: A word speaks for a label from this evidence and odds on; letters that are put into training insults.
 EVIDENCE, ODDS, INSERTED = 8.0, 4.0, "xyzkvjq0"
+#: Lengths of stems; insults of inflected languages share one.
+STEMS = (4, 5)
 #: Sentences end at these marks or at a line's end; longer words are read in parts of this many letters.
 SENTENCE_END, WIDEST = r"[.!?]+\s|\n", 32
 #: Scores remembered per worker.
@@ -260,17 +262,23 @@ def highest_value(text: Column | str, machine: Machine) -> Column:
     return F.arrow_udf(udf, "double")(text)
 
 
+def units(word: str) -> list[str]:
+    """What speaks for a word's label: the word and its stems (marked by ^)."""
+    return [word, *(f"^{word[:n]}" for n in STEMS if len(word) > n)]
+
+
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, before, y) for each different word and word before it of each batch."""
+    """(unit, context, y): each batch's different words with the word before, and
+    their stems with both."""
     for b in batches:
         found = set()
         for t, y in zip(b.column(0), b.column(1)):
             words = [w for w in map(normal, (t.as_py() or "").split()) if w]
             found.update(zip(words, ["", *words], [y.as_py()] * len(words)))
-        rows = sorted(found)
+        rows = [(u, f"{before} {w}", y) for w, before, y in sorted(found) for u in units(w)]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
                                           pa.array([r[1] for r in rows], pa.string()),
-                                          pa.array([r[2] for r in rows], pa.int32())], ["word", "before", "y"])
+                                          pa.array([r[2] for r in rows], pa.int32())], ["unit", "context", "y"])
 
 
 def _sentences(value_of):
@@ -304,8 +312,8 @@ def training_documents(docs: DataFrame, labels: DataFrame, allowed: Column, id_c
 def train(sample: DataFrame) -> Machine | None:
     """A machine from ``sample(text, y)``; None without both labels."""
     # a word counts once for each different word before it: copies of a text add nothing
-    contexts = (sample.mapInArrow(_words_of, "word string, before string, y int").filter(F.length("word") >= ORDER)
-                .groupBy("word", "before").agg(F.max("y").alias("n1"), F.max(1 - F.col("y")).alias("n0")))
+    contexts = (sample.mapInArrow(_words_of, "unit string, context string, y int").filter(F.length("unit") >= ORDER)
+                .groupBy(F.col("unit").alias("word"), "context").agg(F.max("y").alias("n1"), F.max(1 - F.col("y")).alias("n0")))
     counts = cut_lineage(contexts.groupBy("word").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "words")
     all_ = counts.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
     if not all_["n1"] or not all_["n0"]:
@@ -314,25 +322,29 @@ def train(sample: DataFrame) -> Machine | None:
     top = (counts.withColumn("odds", odds).withColumn("e", F.col("odds") * F.sqrt("n1"))
            .filter((F.col("e") >= EVIDENCE) & (F.col("odds") >= float(np.log(ODDS))))
            .orderBy(F.desc("e"), "word").limit(MAX_WORDS // 4).select("word", "e").collect())
-    clean = counts.filter(F.col("n0") > 0)
+    clean = counts.filter((F.col("n0") > 0) & ~F.col("word").startswith("^"))
     plain = clean.orderBy(F.desc("n0"), "word").limit(MAX_WORDS // 4).union(
         clean.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS)).select("word").distinct().collect()
     speaks = {r["word"]: r["e"] for r in top}
     if not speaks or not plain:
         return None
-    clean_words = sorted({r["word"] for r in plain}.difference(speaks))
 
     def by_words(words):
-        return [speaks.get(w, 0.0) for w in words]
+        return [max(speaks.get(u, 0.0) for u in units(w)) for w in words]
+
+    words = [r["word"] for r in plain]
+    speaking = {w for w, e in zip(words, by_words(words)) if e > 0}
+    clean_words = sorted({*words} - speaking)
 
     got = sample.mapInArrow(_sentences(by_words), "sentence string, y int").collect()  # one per sample document
     toxic = [[w for w in map(normal, r["sentence"].split()) if w] for r in got if r["y"] == 1]
     clean = [[w for w in map(normal, r["sentence"].split()) if w] for r in got if r["y"] == 0]
-    witness = [max(s, key=lambda w: speaks.get(w, 0.0))[:WIDEST] for s in toxic if any(w in speaks for w in s)]
+    best = [max(zip(by_words(s), s)) for s in toxic if s]
+    witness = [w[:WIDEST] for e, w in best if e > 0]
     if not witness:
         return None
     machine = Machine(_spread(sorted({*witness}, key=lambda w: (-witness.count(w), w))[:400], LANDMARKS))
-    negative = sorted({p for w in {*clean_words, *(w for s in clean for w in s)} for p in windows(w)}.difference(speaks))
+    negative = sorted({p for w in {*clean_words, *(w for s in clean for w in s)} for p in windows(w)}.difference(speaking))
     far = machine.similarity(negative)
     for _ in range(ROUNDS):
         machine.fit(machine.similarity(_inserted(witness)), far)
@@ -350,7 +362,7 @@ def train(sample: DataFrame) -> Machine | None:
         own = [[w for w in map(normal, r["sentence"].split()) if w] for r in hard]
         every = sorted({w for s in own for w in s})
         value = dict(zip(every, machine.values(every)))
-        more = sorted({p for s in own if s for p in windows(max(s, key=value.__getitem__))}.difference(negative, speaks))
+        more = sorted({p for s in own if s for p in windows(max(s, key=value.__getitem__))}.difference(negative, witness))
         if more:
             negative = negative + more
             far = np.r_[far, machine.similarity(more)]
