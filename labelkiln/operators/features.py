@@ -1,25 +1,26 @@
 """Text -> fixed-length token features.
 
-Plan of ``encode``:
-  1. words: ``split(lower(text), '[^\\p{L}\\p{N}]+')`` over the whole text.
-  2. Only the first ``budget`` words of a segment can survive truncation (each
-     word yields at least one piece), so later words are not exploded; piece
-     counts are capped at the budget, which leaves the truncation result exact.
-  3. WordPiece runs once per *distinct* word: words that are themselves
-     vocabulary entries (the frequent ones, a bounded table) map by a broadcast
-     lookup; the rest go through one Arrow UDF and a shuffle join on the word,
-     so a hot word never lands in a skewed join partition.
-  4. Pieces are put back in word order per row (at most ``budget`` words per
-     group), truncated, wrapped in special tokens and padded with array
-     functions.
+``encode`` is row-local: the words of a text (a column expression) go through one
+Arrow UDF that turns a batch's word arrays into piece ids -- each different word
+of the batch is looked up once, the ids are gathered by index -- and array
+functions truncate, wrap and pad them. The vocabulary is a size-checked broadcast
+table. Nothing is exploded, shuffled or grouped, so a row's key plays no part:
+repeated and null keys are rows of their own, and all columns ride along.
+
+With ``overflow='truncate'`` only the first ``budget`` words of a segment can
+survive (each word yields at least one piece), so later words are not looked up
+and piece counts are capped at the budget, which leaves the result exact. With
+``overflow='windows'`` (single texts) the whole text is encoded, one row per
+window of ``budget`` pieces.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from labelkiln.session import cut_lineage, rebalance
+from labelkiln.session import cut_lineage
 from labelkiln.sources.tasks import CLASSIFICATION, REGRESSION
 
 WORD_SPLIT = "[^\\p{L}\\p{N}]+"
@@ -126,85 +127,60 @@ def _as_vocab(vocab) -> "Vocab":
     return vocab if isinstance(vocab, Vocab) else Vocab.of(vocab)
 
 
-def _tokenizer_udf(spark, v: "Vocab", piece_fn=None):
-    """Arrow UDF word -> piece ids: greedy WordPiece over the vocabulary, or a
-    caller's ``piece_fn(word) -> list[int]`` (shipped with the function)."""
+def _word_function(spark, v: "Vocab", piece_fn=None):
+    """() -> (word -> piece ids) for use in workers: greedy WordPiece over the
+    broadcast vocabulary, or a caller's ``piece_fn(word) -> list[int]``."""
     if piece_fn is not None:
-        @F.pandas_udf("array<int>")
-        def custom(ws: pd.Series) -> pd.Series:
-            return pd.Series([[int(i) for i in piece_fn(w)] for w in ws])
-        return custom
-
+        return lambda: lambda w: [int(i) for i in piece_fn(w)]
     bc = spark.sparkContext.broadcast(v.map)
     unk, span = SPECIAL_IDS[UNK], v.max_piece
+    return lambda: lambda w: greedy_pieces(w, bc.value, unk, MAX_WORD_CHARS, span)
+
 
-    @F.pandas_udf("array<int>")
-    def tokenize(ws: pd.Series) -> pd.Series:
-        m = bc.value
-        return pd.Series([greedy_pieces(w, m, unk, MAX_WORD_CHARS, span) for w in ws])
+def pieces_udf(spark, vocab, piece_fn=None):
+    """Arrow UDF array<string> -> array<int>: the pieces of all words, in order."""
+    function = _word_function(spark, vocab, piece_fn)
 
-    return tokenize
+    def tokenize(words: pa.Array) -> pa.Array:
+        if isinstance(words, pa.ChunkedArray):
+            words = words.combine_chunks()
+        coded = words.flatten().dictionary_encode()
+        of = function()
+        each = [of(w) for w in coded.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        flat = np.fromiter((i for ids in each for i in ids), np.int32, int(sizes.sum()))
+        which = coded.indices.to_numpy(zero_copy_only=False)
+        n = sizes[which]
+        ends = np.r_[0, np.cumsum(n)]
+        take = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], n)
+        counts = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        rows = np.r_[0, np.cumsum(counts)].astype(np.int64)
+        return pa.ListArray.from_arrays(pa.array(ends[rows].astype(np.int32)), pa.array(flat[take]))
+
+    return F.arrow_udf(tokenize, "array<int>")
 
 
 def wordpiece_ids(distinct_words: DataFrame, vocab, word_col: str = "word") -> DataFrame:
-    """``word, ids`` for a table of distinct words. Whole-word vocabulary hits
-    resolve by a broadcast lookup (bounded vocab); the rest by one Arrow UDF."""
-    v = _as_vocab(vocab)
-    tokenize = _tokenizer_udf(distinct_words.sparkSession, v)
-    whole = F.broadcast(v.df.select(F.col("piece").alias(word_col), F.col("piece_id")))
-    j = cut_lineage(distinct_words.select(word_col).join(whole, word_col, "left"), "wordpiece")
-    hit = j.filter(F.col("piece_id").isNotNull()).select(word_col, F.array(F.col("piece_id")).alias("ids"))
-    miss = j.filter(F.col("piece_id").isNull()).select(word_col, tokenize(F.col(word_col)).alias("ids"))
-    return hit.unionByName(miss)
-
-
-def segment_pieces(df: DataFrame, key_cols: list[str], text_cols: list[str], vocab, budget: int,
-                   splitter=words, piece_fn=None, carry_cols: list[str] = ()) -> DataFrame:
-    """Per row: ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
-    in order) and ``n_<i>`` (min(total pieces, budget)), i = 0.. per text.
-    ``splitter`` (Column -> array<string> Column) is the pluggable word step;
-    ``carry_cols`` ride along unchanged (so the input is read only once)."""
-    # split every text once; the (key, word array) table feeds all branches
-    carry = list(carry_cols)
-    base = cut_lineage(df.select(*key_cols, *carry, *[F.slice(splitter(F.col(tc)), 1, budget).alias(f"_ws{i}")
-                                                      for i, tc in enumerate(text_cols)]), "words")
-    parts = []
-    for i in range(len(text_cols)):
-        parts.append(base.select(*key_cols, F.lit(i).alias("_seg"), F.posexplode(f"_ws{i}").alias("_pos", "word")))
-    exploded = parts[0]
-    for p in parts[1:]:
-        exploded = exploded.unionByName(p)
-    # vocabulary words (the frequent ones) get their id map-side from the
-    # broadcast vocabulary; only the other words are tokenized (once per
-    # distinct word) and joined by word. Vocabulary rows join on a unique salt
-    # that matches nothing, so no hot word concentrates in one partition.
-    if piece_fn is None:
-        whole = F.broadcast(vocab.df.select(F.col("piece").alias("word"), F.col("piece_id")))
-        tagged = exploded.join(whole, "word", "left")
-    else:  # a custom tokenizer decides every word itself
-        tagged = exploded.withColumn("piece_id", F.lit(None).cast("int"))
-    rare = tagged.filter(F.col("piece_id").isNull()).select("word").distinct()
-    tokenize = _tokenizer_udf(df.sparkSession, vocab, piece_fn)
-    table = rebalance(rare).select(F.col("word").alias("_jk"), tokenize(F.col("word")).alias("_rare_ids"))
-    salt = F.concat(F.lit("\u0000"), F.concat_ws(":", *[F.col(k).cast("string") for k in key_cols],
-                                                  F.col("_seg").cast("string"), F.col("_pos").cast("string")))
-    keyed = tagged.withColumn("_jk", F.when(F.col("piece_id").isNull(), F.col("word")).otherwise(salt))
-    joined = keyed.join(table, "_jk", "left").select(
-        *key_cols, "_seg", "_pos",
-        F.coalesce(F.when(F.col("piece_id").isNotNull(), F.array(F.col("piece_id"))), F.col("_rare_ids"))
-        .alias("ids"))
-    # all segments of a row in one aggregation (at most `budget` words each):
-    # collect_list skips the other segment's nulls
-    def seg_ids(i):
-        pieces = F.collect_list(F.when(F.col("_seg") == i, F.struct("_pos", "ids")))
-        return F.flatten(F.transform(F.sort_array(pieces), lambda s: s["ids"])).alias(f"ids_{i}")
-
-    per_key = joined.groupBy(*key_cols).agg(*[seg_ids(i) for i in range(len(text_cols))])
-    out = base.select(*key_cols, *carry).join(per_key, key_cols, "left")
+    """``word, ids`` for a table of words."""
+    ids = pieces_udf(distinct_words.sparkSession, _as_vocab(vocab))
+    return distinct_words.select(word_col, ids(F.array(word_col)).alias("ids"))
+
+
+def segment_pieces(df: DataFrame, text_cols: list[str], vocab, budget: int | None, splitter=words,
+                   piece_fn=None) -> DataFrame:
+    """``df`` with ``ids_<i>`` (piece ids of the first ``budget`` words of text i,
+    in order; all words without a budget) and ``n_<i>`` (their number, at most the
+    budget). ``splitter`` (Column -> array<string> Column) is the pluggable word
+    step; a null text has no words."""
+    tokenize = pieces_udf(df.sparkSession, vocab, piece_fn)
+    out = df
+    for i, tc in enumerate(text_cols):
+        ws = F.coalesce(splitter(F.col(tc)), F.array().cast("array<string>"))
+        out = out.withColumn(f"ids_{i}", tokenize(F.slice(ws, 1, budget) if budget else ws))
     for i in range(len(text_cols)):
-        ids = F.coalesce(F.col(f"ids_{i}"), F.array().cast("array<int>"))
-        out = out.withColumn(f"ids_{i}", F.slice(ids, 1, budget)).withColumn(
-            f"n_{i}", F.least(F.size(ids), F.lit(budget)))
+        if budget:
+            out = out.withColumn(f"ids_{i}", F.slice(f"ids_{i}", 1, budget))
+        out = out.withColumn(f"n_{i}", F.size(f"ids_{i}"))
     return out
 
 
@@ -243,26 +219,34 @@ def truncate_pair(na: Column, nb: Column, budget: int) -> tuple[Column, Column]:
 
 
 def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab,
-           max_length: int = 128, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
+           max_length: int = 512, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
            mask_padding_with_zero: bool = True, splitter=words, piece_fn=None,
-           carry_cols: list[str] = ()) -> DataFrame:
-    """``key_cols, input_ids, attention_mask, token_type_ids`` (array<int> of
-    ``max_length``) for single texts or text pairs. ``splitter`` replaces the
-    word step (any Column -> array<string> expression); ``piece_fn`` replaces
-    the subword step (a Python ``word -> list[int]``, run once per distinct
-    word). Either way each word must yield at least one id."""
+           carry_cols: list[str] = (), overflow: str = "truncate") -> DataFrame:
+    """``key_cols, carry_cols, input_ids, attention_mask, token_type_ids`` (array<int>
+    of ``max_length``) for single texts or text pairs, one row per input row.
+    ``splitter`` replaces the word step (any Column -> array<string> expression);
+    ``piece_fn`` replaces the subword step (a Python ``word -> list[int]``). Either
+    way each word must yield at least one id. ``overflow='windows'`` gives a single
+    text one row per window of pieces instead of its beginning, with ``window``
+    (0, 1, ...); a text without words is one window."""
     texts = [text_a] + ([text_b] if text_b else [])
     budget = max_length - (3 if text_b else 2)
-    seg = segment_pieces(df, key_cols, texts, _as_vocab(vocab), budget, splitter, piece_fn, carry_cols)
-    if text_b:
+    if overflow not in ("truncate", "windows") or (overflow == "windows" and text_b):
+        raise ValueError(f"overflow {overflow!r} with {len(texts)} texts")
+    whole = overflow == "windows"
+    seg = segment_pieces(df, texts, _as_vocab(vocab), None if whole else budget, splitter, piece_fn)
+    extra = []
+    if whole:
+        last = F.greatest(F.ceil(F.col("n_0") / budget) - 1, F.lit(0)).cast("int")
+        seg = seg.withColumn("window", F.explode(F.sequence(F.lit(0), last)))
+        a, b, extra = F.slice("ids_0", F.col("window") * budget + 1, F.lit(budget)), None, ["window"]
+    elif text_b:
         ka, kb = truncate_pair(F.col("n_0"), F.col("n_1"), budget)
-        a, b = F.slice("ids_0", 1, ka), F.slice("ids_1", 1, kb)
-        a = F.when(ka > 0, a).otherwise(F.array().cast("array<int>"))
-        b = F.when(kb > 0, b).otherwise(F.array().cast("array<int>"))
+        a, b = F.slice("ids_0", F.lit(1), ka), F.slice("ids_1", F.lit(1), kb)
     else:
         a, b = F.col("ids_0"), None
     cols = pack(a, b, max_length, pad_on_left, pad_token, pad_token_segment_id, mask_padding_with_zero)
-    return seg.select(*key_cols, *carry_cols, cols[0].alias("input_ids"), cols[1].alias("attention_mask"),
+    return seg.select(*key_cols, *carry_cols, *extra, cols[0].alias("input_ids"), cols[1].alias("attention_mask"),
                       cols[2].alias("token_type_ids"))
 
 
@@ -309,18 +293,18 @@ def pad_count(ids: Column, pad_token: int = 0) -> Column:
 
 
 def convert_examples_to_features(examples: DataFrame, labels: tuple[str, ...] | None, mode: str, vocab,
-                                 max_length: int = 128, on_unseen: str = "fail", pair: bool | None = None,
+                                 max_length: int = 512, on_unseen: str = "fail", pair: bool | None = None,
                                  **encode_kw) -> DataFrame:
     """Examples ``set_type, row_idx, guid, text_a, text_b, label`` -> features
     ``set_type, row_idx, guid, input_ids, attention_mask, token_type_ids,
     label_id, label_value``: pair encoding when ``text_b`` is present in any
     row (a null ``text_b`` encodes as an empty second segment), single-text
-    otherwise; every row is checked to have ``max_length`` entries."""
+    otherwise; one feature row per example, also for repeated or null guids; every
+    row is checked to have ``max_length`` entries."""
     has_b = pair if pair is not None else examples.filter(F.col("text_b").isNotNull()).limit(1).count() > 0
-    keys = ["set_type", "guid"]
-    # row index and label ride through the encoder: the examples are read once
+    keys = ["set_type", "row_idx", "guid"]
     feats = encode(examples, keys, "text_a", "text_b" if has_b else None, vocab, max_length,
-                   carry_cols=["row_idx", "label"], **encode_kw)
+                   carry_cols=["label"], **encode_kw)
     out = label_ids(assert_lengths(feats, max_length), labels, mode, on_unseen)
     return out.select("set_type", "row_idx", "guid", "input_ids", "attention_mask", "token_type_ids",
                       "label_id", "label_value")
