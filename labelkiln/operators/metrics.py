@@ -73,9 +73,10 @@ def roc_auc(df: DataFrame, group_cols: Sequence[str], y: str = "y", p: str = "p"
                                              F.count_if(F.col(y) != 1).alias("neg")))
     ranked = prefix_below(ties, g, p, ["neg"], buckets=buckets, lo=lo, hi=hi)
     agg = ranked.groupBy(*g).agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))).alias("_num"),
+        F.sum(F.col("pos").cast("double") * (F.col("neg_below") + F.col("neg") / F.lit(2.0))).alias("_num"),
         F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return agg.select(*g, F.try_divide(F.col("_num"), (F.col("_p") * F.col("_n")).cast("double")).alias("roc_auc"))
+    return agg.select(*g, F.try_divide(F.col("_num"), F.col("_p").cast("double") * F.col("_n").cast("double"))
+                      .alias("roc_auc"))
 
 
 def pearson(df: DataFrame, group_cols: Sequence[str], a: str, b: str, name: str = "pearson") -> DataFrame:

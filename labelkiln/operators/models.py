@@ -56,21 +56,30 @@ def dense_head_udf(dim: int = EMBED_DIM, hidden: int = HIDDEN):
     return head
 
 
-def token_vectors(vectors, n_ids: int, dim: int = EMBED_DIM, max_cells: int = 50_000_000) -> np.ndarray:
-    """Dense (n_ids x dim) matrix of the vectors of token ids 0..n_ids-1 (rows
-    of ``vectors`` = ``vec_id, embedding``; ids without a row stay zero). Only
-    ids a tokenizer can emit are kept, so the size is bounded by the
-    vocabulary, and it is checked before it is collected."""
+def token_vectors(vectors, n_ids: int, missing: str = "fail", max_cells: int = 1 << 28) -> np.ndarray:
+    """Dense matrix of the vectors of token ids 0..n_ids-1 (rows of ``vectors`` =
+    ``vec_id, embedding``), as wide as the vectors are. Ids without a vector are an
+    error, or zeros with ``missing='zero'``; so are vectors of unequal width. Only
+    ids a tokenizer can emit are kept, so the size is bounded by the vocabulary."""
+    rows = {r["vec_id"]: np.asarray(r["embedding"], dtype=np.float32) for r in
+            vectors.filter(F.col("vec_id") < n_ids).select("vec_id", "embedding").collect()}
+    widths = {len(v) for v in rows.values()}
+    if len(widths) != 1:
+        raise ValueError(f"token vectors of widths {sorted(widths)}")
+    dim = widths.pop()
     if n_ids * dim > max_cells:
         raise ValueError(f"token vector table {n_ids} x {dim} exceeds {max_cells} cells")
+    lost = [i for i in range(n_ids) if i not in rows]
+    if lost and missing != "zero":
+        raise ValueError(f"{len(lost)} of {n_ids} token ids have no vector, the first is {lost[0]}")
     m = np.zeros((n_ids, dim))
-    for r in vectors.filter(F.col("vec_id") < n_ids).select("vec_id", "embedding").collect():
-        m[r["vec_id"], :] = np.asarray(r["embedding"], dtype=np.float64)[:dim]
+    for i, v in rows.items():
+        m[i] = v
     return m
 
 
 def mean_pool(features, key_cols, vectors, n_ids: int, divisor: str = "pad", pad_token: int = 0,
-              dim: int = EMBED_DIM, ids_col: str = "input_ids"):
+              missing: str = "fail", ids_col: str = "input_ids"):
     """Sum of the token vectors over all positions of ``ids_col``, divided by
     the number of padding ids ('pad', at least 1) or of real ids ('tokens').
 
@@ -80,7 +89,9 @@ def mean_pool(features, key_cols, vectors, n_ids: int, divisor: str = "pad", pad
     if divisor not in ("pad", "tokens"):
         raise ValueError(divisor)
     spark = features.sparkSession
-    bc = spark.sparkContext.broadcast(token_vectors(vectors, n_ids, dim))
+    matrix = token_vectors(vectors, n_ids, missing)
+    dim = matrix.shape[1]
+    bc = spark.sparkContext.broadcast(matrix)
     by_pad = divisor == "pad"
 
     @F.pandas_udf("array<double>")
@@ -161,6 +172,16 @@ def score_per_label(heads: dict, feats, keep_cols):
     return out
 
 
+def mean_over_windows(pooled, key_cols, vec_col: str = "pooled"):
+    """One vector per key: the mean of its windows' vectors."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = pooled.select(*key_cols, array_to_vector(F.col(vec_col)).alias("_v"))
+    return v.groupBy(*key_cols).agg(Summarizer.mean(F.col("_v")).alias("_m")).select(
+        *key_cols, vector_to_array("_m").alias(vec_col))
+
+
 def fit_pooled_classifier(train, vec_col: str = "pooled", max_iter: int = 5, weight_col: str | None = None):
     """2-class classifier on pooled sequence vectors (multinomial logistic
     regression over the pooled vector; the decision is the arg-max class)."""

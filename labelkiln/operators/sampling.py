@@ -51,9 +51,9 @@ def class_weights(counts: DataFrame) -> DataFrame:
 
 
 def row_weights(long_df: DataFrame, weights: DataFrame, label_col: str = "label_name", y: str = "y") -> DataFrame:
-    """Each row gets its class weight. The weight table has one row per
-    (label, class): 2 x number of labels, so broadcasting it is always safe."""
-    return long_df.join(F.broadcast(weights.select(label_col, y, "weight")), [label_col, y])
+    """Each row gets its class weight. The weight table has one row per (label,
+    class) of the data; the planner broadcasts it from its measured size."""
+    return long_df.join(weights.select(label_col, y, "weight"), [label_col, y])
 
 
 def weighted_resample(long_df: DataFrame, id_col: str = "doc_id", draw_col: str = "row_idx",
@@ -72,9 +72,7 @@ def weighted_resample(long_df: DataFrame, id_col: str = "doc_id", draw_col: str
                                             F.count_if(F.col(y) == 1).alias("_n1"))
     keyed = long_df.select(label_col, y, id_col).withColumn("_lk_key", order_key(seed, id_col))
     indexed = rank_by_key(keyed, [label_col, y], ["_lk_key", id_col], "_idx").drop("_lk_key")
-    # counts: one row per label name, bounded by the label set
-    draws = long_df.select(label_col, F.col(draw_col).cast("bigint").alias("draw")) \
-        .join(F.broadcast(counts), label_col)
+    draws = long_df.select(label_col, F.col(draw_col).cast("bigint").alias("draw")).join(counts, label_col)
     coin = hash52("draw:", F.col(label_col), ":", F.col("draw"), ":class") % 2
     cls = F.when(F.col("_n0") == 0, 1).when(F.col("_n1") == 0, 0).otherwise(coin).cast("int")
     draws = draws.withColumn(y, cls)

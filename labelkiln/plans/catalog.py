@@ -82,8 +82,7 @@ def roc_auc_by_label(spark, sf):
 
 @register("pearson_spearman", Q.q_pearson_spearman())
 def pearson_spearman(spark, sf):
-    tp = D.task_predictions(spark, sf).filter(F.col("task") == "sts-b")
-    return rounded(M.pearson_and_spearman(tp, ["task"], "pred", "label"))
+    return rounded(M.pearson_and_spearman(D.regression_predictions(spark, sf), ["task"], "pred", "label"))
 
 
 @register("task_metrics_dispatch", Q.q_task_metrics_dispatch())
@@ -119,6 +118,16 @@ def bce_loss_by_batch(spark, sf):
     return rounded(_bce_history(spark, sf))
 
 
+@register("bce_loss_resampled_batches", Q.q_bce_loss_resampled_batches())
+def bce_loss_resampled_batches(spark, sf):
+    """E2 as one flow: class-balanced resample -> batches of 10 -> loss per
+    batch, encoder, label and epoch (a row drawn twice counts twice)."""
+    drawn = SA.batches(SA.weighted_resample(_train_long(spark, sf), "doc_id", "row_idx", SHUFFLE_SEED), "draw", BATCH_SIZE)
+    s = D.scored(spark, sf).filter(F.col("split") == "train").select("doc_id", "label_name", "encoder", "epoch", "y", "p")
+    both = drawn.select("doc_id", "label_name", "batch_id").join(s, ["doc_id", "label_name"])
+    return rounded(M.bce_loss(both, ["encoder", "label_name", "epoch", "batch_id"]))
+
+
 @register("ce_loss_by_batch", Q.q_ce_loss_by_batch())
 def ce_loss_by_batch(spark, sf):
     from labelkiln.operators.models import two_class_head
@@ -201,20 +210,20 @@ def encoder_pivot(spark, sf):
 LIMITS = {"train": 30000, "val": 3500, "test": 3500}
 
 
-def _shuffled(spark, sf):
-    return SA.shuffle_limit(D.comments(spark, sf), "doc_id", SHUFFLE_SEED, "split", LIMITS)
+def _shuffled(spark, sf, limits=None):
+    return SA.shuffle_limit(D.comments(spark, sf), "doc_id", SHUFFLE_SEED, "split", limits)
 
 
-def _train_long(spark, sf):
-    """Training rows in long form; limit-bounded and read by several
-    aggregations, so written once."""
-    t = _shuffled(spark, sf).filter(F.col("split") == "train").drop("comment_text")
+def _train_long(spark, sf, limits=None):
+    """Training rows in long form (all of them unless ``limits`` are passed);
+    read by several aggregations, so written once."""
+    t = _shuffled(spark, sf, limits).filter(F.col("split") == "train").drop("comment_text")
     return cut_lineage(t.unpivot(["doc_id", "row_idx"], list(D.LABEL_NAMES), "label_name", "y"), "train")
 
 
 @register("shuffle_limit", Q.q_shuffle_limit())
 def shuffle_limit(spark, sf):
-    return _shuffled(spark, sf).select("split", "doc_id", "row_idx")
+    return _shuffled(spark, sf, LIMITS).select("split", "doc_id", "row_idx")
 
 
 @register("batches_of_10", Q.q_batches_of_10())
@@ -288,6 +297,15 @@ def shuffle_limit_sweep(spark, sf):
     return s.select("split", "doc_id", "row_idx")
 
 
+BINDING_LIMITS = {"train": 100, "val": 10, "test": 10}
+
+
+@register("shuffle_limit_binding", Q.q_shuffle_limit_with(100, 10, 10))
+def shuffle_limit_binding(spark, sf):
+    """L1/L2 with limits below the row counts, so that they bind."""
+    return _shuffled(spark, sf, BINDING_LIMITS).select("split", "doc_id", "row_idx")
+
+
 # the committed sweep script's configuration (another label and a wider grid)
 WIDE_LABEL, WIDE_START, WIDE_STOP, WIDE_NUM = "toxic", 0.45, 0.70, 26
 

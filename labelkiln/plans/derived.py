@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def token_vector_table(spark: SparkSession, sf_dir: str, n_ids: int) -> DataFrame:
+    """A vector for every token id: the embeddings are used round and round."""
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("_v"), "embedding")
+    ids = spark.range(n_ids).select(F.col("id").alias("vec_id"), (F.col("id") % F.lit(e.count())).alias("_v"))
+    return ids.join(e, "_v").select("vec_id", "embedding")
+
+
 def split_of(key: Column, tag: str = "split:") -> Column:
     h = hash52(tag, key) % 10
     return F.when(h < 8, "train").when(h == 8, "val").otherwise("test")
@@ -85,11 +92,15 @@ def task_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = F.when(h < 200, label).otherwise((label + 1) % k)
     cls_rows = rows.select("task", F.col("doc_id").alias("id"), pred.cast("double").alias("pred"),
                            label.cast("double").alias("label"))
+    return cls_rows.unionByName(regression_predictions(spark, sf_dir))
+
+
+def regression_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sts-b rows of ``task_predictions``."""
     conv = table(spark, sf_dir, "conversations")
     lab_r = (F.col("turn") % 6).cast("double")
-    reg_rows = conv.select(
+    return conv.select(
         F.lit("sts-b").alias("task"),
         (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
         (lab_r * F.lit(0.8) + hash_byte_score("stsb:", F.col("conv_id"), ":", F.col("turn"))).alias("pred"),
         lab_r.alias("label"))
-    return cls_rows.unionByName(reg_rows)

@@ -13,6 +13,8 @@ from labelkiln.plans.catalog import THRESHOLD, register
 from labelkiln.session import cut_lineage, fresh_dir
 
 EPOCHS = 5
+#: Bound on the labelled rows the perceptron is fitted on, per split.
+MAX_FIT_ROWS = {"train": 30000, "val": 3500, "test": 3500}
 NUM_FEATURES = 4096
 
 
@@ -68,19 +70,23 @@ def epoch_metrics_from_fits(spark, sf):
     return M.accuracy_f1(conf, g).join(M.roc_auc(scored, g), g)
 
 
+def _pooled_labels(spark, sf):
+    """Pooled vectors of the documents with their labels, the train rows with the
+    weight of their class; written once and read by every fit."""
+    from labelkiln.plans.text_queries import pooled_documents
+    lab = D.labelled(spark, sf)
+    w = SA.class_weights(SA.class_counts(lab.filter(F.col("split") == "train"))).select("label_name", "y", "weight")
+    return cut_lineage(lab.join(w, ["label_name", "y"], "left").join(pooled_documents(spark, sf, "pad"), "doc_id"), "pooled")
+
+
 @register("fit_pooled_classifier")
 def fit_pooled_classifier(spark, sf):
     """M2: pooled token vectors -> 2-class model per label -> arg-max class."""
-    from labelkiln.plans.text_queries import _docs, _vocab
-    from labelkiln.operators import features as FE
-    v = _vocab(spark, sf)
-    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, 128)
-    pooled = MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), "pad")
-    lab = D.labelled(spark, sf).join(pooled, "doc_id")
+    lab = _pooled_labels(spark, sf)
     out = None
     for name in D.LABEL_NAMES:
         rows = lab.filter(F.col("label_name") == name)
-        m = MO.fit_pooled_classifier(rows.filter(F.col("split") == "train"))
+        m = MO.fit_pooled_classifier(rows.filter(F.col("split") == "train"), weight_col="weight")
         part = MO.argmax_scores(m, rows.filter(F.col("split") != "train"), keep_cols=["doc_id", "split",
                                                                                        "label_name"])
         out = part if out is None else out.unionByName(part)
@@ -137,14 +143,10 @@ def fit_dense_head_mlp(spark, sf):
     token vectors, trained on the class-balanced resample of the (shuffled,
     limited) train rows; scores every held-out row: doc_id, split, label_name, y, p."""
     from pyspark.ml.functions import array_to_vector
-    from labelkiln.operators import features as FE
     from labelkiln.plans.catalog import _train_long
-    from labelkiln.plans.text_queries import _docs, _vocab
-    v = _vocab(spark, sf)
-    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, 128)
-    pooled = cut_lineage(MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), "tokens"),
-                         "pooled")
-    draws = SA.weighted_resample(_train_long(spark, sf), "doc_id", "row_idx", 42)
+    from labelkiln.plans.text_queries import pooled_documents
+    pooled = cut_lineage(pooled_documents(spark, sf, "tokens"), "pooled")
+    draws = SA.weighted_resample(_train_long(spark, sf, MAX_FIT_ROWS), "doc_id", "row_idx", 42)
     held = D.labelled(spark, sf).filter(F.col("split") != "train").join(pooled, "doc_id")
     out = None
     for name in D.LABEL_NAMES:
@@ -162,23 +164,17 @@ def pooled_epoch_metrics(spark, sf):
     """The pooled-sequence head run: per label, 2-class fits with maxIter =
     1..EPOCHS on pooled token vectors, arg-max predictions on the held-out
     rows, acc and F1 per (split, label, epoch), and the first epoch with the
-    best F1 per (split, label) (``best_epoch`` repeated on every row)."""
-    from labelkiln.operators import features as FE
-    from labelkiln.plans.text_queries import _docs, _vocab
-    v = _vocab(spark, sf)
-    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, 128)
-    pooled = cut_lineage(MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), "pad"),
-                         "pooled")
-    lab = D.labelled(spark, sf).join(pooled, "doc_id")
+    best F1 on the validation split (``best_epoch``, on every row of the label)."""
+    lab = _pooled_labels(spark, sf)
     scored = None
     for e in range(1, EPOCHS + 1):
         for name in D.LABEL_NAMES:
             rows = lab.filter(F.col("label_name") == name)
-            m = MO.fit_pooled_classifier(rows.filter(F.col("split") == "train"), max_iter=e)
+            m = MO.fit_pooled_classifier(rows.filter(F.col("split") == "train"), max_iter=e, weight_col="weight")
             part = MO.argmax_scores(m, rows.filter(F.col("split") != "train"),
                                     keep_cols=["doc_id", "split", "label_name"]).withColumn("epoch", F.lit(e))
             scored = part if scored is None else scored.unionByName(part)
     g = ["split", "label_name", "epoch"]
     hist = M.accuracy_f1(M.confusion(scored, g), g)
-    best = S.first_argmax(hist.withColumnRenamed("f1", "value"), ["split", "label_name"])
-    return hist.join(best.select("split", "label_name", "best_epoch"), ["split", "label_name"])
+    best = S.first_argmax(hist.filter(F.col("split") == "val").withColumnRenamed("f1", "value"), ["label_name"])
+    return hist.join(best.select("label_name", "best_epoch"), ["label_name"], "left")

@@ -281,11 +281,15 @@ SELECT split, label_name, metric, epoch,
 FROM hist GROUP BY split, label_name, metric, epoch"""
 
 
-SHUFFLED = f"""shuffled AS (
+LIMITED = f"""shuffled AS (
   SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY split ORDER BY {H52.format(x="'42:' || doc_id")}, doc_id) - 1
                         AS row_idx FROM comments c) t
   WHERE row_idx < CASE split WHEN 'train' THEN 30000 WHEN 'val' THEN 3500 WHEN 'test' THEN 3500 END)"""
 
+SHUFFLED = f"""shuffled AS (
+  SELECT c.*, row_number() OVER (PARTITION BY split ORDER BY {H52.format(x="'42:' || doc_id")}, doc_id) - 1 AS row_idx
+  FROM comments c)"""
+
 TRAIN_LONG = """train_long AS (
   SELECT doc_id, row_idx, 'threat' AS label_name, threat AS y FROM shuffled WHERE split = 'train'
   UNION ALL SELECT doc_id, row_idx, 'insult', insult FROM shuffled WHERE split = 'train'
@@ -294,7 +298,7 @@ TRAIN_LONG = """train_long AS (
 
 
 def q_shuffle_limit() -> str:
-    return with_(COMMENTS, SHUFFLED) + "SELECT split, doc_id, row_idx FROM shuffled"
+    return with_(COMMENTS, LIMITED) + "SELECT split, doc_id, row_idx FROM shuffled"
 
 
 def q_batches_of_10() -> str:
@@ -317,9 +321,7 @@ FROM train_long t JOIN (SELECT label_name, y, count(*) AS n FROM train_long GROU
   USING (label_name, y)"""
 
 
-def q_weighted_resample() -> str:
-    return with_(COMMENTS, SHUFFLED, TRAIN_LONG) + f"""
-, cnt AS (SELECT label_name, count_if(y = 0) AS n0, count_if(y = 1) AS n1 FROM train_long GROUP BY label_name),
+RESAMPLED = f"""cnt AS (SELECT label_name, count_if(y = 0) AS n0, count_if(y = 1) AS n1 FROM train_long GROUP BY label_name),
 cidx AS (SELECT label_name, y, doc_id,
                 row_number() OVER (PARTITION BY label_name, y ORDER BY {H52.format(x="'42:' || doc_id")}, doc_id) - 1 AS cidx
          FROM train_long),
@@ -328,9 +330,24 @@ draws AS (SELECT t.label_name, t.row_idx AS draw, c.n0, c.n1,
                       ELSE {H52.format(x="'draw:' || t.label_name || ':' || t.row_idx || ':class'")} % 2 END AS cls
           FROM train_long t JOIN cnt c USING (label_name)),
 pick AS (SELECT *, {H52.format(x="'draw:' || label_name || ':' || draw || ':idx'")}
-                   % CASE WHEN cls = 1 THEN n1 ELSE n0 END AS idx FROM draws)
-SELECT p.label_name, p.draw::BIGINT AS draw, c.doc_id, c.y, (p.draw // 10)::BIGINT AS batch_id
-FROM pick p JOIN cidx c ON c.label_name = p.label_name AND c.y = p.cls AND c.cidx = p.idx"""
+                   % CASE WHEN cls = 1 THEN n1 ELSE n0 END AS idx FROM draws),
+r AS (
+  SELECT p.label_name, p.draw::BIGINT AS draw, c.doc_id, c.y, (p.draw // 10)::BIGINT AS batch_id
+FROM pick p JOIN cidx c ON c.label_name = p.label_name AND c.y = p.cls AND c.cidx = p.idx)"""
+
+
+def q_weighted_resample() -> str:
+    return with_(COMMENTS, SHUFFLED, TRAIN_LONG, RESAMPLED) + "SELECT * FROM r"
+
+
+def q_bce_loss_resampled_batches() -> str:
+    return with_(COMMENTS, LABELLED, SCORED, SHUFFLED, TRAIN_LONG, RESAMPLED) + """
+SELECT encoder, label_name, epoch, batch_id,
+       round(avg(-(y * CASE WHEN p > 0 THEN greatest(ln(p), -100.0) ELSE -100.0 END
+                   + (1 - y) * CASE WHEN p < 1 THEN greatest(ln(1 - p), -100.0) ELSE -100.0 END)), 6) AS loss
+FROM (SELECT r.label_name, r.batch_id, s.encoder, s.epoch, s.y, s.p FROM r
+      JOIN (SELECT * FROM scored WHERE split = 'train') s ON s.doc_id = r.doc_id AND s.label_name = r.label_name) t
+GROUP BY encoder, label_name, epoch, batch_id"""
 
 
 def q_label_vectors() -> str:
@@ -362,6 +379,6 @@ FROM arrays a JOIN losses l USING (encoder, label_name)"""
 
 
 def q_shuffle_limit_with(train: int, val: int, test: int) -> str:
-    shuffled = SHUFFLED.replace("THEN 30000", f"THEN {train}").replace("WHEN 'val' THEN 3500", f"WHEN 'val' THEN {val}") \
+    shuffled = LIMITED.replace("THEN 30000", f"THEN {train}").replace("WHEN 'val' THEN 3500", f"WHEN 'val' THEN {val}") \
         .replace("WHEN 'test' THEN 3500", f"WHEN 'test' THEN {test}")
     return with_(COMMENTS, shuffled) + "SELECT split, doc_id, row_idx FROM shuffled"

@@ -224,6 +224,27 @@ SELECT pair_id, {_pack('list_slice(ia, 1, ka)', 'list_slice(ib, 1, kb)', L, left
 FROM cut"""
 
 
+def q_features_repeated_guid(L: int = 128) -> str:
+    pairs = q_encode_pair(L)
+    return f"""
+SELECT 'train' AS set_type, pair_id AS row_idx,
+       CASE WHEN pair_id % 5 = 0 THEN NULL ELSE 'train-' || (pair_id % 3) END AS guid,
+       input_ids, attention_mask, token_type_ids, ((pair_id // 1000) % 2)::BIGINT AS label_id, NULL::DOUBLE AS label_value
+FROM ({pairs}) e"""
+
+
+def q_encode_windows(L: int = 128) -> str:
+    budget = L - 2
+    return with_(VOCAB, "docs_t AS (SELECT doc_id, text FROM documents)",
+                 _segments("docs_t", "doc_id", ["text"], 1_000_000_000)) + f"""
+, w AS (SELECT d.doc_id, coalesce(s.ids, []::INTEGER[]) AS ids,
+               unnest(range(greatest(1, (len(coalesce(s.ids, []::INTEGER[])) + {budget - 1}) // {budget}))) AS k
+        FROM docs_t d LEFT JOIN seg_0 s USING (doc_id))
+SELECT doc_id, k::INTEGER AS "window",
+       {_pack(f"list_slice(ids, k * {budget} + 1, k * {budget} + {budget})", None, L)}
+FROM w"""
+
+
 def q_feature_length_check(L: int = 128) -> str:
     return f"""
 SELECT count(*) AS n_rows,
@@ -289,7 +310,7 @@ pos AS (SELECT doc_id, unnest(input_ids) AS tok, {div} AS dv FROM f),
 cnt AS (SELECT doc_id, tok, dv, count(*) AS c FROM pos GROUP BY doc_id, tok, dv),
 dims AS (SELECT c.doc_id, c.dv, u.i, sum(c.c * u.x::DOUBLE) AS s
          FROM cnt c JOIN (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM embeddings) u
-           ON u.vec_id = c.tok
+           ON u.vec_id = c.tok % (SELECT count(*) FROM embeddings)
          GROUP BY c.doc_id, c.dv, u.i)
 SELECT f.doc_id, coalesce(list(round(d.s / d.dv, 6) + 0.0 ORDER BY d.i) FILTER (WHERE d.i IS NOT NULL),
                           list_transform(range(64), lambda x: 0.0)) AS pooled

@@ -154,10 +154,19 @@ def preview_first_5(spark, sf):
     return FE.assert_lengths(feats, MAX_LEN).join(lab, "guid")
 
 
+def pooled_documents(spark, sf, divisor):
+    """One vector per document over its whole text (the mean of its windows)."""
+    v = _vocab(spark, sf)
+    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, MAX_LEN, overflow="windows")
+    pooled = MO.mean_pool(feats, ["doc_id"], D.token_vector_table(spark, sf, len(v.map)), len(v.map), divisor)
+    return MO.mean_over_windows(pooled, ["doc_id"])
+
+
 def _pooled(spark, sf, divisor):
     v = _vocab(spark, sf)
     feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, MAX_LEN)
-    return rounded(MO.mean_pool(feats, ["doc_id"], D.table(spark, sf, "embeddings"), len(v.map), divisor))
+    return rounded(MO.mean_pool(feats, ["doc_id"], D.token_vector_table(spark, sf, len(v.map)), len(v.map),
+                                divisor))
 
 
 @register("mean_pool_pad_divisor", X.q_mean_pool("pad", MAX_LEN))
@@ -220,6 +229,23 @@ for _t in ("mrpc", "sts-b", "cola"):
     register(f"features_{_t.replace('-', '_')}", X.q_task_features(_t, MAX_LEN))(_task_features(_t))
 
 
+@register("features_repeated_guid", X.q_features_repeated_guid(MAX_LEN))
+def features_repeated_guid(spark, sf):
+    """E1 with guids that repeat (and are null for some rows): one feature row per
+    example, told apart by its row index."""
+    p = FX.pair_rows(spark, sf)
+    guid = F.when(F.col("pair_id") % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("train-"), (F.col("pair_id") % 3).cast("string")))
+    ex = p.select(F.lit("train").alias("set_type"), F.col("pair_id").alias("row_idx"), guid.alias("guid"), "text_a", "text_b",
+                  (F.col("conv_id") % 2).cast("string").alias("label"))
+    return FE.convert_examples_to_features(ex, ("0", "1"), "classification", _vocab(spark, sf), MAX_LEN, pair=True)
+
+
+@register("encode_windows_128", X.q_encode_windows(MAX_LEN))
+def encode_windows_128(spark, sf):
+    """F1 over whole texts: one row per window of 126 pieces."""
+    return _single(spark, sf, overflow="windows")
+
+
 @register("example_counts", X.q_example_counts())
 def example_counts(spark, sf):
     """A19: number of examples per task and set, read through the task files."""

@@ -52,24 +52,75 @@ def _examples(df: DataFrame, set_type: str, guid_tail: Column, a: Column, b: Col
                      a.alias("text_a"), b.cast("string").alias("text_b"), label.cast("string").alias("label"))
 
 
-def tsv_examples(rows: DataFrame, spec: TaskSpec, set_type: str) -> DataFrame:
+def needed_columns(spec: TaskSpec) -> int:
+    """How many columns a row must have for its task."""
+    places = [spec.text_a, spec.text_b, spec.label, spec.guid_col if spec.guid_from == "col" else None]
+    return max((p + 1 for p in places if isinstance(p, int) and p != LAST), default=1)
+
+
+def is_short(spec: TaskSpec) -> Column:
+    return F.size("cols") < needed_columns(spec)
+
+
+def tsv_examples(rows: DataFrame, spec: TaskSpec, set_type: str, on_short: str = "fail") -> DataFrame:
+    """Rows with fewer columns than ``min_cols`` are skipped where the task says
+    so; any other short row fails the job (``on_short='fail'``) or is left out
+    (``'quarantine'``: see ``tsv_quarantine``)."""
     df = rows.filter(F.col("row_idx") >= spec.skip_rows)
     if spec.min_cols:
         df = df.filter(F.size("cols") >= spec.min_cols)
+    if on_short == "quarantine":
+        df = df.filter(~is_short(spec))
+    elif on_short == "fail":
+        told = F.concat(F.lit(f"{spec.name}: short row "), F.col("row_idx").cast("string"))
+        df = df.withColumn("cols", F.when(is_short(spec), F.raise_error(told).cast("array<string>")).otherwise(F.col("cols")))
+    else:
+        raise ValueError(on_short)
     tail = F.col("row_idx") if spec.guid_from == "row" else _cell(spec.guid_col)
     return _examples(df, set_type, tail, _cell(spec.text_a), _cell(spec.text_b), _cell(spec.label))
 
 
+def tsv_quarantine(rows: DataFrame, spec: TaskSpec) -> DataFrame:
+    """``row_idx, n_cols`` of the short rows that ``on_short='quarantine'`` leaves out."""
+    df = rows.filter(F.col("row_idx") >= spec.skip_rows)
+    if spec.min_cols:
+        df = df.filter(F.size("cols") >= spec.min_cols)
+    return df.filter(is_short(spec)).select("row_idx", F.size("cols").alias("n_cols"))
+
+
 BOOLQ_SCHEMA = T.StructType([T.StructField("idx", T.LongType()), T.StructField("question", T.StringType()),
                              T.StructField("passage", T.StringType()), T.StructField("label", T.BooleanType())])
 
 
-def jsonl_examples(lines: DataFrame, spec: TaskSpec, set_type: str,
-                   schema: T.StructType = BOOLQ_SCHEMA) -> DataFrame:
+BROKEN = "_broken"
+
+
+def parsed_json(lines: DataFrame, spec: TaskSpec, schema: T.StructType) -> DataFrame:
+    """``row_idx, value, j, bad``: the parsed lines; ``bad`` if a line is no JSON
+    object of the schema or lacks a field of the task."""
+    wide = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    read = F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    needed = [f for f in (spec.guid_col, spec.text_a, spec.text_b, spec.label) if f is not None]
+    bad = F.col("j").isNull() | F.col(f"j.{BROKEN}").isNotNull()
+    for f in needed:
+        bad |= F.col(f"j.{f}").isNull()
+    return (lines.filter(F.col("row_idx") >= spec.skip_rows).withColumn("j", read).withColumn("bad", bad))
+
+
+def jsonl_examples(lines: DataFrame, spec: TaskSpec, set_type: str, schema: T.StructType = BOOLQ_SCHEMA,
+                   on_broken: str = "fail") -> DataFrame:
     """One JSON object per line. ``skip_rows`` applies to lines even though
-    JSONL has no header (the first record is dropped by default)."""
-    df = lines.filter(F.col("row_idx") >= spec.skip_rows).select(
-        "row_idx", F.from_json("value", schema).alias("j"))
+    JSONL has no header (the first record is dropped by default). A broken line or
+    a missing field fails the job (``on_broken='fail'``) or is left out
+    (``'quarantine'``: see ``jsonl_quarantine``)."""
+    df = parsed_json(lines, spec, schema)
+    if on_broken == "quarantine":
+        df = df.filter(~F.col("bad"))
+    elif on_broken == "fail":
+        told = F.concat(F.lit(f"{spec.name}: broken line "), F.col("row_idx").cast("string"))
+        df = df.withColumn("j", F.when(F.col("bad"), F.raise_error(told).cast(df.schema["j"].dataType)).otherwise(F.col("j")))
+    else:
+        raise ValueError(on_broken)
     lab = F.col(f"j.{spec.label}")
     label = F.when(lab, F.lit("True")).when(~lab, F.lit("False")) if isinstance(
         schema[spec.label].dataType, T.BooleanType) else lab.cast("string")
@@ -77,6 +128,11 @@ def jsonl_examples(lines: DataFrame, spec: TaskSpec, set_type: str,
     return _examples(df, set_type, F.col(f"j.{spec.guid_col}"), F.col(f"j.{spec.text_a}"), b, label)
 
 
+def jsonl_quarantine(lines: DataFrame, spec: TaskSpec, schema: T.StructType = BOOLQ_SCHEMA) -> DataFrame:
+    """``row_idx, value`` of the lines that ``on_broken='quarantine'`` leaves out."""
+    return parsed_json(lines, spec, schema).filter("bad").select("row_idx", "value")
+
+
 ABUSE_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("comment_text", T.StringType()),
                              T.StructField("threat", T.IntegerType()), T.StructField("insult", T.IntegerType()),
                              T.StructField("toxic", T.IntegerType()), T.StructField("IsAbuse", T.IntegerType())])
@@ -84,12 +140,23 @@ ABUSE_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField(
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
              multi_line: bool = True) -> DataFrame:
-    """RFC-4180 CSV (doubled quotes inside quoted fields). With ``multi_line``
-    quoted fields may hold newlines, but such a file cannot be split, so each
-    file is one task; files known to have none can pass ``multi_line=False``
-    and are split like any text file."""
-    return (spark.read.schema(schema).option("header", header).option("multiLine", multi_line)
-            .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").csv(path))
+    """RFC-4180 CSV (doubled quotes inside quoted fields). With a header, columns
+    are taken by name in any order and a missing one is an error; without one, by
+    position. With ``multi_line`` quoted fields may hold newlines, but such a file
+    cannot be split, so each file is one task; files known to have none can pass
+    ``multi_line=False`` and are split like any text file."""
+    reader = (spark.read.option("header", header).option("multiLine", multi_line)
+              .option("quote", '"').option("escape", '"').option("mode", "FAILFAST"))
+    if not header:
+        return reader.schema(schema).csv(path)
+    # the header line alone: every column as a string, in the file's order
+    names = reader.option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    types = {f.name: f.dataType for f in schema.fields}
+    in_file = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    return reader.schema(in_file).option("enforceSchema", False).csv(path)
 
 
 def is_missing_text(c: Column) -> Column:
@@ -150,12 +217,13 @@ COMMENT_SCHEMA = T.StructType([T.StructField("comment_text", T.StringType()),
                                T.StructField("toxic", T.IntegerType()), T.StructField("IsAbuse", T.IntegerType())])
 
 
-def read_comment_splits(spark: SparkSession, paths: dict[str, str],
-                        schema: T.StructType = COMMENT_SCHEMA) -> DataFrame:
+def read_comment_splits(spark: SparkSession, paths: dict[str, str], schema: T.StructType = COMMENT_SCHEMA,
+                        multi_line: bool = True) -> DataFrame:
     """One CSV per split -> one table with a ``split`` column and the row
     position inside its file."""
     out = None
     for split, path in paths.items():
-        df = with_file_row_index(read_csv(spark, path, schema)).withColumn("split", F.lit(split))
+        df = with_file_row_index(read_csv(spark, path, schema, multi_line=multi_line)).withColumn("split", F.lit(split))
+        df = df.select(*schema.fieldNames(), "row_idx", "split")
         out = df if out is None else out.unionByName(df)
     return out

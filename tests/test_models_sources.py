@@ -92,15 +92,25 @@ def test_mean_pool_matches_direct_sum(spark):
     import numpy as np
     from labelkiln.operators import models as MO
     vec = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0]), (5, [3.0, 3.0])], "vec_id long, embedding array<float>")
-    feats = spark.createDataFrame([(1, [5, 1, 7, 0, 0]), (2, [0, 0, 0, 0, 0])], "k int, input_ids array<int>")
-    got = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "pad", dim=2).collect()}
-    # row 1: vectors of 5, 1, (7 has none), 0, 0 -> (3+0+1+1, 3+2) / 2 pads
+    feats = spark.createDataFrame([(1, [5, 1, 4, 0, 0]), (2, [0, 0, 0, 0, 0])], "k int, input_ids array<int>")
+    got = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "pad", missing="zero").collect()}
+    # row 1: vectors of 5, 1, (4 has none), 0, 0 -> (3+0+1+1, 3+2) / 2 pads
     assert np.allclose(got[1], [5.0 / 2, 5.0 / 2])
     assert np.allclose(got[2], [5.0 / 5, 0.0])
-    tok = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "tokens", dim=2).collect()}
+    tok = {r["k"]: r["pooled"] for r in MO.mean_pool(feats, ["k"], vec, 6, "tokens", missing="zero").collect()}
     assert np.allclose(tok[1], [5.0 / 3, 5.0 / 3]) and np.allclose(tok[2], [5.0, 0.0])
 
 
+def test_token_vectors_must_be_complete_and_equally_wide(spark):
+    from labelkiln.operators import models as MO
+    vec = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0])], "vec_id long, embedding array<float>")
+    assert MO.token_vectors(vec, 2).shape == (2, 2)
+    with pytest.raises(ValueError, match="have no vector"):
+        MO.token_vectors(vec, 3)
+    with pytest.raises(ValueError, match="widths"):
+        MO.token_vectors(vec.unionByName(spark.createDataFrame([(2, [1.0])], vec.schema)), 3)
+
+
 def test_pooled_epoch_metrics_pick_first_best_f1(spark):
     rows = E.queries()["pooled_epoch_metrics"](spark, SF).collect()
     by = {}

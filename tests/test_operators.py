@@ -247,3 +247,24 @@ def test_average_rank_matches_pandas(spark):
     pdf["r"] = pdf.groupby("g")["v"].rank(method="average")
     for (g, v), r in pdf.groupby(["g", "v"])["r"].first().items():
         assert got[(g, v)] == r
+
+
+
+
+def test_features_keep_rows_with_repeated_and_null_guids_apart(spark):
+    from labelkiln.operators import features as FE
+    vocab = FE.Vocab(spark, {"[PAD]": 0, "[UNK]": 1, "[CLS]": 2, "[SEP]": 3, "aa": 4, "bb": 5, "cc": 6})
+    rows = [("train", 0, "g", "aa bb", "cc", "0"), ("train", 1, "g", "bb", "aa", "1"), ("train", 2, None, "cc", "", "0")]
+    ex = spark.createDataFrame(rows, "set_type string, row_idx long, guid string, text_a string, text_b string, label string")
+    got = {r["row_idx"]: r["input_ids"] for r in
+           FE.convert_examples_to_features(ex, ("0", "1"), "classification", vocab, 8, pair=True).collect()}
+    assert got == {0: [2, 4, 5, 3, 6, 3, 0, 0], 1: [2, 5, 3, 4, 3, 0, 0, 0], 2: [2, 6, 3, 3, 0, 0, 0, 0]}
+
+
+def test_windows_cover_the_whole_text(spark):
+    from labelkiln.operators import features as FE
+    vocab = FE.Vocab(spark, {"[PAD]": 0, "[UNK]": 1, "[CLS]": 2, "[SEP]": 3, "aa": 4, "bb": 5})
+    df = spark.createDataFrame([(1, "aa bb aa bb aa"), (2, None)], "k int, t string")
+    got = sorted((r["k"], r["window"], r["input_ids"]) for r in
+                 FE.encode(df, ["k"], "t", None, vocab, 4, overflow="windows").collect())
+    assert got == [(1, 0, [2, 4, 5, 3]), (1, 1, [2, 4, 5, 3]), (1, 2, [2, 4, 3, 0]), (2, 0, [2, 3, 0, 0])]

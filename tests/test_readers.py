@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from labelkiln.operators import metrics as M
 from labelkiln.sources import readers as R
 from labelkiln.sources.tasks import TASKS
@@ -116,3 +118,36 @@ def test_single_line_csv_splits_and_keeps_row_positions(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == [(i, t) for i, t in enumerate(df["comment_text"]) if t != "NA"]
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    _write(path, ["id,comment_text,IsAbuse,threat,insult,toxic", "7,hello,1,0,0,0"])
+    got = R.csv_examples(spark, path, TASKS["abuse"], "train").collect()
+    assert [(r["text_a"], r["label"]) for r in got] == [("hello", "1")]
+    _write(path, ["id,comment_text,threat", "7,hello,1"])
+    with pytest.raises(ValueError, match="IsAbuse"):
+        R.csv_examples(spark, path, TASKS["abuse"], "train")
+
+
+def test_short_rows_fail_or_go_to_the_quarantine(spark, tmp_path):
+    path = str(tmp_path / "t.tsv")
+    _write(path, ["h\th\th\th\th", "1\ta", "0\t1\t2\tx\ty"])
+    rows = R.read_tsv(spark, path)
+    with pytest.raises(Exception, match="short row 1"):
+        R.tsv_examples(rows, TASKS["mrpc"], "train").collect()
+    kept = R.tsv_examples(rows, TASKS["mrpc"], "train", on_short="quarantine").collect()
+    assert [(r["text_a"], r["text_b"]) for r in kept] == [("x", "y")]
+    assert [(r["row_idx"], r["n_cols"]) for r in R.tsv_quarantine(rows, TASKS["mrpc"]).collect()] == [(1, 2)]
+
+
+def test_broken_json_fails_or_goes_to_the_quarantine(spark, tmp_path):
+    path = str(tmp_path / "t.jsonl")
+    good = '{"idx": 1, "question": "q", "passage": "p", "label": true}'
+    _write(path, [good, "not json", '{"idx": 3}', good])
+    lines = R.read_lines(spark, path)
+    with pytest.raises(Exception, match="broken line"):
+        R.jsonl_examples(lines, TASKS["boolq"], "train").collect()
+    kept = R.jsonl_examples(lines, TASKS["boolq"], "train", on_broken="quarantine").collect()
+    assert [(r["row_idx"], r["text_a"], r["label"]) for r in kept] == [(3, "q", "True")]
+    assert sorted(r["row_idx"] for r in R.jsonl_quarantine(lines, TASKS["boolq"]).collect()) == [1, 2]
