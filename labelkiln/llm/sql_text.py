@@ -61,8 +61,8 @@ r AS (SELECT *, CASE WHEN word_chars > 0 THEN least(n_symbols * 1000 // word_cha
              CASE WHEN n_lines > 0 THEN least(n_dup_lines * 1000 // n_lines, 1000) ELSE 0 END AS dup_lines,
              CASE WHEN n_words > 0 THEN least(n_repeat_words * 1000 // n_words, 1000) ELSE 0 END AS repeats FROM c),
 e AS (SELECT lang, source, 'symbols' AS kind, symbols AS bin, 50 AS slack FROM r UNION ALL
-      SELECT lang, source, 'dup_lines', dup_lines, 30 FROM r UNION ALL
-      SELECT lang, source, 'repeats', repeats, 150 FROM r),
+      SELECT lang, source, 'dup_lines', dup_lines, 300 FROM r UNION ALL
+      SELECT lang, source, 'repeats', repeats, 300 FROM r),
 k AS (SELECT GROUPING(source) AS any_source, GROUPING(lang) AS any_lang, lang, source, kind, bin, slack, count(*) AS n
       FROM e GROUP BY GROUPING SETS ((lang, source, kind, bin, slack), (lang, kind, bin, slack), (kind, bin, slack))),
 v AS (SELECT *, sum(n) OVER (PARTITION BY any_source, any_lang, lang, source, kind ORDER BY bin) AS upto,
