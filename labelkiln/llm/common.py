@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def spare(columns: list[str], name: str) -> str:
+    """``name``, or with underscores before it, so that it clashes with no column."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def utf8_words(text: str | None) -> list[bytes]:
     """The words of a text as UTF-8; ``bytes.split`` cuts at exactly the ASCII
     white space that ``WORD`` excludes. Null: no words."""

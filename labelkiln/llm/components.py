@@ -31,8 +31,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``edges(u, v)`` of one orderable type -> ``(node, root)`` for every node
-    that has an edge to another node; ``root`` is the component's smallest node.
+    """``edges(u, v)`` of one orderable type -> ``(node, root)`` for every node with
+    an edge but the roots themselves; ``root`` is the component's smallest node.
     Nulls and loops are ignored, repeated edges count once; no edges: no rows."""
     edges = cut_lineage(edges.select("u", "v").filter("u != v").distinct(), "edges")
     seen = None

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import word_count
+from labelkiln.llm.common import spare, word_count
 from labelkiln.session import cut_lineage
 
 #: Hex digits of the hash that name a bucket of the prefix sums.
@@ -113,18 +113,21 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epoch
     return rows, cut_lineage(plan, "plan")
 
 
-def copies(h: Column) -> Column:
-    """How often the mix takes a document whose source's plan is joined to it."""
-    more = F.coalesce(h <= F.col("cut"), F.lit(False)) | F.coalesce(h == F.col("pick"), F.lit(False))
-    return F.when(F.col("source_size") > 0, F.col("whole") + more.cast("long")).otherwise(0).cast("long")
+def copies(h: Column, plan: str) -> Column:
+    """How often the mix takes a document whose source's row of ``plan`` (an
+    alias) is joined to it."""
+    of = {c: F.col(f"{plan}.{c}") for c in ("cut", "pick", "whole", "source_size")}
+    more = F.coalesce(h <= of["cut"], F.lit(False)) | F.coalesce(h == of["pick"], F.lit(False))
+    return F.when(of["source_size"] > 0, of["whole"] + more.cast("long")).otherwise(0).cast("long")
 
 
 def mix_counts(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """One row per document: ``id_col``, ``size``, ``source_size``, ``target``
     (its source's) and ``taken`` (words the mix takes of it)."""
     rows, plan = mixing_plan(docs, id_col=id_col, **how)
-    return rows.join(plan, ["none", "src"]).select(
-        F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * copies(F.col("h"))).alias("taken"))
+    joined = rows.join(plan.alias("p"), ["none", "src"])
+    return joined.select(F.col("id").alias(id_col), "size", "source_size", "target",
+                         (F.col("size") * copies(F.col("h"), "p")).alias("taken"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, **how) -> DataFrame:
@@ -133,6 +136,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", see
     p, d = plan.alias("_plan"), docs.alias("_docs")
     source = F.col(f"_docs.`{source_col}`")
     joined = d.join(p, (source.isNull() == F.col("_plan.none")) & (F.coalesce(source, F.lit("")) == F.col("_plan.src")))
-    times = copies(seeded_hash(F.col(f"_docs.`{id_col}`"), seed))
-    repeated = joined.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times.cast("int"))))
-    return repeated.select(*[F.col(f"_docs.`{c}`") for c in docs.columns])
+    times = copies(seeded_hash(F.col(f"_docs.`{id_col}`"), seed), "_plan").cast("int")
+    one = spare(docs.columns, "_one")
+    return joined.select(*[F.col(f"_docs.`{c}`") for c in docs.columns],
+                         F.explode(F.array_repeat(F.lit(1), times)).alias(one)).drop(one)

@@ -172,10 +172,13 @@ class Resampler:
         best = max(np.flatnonzero(errors == errors.min()), key=lambda i: gap[i])
         return float((edges[best] + edges[best + 1]) / 2)
 
-    def weights(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``_weight`` and ``_drawn`` (weight plus Gumbel noise)."""
-        return docs.withColumn("_weight", log_weight(F.col(f"`{self.text_col}`"), self.ratio)).withColumn(
-            "_drawn", F.col("_weight") + gumbel(F.col(f"`{self.id_col}`"), self.seed))
+    def weight(self) -> Column:
+        """Log weight of a row."""
+        return log_weight(F.col(f"`{self.text_col}`"), self.ratio)
+
+    def drawn(self) -> Column:
+        """Log weight plus the row's Gumbel noise."""
+        return self.weight() + gumbel(F.col(f"`{self.id_col}`"), self.seed)
 
     def cut(self, weighted: DataFrame) -> float:
         """The k-th largest ``_drawn``, k being the number of weights above the level."""
@@ -206,7 +209,8 @@ class Resampler:
 def draw(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """One row per document: ``id_col``, ``log_weight``, ``drawn`` and ``kept``."""
     model = Resampler(docs, labels, id_col, **how)
-    weighted = cut_lineage(model.weights(docs).select(F.col(f"`{id_col}`").alias("id"), "_weight", "_drawn"), "weights")
+    weighted = cut_lineage(docs.select(F.col(f"`{id_col}`").alias("id"), model.weight().alias("_weight"),
+                                       model.drawn().alias("_drawn")), "weights")
     kept = F.col("_drawn") >= model.cut(weighted)
     return weighted.select(F.col("id").alias(id_col), F.col("_weight").alias("log_weight"), F.col("_drawn").alias("drawn"),
                            kept.alias("kept"))
@@ -215,6 +219,5 @@ def draw(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> D
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The drawn documents, with the columns of ``docs``."""
     model = Resampler(docs, labels, id_col, **how)
-    weighted = cut_lineage(model.weights(docs).select("_weight", "_drawn"), "weights")
-    cut = model.cut(weighted)
-    return model.weights(docs).filter(F.col("_drawn") >= cut).select(*[F.col(f"`{c}`") for c in docs.columns])
+    weighted = cut_lineage(docs.select(model.weight().alias("_weight"), model.drawn().alias("_drawn")), "weights")
+    return docs.filter(model.drawn() >= model.cut(weighted))

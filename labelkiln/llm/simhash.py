@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import utf8_words
+from labelkiln.llm.common import spare, utf8_words
 from labelkiln.llm.components import connected_components
 from labelkiln.session import cut_lineage
 
@@ -247,13 +247,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (a
     null id comes last), at equal ids the one with the smallest content hash."""
-    columns = docs.columns
-    marked = docs.withColumn("_content", F.xxhash64(*columns))
-    near = near_duplicates(marked.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
-                                                  "_content").alias("row"), F.col(text_col).alias("text")),
-                           "row", "text", **how)
-    stay = near.select("component_id").distinct().select("component_id.id", "component_id._content")
-    kept = (marked.alias("d").join(stay.alias("s"), F.col(f"d.`{id_col}`").eqNullSafe(F.col("s.id"))
-                                   & (F.col("d._content") == F.col("s._content")), "left_semi"))
+    columns, content = docs.columns, spare(docs.columns, "_content")
+    marked = docs.withColumn(content, F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    own = F.col(f"`{id_col}`")
+    near = near_duplicates(marked.select(
+        F.struct(own.isNull().alias("none"), own.alias("id"), F.col(content).alias("content")).alias("row"),
+        F.col(f"`{text_col}`").alias("text")), "row", "text", **how)
+    stay = near.select("component_id").distinct().select("component_id.id", "component_id.content").alias("_s")
+    kept = marked.alias("_d").join(stay, F.col(f"_d.`{id_col}`").eqNullSafe(F.col("_s.id"))
+                                   & (F.col(f"_d.{content}") == F.col("_s.content")), "left_semi")
     # exact repeats of a row share its id and content: one of them stays
-    return kept.dropDuplicates([id_col, "_content"]).select(*[F.col(f"`{c}`") for c in columns])
+    return kept.dropDuplicates([id_col, content]).drop(content)

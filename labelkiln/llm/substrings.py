@@ -205,7 +205,7 @@ def _cut(width: int):
     """Removes the windows that begin at the given (start, n) ranges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):
             n_words, n_gone, spans, kept = [], [], [], []
             for t, ranges in zip(b.column(1), b.column(2)):
                 words = utf8_words(unpack(t.as_py()))
