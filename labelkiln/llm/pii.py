@@ -24,6 +24,7 @@ length); repeated rows get equal results; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +62,12 @@ DATE_PARTS, DATE_FIRST = (189, 773), -62091
 LOWER, UPPER, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "0123456789abcdef"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once: as the variable of a lambda.
+    Inside lambdas anything else would be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _prf(key: str, *parts: Column) -> Column:
     """A keyed pseudo-random number below 2**48."""
     text = F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts])
@@ -87,7 +94,8 @@ def permute_text(s: Column, key: str, tag: str, classes: tuple[str, ...] = (DIGI
     def turn(text: Column, r: Column) -> Column:
         n = F.floor(F.length(text) / 2).cast("int")
         a, b = F.substring(text, F.lit(1), n), F.substring(text, n + 1, F.length(text) - n)
-        return F.when(r % 2 == 0, F.concat(half(a, b, r), b)).otherwise(F.concat(a, half(b, a, r)))
+        return let(a, lambda a: let(b, lambda b: F.when(r % 2 == 0, F.concat(half(a, b, r), b)).otherwise(
+            F.concat(a, half(b, a, r)))))
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), s, turn)
 
@@ -111,61 +119,85 @@ def _only(s: Column, keep: str) -> Column:
 
 def _refill(layout: Column, chars: Column, kind: str) -> Column:
     """``layout`` with its characters of ``kind`` replaced by ``chars``, in order."""
-    step = F.aggregate(
-        F.sequence(F.lit(1), F.length(layout)), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")),
-        lambda acc, i: F.when(
-            F.substring(layout, i, F.lit(1)).rlike(f"^[{kind}]$"),
-            F.struct(F.concat(acc["out"], F.substring(chars, acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at")))
-        .otherwise(F.struct(F.concat(acc["out"], F.substring(layout, i, F.lit(1))).alias("out"), acc["at"].alias("at"))),
-        lambda acc: acc["out"])
-    return step
+
+    def fill(chars: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+
+        def step(acc: Column, i: Column) -> Column:
+            c = F.substring(layout, i, F.lit(1))
+            return F.when(c.rlike(f"^[{kind}]$"), F.struct(
+                F.concat(acc["out"], F.substring(chars, acc["at"], F.lit(1))).alias("out"), (acc["at"] + 1).alias("at"))
+            ).otherwise(F.struct(F.concat(acc["out"], c).alias("out"), acc["at"].alias("at")))
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(layout)), start, step, lambda acc: acc["out"])
+
+    return let(chars, fill)
 
 
 def luhn_sum(digits: Column) -> Column:
     """Luhn sum of a digit string, the last digit counted once."""
 
-    def add(acc: Column, i: Column) -> Column:
-        d = F.substring(digits, i, F.lit(1)).cast("int") * F.when((F.length(digits) - i) % 2 == 1, 2).otherwise(1)
-        return acc + F.when(d > 9, d - 9).otherwise(d)
+    def total(digits: Column) -> Column:
+        def add(acc: Column, i: Column) -> Column:
+            d = F.substring(digits, i, F.lit(1)).cast("int") * F.when((F.length(digits) - i) % 2 == 1, 2).otherwise(1)
+            return acc + F.when(d > 9, d - 9).otherwise(d)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
+        return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
+
+    return let(digits, total)
 
 
 def iban_remainder(s: Column) -> Column:
     """Remainder by 97 of an IBAN without spaces, letters read as 10 to 35."""
-    turned = F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4))
 
-    def add(acc: Column, i: Column) -> Column:
-        v = F.instr(F.lit(DIGITS + UPPER), F.substring(turned, i, F.lit(1))) - 1
-        return (acc * F.when(v > 9, 100).otherwise(10) + v) % 97
+    def total(turned: Column) -> Column:
+        def add(acc: Column, i: Column) -> Column:
+            v = F.instr(F.lit(DIGITS + UPPER), F.substring(turned, i, F.lit(1))) - 1
+            return (acc * F.when(v > 9, 100).otherwise(10) + v) % 97
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add)
+    return let(s, lambda s: let(F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, 1, 4)), total))
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _only(m, "0-9")
-    n = F.length(digits)
-    body = F.concat(F.substring(digits, 1, 1), permute_text(F.substring(digits, F.lit(2), n - 2), key, "card", (DIGITS,)))
-    check = ((F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
-    return F.when(luhn_sum(digits) % 10 == 0, _refill(m, F.concat(body, check), "0-9")).otherwise(m)
+    def moved(digits: Column) -> Column:
+        n = F.length(digits)
+        body = F.concat(F.substring(digits, 1, 1), permute_text(F.substring(digits, F.lit(2), n - 2), key, "card", (DIGITS,)))
+
+        def checked(body: Column) -> Column:
+            check = ((F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
+            return _refill(m, F.concat(body, check), "0-9")
+
+        return F.when(luhn_sum(digits) % 10 == 0, let(body, checked)).otherwise(m)
+
+    return let(_only(m, "0-9"), moved)
 
 
 def _iban(m: Column, key: str) -> Column:
-    s = _only(m, "0-9A-Z")
-    country, body = F.substring(s, 1, 2), permute_text(F.substring(s, F.lit(5), F.length(s)), key, "iban", (DIGITS, UPPER))
-    check = F.lpad((F.lit(98) - iban_remainder(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
-    return F.when(iban_remainder(s) == 1, _refill(m, F.concat(country, check, body), "0-9A-Z")).otherwise(m)
+    def moved(s: Column) -> Column:
+        country, body = F.substring(s, 1, 2), permute_text(F.substring(s, F.lit(5), F.length(s)), key, "iban", (DIGITS, UPPER))
+
+        def checked(body: Column) -> Column:
+            check = F.lpad((F.lit(98) - iban_remainder(F.concat(country, F.lit("00"), body))).cast("string"), 2, "0")
+            return _refill(m, F.concat(country, check, body), "0-9A-Z")
+
+        return F.when(iban_remainder(s) == 1, let(body, checked)).otherwise(m)
+
+    return let(_only(m, "0-9A-Z"), moved)
 
 
 def _ip(m: Column, key: str) -> Column:
+    """Addresses from 1.0.0.0 on are permuted among themselves."""
     o = [F.split(m, r"\.")[i].cast("long") for i in range(4)]
-    # addresses from 1.0.0.0 on are permuted among themselves
     low = 1 << 24
     number = o[0] * (1 << 24) + o[1] * (1 << 16) + o[2] * (1 << 8) + o[3]
-    moved = permute_pair(number - low, (255 << 8, 1 << 16), key, "ip") + low
-    text = F.concat_ws(".", *[(F.floor(moved / (1 << s)) % 256).cast("string") for s in (24, 16, 8, 0)])
+
+    def text(n: Column) -> Column:
+        return F.concat_ws(".", *[(F.floor(n / (1 << s)) % 256).cast("string") for s in (24, 16, 8, 0)])
+
     valid = reduce(lambda a, b: a & b, [x <= 255 for x in o]) & (o[0] >= 1)
-    return F.when(valid, text).otherwise(m)
+    return F.when(valid, let(permute_pair(number - low, (255 << 8, 1 << 16), key, "ip") + low, text)).otherwise(m)
 
 
 def _moved_day(day: Column, key: str) -> Column:
@@ -201,23 +233,32 @@ def _ssn(m: Column, key: str) -> Column:
     area, group, serial = (F.substring(m, a, n).cast("long") for a, n in ((1, 3), (5, 2), (8, 4)))
     valid = (area >= 1) & (area <= 899) & (area != 666) & (group >= 1) & (serial >= 1)
     at = (area - 1 - (area > 666).cast("long")) * (99 * 9999) + (group - 1) * 9999 + serial - 1
-    moved = permute_pair(at, (898, 99 * 9999), key, "ssn")
-    a, g, s = F.floor(moved / (99 * 9999)), F.floor(moved / 9999) % 99 + 1, moved % 9999 + 1
-    a = a + 1 + (a >= 665).cast("long")
-    out = F.concat_ws("-", *[F.lpad(x.cast("long").cast("string"), n, "0") for x, n in ((a, 3), (g, 2), (s, 4))])
-    return F.when(valid, out).otherwise(m)
+
+    def text(moved: Column) -> Column:
+        a, g, s = F.floor(moved / (99 * 9999)), F.floor(moved / 9999) % 99 + 1, moved % 9999 + 1
+        a = a + 1 + (a >= 665).cast("long")
+        return F.concat_ws("-", *[F.lpad(x.cast("long").cast("string"), n, "0") for x, n in ((a, 3), (g, 2), (s, 4))])
+
+    return F.when(valid, let(permute_pair(at, (898, 99 * 9999), key, "ssn"), text)).otherwise(m)
 
 
 def _phone(m: Column, key: str) -> Column:
     """Country code and layout stay; a first digit from 2 to 9 stays one."""
     code = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .\-(])|^\+[0-9]", 0)
     rest = F.substring(m, F.length(code) + 1, F.length(m))
-    digits = _only(rest, "0-9")
-    first = F.substring(digits, 1, 1)
-    body = permute_text(F.substring(digits, F.lit(2), F.length(digits)), key, "phone", (DIGITS,))
-    moved = F.when(first >= "2", F.substring(F.lit(DIGITS), (
-        (first.cast("long") - 2 + _prf(key, F.lit("phone"), body)) % 8 + 3).cast("int"), F.lit(1))).otherwise(first)
-    return F.concat(code, _refill(rest, F.concat(moved, body), "0-9"))
+
+    def filled(rest: Column) -> Column:
+        digits = _only(rest, "0-9")
+        first = F.substring(digits, 1, 1)
+
+        def text(body: Column) -> Column:
+            moved = F.when(first >= "2", F.substring(F.lit(DIGITS), (
+                (first.cast("long") - 2 + _prf(key, F.lit("phone"), body)) % 8 + 3).cast("int"), F.lit(1))).otherwise(first)
+            return _refill(rest, F.concat(moved, body), "0-9")
+
+        return let(permute_text(F.substring(digits, F.lit(2), F.length(digits)), key, "phone", (DIGITS,)), text)
+
+    return F.concat(code, let(rest, filled))
 
 
 def _secret(m: Column, key: str) -> Column:
