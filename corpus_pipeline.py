@@ -46,10 +46,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, their number, and the text decoded from them."""
-    tokens = Bpe(spark, TOKENIZER)
-    coded = docs.select("doc_id", "lang", "source", tokens.encode("text").alias("ids"))
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                        tokens.decode("ids").alias("decoded"))
+    coded = Bpe(spark, TOKENIZER).encode_decode(docs, ["doc_id", "lang", "source"])
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pii", pii), ("mixing", mixing), ("bpe", bpe)]

@@ -23,23 +23,27 @@ import hashlib
 import json
 import unicodedata
 from array import array
+from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: One character that stands for the word-end mark; private use, so no byte maps to it.
 END = ""
 #: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
-MEMO_PIECES = 1 << 19
+MEMO_PIECES = 1 << 18
 #: ASCII marks that are pieces of their own after a letter.
 MARKS = frozenset(".,;:!?")
 #: Bytes of text that are split into words at a time.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
+#: Rows handed on at a time by ``encode_decode``.
+ROWS = 512
 #: Ids gathered at a time when decoding.
 GATHER = 1 << 20
 
@@ -297,9 +301,26 @@ class Bpe:
             return pa.array([v.decode(values[a:b]) if ok else None
                              for a, b, ok in zip(offsets[:-1], offsets[1:], ids.is_valid().to_pylist())], pa.string())
 
+        def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            v = load(shared.value)
+            for b in batches:
+                for part in (b.slice(at, ROWS) for at in range(0, b.num_rows, ROWS)):
+                    ids = v.encode(part.column(part.num_columns - 1))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids, decode(ids)],
+                                                     [*part.schema.names[:-1], "ids", "decoded"])
+
+        self._both = both
         self._encode = F.arrow_udf(encode, "array<int>")
         self._decode = F.arrow_udf(decode, "string")
 
+    def encode_decode(self, docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
+        """The columns ``keep`` with ``ids`` and ``decoded`` (the text of the ids), in
+        one pass through Python that hands on ``ROWS`` rows at a time."""
+        columns = docs.select(*[F.col(f"`{c}`") for c in keep])
+        schema = T.StructType([*columns.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
+                               T.StructField("decoded", T.StringType())])
+        return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text")).mapInArrow(self._both, schema)
+
     def encode(self, text: Column | str) -> Column:
         """Token ids of a text column (null: no ids)."""
         return self._encode(text)

@@ -108,11 +108,11 @@ def op10_bpe(spark, sf_dir):
 
     from labelkiln.llm.bpe import Bpe
     bpe = Bpe(spark, public_tokenizers.path("word_bpe_49k.json"))
-    ids = table(spark, sf_dir, "documents").select("doc_id", bpe.encode("text").alias("ids"))
-    return ids.select(
+    both = bpe.encode_decode(table(spark, sf_dir, "documents"), ["doc_id"])
+    return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode("ids"), 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query

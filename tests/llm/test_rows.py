@@ -62,7 +62,11 @@ def test_bpe_columns_on_edge_rows(spark, docs, library):
     for r in got:
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["ids"] == ids and r["back"] == library.decode(ids, skip_special_tokens=False)
+    both = bpe.encode_decode(df, ["id", "text"]).collect()  # the same in one pass
+    assert sorted(map(str, ((r["text"], r["ids"], r["decoded"]) for r in both))) == sorted(map(str, map(tuple, got)))
+    assert {r["id"] for r in both} == {2}
     assert docs([]).select(bpe.encode("text").alias("i")).count() == 0
+    assert bpe.encode_decode(docs([]), ["doc_id"]).count() == 0
     with pytest.raises(ValueError):
         Bpe(spark, PATH, max_bytes=10)
 
