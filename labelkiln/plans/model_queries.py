@@ -9,6 +9,7 @@ from labelkiln.operators import models as MO
 from labelkiln.operators import sampling as SA
 from labelkiln.operators import selection as S
 from labelkiln.plans import derived as D
+from labelkiln.plans import sql_common as Q
 from labelkiln.plans.catalog import THRESHOLD, register
 from labelkiln.session import cut_lineage, fresh_dir
 
@@ -129,6 +130,37 @@ def model_round_trip(spark, sf):
     return out
 
 
+@register("fit_label_classifiers_rows", Q.q_held_out_rows())
+def fit_label_classifiers_rows(spark, sf):
+    """M1 seen through what does not depend on the solver: every held-out row and
+    label once, with a probability from 0 to 1."""
+    s = fit_label_classifiers(spark, sf)
+    return s.select("doc_id", "split", "label_name", "y", F.col("p").between(0, 1).alias("in_range"))
+
+
+@register("fit_pooled_classifier_rows", Q.q_held_out_rows())
+def fit_pooled_classifier_rows(spark, sf):
+    """M2 seen through its rows: every held-out row and label once, a class 0 or 1."""
+    s = fit_pooled_classifier(spark, sf)
+    return s.select("doc_id", "split", "label_name", "y", F.col("pred").isin(0, 1).alias("in_range"))
+
+
+@register("epoch_metrics_rows", Q.q_epoch_metrics_rows())
+def epoch_metrics_rows(spark, sf):
+    """M4 seen through its rows: one per held-out split, label and epoch, metrics
+    from 0 to 1 (no ROC-AUC where a class is missing)."""
+    m = epoch_metrics_from_fits(spark, sf)
+    ok = F.col("acc").between(0, 1) & F.col("f1").between(0, 1) & F.coalesce(F.col("roc_auc").between(0, 1), F.lit(True))
+    return m.select("split", "label_name", "epoch", ok.alias("in_range"))
+
+
+@register("model_round_trip_rows", Q.q_model_round_trip_rows())
+def model_round_trip_rows(spark, sf):
+    """K2 seen through its rows: the model read back scores every validation row
+    as the model kept in memory does."""
+    return model_round_trip(spark, sf).select("label_name", "n_rows", "n_equal")
+
+
 @register("fit_objective_history")
 def fit_objective_history(spark, sf):
     """A17 for fitted models: the training objective per iteration of every

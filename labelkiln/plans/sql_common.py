@@ -382,3 +382,19 @@ def q_shuffle_limit_with(train: int, val: int, test: int) -> str:
     shuffled = LIMITED.replace("THEN 30000", f"THEN {train}").replace("WHEN 'val' THEN 3500", f"WHEN 'val' THEN {val}") \
         .replace("WHEN 'test' THEN 3500", f"WHEN 'test' THEN {test}")
     return with_(COMMENTS, shuffled) + "SELECT split, doc_id, row_idx FROM shuffled"
+
+
+def q_held_out_rows() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT doc_id, split, label_name, y, TRUE AS in_range FROM labelled WHERE split <> 'train'"""
+
+
+def q_epoch_metrics_rows() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT split, label_name, epoch, TRUE AS in_range
+FROM (SELECT DISTINCT split, label_name FROM labelled WHERE split <> 'train') t, unnest([1, 2, 3, 4, 5]) AS e(epoch)"""
+
+
+def q_model_round_trip_rows() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT label_name, count(*) AS n_rows, count(*) AS n_equal FROM labelled WHERE split = 'val' GROUP BY label_name"""

@@ -61,10 +61,11 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     """A new, unique folder under the scratch root (never reused, never cleared)."""
     root = scratch_root(spark)
     path = f"{root}/{tag}-{uuid.uuid4().hex}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
+        # only a single-JVM session may use the driver's own file system
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if "://" not in local:
+            os.makedirs(local, exist_ok=True)
     return path
 
 

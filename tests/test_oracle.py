@@ -34,7 +34,8 @@ def test_entry_runs(spark):
 
 
 FITS = {"fit_label_classifiers", "epoch_metrics_from_fits", "fit_pooled_classifier", "model_round_trip",
-        "fit_objective_history"}
+        "fit_objective_history", "fit_label_classifiers_rows", "fit_pooled_classifier_rows", "epoch_metrics_rows",
+        "model_round_trip_rows"}
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - FITS))
