@@ -87,11 +87,11 @@ def op7_chat_format(spark, sf_dir):
 @query
 def op8_toxicity(spark, sf_dir):
     """Toxicity of every document; a quarter of the ids is held out of training."""
-    from labelkiln.llm.toxicity import score
+    from labelkiln.llm.toxicity import DECISION, score
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     scored = score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), ~out)
     return scored.select("doc_id", out.alias("held_out"), "score",
-                         F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
+                         F.when(F.col("score") >= DECISION, 1).otherwise(0).cast("int").alias("predicted"))
 
 
 @query

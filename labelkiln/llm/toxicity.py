@@ -26,11 +26,13 @@ empty table gives no rows; labels, language, source and id are never features.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +45,14 @@ ORDER, DECAY = 3, 0.7
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS, LANDMARKS, ROUNDS = 4000, 8000, 4000, 40, 3
 #: A word speaks for a label from this evidence and odds on; letters that are put into training insults.
 EVIDENCE, ODDS, INSERTED = 8.0, 4.0, "xyzkvjq0"
+#: Score at which a text counts as toxic.
+DECISION = 0.3
 #: Lengths of stems; insults of inflected languages share one.
 STEMS = (4, 5)
 #: Sentences end at these marks or at a line's end; longer words are read in parts of this many letters.
 SENTENCE_END, WIDEST = r"[.!?]+\s|\n", 32
 #: Scores remembered per worker.
-MEMO_WORDS = 1 << 20
+MEMO_WORDS = 1 << 22
 
 
 def normal(word: str) -> str:
@@ -182,7 +186,9 @@ class Machine:
         return np.maximum.reduceat(value, starts) if len(words) else value
 
     def calibrate(self, value: np.ndarray, y: np.ndarray) -> None:
-        """Logistic curve over document values, by Newton steps with a small ridge."""
+        """Logistic curve over document values: the slope by Newton steps with a small
+        ridge, the place so that the value that parts the labels with the highest F1
+        (the middle of its gap) scores ``DECISION``."""
         middle, scale = value.mean(), value.std() or 1.0
         x = np.c_[(value - middle) / scale, np.ones(len(value))]
         w = np.zeros(2)
@@ -191,7 +197,14 @@ class Machine:
             gradient = x.T @ (p - y) + 0.1 * w * [1, 0]
             hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.1, 1e-6])
             w = w - np.linalg.solve(hessian, gradient)
-        self.curve = (float(w[0] / scale), float(w[1] - w[0] * middle / scale))
+        slope = max(float(w[0] / scale), 1e-3)
+        order = np.argsort(-value, kind="stable")
+        v, hits = value[order], np.cumsum(y[order])
+        f1 = 2 * hits / (np.arange(1, len(v) + 1) + y.sum())
+        f1[:-1][v[1:] == v[:-1]] = 0  # no border inside ties
+        best = int(np.argmax(f1))
+        border = (v[best] + v[best + 1]) / 2 if best + 1 < len(v) else v[best] - 1
+        self.curve = (slope, float(np.log(DECISION / (1 - DECISION)) - slope * border))
 
     def score(self, value: np.ndarray) -> np.ndarray:
         a, b = self.curve
@@ -202,17 +215,27 @@ class Reader:
     """Highest word value per text, with the words' values remembered."""
 
     def __init__(self, machine: Machine):
-        self.machine, self.memo = machine, {}
+        self.machine = machine
+        self.hashes, self.known = np.zeros(0, np.uint64), np.zeros(0, np.float32)
 
     def word_values(self, words: list[str]) -> np.ndarray:
-        plain = [normal(w) for w in words]
-        new = list({*plain}.difference(self.memo))
-        if new:
-            if len(self.memo) + len(new) > MEMO_WORDS:
-                self.memo.clear()
-                new = list({*plain})
-            self.memo.update(zip(new, self.machine.values(new).tolist()))
-        return np.fromiter(map(self.memo.__getitem__, plain), np.float64, len(plain))
+        """Values of words; those of words met before are found by their 64-bit hash."""
+        plain = list(map(normal, words))
+        h = np.fromiter(map(xxhash.xxh64_intdigest, plain), np.uint64, len(plain))
+        at = np.searchsorted(self.hashes, h)
+        old = np.zeros(len(h), bool)
+        inside = at < len(self.hashes)
+        old[inside] = self.hashes[at[inside]] == h[inside]
+        new, first = np.unique(h[~old], return_index=True)
+        if len(new):
+            fresh = np.flatnonzero(~old)[first]
+            value = self.machine.values([plain[i] for i in fresh]).astype(np.float32)
+            if len(self.hashes) > MEMO_WORDS:  # full: keep this call's words only
+                stay = np.unique(at[old])
+                self.hashes, self.known = self.hashes[stay], self.known[stay]
+            place = np.searchsorted(self.hashes, new)
+            self.hashes, self.known = np.insert(self.hashes, place, new), np.insert(self.known, place, value)
+        return self.known[np.searchsorted(self.hashes, h)].astype(np.float64)
 
     def highest(self, texts: pa.Array) -> np.ndarray:
         parts = [np.zeros(0)]
@@ -343,7 +366,9 @@ def train(sample: DataFrame) -> Machine | None:
     witness = [w[:WIDEST] for e, w in best if e > 0]
     if not witness:
         return None
-    machine = Machine(_spread(sorted({*witness}, key=lambda w: (-witness.count(w), w))[:400], LANDMARKS))
+    often = Counter(witness)
+    names = sorted(often, key=lambda w: (-often[w], w))
+    machine = Machine(_spread(([w for w in names if len(w) <= 14] or names)[:400], LANDMARKS))
     negative = sorted({p for w in {*clean_words, *(w for s in clean for w in s)} for p in windows(w)}.difference(speaking))
     far = machine.similarity(negative)
     for _ in range(ROUNDS):
