@@ -176,6 +176,17 @@ def alignment_check(preds: DataFrame, labels: DataFrame, key_cols: Sequence[str]
     )
 
 
+def paired(preds: DataFrame, labels: DataFrame, key_cols: Sequence[str]) -> DataFrame:
+    """Predictions joined with their labels by key, as the metrics need them; a
+    prediction without a label or a label without a prediction fails the job."""
+    k = list(key_cols)
+    j = preds.withColumn("_has_p", F.lit(1)).join(labels.withColumn("_has_l", F.lit(1)), k, "full_outer")
+    told = F.concat(F.lit("predictions and labels differ in length at "), F.concat_ws(", ", *[F.col(c).cast("string") for c in k]))
+    ok = F.col("_has_p").isNotNull() & F.col("_has_l").isNotNull()
+    # the check is a filter over every row, so that no optimisation drops it
+    return j.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))).drop("_has_p", "_has_l")
+
+
 # ---------------------------------------------------------------------------
 # Task dispatch (which metrics a task reports). The task names
 # and the metric sets each task reports.

@@ -268,3 +268,14 @@ def test_windows_cover_the_whole_text(spark):
     got = sorted((r["k"], r["window"], r["input_ids"]) for r in
                  FE.encode(df, ["k"], "t", None, vocab, 4, overflow="windows").collect())
     assert got == [(1, 0, [2, 4, 5, 3]), (1, 1, [2, 4, 5, 3]), (1, 2, [2, 4, 3, 0]), (2, 0, [2, 3, 0, 0])]
+
+
+def test_unpaired_predictions_fail(spark):
+    import pytest
+    from labelkiln.operators import metrics as M
+    a = spark.createDataFrame([(1, 0.5), (2, 0.6)], "k int, p double")
+    b = spark.createDataFrame([(1, 0), (2, 1)], "k int, y int")
+    assert M.paired(a, b, ["k"]).count() == 2
+    for x, y in ((a, b.limit(1)), (a.limit(1), b)):
+        with pytest.raises(Exception, match="differ in length"):
+            M.paired(x, y, ["k"]).collect()
