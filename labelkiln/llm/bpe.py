@@ -128,6 +128,8 @@ class Vocabulary:
         key = left << 24 | right
         known = self.compatible_memo.get(key)
         if known is None:
+            if len(self.compatible_memo) >= MEMO_PIECES:
+                self.compatible_memo.clear()
             known = self.compatible_memo[key] = self._compatible(left, right)
         return known
 

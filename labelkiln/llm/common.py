@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,32 @@ def word_blocks(texts: pa.Array, block_bytes: int = 8 << 20) -> Iterator[tuple[n
         at = to
 
 
+class WordTable:
+    """Numbers computed once per word, found again by the word's 64-bit hash: sorted
+    arrays of ``width`` numbers per word, a few bytes each, for up to ``most`` words
+    (beyond that only the words of the present call stay)."""
+
+    def __init__(self, width: int, dtype, most: int = 1 << 21):
+        self.hashes, self.values, self.most = np.zeros(0, np.uint64), np.zeros((0, width), dtype), most
+
+    def get(self, words: list[str], compute: Callable[[list[str]], np.ndarray]) -> np.ndarray:
+        """One row per word; ``compute`` gives the rows of words not met before."""
+        h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        at = np.searchsorted(self.hashes, h)
+        old = at < len(self.hashes)
+        old[old] = self.hashes[at[old]] == h[old]
+        new, first = np.unique(h[~old], return_index=True)
+        if len(new):
+            fresh = np.flatnonzero(~old)[first]
+            rows = np.asarray(compute([words[i] for i in fresh]), self.values.dtype).reshape(len(new), -1)
+            if len(self.hashes) + len(new) > self.most:
+                stay = np.unique(at[old])
+                self.hashes, self.values = self.hashes[stay], self.values[stay]
+            place = np.searchsorted(self.hashes, new)
+            self.hashes, self.values = np.insert(self.hashes, place, new), np.insert(self.values, place, rows, axis=0)
+        return self.values[np.searchsorted(self.hashes, h)]
+
+
 def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sums of ``values[starts[i]:starts[i + 1]]``; 0 for an empty segment."""
     total = np.r_[0.0, np.cumsum(values, dtype=np.float64)]

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import segment_sums, word_blocks
+from labelkiln.llm.common import WordTable, segment_sums, word_blocks
 from labelkiln.session import cut_lineage
 
 #: Buckets of the n-gram models, bound on labelled rows, smoothing count per bucket.
@@ -53,27 +53,25 @@ def _shape(word: str) -> str:
     return re.sub(r"(.)\1+", r"\1\1", s)
 
 
-class Grams:
-    """N-gram buckets of texts; words seen are remembered."""
+def _codes(words: list[str]) -> np.ndarray:
+    """Hashes of each word in lower case and of its shape."""
+    low = np.fromiter((xxhash.xxh64_intdigest(w.lower(), 1) for w in words), np.uint64, len(words))
+    shape = np.fromiter((xxhash.xxh64_intdigest(_shape(w), 2) for w in words), np.uint64, len(words))
+    return np.stack([low, shape], axis=1)
+
 
-    def __init__(self, most: int = 1 << 19):
-        self.memo: dict[str, tuple[int, int]] = {}
-        self.most = most
+class Grams:
+    """N-gram buckets of texts; the hashes of words seen are remembered."""
 
-    def _codes(self, word: str) -> tuple[int, int]:
-        got = self.memo.get(word)
-        if got is None:
-            if len(self.memo) >= self.most:
-                self.memo.clear()
-            got = self.memo[word] = (xxhash.xxh64_intdigest(word.lower(), 1), xxhash.xxh64_intdigest(_shape(word), 2))
-        return got
+    def __init__(self):
+        self.table = WordTable(2, np.uint64)
 
     def buckets(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """``(starts, buckets)`` per run of texts; ``buckets`` has four columns per
         word: word, shape, word pair and shape pair (the pair with the word before,
         a mark at the beginning)."""
         for starts, which, distinct in word_blocks(texts):
-            codes = np.array([self._codes(w) for w in distinct], np.uint64).reshape(-1, 2)[which]
+            codes = self.table.get(distinct, _codes)[which]
             begin = np.zeros(len(which), bool)
             begin[starts[:-1][starts[:-1] < len(which)]] = True
             same = np.zeros(len(which), bool)
@@ -92,7 +90,7 @@ class Grams:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """N-gram counts of a partition's texts."""
-    grams, total = Grams(), np.zeros(BUCKETS, np.int64)
+    grams, total = shared_grams(), np.zeros(BUCKETS, np.int64)
     for b in batches:
         for _, buckets in grams.buckets(b.column(0)):
             total += np.bincount(buckets.ravel(), minlength=BUCKETS)

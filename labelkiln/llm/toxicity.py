@@ -32,11 +32,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import word_blocks
+from labelkiln.llm.common import WordTable, word_blocks
 from labelkiln.session import cut_lineage
 
 #: Kernel: letters of a subsequence, decay per letter spanned.
@@ -51,8 +50,6 @@ DECISION = 0.3
 STEMS = (4, 5)
 #: Sentences end at these marks or at a line's end; longer words are read in parts of this many letters.
 SENTENCE_END, WIDEST = r"[.!?]+\s|\n", 32
-#: Scores remembered per worker.
-MEMO_WORDS = 1 << 22
 
 
 def normal(word: str) -> str:
@@ -215,27 +212,10 @@ class Reader:
     """Highest word value per text, with the words' values remembered."""
 
     def __init__(self, machine: Machine):
-        self.machine = machine
-        self.hashes, self.known = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        self.machine, self.table = machine, WordTable(1, np.float32)
 
     def word_values(self, words: list[str]) -> np.ndarray:
-        """Values of words; those of words met before are found by their 64-bit hash."""
-        plain = list(map(normal, words))
-        h = np.fromiter(map(xxhash.xxh64_intdigest, plain), np.uint64, len(plain))
-        at = np.searchsorted(self.hashes, h)
-        old = np.zeros(len(h), bool)
-        inside = at < len(self.hashes)
-        old[inside] = self.hashes[at[inside]] == h[inside]
-        new, first = np.unique(h[~old], return_index=True)
-        if len(new):
-            fresh = np.flatnonzero(~old)[first]
-            value = self.machine.values([plain[i] for i in fresh]).astype(np.float32)
-            if len(self.hashes) > MEMO_WORDS:  # full: keep this call's words only
-                stay = np.unique(at[old])
-                self.hashes, self.known = self.hashes[stay], self.known[stay]
-            place = np.searchsorted(self.hashes, new)
-            self.hashes, self.known = np.insert(self.hashes, place, new), np.insert(self.known, place, value)
-        return self.known[np.searchsorted(self.hashes, h)].astype(np.float64)
+        return self.table.get(list(map(normal, words)), self.machine.values)[:, 0].astype(np.float64)
 
     def highest(self, texts: pa.Array) -> np.ndarray:
         parts = [np.zeros(0)]
