@@ -44,6 +44,8 @@ ORDER, DECAY = 3, 0.7
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS, LANDMARKS, ROUNDS = 4000, 8000, 4000, 40, 3
 #: A word speaks for a label from this evidence and odds on; letters that are put into training insults.
 EVIDENCE, ODDS, INSERTED = 8.0, 4.0, "xyzkvjq0"
+#: Hard negatives are sought in every so many-th clean text of the fit's sample.
+MINED = 4
 #: Score at which a text counts as toxic.
 DECISION = 0.3
 #: Lengths of stems; insults of inflected languages share one.
@@ -111,6 +113,76 @@ def subsequence_kernel(a: list[str], b: list[str]) -> np.ndarray:
     return out
 
 
+def _triples(length: int) -> Iterator[tuple[int, int, int]]:
+    """Places of three letters with at most one letter between them in all."""
+    for i in range(length - 2):
+        yield i, i + 1, i + 2
+        if i + 3 < length:
+            yield from ((i, i + 1, i + 3), (i, i + 2, i + 3))
+
+
+def _triple_codes(codes: np.ndarray) -> Iterator[np.ndarray]:
+    c = codes.astype(np.int64)
+    for i, j, k in _triples(codes.shape[1]):
+        yield (c[:, i] * 40_503 + c[:, j] * 10_007 + c[:, k] * 769) & 0xFFFF
+
+
+def close_similarity(words: list[str], landmarks: list[str], self_landmarks: np.ndarray) -> np.ndarray:
+    """Normalised kernel of words with (at most 64) landmarks where the two share
+    three letters that stand close (``_triples``), 0 elsewhere: without such a
+    triple the kernel is next to nothing. A table from triples to landmarks finds
+    the pairs, and only those are computed."""
+    out = np.zeros((len(words), len(landmarks)))
+    table = np.zeros(1 << 16, np.uint64)
+    wide = max(map(len, landmarks))
+    right = _codes(landmarks, wide)
+    for j, w in enumerate(landmarks):
+        for code in _triple_codes(_codes([w], len(w))):
+            table[code] |= np.uint64(1) << np.uint64(j)
+    by_length: dict[int, list[int]] = {}
+    for i, w in enumerate(words):
+        by_length.setdefault(len(w), []).append(i)
+    bits = np.arange(len(landmarks), dtype=np.uint64)
+    for length, places in by_length.items():
+        if length < ORDER:
+            continue
+        at, codes = np.array(places), _codes([words[i] for i in places], length)
+        mask = np.zeros(len(at), np.uint64)
+        for code in _triple_codes(codes):
+            mask |= table[code]
+        row, col = np.nonzero((mask[:, None] >> bits) & np.uint64(1))
+        own = np.zeros(len(at))
+        some = np.unique(row)
+        own[some] = self_kernel([words[at[i]] for i in some])
+        for lo in range(0, len(row), 8192):
+            r, c = row[lo : lo + 8192], col[lo : lo + 8192]
+            total = _paired_kernel(codes[r], right[c])
+            out[at[r], c] = total / np.sqrt(own[r] * self_landmarks[c])
+    return out
+
+
+def _paired_kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Unnormalised kernel of the words of two equally long lists of codes."""
+    right = np.ascontiguousarray(right.T)
+    held = [None] + [np.zeros(right.shape, np.float32) for _ in range(ORDER - 1)]
+    total = np.zeros(right.shape[1], np.float32)
+    for i in range(left.shape[1]):
+        match = (right == left[:, i][None]) & (right != 0)
+        for level in range(ORDER, 0, -1):
+            hit = match * np.float32(DECAY**2)
+            if level > 1:
+                hit[0] = 0
+                hit[1:] *= held[level - 1][:-1]
+            if level == ORDER:
+                total += hit.sum(axis=0)
+                continue
+            for j in range(1, len(hit)):
+                hit[j] += DECAY * hit[j - 1]
+            held[level] *= np.float32(DECAY)
+            held[level] += hit
+    return total
+
+
 def self_kernel(words: list[str]) -> np.ndarray:
     """Kernel of each word with itself."""
     out = np.zeros(len(words))
@@ -158,7 +230,7 @@ class Machine:
         return hashlib.sha256(repr((self.landmarks, self.weights.tolist(), self.bias)).encode()).hexdigest()
 
     def similarity(self, words: list[str]) -> np.ndarray:
-        return similarity(words, self.landmarks, self.self_landmarks)
+        return close_similarity(words, self.landmarks, self.self_landmarks)
 
     def fit(self, positive: np.ndarray, negative: np.ndarray, penalty: float = 1e-4, rounds: int = 400) -> None:
         """Linear machine with squared hinge loss on whitened similarities, both
@@ -363,7 +435,8 @@ def train(sample: DataFrame) -> Machine | None:
         def by_machine(words, machine=machine, key=key):
             return reader(key, machine).word_values(words).tolist()
 
-        hard = sample.filter("y = 0").mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
+        mined = sample.filter((F.col("y") == 0) & (F.pmod(F.xxhash64("text"), F.lit(MINED)) == 0))
+        hard = mined.mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
         own = [[w for w in map(normal, r["sentence"].split()) if w] for r in hard]
         every = sorted({w for s in own for w in s})
         value = dict(zip(every, machine.values(every)))

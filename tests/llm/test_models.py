@@ -96,6 +96,20 @@ def test_subsequence_kernel_equals_its_definition():
     assert np.allclose(np.diag(X.similarity(some, some))[[0, 1, 2, 3, 6, 7, 8]], 1, atol=1e-5)
 
 
+def test_close_similarity_is_the_kernel_where_letters_stand_close():
+    r = random.Random(3)
+    some = ["".join(r.choice("abcde") for _ in range(r.randrange(12))) for _ in range(300)]
+    marks = ["abcab", "edcba", "aaa", "bdbdbd"]
+    got, whole = X.close_similarity(some, marks, X.self_kernel(marks)), X.similarity(some, marks)
+    triples = lambda w: {(w[i], w[j], w[k]) for i, j, k in X._triples(len(w))}
+    for i, a in enumerate(some):
+        for j, b in enumerate(marks):
+            if triples(a) & triples(b):
+                assert got[i, j] == pytest.approx(whole[i, j], abs=1e-5)
+            else:
+                assert got[i, j] in (0, pytest.approx(whole[i, j], abs=1e-5))
+
+
 @pytest.fixture(scope="module")
 def judged(spark):
     insults = ["grobulax", "fremdozit", "pluvertin"]
