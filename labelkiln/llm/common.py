@@ -93,6 +93,9 @@ class WordTable:
 
 
 def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sums of ``values[starts[i]:starts[i + 1]]``; 0 for an empty segment."""
-    total = np.r_[0.0, np.cumsum(values, dtype=np.float64)]
-    return total[starts[1:]] - total[starts[:-1]]
+    """Sums of ``values[starts[i]:starts[i + 1]]``; 0 for an empty segment. Each sum
+    depends on its own segment only, to the last bit."""
+    out, some = np.zeros(len(starts) - 1), starts[1:] > starts[:-1]
+    if some.any():
+        out[some] = np.add.reduceat(values, starts[:-1][some])
+    return out

@@ -44,7 +44,7 @@ def test_junk_goes_and_clean_documents_stay(graded):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, r in got.items() if r["kept"])
     assert {r["_weight"] for r in kept.collect()} == {0.5}
     again = {r["doc_id"]: r["drawn"] for r in Q.draw(df.repartition(5), labels).collect()}
-    assert all(again[i] == pytest.approx(got[i]["drawn"], abs=1e-9) for i in got)
+    assert all(again[i] == got[i]["drawn"] for i in got)  # to the last bit, in any partitioning
 
 
 def test_counts_and_weights_equal_brute_force(docs):
