@@ -42,7 +42,7 @@ def word_count(text) -> "F.Column":
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def word_blocks(texts: pa.Array, block_bytes: int = 8 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
+def word_blocks(texts: pa.Array, block_bytes: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, list[str]]]:
     """The words (ASCII white space splits) of runs of texts of about
     ``block_bytes``: ``(starts, which, distinct)`` where the i-th text's words are
     ``distinct[w] for w in which[starts[i]:starts[i + 1]]``. Null: no words."""
