@@ -337,15 +337,22 @@ def highest_value(text: Column | str, machine: Machine) -> Column:
     return F.arrow_udf(udf, "double")(text)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
+    """The batches in parts, since their texts become many small objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def units(word: str) -> list[str]:
     """What speaks for a word's label: the word and its stems (marked by ^)."""
     return [word, *(f"^{word[:n]}" for n in STEMS if len(word) > n)]
 
 
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(unit, context, y): each batch's different words with the word before, and
+    """(unit, context, y): a slice's different words with the word before, and
     their stems with both."""
-    for b in batches:
+    for b in _slices(batches):
         found = set()
         for t, y in zip(b.column(0), b.column(1)):
             words = [w for w in map(normal, (t.as_py() or "").split()) if w]
@@ -361,7 +368,7 @@ def _sentences(value_of):
     ``value_of`` (a list of words to their values)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             texts = [[(s, words) for s in regex.split(SENTENCE_END, t.as_py() or "")
                       if (words := [w for w in map(normal, s.split()) if w])] for t in b.column(0)]
             every = sorted({w for parts in texts for _, words in parts for w in words})
