@@ -213,9 +213,12 @@ class Vocabulary:
                 ids, mark = memo.get(low[:-1]), memo.get(low[-1])
                 if ids is not None and mark is not None:
                     return ids + mark
-        if self.special_re is not None and (m := self.special_re.search(word)):
-            return (self.encode_word(word[: m.start()]) + np.int32(self.specials[m[0]]).tobytes()
-                    + self.encode_word(word[m.end() :]))
+        if self.special_re is not None and self.special_re.search(word):
+            parts, at = [], 0
+            for m in self.special_re.finditer(word):  # the parts between hold none
+                parts += [self.encode_word(word[at : m.start()]), np.int32(self.specials[m[0]]).tobytes()]
+                at = m.end()
+            return b"".join([*parts, self.encode_word(word[at:])])
         if not word.isascii():  # a capital sigma is lowered without regard to its place in the word
             low = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
         out = b""
