@@ -317,6 +317,22 @@ SELECT f.doc_id, coalesce(list(round(d.s / d.dv, 6) + 0.0 ORDER BY d.i) FILTER (
 FROM f LEFT JOIN dims d USING (doc_id) GROUP BY f.doc_id"""
 
 
+def q_mean_pool_windows(divisor: str, L: int = 128) -> str:
+    """Mean over a document's windows of their mean-pooled token vectors."""
+    test = "=" if divisor == "pad" else "<>"
+    return f"""
+WITH f AS ({q_encode_windows(L)}),
+pos AS (SELECT doc_id, "window", unnest(input_ids) AS tok, greatest(1, len(list_filter(input_ids, lambda x: x {test} 0))) AS dv
+        FROM f),
+cnt AS (SELECT doc_id, tok, sum(1.0::DOUBLE / dv) AS c FROM pos GROUP BY doc_id, tok),
+nw AS (SELECT doc_id, count(*) AS n FROM f GROUP BY doc_id),
+dims AS (SELECT c.doc_id, u.i, sum(c.c * u.x::DOUBLE) AS s
+         FROM cnt c JOIN (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM embeddings) u
+           ON u.vec_id = c.tok % (SELECT count(*) FROM embeddings)
+         GROUP BY c.doc_id, u.i)
+SELECT d.doc_id, list(round(d.s / nw.n, 6) + 0.0 ORDER BY d.i) AS pooled FROM dims d JOIN nw USING (doc_id) GROUP BY d.doc_id"""
+
+
 def q_stream_scores() -> str:
     hidden = ", ".join(f"1.0 / (1.0 + exp(-{dot('embedding', j)}))" for j in range(64))
     return f"""

@@ -179,6 +179,16 @@ def mean_pool_token_divisor(spark, sf):
     return _pooled(spark, sf, "tokens")
 
 
+@register("mean_pool_windows_pad_divisor", X.q_mean_pool_windows("pad", MAX_LEN))
+def mean_pool_windows_pad_divisor(spark, sf):
+    return rounded(pooled_documents(spark, sf, "pad"))
+
+
+@register("mean_pool_windows_token_divisor", X.q_mean_pool_windows("tokens", MAX_LEN))
+def mean_pool_windows_token_divisor(spark, sf):
+    return rounded(pooled_documents(spark, sf, "tokens"))
+
+
 # ------------------------------------------------------------------ heads --
 @register("dense_head_scores", X.q_dense_head_scores())
 def dense_head_scores(spark, sf):

@@ -101,6 +101,18 @@ def test_mean_pool_matches_direct_sum(spark):
     assert np.allclose(tok[1], [5.0 / 3, 5.0 / 3]) and np.allclose(tok[2], [5.0, 0.0])
 
 
+def test_windowed_pooling_queries_read_whole_texts(spark, tmp_path):
+    import __spark_entry__ as E
+    start = " ".join(f"w{i % 40}" for i in range(400))
+    spark.createDataFrame([(1, start), (2, start + " apple" * 60), (3, start + " plum" * 60)],
+                          "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, [float(i % 7), float(i % 11)]) for i in range(300)],
+                          "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    for divisor in ("pad", "token"):
+        got = {r["doc_id"]: r["pooled"] for r in E.queries()[f"mean_pool_windows_{divisor}_divisor"](spark, str(tmp_path)).collect()}
+        assert len(got) == 3 and got[1] != got[2] != got[3] != got[1], divisor
+
+
 def test_token_vectors_must_be_complete_and_equally_wide(spark):
     from labelkiln.operators import models as MO
     vec = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 2.0])], "vec_id long, embedding array<float>")
