@@ -47,7 +47,14 @@ def op3_quality_resampling(spark, sf_dir):
 
 @query
 def op4_mixing(spark, sf_dir):
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, by the rule of its SQL."""
+    from labelkiln.llm.mixing import mix_counts
+    return mix_counts(table(spark, sf_dir, "documents"), fill="prefix")
+
+
+@query
+def op4_mixing_filled(spark, sf_dir):
+    """Words that the mix takes of every document, no fitting one left out."""
     from labelkiln.llm.mixing import mix_counts
     return mix_counts(table(spark, sf_dir, "documents"))
 

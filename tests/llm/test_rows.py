@@ -54,6 +54,14 @@ def test_ids_and_text_equal_the_library(library):
         assert vocabulary.decode(np.array(ids, np.int64)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_a_long_run_of_special_tokens_without_a_space(library):
+    vocabulary = Vocabulary(open(PATH, encoding="utf-8").read())
+    texts = ["<|endoftext|>" * 3000, "Ab<|endoftext|>c,<|startoftext|>" * 2000 + "end"]
+    for text, ids in zip(texts, vocabulary.encode(pa.array(texts)).to_pylist()):
+        assert ids == library.encode(text, add_special_tokens=False).ids
+    assert len(vocabulary.encode(pa.array(texts[:1])).to_pylist()[0]) == 3000
+
+
 def test_bpe_columns_on_edge_rows(spark, docs, library):
     bpe = Bpe(spark, PATH)
     df = docs(edge_rows())
@@ -268,3 +276,29 @@ def test_mixed_rows_are_repeated_as_counted(docs):
         seen[r["doc_id"]] = seen.get(r["doc_id"], 0) + len((r["text"] or "").split())
     assert sorted(((k, v) for k, v in counted.items() if v), key=key) == sorted(((k, v) for k, v in seen.items() if v), key=key)
     assert mixing.mix(docs([])).count() == 0 and mixing.mix_counts(docs([])).count() == 0
+
+
+def test_null_and_repeated_ids_and_long_documents_do_not_keep_a_source_from_its_target(docs):
+    r = random.Random(3)
+    texts = [words(i, r.randrange(5, 60)) for i in range(240)]
+    cases = {  # a third without id; a third of one id; equal rows only; a long document in the way
+        "null": [(None if i % 3 == 0 else i, t, "en", "ab"[i % 2]) for i, t in enumerate(texts)],
+        "one": [(7 if i % 3 == 0 else i + 1000, t, "en", "ab"[i % 2]) for i, t in enumerate(texts)],
+        "equal": [(None, texts[i % 2], "en", "ab"[i % 2]) for i in range(240)],
+        "long": [(i, t if i % 40 else words(i, 3000), "en", "ab"[i % 2]) for i, t in enumerate(texts)],
+    }
+    for case, rows in cases.items():
+        df = docs(rows).coalesce(2)
+        got = mixing.mix_counts(df).collect()
+        sizes = {s: sum(len(x[1].split()) for x in rows if x[3] == s) for s in "ab"}
+        want, taken = brute_targets(sizes), Counter()
+        size_of = {sizes[s]: s for s in "ab"}
+        assert len(got) == len(rows) and len(size_of) == 2
+        for g in got:
+            taken[size_of[g["source_size"]]] += g["taken"]
+        most = 60 if case == "equal" else 30  # one document
+        assert all(abs(taken[s] - want[s]) <= most for s in "ab"), (case, taken, want)
+        mixed = Counter()
+        for x in mixing.mix(df).collect():
+            mixed[x["source"]] += len(x["text"].split())
+        assert mixed == taken, case
