@@ -130,6 +130,11 @@ def _blocks(texts: Iterator, half: int) -> Iterator[list]:
         yield held
 
 
+def run_type(half: int) -> str:
+    """Type of a run's number of windows, of which there are at most ``half + 1``."""
+    return "byte" if half < 127 else "int"
+
+
 def _runs(half: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -150,7 +155,7 @@ def _runs(half: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array([k[0] for k, _, _ in held], np.int64)[text]),
                  pa.array(np.array([k[1] for k, _, _ in held], np.int64)[text]), pa.array(seed), pa.array(which),
-                 pa.array((first - begin[text] + offset[text]).astype(np.int32)), pa.array(n.astype(np.int8))],
+                 pa.array((first - begin[text] + offset[text]).astype(np.int32)), pa.array(n.astype(np.int8 if run_type(half) == "byte" else np.int32))],
                 ["id", "content", "seed", "run", "start", "n"])
 
     return run
@@ -236,7 +241,7 @@ def repeated_windows(docs: DataFrame, half: int) -> DataFrame:
     """``docs(id, content, text)`` -> ``(id, content, start, n)``: windows from
     ``start`` on, ``n`` in a row, that also start in a document of smaller id."""
     level1 = cut_lineage(docs.filter("id is not null").select("id", "content", "text").mapInArrow(
-        _runs(half), "id long, content long, seed long, run long, start int, n byte"), "seeds")
+        _runs(half), f"id long, content long, seed long, run long, start int, n {run_type(half)}"), "seeds")
     seeds = (level1.groupBy("seed").agg(F.min("id").alias("low"), F.max("id").alias("high"),
                                         F.min("run").alias("run1"), F.max("run").alias("run2"))
              .filter("low < high").select("seed", "low", (F.col("run1") == F.col("run2")).alias("settled")))
@@ -257,7 +262,7 @@ def repeated_windows(docs: DataFrame, half: int) -> DataFrame:
         _windows(half), "w1 long, w2 long, id long, content long, start int"), "windows")
     first = level2.groupBy("w1", "w2").agg(F.min("id").alias("owner"), F.max("id").alias("high")).filter("owner < high")
     later = level2.join(first, ["w1", "w2"]).filter("id > owner")
-    return out.union(later.select("id", "content", "start", F.lit(1).cast("byte").alias("n")))
+    return out.union(later.select("id", "content", "start", F.lit(1).cast(run_type(half)).alias("n")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:

@@ -176,3 +176,9 @@ def test_long_texts_are_cut_into_overlapping_blocks(monkeypatch):
             spans.append((offset, offset + len(piece) - 49))
     assert spans[0][0] == 0 and spans[-1][1] == 2000 - 49
     assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_windows_whose_runs_pass_a_byte_are_removed_whole(docs):
+    text = words(8, 1500)
+    got = {r["doc_id"]: r for r in U.remove_repeats(docs([(1, text), (2, text)]), window=700).collect()}
+    assert got[1]["n_removed"] == 0 and got[2]["n_removed"] == 1500 and got[2]["kept"] == ""
