@@ -99,3 +99,23 @@ def segment_sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     if some.any():
         out[some] = np.add.reduceat(values, starts[:-1][some])
     return out
+
+
+def lookup(rows: DataFrame, keyed: DataFrame, on: list[str], least: int = 256) -> DataFrame:
+    """Left join of ``rows`` (a written table: it is read twice) to ``keyed``, which has
+    one row per key. A key held by more rows than a quarter of an even share of a
+    partition (``least`` at least) is dealt over salts, its keyed row copied to each.
+    At most four keys per shuffle partition can be that frequent, so their list is
+    bounded and broadcast. Rows with a null key find nothing and are spread."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    limit = max(least, rows.count() // (4 * parts))
+    hot = F.broadcast(rows.groupBy(*on).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit)
+                      .select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("_salts")))
+    spread_by, none = F.xxhash64(*rows.columns, F.monotonically_increasing_id()), F.lit(False)
+    for c in on:
+        none = none | F.col(c).isNull()
+    dealt = rows.join(hot, on, "left").withColumn(
+        "_salt", F.pmod(spread_by, F.when(none, 1 << 16).otherwise(F.coalesce("_salts", F.lit(1))))).drop("_salts")
+    copies = keyed.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)).cast("long") - 1))).drop("_salts")
+    return dealt.join(copies, [*on, "_salt"], "left").drop("_salt")

@@ -14,7 +14,7 @@ from labelkiln.llm.common import table
 
 QUERIES = {}
 ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
-                          "op7_chat_format": sql_text.OP7}
+                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11}
 
 
 def query(fn):
@@ -122,6 +122,15 @@ def op10_bpe(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op11_spelling_variants(spark, sf_dir):
+    """Every frequent word with its near words' number, its form and its root; one
+    run in about 97 is given a typo first."""
+    from labelkiln.llm.spelling import variant_groups, vocabulary
+    words = vocabulary(table(spark, sf_dir, "documents"), typo_every=97)
+    return variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py over all documents."""

@@ -95,3 +95,38 @@ SELECT conv_id, count(*) AS n_turns,
        sum(CASE WHEN role = 'assistant' THEN 7 + n ELSE 16 + r + n END)::BIGINT AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII letters and U+00C0 to U+00FF, in UTF-8."""
+    octets = (f"flatten(list_transform(split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] "
+              "ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))")
+    step = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    return (f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda a, b: "
+            f"list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: {step})))")
+
+
+OP11 = f"""
+WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+             translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+      FROM r GROUP BY ALL),
+h AS (SELECT w, n, {_crc32("id || ':' || w")} AS h FROM d),
+t AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n
+      FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM t WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+c AS (SELECT word, n, length(word) AS len, i, substr(word, 1, i) || substr(word, i + 2) AS key
+      FROM v, unnest(range(length(word))) AS u(i)),
+near AS (SELECT a.word, b.word AS other, b.n FROM c a JOIN c b ON a.key = b.key AND a.i = b.i AND a.len = b.len
+           AND a.word <> b.word
+         UNION SELECT v.word, c.word, c.n FROM c JOIN v ON c.key = v.word
+         UNION SELECT c.word, v.word, v.n FROM c JOIN v ON c.key = v.word),
+best AS (SELECT word, count(*) AS n_near, min({{'n': -n, 'w': other}}) AS b FROM near GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.n >= 2 * v.n THEN b.w END AS form,
+             CASE WHEN -b.n >= 2 * v.n THEN -b.n END AS form_n
+      FROM v LEFT JOIN best ON best.word = v.word),
+walk AS (SELECT word, word AS at FROM f
+         UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN walk ON walk.word = f.word JOIN f AS e ON e.word = walk.at AND e.form IS NULL
+"""
