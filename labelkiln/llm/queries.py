@@ -14,7 +14,7 @@ from labelkiln.llm.common import table
 
 QUERIES = {}
 ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
-                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11}
+                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11, "op12_prefix_trie": sql_text.OP12}
 
 
 def query(fn):
@@ -131,6 +131,23 @@ def op11_spelling_variants(spark, sf_dir):
     return variant_groups(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    """Every node of the prefix trie of all conversations, each begun by up to five
+    turns of the conversation that opens its hundred."""
+    from labelkiln.llm.prefix_trie import graft, number_turns, prefix_trie
+    conv = F.col("conv")
+    return prefix_trie(*graft(number_turns(table(spark, sf_dir, "conversations")), donor=conv - conv % 100,
+                              first=F.crc32(conv.cast("string")) % 6, most=5))
+
+
+@query
+def op13_embedding_near_dedup(spark, sf_dir):
+    """Links and component of every vector among those of its label."""
+    from labelkiln.llm.embedding_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query
 def pipeline(spark, sf_dir):
     """The stages of corpus_pipeline.py over all documents."""

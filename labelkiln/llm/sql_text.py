@@ -130,3 +130,32 @@ walk AS (SELECT word, word AS at FROM f
 SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, f.form_n
 FROM f JOIN walk ON walk.word = f.word JOIN f AS e ON e.word = walk.at AND e.form IS NULL
 """
+
+OP12 = f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT c, c - c % 100 AS d, {_crc32("CAST(c AS VARCHAR)")} % 6 AS h FROM t),
+given AS (SELECT c.c, pos, role, text FROM c JOIN t ON t.c = c.d AND pos <= h),
+taken AS (SELECT c.c, c.h, count(given.c) AS n FROM c LEFT JOIN given ON given.c = c.c GROUP BY ALL),
+b AS (SELECT * FROM given UNION ALL
+      SELECT t.c, pos - h + n, role, text FROM t JOIN taken ON taken.c = t.c WHERE pos > h),
+p AS (SELECT c, pos AS depth, length(text) AS chars,
+             string_agg(length(role) || ':' || role || length(text) || ':' || text, '' ORDER BY pos)
+               OVER (PARTITION BY c ORDER BY pos) AS k FROM b
+      UNION ALL SELECT c, 0, 0, '' FROM c),
+n AS (SELECT md5(k) AS k, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY ALL),
+q AS (SELECT c, depth, md5(k) AS k FROM p),
+up AS (SELECT DISTINCT a.k, a.depth, b.k AS pk, b.depth AS pdepth FROM q a JOIN q b ON b.c = a.c AND b.depth = a.depth - 1),
+kids AS (SELECT pk AS k, pdepth AS depth, count(*) AS n_children FROM up GROUP BY ALL),
+under AS (SELECT DISTINCT a.k, a.depth, b.k AS bk, b.depth AS bdepth FROM q a JOIN q b ON b.c = a.c AND b.depth >= a.depth),
+s AS (SELECT under.k, under.depth, sum((n.n_convs - 1) * n.chars)::BIGINT AS saved_tokens,
+             count(*) FILTER (n_children IS NULL) AS n_leaves
+      FROM under JOIN n ON n.k = bk AND n.depth = bdepth LEFT JOIN kids ON kids.k = bk AND kids.depth = bdepth GROUP BY ALL),
+last AS (SELECT c, max(depth) AS depth FROM q GROUP BY c),
+e AS (SELECT k, depth, string_agg(c, ',' ORDER BY c) AS ends FROM q JOIN last USING (c, depth) GROUP BY ALL)
+SELECT n.conv_id, n.depth, parent.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+       saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM n JOIN s USING (k, depth) LEFT JOIN kids USING (k, depth) LEFT JOIN e USING (k, depth)
+LEFT JOIN up USING (k, depth) LEFT JOIN n AS parent ON parent.k = up.pk AND parent.depth = up.pdepth
+"""
