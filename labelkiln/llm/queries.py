@@ -14,7 +14,7 @@ from labelkiln.llm.common import table
 
 QUERIES = {}
 ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
-                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11, "op12_prefix_trie": sql_text.OP12}
+                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11, "op12_prefix_trie": sql_text.OP12, "op13_embedding_near_dedup": sql_text.OP13}
 
 
 def query(fn):

@@ -159,3 +159,16 @@ SELECT n.conv_id, n.depth, parent.conv_id AS parent_conv_id, n.n_convs, coalesce
 FROM n JOIN s USING (k, depth) LEFT JOIN kids USING (k, depth) LEFT JOIN e USING (k, depth)
 LEFT JOIN up USING (k, depth) LEFT JOIN n AS parent ON parent.k = up.pk AND parent.depth = up.pdepth
 """
+
+OP13 = """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+ok AS (SELECT * FROM e WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x <> 0)) > 0
+       AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT r AS a, r AS b FROM e UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+c AS (SELECT reach.a AS r, min(e.vec_id) AS component_id FROM reach JOIN e ON e.r = reach.b GROUP BY reach.a),
+n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN c USING (r) LEFT JOIN n USING (r)
+"""
