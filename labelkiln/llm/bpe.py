@@ -34,6 +34,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelkiln.llm.common import spare
+
 #: One character that stands for the word-end mark; private use, so no byte maps to it.
 END = ""
 #: Pieces remembered per worker; beyond it the memory is emptied (results do not change).
@@ -319,12 +321,16 @@ class Bpe:
         self._decode = F.arrow_udf(decode, "string")
 
     def encode_decode(self, docs: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-        """The columns ``keep`` with ``ids`` and ``decoded`` (the text of the ids), in
-        one pass through Python that hands on ``ROWS`` rows at a time."""
-        columns = docs.select(*[F.col(f"`{c}`") for c in keep])
+        """The columns ``keep`` with ``ids`` and ``decoded`` (the text of the ids; either
+        with underscores before it where a kept column is called so), in one pass
+        through Python that hands on ``ROWS`` rows at a time."""
+        inside = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)]
+        columns = docs.select(*inside)
         schema = T.StructType([*columns.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
                                T.StructField("decoded", T.StringType())])
-        return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_text")).mapInArrow(self._both, schema)
+        coded = docs.select(*inside, F.col(f"`{text_col}`").alias("_text")).mapInArrow(self._both, schema)
+        return coded.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)],
+                            F.col("ids").alias(spare(keep, "ids")), F.col("decoded").alias(spare(keep, "decoded")))
 
     def encode(self, text: Column | str) -> Column:
         """Token ids of a text column (null: no ids)."""

@@ -4,17 +4,12 @@ Every source wants ``weight / sum(weights)`` of the total words. A source whose
 share exceeds ``max_epochs`` times its own words is clamped there, and the excess
 goes to the others in proportion to their weights, round by round until no
 source is above its cap. A source's documents are then repeated whole
-``floor(target / size)`` times, and a seeded part of them once more, by ``fill``:
-
-* ``"all"`` (default): documents in the order of a keyed hash as long as they fit;
-  then the same over the remaining ones that fit the words still missing, pass by
-  pass until none fits. Where it ends nearer to the target, the shortest document
-  left is taken too, and taken ones are given back in the same way until none fits
-  the words too many. Every row is a document of its own, whatever its id.
-* ``"prefix"`` (the rule of the SQL of ``op4_mixing``): one pass over ids, rows with
-  one id and source being taken or left together (a null id is one id), then the
-  closest id. An id that holds many words, or one that does not fit early in the
-  order, leaves the source far from its target.
+``floor(target / size)`` times, and a seeded part of them once more: documents in the
+order of a keyed hash as long as they fit; then the same over the remaining ones that
+fit the words still missing, pass by pass until none fits. Where it ends nearer to the
+target, the shortest document left is taken too, and taken ones are given back in the
+same way until none fits the words too many. Every row is a document of its own,
+whatever its id.
 
 The decision of a document depends only on its source's row of the plan and its own
 size and hash, so texts are never shuffled. Rows that are equal in every column are
@@ -28,8 +23,8 @@ driver sees one number per water-filling round and one row per pass.
 Edge cases: null text has size 0; a null source is a source of its own, ordered
 last; a source without words has target 0 and nothing is taken; the same inputs and
 seed give the same result in any partitioning (of rows equal in every column any may
-be the taken ones); an empty table gives no rows; with ``fill="all"`` no document
-left out fits the words a source still misses. Columns of a map type take no part in the hash.
+be the taken ones); an empty table gives no rows; no document left out fits the words a
+source still misses. Columns of a map type take no part in the hash.
 """
 
 from __future__ import annotations
@@ -50,11 +45,6 @@ STEPS = "array<struct<most:double,cut:string>>"
 PARTS = "array<struct<h:string,k:bigint,n:bigint>>"
 
 
-def seeded_hash(id_col: Column, seed: int) -> Column:
-    """The order in which a source's documents are drawn (32 hex digits)."""
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(id_col.cast("string"), F.lit("null"))))
-
-
 def ranked_sources(sizes: DataFrame) -> DataFrame:
     """``sizes(none, src, size)`` with ``rank`` from 0 by code point, null last.
     Range partitions are counted and offset, so no task sorts all sources."""
@@ -88,19 +78,11 @@ def water_fill(sources: DataFrame, max_epochs: int) -> DataFrame:
     return sources.withColumn("target", F.when(share > cap, cap.cast("double")).otherwise(share))
 
 
-def content_hash(docs: DataFrame, id_col: str, seed: int) -> Column:
-    """The order in which single rows are drawn: a hash of the id and the whole row,
-    equal only for rows that are equal in every column."""
-    cols = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    id_ = F.col(f"`{id_col}`")
-    content = F.xxhash64(*cols, *[c.isNull() for c in cols])
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(id_.cast("string"), F.lit("null")), content.cast("string")))
-
-
-def drawing_hash(docs: DataFrame, id_col: str, seed: int, fill: str) -> Column:
-    if fill not in ("all", "prefix"):
-        raise ValueError(f"fill {fill!r}")
-    return content_hash(docs, id_col, seed) if fill == "all" else seeded_hash(F.col(f"`{id_col}`"), seed)
+def content_hash(docs: DataFrame, seed: int) -> Column:
+    """The order in which single rows are drawn (32 hex digits): a keyed hash of the
+    whole row, equal only for rows that are equal in every column, nulls included."""
+    cols = [F.col(f"`{c}`").cast("string") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.md5(F.coalesce(F.concat(F.lit("="), c), F.lit("null"))) for c in cols]))
 
 
 def running_sums(units: DataFrame, words: Column) -> DataFrame:
@@ -115,24 +97,6 @@ def running_sums(units: DataFrame, words: Column) -> DataFrame:
             .withColumn("sum", F.col("offset") + F.col("inside")).drop("bucket", "words", "offset", "inside"))
 
 
-def prefix_fill(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """``targets`` with ``steps`` and ``parts`` of one pass over ids."""
-    units = rows.groupBy(*KEY, "h").agg(F.sum("size").alias("size"))
-    running = cut_lineage(running_sums(units, F.col("size")).join(targets.select(*KEY, "goal"), KEY), "running")
-    fits = F.col("sum") <= F.col("goal")
-    cuts = running.groupBy(*KEY).agg(F.max(F.when(fits, F.col("h"))).alias("cut"),
-                                     F.coalesce(F.max(F.when(fits, F.col("sum"))), F.lit(0)).alias("filled"))
-    rest = running.filter(~fits).join(cuts.select(*KEY, "filled"), KEY)
-    gap = F.col("goal") - F.col("filled")
-    off = F.abs(F.col("size") - gap)
-    picks = rest.filter(off < gap).groupBy(*KEY).agg(F.min(F.struct(off.alias("off"), F.col("h"))).alias("best"))
-    step = F.struct(F.lit(float("inf")).alias("most"), F.col("cut"))
-    part = F.struct(F.col("best.h").alias("h"), F.lit(1).cast("long").alias("k"), F.lit(1).cast("long").alias("n"))
-    return (targets.join(cuts.select(*KEY, "cut"), KEY, "left").join(picks, KEY, "left")
-            .withColumn("steps", F.array(step)).withColumn("drops", F.expr(f"cast(array() as {STEPS})"))
-            .withColumn("parts", F.array(part)).drop("cut", "best"))
-
-
 def passes(units: DataFrame, state: DataFrame) -> DataFrame:
     """``state(none, src, gap, ...)`` with ``steps`` and ``parts`` of passes over
     ``units`` until none fits a source's gap, and the ``gap`` left. Each pass takes
@@ -189,7 +153,7 @@ def whole_fill(rows: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, seed: int = 17,
-                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", fill: str = "all"):
+                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"):
     """``(rows, plan)``: ``rows(id, none, src, size, h, at)`` per document, and
     ``plan(none, src, source_size, target, whole, steps, drops, parts)`` per
     source. A document is taken ``whole`` times, and once more if for one of ``steps``
@@ -199,7 +163,7 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epoch
     rows = cut_lineage(docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{source_col}`").isNull().alias("none"),
         F.coalesce(F.col(f"`{source_col}`"), F.lit("")).alias("src"), word_count(F.col(f"`{text_col}`")).alias("size"),
-        drawing_hash(docs, id_col, seed, fill).alias("h"), F.monotonically_increasing_id().alias("at")), "sizes")
+        content_hash(docs, seed).alias("h"), F.monotonically_increasing_id().alias("at")), "sizes")
     sizes = rows.groupBy(*KEY).agg(F.sum("size").alias("size"))
     cycle = F.array(*[F.lit(w) for w in weights])
     weighted = cut_lineage(ranked_sources(sizes).withColumn(
@@ -208,8 +172,7 @@ def mixing_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epoch
     targets = (water_fill(weighted, max_epochs).withColumn("whole", whole)
                .select(*KEY, F.col("size").alias("source_size"), "target", "whole",
                        (F.col("target") - F.col("whole") * F.col("size")).alias("goal")))
-    filled = whole_fill(rows, targets) if fill == "all" else prefix_fill(rows, targets)
-    return rows, cut_lineage(filled.drop("goal"), "plan")
+    return rows, cut_lineage(whole_fill(rows, targets).drop("goal"), "plan")
 
 
 def _by_step(size: Column, h: Column, steps: Column) -> Column:
@@ -266,11 +229,11 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", seed: int = 17, text_col: str = "text",
-        fill: str = "all", **how) -> DataFrame:
+        **how) -> DataFrame:
     """The mixed documents: ``docs`` with each row repeated as often as it is taken."""
-    _, plan = mixing_plan(docs, id_col=id_col, source_col=source_col, seed=seed, text_col=text_col, fill=fill, **how)
+    _, plan = mixing_plan(docs, id_col=id_col, source_col=source_col, seed=seed, text_col=text_col, **how)
     h, one = spare(docs.columns, "_h"), spare(docs.columns, "_one")
-    d = docs.withColumn(h, drawing_hash(docs, id_col, seed, fill)).alias("_docs")
+    d = docs.withColumn(h, content_hash(docs, seed)).alias("_docs")
     source, hashed = F.col(f"_docs.`{source_col}`"), F.col(f"_docs.{h}")
     same = lambda p: (source.isNull() == F.col(f"{p}.none")) & (F.coalesce(source, F.lit("")) == F.col(f"{p}.src"))
     joined = d.join(plan.alias("_plan"), same("_plan"))

@@ -9,7 +9,8 @@ are merged.
 
 Width and number of probes are fitted on at most ``FIT_ROWS`` vectors (those of
 smallest id hash): the width follows the distance of the k-th neighbour, the
-probes are doubled until the sample's own search reaches ``FIT_RECALL``. The
+probes are doubled until the sample's own search reaches ``FIT_RECALL``; where
+``MOST_PROBES`` of them do not, there are more tables or fewer hashes. The
 number of hashes grows with the logarithm of the table. Every vector is indexed.
 
 Equal vectors are one entry with its ``k + 1`` smallest ids, which are all that can
@@ -38,8 +39,8 @@ from pyspark.sql import functions as F
 
 from labelkiln.session import cut_lineage
 
-#: Fit: sample rows and queries, wanted recall on the sample, most probes per table.
-FIT_ROWS, FIT_QUERIES, FIT_RECALL, MOST_PROBES = 2048, 64, 0.97, 4096
+#: Fit: sample rows and queries, wanted recall on the sample, most probes per table, most tables.
+FIT_ROWS, FIT_QUERIES, FIT_RECALL, MOST_PROBES, MOST_TABLES = 2048, 64, 0.97, 4096, 16
 #: Entries of a bucket handled together, queries compared with everything at a time, distances at a time.
 CHUNK, FALLBACK, DISTANCES = 4096, 4096, 1 << 20
 
@@ -98,8 +99,22 @@ def distances(queries: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def sample_recall(made: Tables, probes: int, sample: np.ndarray, near: np.ndarray) -> float:
+    """Share of the ``near`` sample rows of the first queries that a search visits."""
+    hit = np.zeros((len(near), len(sample)), bool)
+    for t in range(made.n):
+        cell, inside = made.cells(sample, t)
+        keys = made.key(cell)
+        for q in range(len(near)):
+            hit[q] |= np.isin(keys, made.visit(cell[q], inside[q], probes))
+    return float(np.take_along_axis(hit, near, axis=1).mean())
+
+
 def fit(sample: np.ndarray, total: int, k: int, tables: int, seed: int) -> tuple[Tables, int]:
-    """Tables and probes for ``total`` vectors of which ``sample`` is a part."""
+    """Tables and probes for ``total`` vectors of which ``sample`` is a part. Probes are
+    doubled up to ``MOST_PROBES``; where that does not reach ``FIT_RECALL``, tables are
+    doubled up to ``MOST_TABLES``, then hashes are taken away one by one, so that buckets
+    grow: with the last one a search visits all cells, so the recall is always reached."""
     queries = sample[:FIT_QUERIES]
     d = distances(queries, sample)
     d[np.arange(len(queries)), np.arange(len(queries))] = np.inf
@@ -109,19 +124,21 @@ def fit(sample: np.ndarray, total: int, k: int, tables: int, seed: int) -> tuple
     near = np.argsort(d, axis=1, kind="stable")[:, :k]
     width = 1.7 * float(np.median(np.take_along_axis(d, near[:, -1:], axis=1))) or 1.0
     hashes = max(6, round(np.log2(max(total, 64) / 64) / 1.6))
-    made = Tables(sample.shape[1], tables, hashes, width, seed)
-    probes = 1
-    while probes < MOST_PROBES:
-        hit = np.zeros(d.shape, bool)
-        for t in range(tables):
-            cell, inside = made.cells(sample, t)
-            keys = made.key(cell)
-            for q in range(len(queries)):
-                hit[q] |= np.isin(keys, made.visit(cell[q], inside[q], probes))
-        if np.take_along_axis(hit, near, axis=1).mean() >= FIT_RECALL:
-            break
-        probes *= 2
-    return made, probes
+    while True:
+        made, probes = Tables(sample.shape[1], tables, hashes, width, seed), 1
+        while True:
+            probes = min(probes, MOST_PROBES)
+            if sample_recall(made, probes, sample, near) >= FIT_RECALL:
+                return made, probes
+            if probes == MOST_PROBES:
+                break
+            probes *= 2
+        if 2 * tables <= MOST_TABLES:
+            tables *= 2
+        elif hashes > 1:
+            hashes -= 1
+        else:  # wider cells, until one holds everything
+            width *= 2
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -257,7 +274,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     got = found.join(entries.select("vid", F.size("ids").alias("n")), "vid").groupBy("qid").agg(F.sum("n").alias("n"))
     short = cut_lineage(queries.join(got, "qid", "left").filter(F.coalesce("n", F.lit(0)) <= k)
                         .select("qid", "vec"), "short")
-    wanting, last = [], None
+    last = None
     while True:  # blocks of queries against all vectors; none or few, unless the table is tiny
         block = (short if last is None else short.filter(F.col("qid") > last)).orderBy("qid").limit(FALLBACK).collect()
         if not block:
@@ -270,8 +287,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
                 if b.num_rows:
                     yield _best(qid, q, b.column(0).to_numpy(), _matrix(b.column(1)), most)
 
-        wanting.append(entries.select("vid", "vec").mapInArrow(scan, "qid long, vid long, score double"))
-        found = _merge(found.unionByName(wanting[-1]), most)
+        scanned = entries.select("vid", "vec").mapInArrow(scan, "qid long, vid long, score double")
+        found = cut_lineage(_merge(found.unionByName(scanned), most), "found")  # a short plan, however many blocks
     expanded = (asking.select("query_id", "qid").join(found, "qid").join(entries.select("vid", "ids"), "vid")
                 .select("query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id != query_id"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))

@@ -14,7 +14,8 @@ from labelkiln.llm.common import table
 
 QUERIES = {}
 ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
-                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11, "op12_prefix_trie": sql_text.OP12, "op13_embedding_near_dedup": sql_text.OP13}
+                          "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11, "op12_prefix_trie": sql_text.OP12,
+                          "op13_embedding_near_dedup": sql_text.OP13}
 
 
 def query(fn):
@@ -47,13 +48,6 @@ def op3_quality_resampling(spark, sf_dir):
 
 @query
 def op4_mixing(spark, sf_dir):
-    """Words that the mix takes of every document, by the rule of its SQL."""
-    from labelkiln.llm.mixing import mix_counts
-    return mix_counts(table(spark, sf_dir, "documents"), fill="prefix")
-
-
-@query
-def op4_mixing_filled(spark, sf_dir):
     """Words that the mix takes of every document, no fitting one left out."""
     from labelkiln.llm.mixing import mix_counts
     return mix_counts(table(spark, sf_dir, "documents"))

@@ -10,8 +10,12 @@ Documents are drawn without replacement by Gumbel top-k: seeded Gumbel noise is
 added to each log weight and the k largest stay. k is the number of documents
 whose weight is above the level that best parts good from bad labelled texts (of
 the half that the target model has not seen), so it follows the documents at hand
-and is the same share at any size; the k-th largest sum is found by narrowing
-bins, never by sorting everything in one place.
+and is the same share at any size, unless the caller names a ``share``. Log weights are
+sums over all of a text's words, so at ``temperature`` 1 (the default) they outweigh
+the noise and the draw keeps what is clearly like the target; a temperature of many
+words makes it a random draw in proportion to milder weights. The k-th largest sum is
+found by narrowing bins, never by sorting everything in one place. Rows are scored
+once and written with their weights.
 
 Labelled texts are read up to ``MAX_LABELLED`` (those of smallest id hash); the raw
 model, the weights and the cut cover all documents. Models are two vectors of
@@ -35,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import WordTable, segment_sums, word_blocks
+from labelkiln.llm.common import WordTable, segment_sums, spare, word_blocks
 from labelkiln.session import cut_lineage
 
 #: Buckets of the n-gram models, bound on labelled rows, smoothing count per bucket.
@@ -133,20 +137,21 @@ def gumbel(id_col: Column, seed: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                     seed: int) -> DataFrame:
-    """``(id, text, y)`` of at most MAX_LABELLED labelled documents."""
+    """``(id, text, y)`` of at most MAX_LABELLED labelled documents, one row of each."""
     y = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
     some = y.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(MAX_LABELLED)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(some), "id")  # at most MAX_LABELLED ids
+    met = texts.join(F.broadcast(some.distinct()), "id")  # at most MAX_LABELLED ids; one text of each, however often it is repeated
+    return met.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 class Resampler:
     """A fitted model: ``ratio`` (log ratio per bucket) and ``level``."""
 
     def __init__(self, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "quality", seed: int = 11):
-        self.id_col, self.text_col, self.seed = id_col, text_col, seed
+                 label_col: str = "quality", seed: int = 11, share: float | None = None, temperature: float = 1.0):
+        self.id_col, self.text_col, self.seed, self.share, self.temperature = id_col, text_col, seed, share, temperature
         sample = cut_lineage(labelled_sample(docs, labels, id_col, text_col, label_col, seed), "labelled")
         half = F.pmod(F.xxhash64(F.lit(seed + 1), "id"), F.lit(2)) == 0
         target = gram_counts(sample.filter("y = 1").filter(half), "text")
@@ -174,13 +179,15 @@ class Resampler:
         """Log weight of a row."""
         return log_weight(F.col(f"`{self.text_col}`"), self.ratio)
 
-    def drawn(self) -> Column:
-        """Log weight plus the row's Gumbel noise."""
-        return self.weight() + gumbel(F.col(f"`{self.id_col}`"), self.seed)
+    def perturbed(self, weight: Column) -> Column:
+        """Log weight over the temperature, plus the row's Gumbel noise."""
+        return weight / self.temperature + gumbel(F.col(f"`{self.id_col}`"), self.seed)
 
     def cut(self, weighted: DataFrame) -> float:
-        """The k-th largest ``_drawn``, k being the number of weights above the level."""
-        k = weighted.filter(F.col("_weight") > self.level).count()
+        """The k-th largest ``_drawn``; k is ``share`` of the rows, or else the number of
+        weights above the level."""
+        k = (weighted.filter(F.col("_weight") > self.level).count() if self.share is None
+             else round(self.share * weighted.count()))
         span = weighted.agg(F.min("_drawn").alias("lo"), F.max("_drawn").alias("hi")).first()
         lo, hi = span["lo"], span["hi"]
         if not k:
@@ -207,15 +214,18 @@ class Resampler:
 def draw(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """One row per document: ``id_col``, ``log_weight``, ``drawn`` and ``kept``."""
     model = Resampler(docs, labels, id_col, **how)
-    weighted = cut_lineage(docs.select(F.col(f"`{id_col}`").alias("id"), model.weight().alias("_weight"),
-                                       model.drawn().alias("_drawn")), "weights")
+    weighted = cut_lineage(docs.select(F.col(f"`{id_col}`"), model.weight().alias("_weight"))
+                           .withColumn("_drawn", model.perturbed(F.col("_weight"))), "weights")
     kept = F.col("_drawn") >= model.cut(weighted)
-    return weighted.select(F.col("id").alias(id_col), F.col("_weight").alias("log_weight"), F.col("_drawn").alias("drawn"),
+    return weighted.select(F.col(f"`{id_col}`"), F.col("_weight").alias("log_weight"), F.col("_drawn").alias("drawn"),
                            kept.alias("kept"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The drawn documents, with the columns of ``docs``."""
     model = Resampler(docs, labels, id_col, **how)
-    weighted = cut_lineage(docs.select(model.weight().alias("_weight"), model.drawn().alias("_drawn")), "weights")
-    return docs.filter(model.drawn() >= model.cut(weighted))
+    weight, drawn = spare(docs.columns, "_weight"), spare(docs.columns, "_drawn")
+    # rows are scored once and written with their weights
+    scored = cut_lineage(docs.withColumn(weight, model.weight()).withColumn(drawn, model.perturbed(F.col(weight))), "weights")
+    cut = model.cut(scored.select(F.col(weight).alias("_weight"), F.col(drawn).alias("_drawn")))
+    return scored.filter(F.col(drawn) >= cut).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,8 @@ result, is exact. Groups of more than ``group_rows`` fingerprints are dealt into
 chunks and walked as pairs of chunks in tasks of their own.
 
 Equal fingerprints are one row from the start, so exact copies of any number
-cost nothing here.
+cost nothing here. Results go back to their rows by salted joins, so neither a very
+common fingerprint nor the root of a very large component is one task's work.
 
 Edge cases: a null or wordless text has fingerprint zero and links like any
 other; a text of fewer words than a shingle is one shingle; repeated rows are
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelkiln.llm.common import spare, utf8_words
+from labelkiln.llm.common import lookup, spare, utf8_words
 from labelkiln.llm.components import connected_components
 from labelkiln.session import cut_lineage
 
@@ -237,18 +238,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distinct = rows.groupBy("fp").agg(F.min("id").alias("low"))
     links = spanning_links(distinct.select("fp"), max_bits, group_rows)
     found = connected_components(links)
-    rooted = (distinct.join(found, distinct.fp == found.node, "left")
-              .select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    rooted = cut_lineage(distinct.join(found, distinct.fp == found.node, "left")
+                         .select("fp", "low", F.coalesce("root", "fp").alias("root")), "roots")
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return (rows.join(rooted.select("fp", "root").join(lowest, "root"), "fp")
-            .select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id"))
+    named = lookup(rooted.select("fp", "root"), lowest, ["root"]).select("fp", "component_id")
+    return lookup(rows, named, ["fp"]).select(F.col("id").alias(id_col), F.col("fp").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (a
-    null id comes last), at equal ids the one with the smallest content hash."""
-    columns, content = docs.columns, spare(docs.columns, "_content")
-    marked = docs.withColumn(content, F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+    null id comes last), at equal ids the one with the smallest content hash (128 bits
+    over all columns but maps and variants, nulls told from their absence)."""
+    content = spare(docs.columns, "_content")
+    hashed = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    marks = [c.isNull() for c in hashed]  # a hash passes over nulls, so their places count as well
+    marked = docs.withColumn(content, F.struct(F.xxhash64(*hashed, *marks).alias("a"), F.xxhash64(*marks, *hashed[::-1]).alias("b")))
     own = F.col(f"`{id_col}`")
     near = near_duplicates(marked.select(
         F.struct(own.isNull().alias("none"), own.alias("id"), F.col(content).alias("content")).alias("row"),

@@ -15,10 +15,24 @@ SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256
 FROM d LEFT JOIN stay ON stay.doc_id = d.doc_id
 """
 
+def _passes(table: str) -> str:
+    """One pass over the units not taken yet: a prefix by hash of those that fit."""
+    return f"""
+  SELECT it + 1, source, h, size, n, gap - sum(took * size) OVER (PARTITION BY source), took FROM (
+    SELECT *, CASE WHEN s <= gap THEN n WHEN h = nh THEN floor((gap - filled) / size)::BIGINT ELSE 0 END AS took FROM (
+      SELECT *, coalesce(max(CASE WHEN s <= gap THEN s END) OVER (PARTITION BY source), 0) AS filled,
+             min(CASE WHEN s > gap THEN h END) OVER (PARTITION BY source) AS nh FROM (
+        SELECT it, source, h, size, n, gap, sum(size * n) OVER (PARTITION BY source ORDER BY h) AS s
+        FROM {table} WHERE took = 0 AND size <= gap)))"""
+
+
 OP4 = rf"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
-         md5('17|' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+  SELECT *, row_number() OVER (PARTITION BY source, h) AS nth FROM (
+    SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
+           md5(concat_ws('|', '17', md5(coalesce('=' || CAST(doc_id AS VARCHAR), 'null')), md5(coalesce('=' || text, 'null')),
+               md5(coalesce('=' || lang, 'null')), md5(coalesce('=' || source, 'null')),
+               md5(coalesce('=' || CAST(n_chars AS VARCHAR), 'null')))) AS h FROM documents)),
 s AS (SELECT source, sum(size)::BIGINT AS words,
              [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM d GROUP BY source),
 fill AS (SELECT 0.0::DOUBLE AS level UNION
@@ -28,19 +42,28 @@ fill AS (SELECT 0.0::DOUBLE AS level UNION
 t AS (SELECT source, words, CASE WHEN w * level > 3 * words THEN (3 * words)::DOUBLE ELSE w * level END AS target
       FROM s, (SELECT max(level) AS level FROM fill)),
 g AS (SELECT *, CASE WHEN words > 0 THEN floor(target / words)::BIGINT ELSE 0 END AS whole FROM t),
-u AS (SELECT source, h, sum(size)::BIGINT AS size FROM d GROUP BY source, h),
-r AS (SELECT u.source, h, size, target - whole * words AS goal, sum(size) OVER (PARTITION BY u.source ORDER BY h) AS upto
-      FROM u JOIN g ON u.source IS NOT DISTINCT FROM g.source),
-c AS (SELECT source, max(CASE WHEN upto <= goal THEN h END) AS cut,
-             coalesce(max(CASE WHEN upto <= goal THEN upto END), 0)::BIGINT AS filled FROM r GROUP BY source),
-p AS (SELECT r.source, min({{'off': abs(size - (goal - filled)), 'h': h}}).h AS pick
-      FROM r JOIN c ON r.source IS NOT DISTINCT FROM c.source
-      WHERE upto > goal AND abs(size - (goal - filled)) < goal - filled GROUP BY r.source)
+u AS (SELECT source, h, size, count(*) AS n FROM d WHERE size > 0 GROUP BY ALL),
+w1 AS (SELECT 0 AS it, u.source, h, size, n, target - whole * words AS gap, 0::BIGINT AS took
+       FROM u JOIN g ON u.source IS NOT DISTINCT FROM g.source
+  UNION ALL{_passes("w1")}),
+k1 AS (SELECT source, h, size, n, sum(took)::BIGINT AS k FROM w1 GROUP BY ALL),
+short AS (SELECT source, min(gap) AS short FROM w1 GROUP BY source),
+over AS (SELECT k1.source, short, min({{'size': size, 'h': h}}) AS best FROM k1
+         JOIN short ON short.source IS NOT DISTINCT FROM k1.source WHERE k < n GROUP BY ALL),
+w2 AS (SELECT 0 AS it, k1.source, h, size, n, best.size - short AS gap, 0::BIGINT AS took
+       FROM k1 JOIN over ON k1.source IS NOT DISTINCT FROM over.source WHERE k = n
+  UNION ALL{_passes("w2")}),
+better AS (SELECT over.source, best.h AS h FROM over
+           LEFT JOIN (SELECT source, min(gap) AS gap FROM w2 GROUP BY source) b ON b.source IS NOT DISTINCT FROM over.source
+           WHERE coalesce(gap, best.size - short) < short),
+given AS (SELECT source, h, sum(took)::BIGINT AS k FROM w2 GROUP BY ALL),
+k2 AS (SELECT k1.source, k1.h, CASE WHEN better.h IS NULL THEN k1.k WHEN better.h = k1.h THEN k1.k + 1
+                                    ELSE k1.k - coalesce(given.k, 0) END AS k
+       FROM k1 LEFT JOIN better ON better.source IS NOT DISTINCT FROM k1.source
+       LEFT JOIN given ON given.source IS NOT DISTINCT FROM k1.source AND given.h = k1.h)
 SELECT d.doc_id, d.size, g.words AS source_size, g.target,
-       (d.size * CASE WHEN g.words > 0 THEN g.whole + CASE WHEN d.h <= c.cut OR d.h = p.pick THEN 1 ELSE 0 END
-                      ELSE 0 END)::BIGINT AS taken
-FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source JOIN c ON d.source IS NOT DISTINCT FROM c.source
-LEFT JOIN p ON d.source IS NOT DISTINCT FROM p.source
+       (d.size * CASE WHEN g.words > 0 THEN g.whole + CASE WHEN nth <= k2.k THEN 1 ELSE 0 END ELSE 0 END)::BIGINT AS taken
+FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN k2 ON d.source IS NOT DISTINCT FROM k2.source AND d.h = k2.h
 """
 
 OP6 = rf"""
@@ -60,18 +83,15 @@ c AS (SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
 r AS (SELECT *, CASE WHEN word_chars > 0 THEN least(n_symbols * 1000 // word_chars, 1000) ELSE 0 END AS symbols,
              CASE WHEN n_lines > 0 THEN least(n_dup_lines * 1000 // n_lines, 1000) ELSE 0 END AS dup_lines,
              CASE WHEN n_words > 0 THEN least(n_repeat_words * 1000 // n_words, 1000) ELSE 0 END AS repeats FROM c),
-e AS (SELECT lang, source, 'symbols' AS kind, symbols AS bin, 50 AS slack FROM r UNION ALL
-      SELECT lang, source, 'dup_lines', dup_lines, 300 FROM r UNION ALL
-      SELECT lang, source, 'repeats', repeats, 300 FROM r),
-k AS (SELECT GROUPING(source) AS any_source, GROUPING(lang) AS any_lang, lang, source, kind, bin, slack, count(*) AS n
-      FROM e GROUP BY GROUPING SETS ((lang, source, kind, bin, slack), (lang, kind, bin, slack), (kind, bin, slack))),
-v AS (SELECT *, sum(n) OVER (PARTITION BY any_source, any_lang, lang, source, kind ORDER BY bin) AS upto,
-             sum(n) OVER (PARTITION BY any_source, any_lang, lang, source, kind) AS docs FROM k),
-q AS (SELECT any_source, any_lang, lang, source, kind, slack, max(docs) AS docs,
-             min(CASE WHEN 4 * upto >= docs THEN bin END) AS q1, min(CASE WHEN 4 * upto >= 3 * docs THEN bin END) AS q3
-      FROM v GROUP BY ALL),
-m AS (SELECT *, q3 + 3 * (q3 - q1) + slack AS most FROM q),
-b AS (SELECT o.lang, o.source, o.kind, CASE WHEN o.docs >= 100 THEN o.most WHEN l.docs >= 100 THEN l.most ELSE a.most END AS most
+e AS (SELECT lang, source, 'symbols' AS kind, symbols AS bin, 0.85 AS p FROM r UNION ALL
+      SELECT lang, source, 'dup_lines', dup_lines, 0.98 FROM r UNION ALL
+      SELECT lang, source, 'repeats', repeats, 0.95 FROM r),
+m AS (SELECT GROUPING(source) AS any_source, GROUPING(lang) AS any_lang, lang, source, kind, count(*) AS docs,
+             3 * quantile_disc(bin, 0.85) FILTER (p = 0.85) AS s, 3 * quantile_disc(bin, 0.98) FILTER (p = 0.98) AS dl,
+             3 * quantile_disc(bin, 0.95) FILTER (p = 0.95) AS rp
+      FROM e GROUP BY GROUPING SETS ((lang, source, kind), (lang, kind), (kind))),
+b AS (SELECT o.lang, o.source, o.kind, CASE WHEN o.docs >= 100 THEN coalesce(o.s, o.dl, o.rp)
+             WHEN l.docs >= 100 THEN coalesce(l.s, l.dl, l.rp) ELSE coalesce(a.s, a.dl, a.rp) END AS most
       FROM m o JOIN m l ON l.any_source = 1 AND l.any_lang = 0 AND l.kind = o.kind AND l.lang IS NOT DISTINCT FROM o.lang
       JOIN m a ON a.any_lang = 1 AND a.kind = o.kind WHERE o.any_source = 0),
 x AS (SELECT lang, source, max(CASE WHEN kind = 'symbols' THEN most END) AS s, max(CASE WHEN kind = 'dup_lines' THEN most END) AS dl,

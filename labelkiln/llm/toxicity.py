@@ -2,25 +2,35 @@
 
 The kernel of two words sums over all their common subsequences of ``ORDER``
 letters, weighted by ``DECAY`` to the power of the letters they span, and is
-normalised; a gap or an inserted character lowers it only a little. Nystroem
-landmarks turn it into a short feature vector (similarities to the landmarks,
-whitened by their own kernel matrix), on which a linear machine is trained.
+normalised. All subsequences count, whatever their gaps: an insult with letters put
+in still holds every subsequence of the insult. Nystroem landmarks turn the kernel
+into a short feature vector (similarities to the landmarks, whitened by their own
+kernel matrix), on which a linear machine is trained. Since the kernel is an inner
+product over subsequences, the trained machine is one weight per subsequence of its
+landmarks; a word's value is the sum over its own ones, found letter by letter in a
+trie of the landmarks' subsequences, over the word's norm.
 
 Training is on sentences of labelled documents. A sentence's value is that of its
 highest word, and which word that is follows from the machine itself (multiple
 instances): sentences of toxic documents start with the word whose numbers of
 different contexts speak most for label 1, then the machine is fitted and the
-witnesses are chosen again, with the clean sentences it scores highest as new
-negatives; witnesses are also learned with a letter put in. A logistic curve over the documents' highest values makes the score.
+witnesses are chosen again, with the sentences of all clean documents of the sample
+that it scores highest as new negatives. Witnesses are also learned with up to
+``MOST_INSERTED`` letters put in, and the border is placed by the documents' highest
+values and by those of witnesses with one and two letters put in. A logistic curve
+over the documents' highest values makes the score. Sentences serve to choose
+witnesses only: a text's score is that of its highest word.
 
 All of it is fitted on at most ``MAX_TOXIC`` + ``MAX_CLEAN`` labelled documents
-(smallest id hash first); every document's whole text is scored. Single letters
+(smallest id hash first, one row of each id); every document's whole text is scored.
+Words of more than ``WIDEST`` letters are read in overlapping parts. Single letters
 that stand apart in a row (``s c u m``) are also read as one word. Each different
 word of a block is scored once.
 
 Edge cases: null, empty and wordless texts get the score of the machine's bias;
 repeated rows get equal scores; without labels of both kinds every score is 0; an
-empty table gives no rows; labels, language, source and id are never features.
+empty table gives no rows; labels, language, source and id are never features; an
+input column called like the output is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,6 +38,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +50,13 @@ from labelkiln.llm.common import WordTable, word_blocks
 from labelkiln.session import cut_lineage
 
 #: Kernel: letters of a subsequence, decay per letter spanned.
-ORDER, DECAY = 3, 0.7
+ORDER, DECAY = 3, 0.95
 #: Bounds of the fit: documents per label, words from each side, landmarks, rounds.
 MAX_TOXIC, MAX_CLEAN, MAX_WORDS, LANDMARKS, ROUNDS = 4000, 8000, 4000, 40, 3
-#: A word speaks for a label from this evidence and odds on; letters that are put into training insults.
-EVIDENCE, ODDS, INSERTED = 8.0, 4.0, "xyzkvjq0"
-#: Hard negatives are sought in every so many-th clean text of the fit's sample.
-MINED = 4
+#: A word speaks for a label from this evidence and odds on.
+EVIDENCE, ODDS = 8.0, 4.0
+#: Letters put into training insults, how many at most, forms of a word for each number.
+INSERTED, MOST_INSERTED, FORMS = "abcdefghijklmnopqrstuvwxyz0", 3, 4
 #: Score at which a text counts as toxic.
 DECISION = 0.3
 #: Lengths of stems; insults of inflected languages share one.
@@ -74,113 +85,56 @@ def _codes(words: list[str], length: int) -> np.ndarray:
     return out
 
 
-def subsequence_kernel(a: list[str], b: list[str]) -> np.ndarray:
-    """Unnormalised kernel of every word of ``a`` with every word of ``b``.
-
-    Row by row over the letters of ``a``: ``held[l]`` sums, at each letter of ``b``,
-    the pairs of subsequences of ``l`` letters that end before, decayed up to it."""
-    out = np.zeros((len(a), len(b)))
-    if not b:
-        return out
-    wide = max(map(len, b))
-    right = _codes(b, wide).T[:, None, :]  # letters of b first, so that slices are contiguous
-    order = np.argsort([len(w) for w in a], kind="stable")
-    by_length: dict[int, list[int]] = {}
-    for i in order:
-        by_length.setdefault(len(a[i]), []).append(int(i))
-    for length, rows in by_length.items():
-        for at in range(0, len(rows), 512):
-            part = rows[at : at + 512]
-            left = _codes([a[i] for i in part], length) if length else np.zeros((len(part), 0), np.int32)
-            shape = (wide, len(part), len(b))
-            held = [None] + [np.zeros(shape, np.float32) for _ in range(ORDER - 1)]
-            total = np.zeros(shape[1:], np.float32)
-            for i in range(length):
-                match = (right == left[:, i][None, :, None]) & (right != 0)
-                for level in range(ORDER, 0, -1):
-                    hit = match * np.float32(DECAY**2)
-                    if level > 1:  # one letter more after the pairs that end before both places
-                        hit[0] = 0
-                        hit[1:] *= held[level - 1][:-1]
-                    if level == ORDER:
-                        total += hit.sum(axis=0)
+class Subsequences:
+    """All subsequences of ``ORDER`` = 3 letters of some words, as a trie: the letters,
+    then the pairs, then the triples that occur. ``vectors`` has one decayed count per
+    word and triple (column 0 is that of triples which do not occur)."""
+
+    def __init__(self, words: list[str]):
+        self.letters = {c: i for i, c in enumerate(sorted({c for w in words for c in w}), 1)}
+        n = len(self.letters) + 1
+        self.pairs, self.triples = np.zeros((n, n), np.int32), {}
+        rows = [[self.letters[c] for c in w] for w in words]
+        known: dict[tuple[int, int], int] = {}
+        for w in rows:
+            for i, j, _ in combinations(w, 3):
+                self.pairs[i, j] = known.setdefault((i, j), len(known) + 1)
+        self.ends = np.zeros((len(known) + 1, n), np.int32)
+        cells = []
+        for r, w in enumerate(rows):
+            for i, j, k in combinations(range(len(w)), 3):
+                at = self.pairs[w[i], w[j]], w[k]
+                if not self.ends[at]:
+                    self.ends[at] = self.ends.max() + 1
+                cells.append((r, self.ends[at], DECAY ** (k - i + 1)))
+        self.vectors = np.zeros((len(words), int(self.ends.max()) + 1))
+        for r, c, v in cells:
+            self.vectors[r, c] += v
+
+    def sums(self, words: list[str], weights: np.ndarray) -> np.ndarray:
+        """For each word the sum of ``weights`` (a row per triple) over its own decayed
+        triples: with ``vectors.T`` the kernel with every word of the trie."""
+        out = np.zeros((len(words), weights.shape[1]))
+        by_length: dict[int, list[int]] = {}
+        for r, w in enumerate(words):
+            by_length.setdefault(len(w), []).append(r)
+        for length, rows in by_length.items():
+            for at in range(0, len(rows), 1 << 14):
+                part = np.array(rows[at : at + (1 << 14)])
+                codes = np.array([[self.letters.get(c, 0) for c in words[r]] for r in part.tolist()], np.int32).T
+                total = np.zeros((len(part), weights.shape[1]))
+                for i, j in combinations(range(length - 1), 2):
+                    pair = self.pairs[codes[i], codes[j]]
+                    some = np.flatnonzero(pair)
+                    if not len(some):
                         continue
-                    for j in range(1, wide):
-                        hit[j] += DECAY * hit[j - 1]
-                    held[level] *= np.float32(DECAY)
-                    held[level] += hit
-            out[part] = total
-    return out
-
-
-def _triples(length: int) -> Iterator[tuple[int, int, int]]:
-    """Places of three letters with at most one letter between them in all."""
-    for i in range(length - 2):
-        yield i, i + 1, i + 2
-        if i + 3 < length:
-            yield from ((i, i + 1, i + 3), (i, i + 2, i + 3))
-
-
-def _triple_codes(codes: np.ndarray) -> Iterator[np.ndarray]:
-    c = codes.astype(np.int64)
-    for i, j, k in _triples(codes.shape[1]):
-        yield (c[:, i] * 40_503 + c[:, j] * 10_007 + c[:, k] * 769) & 0xFFFF
-
-
-def close_similarity(words: list[str], landmarks: list[str], self_landmarks: np.ndarray) -> np.ndarray:
-    """Normalised kernel of words with (at most 64) landmarks where the two share
-    three letters that stand close (``_triples``), 0 elsewhere: without such a
-    triple the kernel is next to nothing. A table from triples to landmarks finds
-    the pairs, and only those are computed."""
-    out = np.zeros((len(words), len(landmarks)))
-    table = np.zeros(1 << 16, np.uint64)
-    wide = max(map(len, landmarks))
-    right = _codes(landmarks, wide)
-    for j, w in enumerate(landmarks):
-        for code in _triple_codes(_codes([w], len(w))):
-            table[code] |= np.uint64(1) << np.uint64(j)
-    by_length: dict[int, list[int]] = {}
-    for i, w in enumerate(words):
-        by_length.setdefault(len(w), []).append(i)
-    bits = np.arange(len(landmarks), dtype=np.uint64)
-    for length, places in by_length.items():
-        if length < ORDER:
-            continue
-        at, codes = np.array(places), _codes([words[i] for i in places], length)
-        mask = np.zeros(len(at), np.uint64)
-        for code in _triple_codes(codes):
-            mask |= table[code]
-        row, col = np.nonzero((mask[:, None] >> bits) & np.uint64(1))
-        own = np.zeros(len(at))
-        some = np.unique(row)
-        own[some] = self_kernel([words[at[i]] for i in some])
-        for lo in range(0, len(row), 8192):
-            r, c = row[lo : lo + 8192], col[lo : lo + 8192]
-            total = _paired_kernel(codes[r], right[c])
-            out[at[r], c] = total / np.sqrt(own[r] * self_landmarks[c])
-    return out
-
-
-def _paired_kernel(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Unnormalised kernel of the words of two equally long lists of codes."""
-    right = np.ascontiguousarray(right.T)
-    held = [None] + [np.zeros(right.shape, np.float32) for _ in range(ORDER - 1)]
-    total = np.zeros(right.shape[1], np.float32)
-    for i in range(left.shape[1]):
-        match = (right == left[:, i][None]) & (right != 0)
-        for level in range(ORDER, 0, -1):
-            hit = match * np.float32(DECAY**2)
-            if level > 1:
-                hit[0] = 0
-                hit[1:] *= held[level - 1][:-1]
-            if level == ORDER:
-                total += hit.sum(axis=0)
-                continue
-            for j in range(1, len(hit)):
-                hit[j] += DECAY * hit[j - 1]
-            held[level] *= np.float32(DECAY)
-            held[level] += hit
-    return total
+                    below = self.ends[pair[some]]
+                    for k in range(j + 1, length):
+                        found = below[np.arange(len(some)), codes[k][some]]
+                        hit = np.flatnonzero(found)
+                        total[some[hit]] += weights[found[hit]] * DECAY ** (k - i + 1)
+                out[part] = total
+        return out
 
 
 def self_kernel(words: list[str]) -> np.ndarray:
@@ -210,27 +164,34 @@ def self_kernel(words: list[str]) -> np.ndarray:
     return out
 
 
-def similarity(a: list[str], b: list[str], self_b: np.ndarray | None = None) -> np.ndarray:
+def similarity(a: list[str], b: list[str]) -> np.ndarray:
     """Normalised kernel (0 for words shorter than a subsequence)."""
-    ka, kb = self_kernel(a), self_kernel(b) if self_b is None else self_b
-    norm = np.sqrt(np.outer(ka, kb))
-    return np.divide(subsequence_kernel(a, b), norm, out=np.zeros(norm.shape), where=norm > 0)
+    trie = Subsequences(b)
+    norm = np.sqrt(np.outer(self_kernel(a), self_kernel(b)))
+    return np.divide(trie.sums(a, trie.vectors.T), norm, out=np.zeros(norm.shape), where=norm > 0)
 
 
 class Machine:
     """Landmarks, weights over them, bias, and the logistic curve."""
 
     def __init__(self, landmarks: list[str]):
-        self.landmarks, self.self_landmarks = landmarks, self_kernel(landmarks)
-        values, vectors = np.linalg.eigh(similarity(landmarks, landmarks, self.self_landmarks))
+        self.landmarks, self.trie = landmarks, Subsequences(landmarks)
+        self.unit = self.trie.vectors.T / np.sqrt(self_kernel(landmarks))  # a normalised landmark per column
+        values, vectors = np.linalg.eigh(similarity(landmarks, landmarks))
         self.whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
         self.weights, self.bias, self.curve = np.zeros(len(landmarks)), -1.0, (0.0, 0.0)
 
     def key(self) -> str:
         return hashlib.sha256(repr((self.landmarks, self.weights.tolist(), self.bias)).encode()).hexdigest()
 
+    def _over_norm(self, words: list[str], weights: np.ndarray) -> np.ndarray:
+        norm = np.sqrt(self_kernel(words))[:, None]
+        total = self.trie.sums(words, weights)
+        return np.divide(total, norm, out=np.zeros(total.shape), where=norm > 0)
+
     def similarity(self, words: list[str]) -> np.ndarray:
-        return close_similarity(words, self.landmarks, self.self_landmarks)
+        """Normalised kernel of words with the landmarks."""
+        return self._over_norm(words, self.unit)
 
     def fit(self, positive: np.ndarray, negative: np.ndarray, penalty: float = 1e-4, rounds: int = 400) -> None:
         """Linear machine with squared hinge loss on whitened similarities, both
@@ -250,14 +211,15 @@ class Machine:
     def values(self, words: list[str]) -> np.ndarray:
         """Value of each word; of a long one the highest of its parts."""
         parts = [windows(w) for w in words]
-        value = self.similarity([p for ps in parts for p in ps]) @ self.weights + self.bias
+        value = self._over_norm([p for ps in parts for p in ps], self.unit @ self.weights[:, None])[:, 0] + self.bias
         starts = np.cumsum([0, *map(len, parts)])[:-1]
         return np.maximum.reduceat(value, starts) if len(words) else value
 
-    def calibrate(self, value: np.ndarray, y: np.ndarray) -> None:
+    def calibrate(self, value: np.ndarray, y: np.ndarray, grown: np.ndarray) -> None:
         """Logistic curve over document values: the slope by Newton steps with a small
-        ridge, the place so that the value that parts the labels with the highest F1
-        (the middle of its gap) scores ``DECISION``."""
+        ridge, the place so that the border which parts the labels with the highest F1
+        (the middle of its gap) scores ``DECISION``. Half of the toxic side are the
+        documents, half the values ``grown`` of insults with letters put in."""
         middle, scale = value.mean(), value.std() or 1.0
         x = np.c_[(value - middle) / scale, np.ones(len(value))]
         w = np.zeros(2)
@@ -267,9 +229,12 @@ class Machine:
             hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.1, 1e-6])
             w = w - np.linalg.solve(hessian, gradient)
         slope = max(float(w[0] / scale), 1e-3)
-        order = np.argsort(-value, kind="stable")
-        v, hits = value[order], np.cumsum(y[order])
-        f1 = 2 * hits / (np.arange(1, len(v) + 1) + y.sum())
+        v = np.r_[value, grown]
+        toxic = np.r_[y, np.full(len(grown), y.sum() / max(1, len(grown)))]
+        clean = np.r_[1 - y, np.zeros(len(grown))]
+        order = np.argsort(-v, kind="stable")
+        v, hits, wrong = v[order], np.cumsum(toxic[order]), np.cumsum(clean[order])
+        f1 = 2 * hits / (hits + wrong + toxic.sum())
         f1[:-1][v[1:] == v[:-1]] = 0  # no border inside ties
         best = int(np.argmax(f1))
         border = (v[best] + v[best + 1]) / 2 if best + 1 < len(v) else v[best] - 1
@@ -388,7 +353,9 @@ def training_documents(docs: DataFrame, labels: DataFrame, allowed: Column, id_c
     order = [F.xxhash64("id"), F.col("id")]
     some = y.filter("y = 1").orderBy(*order).limit(MAX_TOXIC).union(y.filter("y = 0").orderBy(*order).limit(MAX_CLEAN))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return cut_lineage(texts.join(F.broadcast(some), "id").select("text", "y"), "training")  # bounded ids
+    met = texts.join(F.broadcast(some.distinct()), "id")  # bounded ids; one text of each, however often it is repeated
+    return cut_lineage(met.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "y"),
+                       "training")
 
 
 def train(sample: DataFrame) -> Machine | None:
@@ -431,7 +398,7 @@ def train(sample: DataFrame) -> Machine | None:
     negative = sorted({p for w in {*clean_words, *(w for s in clean for w in s)} for p in windows(w)}.difference(speaking))
     far = machine.similarity(negative)
     for _ in range(ROUNDS):
-        machine.fit(machine.similarity(_inserted(witness)), far)
+        machine.fit(machine.similarity(_positives(witness)), far)
         every = sorted({w for s in toxic for w in s})
         value = dict(zip(every, machine.values(every)))
         # the machine names the witnesses; a sentence without a word on its own side tells nothing
@@ -442,8 +409,7 @@ def train(sample: DataFrame) -> Machine | None:
         def by_machine(words, machine=machine, key=key):
             return reader(key, machine).word_values(words).tolist()
 
-        mined = sample.filter((F.col("y") == 0) & (F.pmod(F.xxhash64("text"), F.lit(MINED)) == 0))
-        hard = mined.mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
+        hard = sample.filter("y = 0").mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
         own = [[w for w in map(normal, r["sentence"].split()) if w] for r in hard]
         every = sorted({w for s in own for w in s})
         value = dict(zip(every, machine.values(every)))
@@ -451,18 +417,31 @@ def train(sample: DataFrame) -> Machine | None:
         if more:
             negative = negative + more
             far = np.r_[far, machine.similarity(more)]
-    machine.fit(machine.similarity(_inserted(witness)), far)
+    machine.fit(machine.similarity(_positives(witness)), far)
     judged = sample.select("y", highest_value("text", machine).alias("v")).toPandas()  # bounded sample
-    machine.calibrate(judged["v"].to_numpy(), judged["y"].to_numpy())
+    grown = machine.values([f for n in (1, 2) for f in inserted(witness, n, 1 + 2 * FORMS)])
+    machine.calibrate(judged["v"].to_numpy(), judged["y"].to_numpy(), grown)
     return machine
 
 
-def _inserted(words: list[str]) -> list[str]:
-    """The different words, and longer ones again with a letter put in."""
-    words = sorted({*words})
-    more = [w[:i] + INSERTED[(len(w) + i) % len(INSERTED)] + w[i:] for w in words if len(w) >= 5
-            for i in (2, 3, len(w) - 2)]
-    return words + more
+def inserted(words: list[str], letters: int, forms: int, seed: int = 0) -> list[str]:
+    """The different words of five letters and more, ``forms`` times each, with
+    ``letters`` seeded letters put in at seeded places inside them."""
+    rng = np.random.default_rng([seed, letters])
+    out = []
+    for w in sorted({w for w in words if len(w) >= 5}):
+        for _ in range(forms):
+            grown = w
+            for _ in range(letters):
+                i = int(rng.integers(1, len(grown)))
+                grown = grown[:i] + INSERTED[rng.integers(len(INSERTED))] + grown[i:]
+            out.append(grown)
+    return out
+
+
+def _positives(words: list[str]) -> list[str]:
+    """The different words, and longer ones again with letters put in."""
+    return sorted({*words}) + [f for n in range(1, MOST_INSERTED + 1) for f in inserted(words, n, FORMS)]
 
 
 def _spread(words: list[str], most: int) -> list[str]:

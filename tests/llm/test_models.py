@@ -90,24 +90,32 @@ def test_subsequence_kernel_equals_its_definition():
                     total += X.DECAY ** (i[-1] - i[0] + 1 + j[-1] - j[0] + 1)
         return total
     some = ["idiot", "idxiot", "scum", "aaab", "", "ab", "trash", "thrash", "ñandú"]
-    k = X.subsequence_kernel(some, some)
+    trie = X.Subsequences(some)
+    k = trie.sums(some, trie.vectors.T)
     assert np.allclose(k, [[brute(a, b) for b in some] for a in some], atol=1e-5)
     assert np.allclose(X.self_kernel(some), [brute(a, a) for a in some])
     assert np.allclose(np.diag(X.similarity(some, some))[[0, 1, 2, 3, 6, 7, 8]], 1, atol=1e-5)
 
 
-def test_close_similarity_is_the_kernel_where_letters_stand_close():
+def test_value_of_a_word_is_that_of_the_kernel_expansion():
     r = random.Random(3)
-    some = ["".join(r.choice("abcde") for _ in range(r.randrange(12))) for _ in range(300)]
-    marks = ["abcab", "edcba", "aaa", "bdbdbd"]
-    got, whole = X.close_similarity(some, marks, X.self_kernel(marks)), X.similarity(some, marks)
-    triples = lambda w: {(w[i], w[j], w[k]) for i, j, k in X._triples(len(w))}
-    for i, a in enumerate(some):
-        for j, b in enumerate(marks):
-            if triples(a) & triples(b):
-                assert got[i, j] == pytest.approx(whole[i, j], abs=1e-5)
-            else:
-                assert got[i, j] in (0, pytest.approx(whole[i, j], abs=1e-5))
+    some = ["".join(r.choice("abcdeñ") for _ in range(r.randrange(12))) for _ in range(300)] + ["q" * 40, "abcab" * 12]
+    machine = X.Machine(["abcab", "edcba", "aaa", "bdbdbd", "abñde"])
+    machine.weights, machine.bias = np.array([1.0, -0.5, 0.3, 0.2, 2.0]), -0.7
+    short = [w for w in some if len(w) <= X.WIDEST]
+    want = X.similarity(short, machine.landmarks) @ machine.weights + machine.bias
+    assert np.allclose(machine.values(short), want) and np.allclose(machine.similarity(short) @ machine.weights - 0.7, want)
+    parts = X.windows("abcab" * 12)
+    assert machine.values(["abcab" * 12])[0] == pytest.approx(machine.values(parts).max())
+    assert "".join(p[: X.WIDEST // 2] for p in X.windows("ab" * 80))[:144] == ("ab" * 80)[:144]
+
+
+def test_inserted_letters():
+    for n in (1, 2, 3):
+        grown = X.inserted(["idiot", "scum", "stupid", "idiot"], n, 5)
+        assert len(grown) == 10 and all(len(g) == len(w) + n for g, w in zip(grown, ["idiot"] * 5 + ["stupid"] * 5))
+        assert all(X.similarity([w], [g])[0, 0] > 0 for w, g in zip(["idiot"] * 5, grown))
+        assert all(g[0] == "i" and g[-1] == "t" for g in grown[:5])
 
 
 @pytest.fixture(scope="module")
