@@ -4,18 +4,20 @@ The kernel of two words sums over all their common subsequences of ``ORDER``
 letters, weighted by ``DECAY`` to the power of the letters they span, and is
 normalised. All subsequences count, whatever their gaps: an insult with letters put
 in still holds every subsequence of the insult. Nystroem landmarks turn the kernel
-into a short feature vector (similarities to the landmarks, whitened by their own
-kernel matrix), on which a linear machine is trained. Since the kernel is an inner
-product over subsequences, the trained machine is one weight per subsequence of its
-landmarks; a word's value is the sum over its own ones, found letter by letter in a
-trie of the landmarks' subsequences, over the word's norm.
+into a feature vector (similarities to the landmarks, whitened by their own kernel
+matrix), on which a linear machine is trained; there are landmarks on both sides, the
+insults and the clean words most like them. Since the kernel is an inner product over
+subsequences, the trained machine is one weight per subsequence of its landmarks: a
+word's value is the sum over its own ones, found letter by letter in a trie, over the
+word's norm. Inflected insults share a stem: a word's value is the highest of its own
+and of its beginnings'.
 
 Training is on sentences of labelled documents. A sentence's value is that of its
 highest word, and which word that is follows from the machine itself (multiple
-instances): sentences of toxic documents start with the word whose numbers of
+instances): sentences of toxic documents start with the word or stem whose numbers of
 different contexts speak most for label 1, then the machine is fitted and the
-witnesses are chosen again, with the sentences of all clean documents of the sample
-that it scores highest as new negatives. Witnesses are also learned with up to
+sentences without such a word get their witness from it, and the highest words of all
+clean documents of the sample are new negatives. Witnesses are also learned with up to
 ``MOST_INSERTED`` letters put in, and the border is placed by the documents' highest
 values and by those of witnesses with one and two letters put in. A logistic curve
 over the documents' highest values makes the score. Sentences serve to choose
@@ -50,17 +52,17 @@ from labelkiln.llm.common import WordTable, word_blocks
 from labelkiln.session import cut_lineage
 
 #: Kernel: letters of a subsequence, decay per letter spanned.
-ORDER, DECAY = 3, 0.95
-#: Bounds of the fit: documents per label, words from each side, landmarks, rounds.
-MAX_TOXIC, MAX_CLEAN, MAX_WORDS, LANDMARKS, ROUNDS = 4000, 8000, 4000, 40, 3
+ORDER, DECAY = 3, 0.98
+#: Bounds of the fit: documents per label, speaking words, clean words, landmarks of each side, rounds.
+MAX_TOXIC, MAX_CLEAN, MAX_WORDS, MAX_HARD, INSULTS, OTHERS, ROUNDS = 4000, 8000, 1000, 12_000, 40, 800, 2
 #: A word speaks for a label from this evidence and odds on.
-EVIDENCE, ODDS = 8.0, 4.0
+EVIDENCE, ODDS = 12.0, 4.0
 #: Letters put into training insults, how many at most, forms of a word for each number.
-INSERTED, MOST_INSERTED, FORMS = "abcdefghijklmnopqrstuvwxyz0", 3, 4
+INSERTED, MOST_INSERTED, FORMS = "abcdefghijklmnopqrstuvwxyz0", 3, 9
 #: Score at which a text counts as toxic.
 DECISION = 0.3
 #: Lengths of stems; insults of inflected languages share one.
-STEMS = (4, 5)
+STEMS = (5, 6, 7, 8)
 #: Sentences end at these marks or at a line's end; longer words are read in parts of this many letters.
 SENTENCE_END, WIDEST = r"[.!?]+\s|\n", 32
 
@@ -193,6 +195,10 @@ class Machine:
         """Normalised kernel of words with the landmarks."""
         return self._over_norm(words, self.unit)
 
+    def plain_values(self, words: list[str]) -> np.ndarray:
+        """Value of each word as it is."""
+        return self._over_norm(words, self.unit @ self.weights[:, None])[:, 0] + self.bias
+
     def fit(self, positive: np.ndarray, negative: np.ndarray, penalty: float = 1e-4, rounds: int = 400) -> None:
         """Linear machine with squared hinge loss on whitened similarities, both
         classes weighing the same, by accelerated gradient steps."""
@@ -209,11 +215,13 @@ class Machine:
         self.weights, self.bias = self.whiten @ w[:-1], float(w[-1])
 
     def values(self, words: list[str]) -> np.ndarray:
-        """Value of each word; of a long one the highest of its parts."""
-        parts = [windows(w) for w in words]
-        value = self._over_norm([p for ps in parts for p in ps], self.unit @ self.weights[:, None])[:, 0] + self.bias
+        """Value of each word: the highest of its parts and beginnings."""
+        parts = [instances(w) for w in words]
+        every = list(dict.fromkeys(p for ps in parts for p in ps))
+        place = {p: i for i, p in enumerate(every)}
+        value = self.plain_values(every)
         starts = np.cumsum([0, *map(len, parts)])[:-1]
-        return np.maximum.reduceat(value, starts) if len(words) else value
+        return np.maximum.reduceat(value[[place[p] for ps in parts for p in ps]], starts) if len(words) else value
 
     def calibrate(self, value: np.ndarray, y: np.ndarray, grown: np.ndarray) -> None:
         """Logistic curve over document values: the slope by Newton steps with a small
@@ -309,20 +317,25 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[pa.R
             yield b.slice(at, rows)
 
 
-def units(word: str) -> list[str]:
-    """What speaks for a word's label: the word and its stems (marked by ^)."""
-    return [word, *(f"^{word[:n]}" for n in STEMS if len(word) > n)]
+def stems(word: str) -> list[str]:
+    """The beginnings of a word."""
+    return [word[:n] for n in STEMS if len(word) > n]
+
+
+def instances(word: str) -> list[str]:
+    """What a word's value is taken over: its parts and beginnings."""
+    return windows(word) + stems(word)
 
 
 def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(unit, context, y): a slice's different words with the word before, and
-    their stems with both."""
+    their beginnings with both."""
     for b in _slices(batches):
         found = set()
         for t, y in zip(b.column(0), b.column(1)):
             words = [w for w in map(normal, (t.as_py() or "").split()) if w]
             found.update(zip(words, ["", *words], [y.as_py()] * len(words)))
-        rows = [(u, f"{before} {w}", y) for w, before, y in sorted(found) for u in units(w)]
+        rows = [(u, f"{before} {w}", y) for w, before, y in sorted(found) for u in (w, *stems(w))]
         yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
                                           pa.array([r[1] for r in rows], pa.string()),
                                           pa.array([r[2] for r in rows], pa.int32())], ["unit", "context", "y"])
@@ -370,56 +383,63 @@ def train(sample: DataFrame) -> Machine | None:
     odds = F.log((F.col("n1") + 0.5) / all_["n1"]) - F.log((F.col("n0") + 0.5) / all_["n0"])
     top = (counts.withColumn("odds", odds).withColumn("e", F.col("odds") * F.sqrt("n1"))
            .filter((F.col("e") >= EVIDENCE) & (F.col("odds") >= float(np.log(ODDS))))
-           .orderBy(F.desc("e"), "word").limit(MAX_WORDS // 4).select("word", "e").collect())
-    clean = counts.filter((F.col("n0") > 0) & ~F.col("word").startswith("^"))
-    plain = clean.orderBy(F.desc("n0"), "word").limit(MAX_WORDS // 4).union(
-        clean.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS)).select("word").distinct().collect()
+           .orderBy(F.desc("e"), "word").limit(MAX_WORDS).select("word", "e").collect())
     speaks = {r["word"]: r["e"] for r in top}
-    if not speaks or not plain:
+    if not speaks:
         return None
 
+    def best_unit(word):
+        return max((speaks.get(u, 0.0), u) for u in (word, *stems(word)))
+
     def by_words(words):
-        return [max(speaks.get(u, 0.0) for u in units(w)) for w in words]
-
-    words = [r["word"] for r in plain]
-    speaking = {w for w, e in zip(words, by_words(words)) if e > 0}
-    clean_words = sorted({*words} - speaking)
-
-    got = sample.mapInArrow(_sentences(by_words), "sentence string, y int").collect()  # one per sample document
-    toxic = [[w for w in map(normal, r["sentence"].split()) if w] for r in got if r["y"] == 1]
-    clean = [[w for w in map(normal, r["sentence"].split()) if w] for r in got if r["y"] == 0]
-    best = [max(zip(by_words(s), s)) for s in toxic if s]
-    witness = [w[:WIDEST] for e, w in best if e > 0]
-    if not witness:
+        return [best_unit(w)[0] for w in words]
+
+    got = sample.filter("y = 1").mapInArrow(_sentences(by_words), "sentence string, y int").collect()  # one per document
+    toxic = [[w for w in map(normal, r["sentence"].split()) if w] for r in got]
+    # all words of a toxic document's sentence that speak for label 1
+    known = [u[:WIDEST] for s in toxic for e, u in map(best_unit, s) if e > 0]
+    if not known:
         return None
-    often = Counter(witness)
+    often = Counter(known)
     names = sorted(often, key=lambda w: (-often[w], w))
-    machine = Machine(_spread(([w for w in names if len(w) <= 14] or names)[:400], LANDMARKS))
-    negative = sorted({p for w in {*clean_words, *(w for s in clean for w in s)} for p in windows(w)}.difference(speaking))
-    far = machine.similarity(negative)
+    insults = _spread(([w for w in names if len(w) <= 14] or names)[:400], INSULTS)
+
+    # the clean words and beginnings most like an insult, common ones first: of the whole sample's vocabulary
+    likeness = F.arrow_udf(lambda w: pa.array(similarity([x.as_py()[:WIDEST] for x in w], insults).max(axis=1)), "double")
+    hard = (counts.filter("n0 > 0").withColumn("like", likeness("word"))
+            .orderBy(F.desc(F.pow("like", 2) * F.sqrt("n0")), "word").limit(MAX_HARD).select("word").collect())
+    negative = list(dict.fromkeys(w for r in hard if (w := r["word"][:WIDEST]) not in speaks))
+    if not negative:
+        return None
+    machine = Machine(insults + [w for w in negative if w not in insults][:OTHERS])
+    far, witness = machine.similarity(negative), known
     for _ in range(ROUNDS):
         machine.fit(machine.similarity(_positives(witness)), far)
-        every = sorted({w for s in toxic for w in s})
-        value = dict(zip(every, machine.values(every)))
-        # the machine names the witnesses; a sentence without a word on its own side tells nothing
-        witness = [w[:WIDEST] for w in (max(s, key=value.__getitem__) for s in toxic if s) if value[w] > 0] or witness
+        found = []
+        for s in toxic:
+            if s and not any(e > 0 for e, _ in map(best_unit, s)):
+                every = sorted({p for w in s for p in instances(w)})
+                value = machine.plain_values(every)
+                found += [every[int(value.argmax())]] if value.max() > 0 else []
+        witness = known + found
 
         key = machine.key()
 
         def by_machine(words, machine=machine, key=key):
             return reader(key, machine).word_values(words).tolist()
 
-        hard = sample.filter("y = 0").mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
-        own = [[w for w in map(normal, r["sentence"].split()) if w] for r in hard]
-        every = sorted({w for s in own for w in s})
-        value = dict(zip(every, machine.values(every)))
-        more = sorted({p for s in own if s for p in windows(max(s, key=value.__getitem__))}.difference(negative, witness))
+        high = sample.filter("y = 0").mapInArrow(_sentences(by_machine), "sentence string, y int").collect()
+        own = [[w for w in map(normal, r["sentence"].split()) if w] for r in high]
+        every = sorted({p for s in own for w in s for p in instances(w)})
+        value = dict(zip(every, machine.plain_values(every).tolist()))
+        more = sorted({max((p for w in s for p in instances(w)), key=value.__getitem__) for s in own if s}
+                      .difference(negative, witness, speaks))
         if more:
             negative = negative + more
             far = np.r_[far, machine.similarity(more)]
     machine.fit(machine.similarity(_positives(witness)), far)
     judged = sample.select("y", highest_value("text", machine).alias("v")).toPandas()  # bounded sample
-    grown = machine.values([f for n in (1, 2) for f in inserted(witness, n, 1 + 2 * FORMS)])
+    grown = machine.values([f for n in (1, 2) for f in inserted(witness, n, FORMS)])
     machine.calibrate(judged["v"].to_numpy(), judged["y"].to_numpy(), grown)
     return machine
 
@@ -440,8 +460,9 @@ def inserted(words: list[str], letters: int, forms: int, seed: int = 0) -> list[
 
 
 def _positives(words: list[str]) -> list[str]:
-    """The different words, and longer ones again with letters put in."""
-    return sorted({*words}) + [f for n in range(1, MOST_INSERTED + 1) for f in inserted(words, n, FORMS)]
+    """The different words (once for each number of letters), and longer ones
+    again with letters put in."""
+    return sorted({*words}) * MOST_INSERTED + [f for n in range(1, MOST_INSERTED + 1) for f in inserted(words, n, FORMS)]
 
 
 def _spread(words: list[str], most: int) -> list[str]:

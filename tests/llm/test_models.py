@@ -104,7 +104,11 @@ def test_value_of_a_word_is_that_of_the_kernel_expansion():
     machine.weights, machine.bias = np.array([1.0, -0.5, 0.3, 0.2, 2.0]), -0.7
     short = [w for w in some if len(w) <= X.WIDEST]
     want = X.similarity(short, machine.landmarks) @ machine.weights + machine.bias
-    assert np.allclose(machine.values(short), want) and np.allclose(machine.similarity(short) @ machine.weights - 0.7, want)
+    assert np.allclose(machine.plain_values(short), want)
+    assert np.allclose(machine.similarity(short) @ machine.weights - 0.7, want)
+    # a word's value is the highest of its own and of its beginnings
+    highest = [max(machine.plain_values([w, *X.stems(w)])) for w in short]
+    assert np.allclose(machine.values(short), highest)
     parts = X.windows("abcab" * 12)
     assert machine.values(["abcab" * 12])[0] == pytest.approx(machine.values(parts).max())
     assert "".join(p[: X.WIDEST // 2] for p in X.windows("ab" * 80))[:144] == ("ab" * 80)[:144]
