@@ -3,7 +3,7 @@
 * TSV: read as text and split on tabs with no quoting (a quote is literal;
   the CSV reader would let quotes swallow tabs and pad short rows with nulls).
 * JSONL: read as text (to keep the line number), parsed with ``from_json``.
-* CSV: Spark's CSV reader with RFC-4180 quoting; multi-line fields allowed.
+* CSV: RFC-4180 quoting; quoted fields may hold newlines, and files are split all the same (``split_csv``).
 * Named records: any columnar source with ``idx``, text fields and ``label``.
 
 ``row_idx`` is the physical line number (``with_file_row_index``), computed at
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from labelkiln.operators.ordering import with_file_row_index
+from labelkiln.sources.split_csv import read_split_csv
 from labelkiln.sources.tasks import LAST, TaskSpec
 
 EXAMPLE_COLS = ["set_type", "row_idx", "guid", "text_a", "text_b", "label"]
@@ -140,23 +141,28 @@ ABUSE_SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField(
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
              multi_line: bool = True) -> DataFrame:
-    """RFC-4180 CSV (doubled quotes inside quoted fields). With a header, columns
-    are taken by name in any order and a missing one is an error; without one, by
-    position. With ``multi_line`` quoted fields may hold newlines, but such a file
-    cannot be split, so each file is one task; files known to have none can pass
-    ``multi_line=False`` and are split like any text file."""
+    """RFC-4180 CSV (doubled quotes inside quoted fields) with ``row_idx``, the record's
+    position in file order. With a header, columns are taken by name in any order and a
+    missing one is an error; without one, by position. Quoted fields may hold newlines
+    and files are split all the same (``split_csv``); for files known to have none,
+    ``multi_line=False`` uses Spark's own reader. An empty field is null."""
     reader = (spark.read.option("header", header).option("multiLine", multi_line)
               .option("quote", '"').option("escape", '"').option("mode", "FAILFAST"))
-    if not header:
-        return reader.schema(schema).csv(path)
-    # the header line alone: every column as a string, in the file's order
-    names = reader.option("inferSchema", False).csv(path).columns
-    missing = [f.name for f in schema.fields if f.name not in names]
-    if missing:
-        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    names = schema.fieldNames()
+    if header:
+        # the header line alone: every column as a string, in the file's order
+        names = reader.option("inferSchema", False).csv(path).columns
+        missing = [f.name for f in schema.fields if f.name not in names]
+        if missing:
+            raise ValueError(f"{path}: no column {', '.join(missing)}")
+    if multi_line:
+        return read_split_csv(spark, path, schema, names, header)
     types = {f.name: f.dataType for f in schema.fields}
     in_file = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-    return reader.schema(in_file).option("enforceSchema", False).csv(path)
+    rows = with_file_row_index(reader.schema(in_file).option("enforceSchema", False).csv(path))
+    empty_is_null = [F.nullif(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
+                     for f in schema.fields]
+    return rows.select(*empty_is_null, "row_idx")
 
 
 def is_missing_text(c: Column) -> Column:
@@ -167,14 +173,15 @@ def csv_examples(spark: SparkSession, path: str, spec: TaskSpec, set_type: str,
                  schema: T.StructType = ABUSE_SCHEMA, multi_line: bool = True) -> DataFrame:
     """Row position counts every data row, also the ones then dropped for a
     missing text (index first, filter second)."""
-    rows = with_file_row_index(read_csv(spark, path, schema, multi_line=multi_line)) \
-        .select("row_idx", spec.text_a, spec.label)
+    rows = read_csv(spark, path, schema, multi_line=multi_line).select("row_idx", spec.text_a, spec.label)
     kept = rows.filter(~is_missing_text(F.col(spec.text_a)))
     return _examples(kept, set_type, F.col("row_idx"), F.col(spec.text_a), F.lit(None), F.col(spec.label))
 
 
-def read_task(spark: SparkSession, spec: TaskSpec, data_dir: str, split: str = "train") -> DataFrame:
-    """Examples of one split ("train" or "dev") of a task folder."""
+def read_task(spark: SparkSession, spec: TaskSpec, data_dir: str, split: str = "train",
+              multi_line: bool = True) -> DataFrame:
+    """Examples of one split ("train" or "dev") of a task folder. ``multi_line=False`` is
+    for CSV files known to hold no newline inside quotes."""
     fname = spec.train_file if split == "train" else spec.dev_file
     set_type = "train" if split == "train" else spec.dev_set
     path = f"{data_dir.rstrip('/')}/{fname}"
@@ -185,7 +192,7 @@ def read_task(spark: SparkSession, spec: TaskSpec, data_dir: str, split: str = "
     if spec.fmt == "jsonl":
         return jsonl_examples(read_lines(spark, path), spec, set_type)
     if spec.fmt == "csv":
-        return csv_examples(spark, path, spec, set_type)
+        return csv_examples(spark, path, spec, set_type, multi_line=multi_line)
     raise ValueError(f"unknown format {spec.fmt}")
 
 
@@ -223,7 +230,7 @@ def read_comment_splits(spark: SparkSession, paths: dict[str, str], schema: T.St
     position inside its file."""
     out = None
     for split, path in paths.items():
-        df = with_file_row_index(read_csv(spark, path, schema, multi_line=multi_line)).withColumn("split", F.lit(split))
+        df = read_csv(spark, path, schema, multi_line=multi_line).withColumn("split", F.lit(split))
         df = df.select(*schema.fieldNames(), "row_idx", "split")
         out = df if out is None else out.unionByName(df)
     return out
