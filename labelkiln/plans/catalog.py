@@ -15,6 +15,7 @@ from labelkiln.functions.columns import linspace, rounded
 from labelkiln.operators import metrics as M
 from labelkiln.operators import sampling as SA
 from labelkiln.operators import selection as S
+from labelkiln.operators.draws import weighted_draws
 from labelkiln.operators.ordering import order_key, rank_by_key
 from labelkiln.plans import derived as D
 from labelkiln.plans import sql_common as Q
@@ -267,6 +268,42 @@ def weighted_resample(spark, sf):
     return SA.batches(r, "draw", BATCH_SIZE)
 
 
+def _any_weights(spark, sf):
+    """Labelled rows with weights of very different size: the text's length, four times
+    that for class 1, and for each label's smallest id as much as all others together."""
+    c = D.comments(spark, sf).select("doc_id", "split", F.length("comment_text").alias("size"), *D.LABEL_NAMES)
+    long = c.unpivot(["doc_id", "split", "size"], list(D.LABEL_NAMES), "label_name", "y")
+    long = cut_lineage(long.withColumn("weight", (F.col("size") * (1 + 3 * F.col("y"))).cast("double")), "weights")
+    first = long.groupBy("label_name").agg(F.min("doc_id").alias("first"), F.sum("weight").alias("total"), F.count("*").alias("n"),
+                                           F.min_by("weight", "doc_id").alias("own"))
+    heavy = F.col("doc_id") == F.col("first")
+    return long.join(first, "label_name").select("label_name", "doc_id", "y", "n", heavy.alias("heavy"), F.when(
+        heavy, F.col("total") - F.col("own")).otherwise(F.col("weight")).alias("weight"))
+
+
+@register("weighted_resample_any", Q.q_weighted_resample_any())
+def weighted_resample_any(spark, sf):
+    """Per label, as many draws as it has rows by arbitrary weights: their number and
+    numbering, and whether the shares of the heavy row and of eight kinds of rows lie
+    within five standard deviations of what the weights say."""
+    rows = cut_lineage(_any_weights(spark, sf), "weighted")
+    drawn = weighted_draws(rows, "doc_id", "weight", ["label_name"], rows.groupBy("label_name").agg(
+        F.count("*").alias("n")), SHUFFLE_SEED)
+    kind = F.when(F.col("heavy"), F.lit(-1)).otherwise(F.col("doc_id") % 4 + 4 * F.col("y"))
+    own = rows.select("label_name", "doc_id", "weight", kind.alias("kind"))
+    of_kind = own.groupBy("label_name", "kind").agg(F.sum("weight").alias("w"))
+    got = cut_lineage(drawn.join(own.drop("weight"), ["label_name", "doc_id"], "left"), "drawn")
+    counts = got.groupBy("label_name", "kind").agg(F.count("*").alias("k"))
+    all_ = got.groupBy("label_name").agg(F.count("*").alias("n_draws"), F.count_distinct("draw").alias("n_numbers"),
+                                         F.max("draw").alias("last"), F.count_if(F.col("kind").isNull()).alias("n_unknown"))
+    weight = of_kind.groupBy("label_name").agg(F.sum("w").alias("total"))
+    p, n = F.col("w") / F.col("total"), F.col("n_draws")
+    near = F.abs(F.coalesce("k", F.lit(0)) - n * p) <= 5 * F.sqrt(n * p * (1 - p)) + 1
+    told = (of_kind.join(counts, ["label_name", "kind"], "left").join(all_, "label_name").join(weight, "label_name")
+            .groupBy("label_name").agg(F.bool_and(near).alias("shares_near")))
+    return all_.join(told, "label_name").select("label_name", "n_draws", "n_numbers", "last", "n_unknown", "shares_near")
+
+
 @register("label_vectors", Q.q_label_vectors())
 def label_vectors(spark, sf):
     return SA.label_vectors(D.comments(spark, sf), D.LABEL_NAMES).select("doc_id", "split", "labels")

@@ -338,6 +338,12 @@ def q_weighted_resample() -> str:
     return with_(COMMENTS, SHUFFLED, TRAIN_LONG, RESAMPLED) + "SELECT * FROM r"
 
 
+def q_weighted_resample_any() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT label_name, count(*) AS n_draws, count(*) AS n_numbers, count(*) - 1 AS last, 0::BIGINT AS n_unknown, TRUE AS shares_near
+FROM labelled GROUP BY label_name"""
+
+
 def q_bce_loss_resampled_batches() -> str:
     return with_(COMMENTS, LABELLED, SCORED, SHUFFLED, TRAIN_LONG, RESAMPLED) + """
 SELECT encoder, label_name, epoch, batch_id,
