@@ -113,6 +113,9 @@ class Subsequences:
         for r, c, v in cells:
             self.vectors[r, c] += v
 
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "vectors"}
+
     def sums(self, words: list[str], weights: np.ndarray) -> np.ndarray:
         """For each word the sum of ``weights`` (a row per triple) over its own decayed
         triples: with ``vectors.T`` the kernel with every word of the trie."""
@@ -181,10 +184,17 @@ class Machine:
         self.unit = self.trie.vectors.T / np.sqrt(self_kernel(landmarks))  # a normalised landmark per column
         values, vectors = np.linalg.eigh(similarity(landmarks, landmarks))
         self.whiten = vectors / np.sqrt(np.maximum(values, 1e-3))
-        self.weights, self.bias, self.curve = np.zeros(len(landmarks)), -1.0, (0.0, 0.0)
+        self.curve = (0.0, 0.0)
+        self.set_weights(np.zeros(len(landmarks)), -1.0)
+
+    def set_weights(self, weights: np.ndarray, bias: float) -> None:
+        """Weights of the landmarks; ``collapsed`` are those of their subsequences."""
+        self.weights, self.bias, self.collapsed = weights, bias, self.unit @ weights[:, None]
+        self.name = hashlib.sha256(repr((self.landmarks, weights.tolist(), bias)).encode()).hexdigest()
 
-    def key(self) -> str:
-        return hashlib.sha256(repr((self.landmarks, self.weights.tolist(), self.bias)).encode()).hexdigest()
+    def __getstate__(self) -> dict:
+        """What scoring needs goes to the workers: trie and collapsed weights."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("landmarks", "unit", "whiten", "weights")}
 
     def _over_norm(self, words: list[str], weights: np.ndarray) -> np.ndarray:
         norm = np.sqrt(self_kernel(words))[:, None]
@@ -197,7 +207,7 @@ class Machine:
 
     def plain_values(self, words: list[str]) -> np.ndarray:
         """Value of each word as it is."""
-        return self._over_norm(words, self.unit @ self.weights[:, None])[:, 0] + self.bias
+        return self._over_norm(words, self.collapsed)[:, 0] + self.bias
 
     def fit(self, positive: np.ndarray, negative: np.ndarray, penalty: float = 1e-4, rounds: int = 400) -> None:
         """Linear machine with squared hinge loss on whitened similarities, both
@@ -212,7 +222,7 @@ class Machine:
             ahead = w + t / (t + 3) * (w - before)
             slack = np.maximum(0, 1 - y * (x @ ahead))
             before, w = w, ahead - step * (penalty * ahead - 2 * x.T @ (share * y * slack))
-        self.weights, self.bias = self.whiten @ w[:-1], float(w[-1])
+        self.set_weights(self.whiten @ w[:-1], float(w[-1]))
 
     def values(self, words: list[str]) -> np.ndarray:
         """Value of each word: the highest of its parts and beginnings."""
@@ -302,7 +312,7 @@ def reader(key: str, machine: Machine) -> Reader:
 
 
 def highest_value(text: Column | str, machine: Machine) -> Column:
-    key = machine.key()
+    key = machine.name
 
     def udf(texts: pa.Array) -> pa.Array:
         return pa.array(reader(key, machine).highest(texts))
@@ -423,7 +433,7 @@ def train(sample: DataFrame) -> Machine | None:
                 found += [every[int(value.argmax())]] if value.max() > 0 else []
         witness = known + found
 
-        key = machine.key()
+        key = machine.name
 
         def by_machine(words, machine=machine, key=key):
             return reader(key, machine).word_values(words).tolist()

@@ -1,6 +1,7 @@
 """Fitted operators and the pipeline: resampling, toxicity, neighbours, stages."""
 
 import itertools
+import pickle
 import random
 
 import numpy as np
@@ -101,7 +102,7 @@ def test_value_of_a_word_is_that_of_the_kernel_expansion():
     r = random.Random(3)
     some = ["".join(r.choice("abcdeñ") for _ in range(r.randrange(12))) for _ in range(300)] + ["q" * 40, "abcab" * 12]
     machine = X.Machine(["abcab", "edcba", "aaa", "bdbdbd", "abñde"])
-    machine.weights, machine.bias = np.array([1.0, -0.5, 0.3, 0.2, 2.0]), -0.7
+    machine.set_weights(np.array([1.0, -0.5, 0.3, 0.2, 2.0]), -0.7)
     short = [w for w in some if len(w) <= X.WIDEST]
     want = X.similarity(short, machine.landmarks) @ machine.weights + machine.bias
     assert np.allclose(machine.plain_values(short), want)
@@ -109,6 +110,8 @@ def test_value_of_a_word_is_that_of_the_kernel_expansion():
     # a word's value is the highest of its own and of its beginnings
     highest = [max(machine.plain_values([w, *X.stems(w)])) for w in short]
     assert np.allclose(machine.values(short), highest)
+    sent = pickle.dumps(machine)
+    assert len(sent) < 10_000 and (pickle.loads(sent).values(some) == machine.values(some)).all()
     parts = X.windows("abcab" * 12)
     assert machine.values(["abcab" * 12])[0] == pytest.approx(machine.values(parts).max())
     assert "".join(p[: X.WIDEST // 2] for p in X.windows("ab" * 80))[:144] == ("ab" * 80)[:144]
