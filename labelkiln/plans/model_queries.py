@@ -1,13 +1,19 @@
-"""Model-fitting queries (rows-only checks: fitted weights have no SQL form)."""
+"""Model-fitting queries. Fitted weights have no SQL form; the queries with SQL check what
+follows from them (rows, falling losses, F1 above any constant model, recounts, reloads)."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
+from labelkiln.functions.columns import linspace
 from labelkiln.operators import metrics as M
+from labelkiln.operators import minibatch as MB
 from labelkiln.operators import models as MO
 from labelkiln.operators import sampling as SA
 from labelkiln.operators import selection as S
+from labelkiln.operators.draws import weighted_draws
+from labelkiln.operators.model_store import ModelStore
 from labelkiln.plans import derived as D
 from labelkiln.plans import sql_common as Q
 from labelkiln.plans.catalog import THRESHOLD, register
@@ -210,3 +216,114 @@ def pooled_epoch_metrics(spark, sf):
     hist = M.accuracy_f1(M.confusion(scored, g), g)
     best = S.first_argmax(hist.filter(F.col("split") == "val").withColumnRenamed("f1", "value"), ["label_name"])
     return hist.join(best.select("label_name", "best_epoch"), ["label_name"], "left")
+
+
+# --------------------------------------------------- mini-batch training --
+#: Positions of the hashed words for each encoder; steps of an epoch; smallest batch.
+ENCODER_DIMS, STEPS, MIN_BATCH = dict(zip(D.ENCODERS, (512, 4096))), 8, 10
+
+
+def _minibatch_run(spark, sf, encoder):
+    """``(run, features)``: one run of all labels and epochs over class-weighted draws
+    with replacement (as many an epoch as there are training rows), and the hashed words
+    of every labelled document with its split."""
+    dim = ENCODER_DIMS[encoder]
+    docs = D.comments(spark, sf)
+    features = cut_lineage(docs.select("doc_id", "split", *D.LABEL_NAMES, MB.hashed_words(F.col("comment_text"), dim).alias("idx")),
+                           "features")
+    train = features.filter(F.col("split") == "train").drop("idx").unpivot(["doc_id"], list(D.LABEL_NAMES), "label_name", "y")
+    rows = cut_lineage(SA.row_weights(train, SA.class_weights(SA.class_counts(train))), "weighted")
+    n = rows.count() // len(D.LABEL_NAMES)
+    size = max(MIN_BATCH, -(-n // STEPS))
+    draws = weighted_draws(rows, "doc_id", "weight", ["label_name"], rows.select("label_name").distinct().withColumn(
+        "n", F.lit(n * EPOCHS)), 42)
+    drawn = draws.join(rows.select("label_name", "doc_id", "y"), ["label_name", "doc_id"])
+    batches = MB.batch_rows(drawn, features.select("doc_id", "idx"), D.LABEL_NAMES, n, size)
+    return MB.train(batches, D.LABEL_NAMES, dim, EPOCHS, -(-n // size)), features
+
+
+def _scored(run, features, splits):
+    """Every document of ``splits`` with its probability per label and epoch."""
+    rows = features.filter(F.col("split").isin(*splits))
+    y = rows.drop("idx").unpivot(["doc_id", "split"], list(D.LABEL_NAMES), "label_name", "y")
+    return MB.score(rows, ["doc_id"], run, D.LABEL_NAMES).join(y, ["doc_id", "label_name"])
+
+
+@register("minibatch_epoch_metrics")
+def minibatch_epoch_metrics(spark, sf):
+    """M1, M3, M4: acc, F1 (threshold 0.48) and ROC-AUC per split, label and epoch of one
+    run, epoch after epoch with the optimizer's state kept."""
+    run, features = _minibatch_run(spark, sf, "tuned")
+    scored = cut_lineage(_scored(run, features, ("train", "val", "test")), "scored")
+    g = ["split", "label_name", "epoch"]
+    conf = M.confusion(scored.withColumn("pred", M.predict("p", THRESHOLD)), g)
+    return M.accuracy_f1(conf, g).join(M.roc_auc(scored, g), g)
+
+
+@register("minibatch_loss_history")
+def minibatch_loss_history(spark, sf):
+    """A17: the loss of every batch before its step (epochs x steps x labels rows)."""
+    run, _ = _minibatch_run(spark, sf, "tuned")
+    return spark.createDataFrame(run.losses, "epoch int, step int, label_name string, loss double")
+
+
+@register("minibatch_checks", Q.q_minibatch_checks())
+def minibatch_checks(spark, sf):
+    """What no constant model can give: a falling loss, and an F1 on the training rows
+    above that of calling everything positive (the best a constant can do)."""
+    run, features = _minibatch_run(spark, sf, "tuned")
+    losses = spark.createDataFrame(run.losses, "epoch int, step int, label_name string, loss double").groupBy("label_name").agg(
+        F.avg(F.when(F.col("epoch") == 1, F.col("loss"))).alias("first"),
+        F.avg(F.when(F.col("epoch") == EPOCHS, F.col("loss"))).alias("last"))
+    scored = _scored(run, features, ("train",)).filter(F.col("epoch") == EPOCHS)
+    f1 = M.accuracy_f1(M.confusion(scored.withColumn("pred", M.predict("p", THRESHOLD)), ["label_name"]), ["label_name"])
+    base = scored.groupBy("label_name").agg(F.avg("y").alias("share"))
+    better = (F.col("share") == 0) | (F.col("f1") > 2 * F.col("share") / (1 + F.col("share")))
+    return (losses.join(f1, "label_name").join(base, "label_name")
+            .select("label_name", (F.col("last") < F.col("first")).alias("loss_falls"), better.alias("beats_constant")))
+
+
+@register("fitted_threshold_sweep", Q.q_fitted_threshold_sweep())
+def fitted_threshold_sweep(spark, sf):
+    """M5 over fitted scores: fit, score, sweep 26 thresholds, mean F1 over the epochs,
+    best threshold per label -- with a recount at the best one."""
+    run, features = _minibatch_run(spark, sf, "tuned")
+    scored = cut_lineage(_scored(run, features, ("train", "val")), "scored")
+    grid = linspace(0.45, 0.70, 26)
+    sweep = S.threshold_sweep(scored, ["label_name", "epoch"], grid)
+    mean = cut_lineage(S.mean_over(sweep, ["label_name", "threshold"], "f1", "mean_f1"), "sweep")
+    best = S.best_threshold(mean, ["label_name"])
+    again = scored.join(best.select("label_name", "best_threshold"), "label_name").withColumn(
+        "pred", (F.col("p") >= F.col("best_threshold")).cast("int"))
+    recount = M.accuracy_f1(M.confusion(again, ["label_name", "epoch"]), ["label_name", "epoch"]).groupBy("label_name").agg(
+        F.avg("f1").alias("recounted"))
+    points = mean.groupBy("label_name").agg(F.count("*").alias("n_points"), F.max("mean_f1").alias("most"))
+    return points.join(recount, "label_name").select(
+        "label_name", "n_points", (F.abs(F.col("recounted") - F.col("most")) < 1e-9).alias("recount_equal"))
+
+
+@register("model_store_rows", Q.q_model_store_rows())
+def model_store_rows(spark, sf):
+    """K2 per encoder and label: every epoch's model is offered in order by its ROC-AUC on
+    the training rows, a strictly better one replaces the current; the current one read
+    back scores those rows as the run's best epoch did."""
+    store, out = ModelStore(spark, fresh_dir(spark, "models")), None
+    for encoder in D.ENCODERS:
+        run, features = _minibatch_run(spark, sf, encoder)
+        scored = cut_lineage(_scored(run, features, ("train",)), "scored")
+        auc = {(r["label_name"], r["epoch"]): r["roc_auc"] for r in M.roc_auc(scored, ["label_name", "epoch"]).collect()}
+        for e in range(1, EPOCHS + 1):
+            store.publish({(encoder, name): (auc.get((name, e)) or 0.0, e, run.weights[e - 1][:, i])
+                           for i, name in enumerate(D.LABEL_NAMES)})
+        loaded = MB.Run([np.stack([store.load(encoder, name) for name in D.LABEL_NAMES], axis=1)])
+        again = _scored(loaded, features, ("train",)).select("doc_id", "label_name", F.col("p").alias("p2"))
+        current = store.current().filter(F.col("encoder") == encoder).select("label_name", "metric", F.col("epoch").alias("best"))
+        most = spark.createDataFrame([(n, max((auc.get((n, e)) or 0.0) for e in range(1, EPOCHS + 1))) for n in D.LABEL_NAMES],
+                                     "label_name string, most double")
+        kept = scored.join(current, "label_name").filter(F.col("epoch") == F.col("best")).join(again, ["doc_id", "label_name"])
+        part = kept.groupBy("label_name").agg(F.count("*").alias("n_rows"), F.count_if(F.col("p") == F.col("p2")).alias("n_equal"),
+                                              F.max("metric").alias("metric")).join(most, "label_name")
+        part = part.select(F.lit(encoder).alias("encoder"), "label_name", "n_rows", "n_equal",
+                           (F.col("metric") == F.col("most")).alias("best_kept"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -338,6 +338,22 @@ def q_weighted_resample() -> str:
     return with_(COMMENTS, SHUFFLED, TRAIN_LONG, RESAMPLED) + "SELECT * FROM r"
 
 
+def q_minibatch_checks() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT DISTINCT label_name, TRUE AS loss_falls, TRUE AS beats_constant FROM labelled"""
+
+
+def q_fitted_threshold_sweep() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT DISTINCT label_name, 26::BIGINT AS n_points, TRUE AS recount_equal FROM labelled"""
+
+
+def q_model_store_rows() -> str:
+    return with_(COMMENTS, LABELLED) + """
+SELECT encoder, label_name, count(*) AS n_rows, count(*) AS n_equal, TRUE AS best_kept
+FROM labelled, (VALUES ('base'), ('tuned')) AS e(encoder) WHERE split = 'train' GROUP BY encoder, label_name"""
+
+
 def q_weighted_resample_any() -> str:
     return with_(COMMENTS, LABELLED) + """
 SELECT label_name, count(*) AS n_draws, count(*) AS n_numbers, count(*) - 1 AS last, 0::BIGINT AS n_unknown, TRUE AS shares_near
