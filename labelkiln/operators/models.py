@@ -112,6 +112,19 @@ def mean_pool(features, key_cols, vectors, n_ids: int, divisor: str = "pad", pad
     return features.select(*key_cols, pool(F.col(ids_col)).alias("pooled"))
 
 
+def mean_of_sums(pooled, key_cols, n_col: str, vec_col: str = "pooled"):
+    """One vector per key from windows that were each divided by their own ``n_col`` (at
+    least 1): the sums of all windows over the sum of ``n_col`` (at least 1)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = pooled.select(*key_cols, n_col, array_to_vector(F.col(vec_col)).alias("_v"),
+                      F.greatest(F.col(n_col), F.lit(1)).cast("double").alias("_by"))
+    total = v.groupBy(*key_cols).agg(Summarizer.sum(F.col("_v"), F.col("_by")).alias("_s"), F.sum(n_col).alias("_n"))
+    by = F.greatest(F.col("_n"), F.lit(1))
+    return total.select(*key_cols, F.transform(vector_to_array("_s"), lambda x: x / by).alias(vec_col))
+
+
 # --------------------------------------------------------------- fitting --
 def text_feature_pipeline(text_col: str, num_features: int = 4096):
     """words (same split as the tokenizer) -> hashed term counts -> IDF.

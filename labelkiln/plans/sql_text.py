@@ -298,23 +298,18 @@ FROM (SELECT vec_id, greatest(0.0, {dot('embedding', 0)}) AS z0, greatest(0.0, {
 
 
 def q_mean_pool(divisor: str, L: int = 128) -> str:
-    """Mean-pool of token vectors (embedding row = token id) over all L
-    positions, divided by the pad count ('pad') or the real-token count."""
-    if divisor == "pad":
-        div = "greatest(1, len(list_filter(input_ids, lambda x: x = 0)))"
-    else:
-        div = "greatest(1, len(list_filter(input_ids, lambda x: x <> 0)))"
+    """Sum of a document's token vectors (embedding row = token id) over all its windows,
+    divided by their pad count ('pad') or their real-token count."""
+    test = "=" if divisor == "pad" else "<>"
     return f"""
-WITH f AS ({q_encode_single(L)}),
-pos AS (SELECT doc_id, unnest(input_ids) AS tok, {div} AS dv FROM f),
-cnt AS (SELECT doc_id, tok, dv, count(*) AS c FROM pos GROUP BY doc_id, tok, dv),
-dims AS (SELECT c.doc_id, c.dv, u.i, sum(c.c * u.x::DOUBLE) AS s
+WITH f AS ({q_encode_windows(L)}),
+n AS (SELECT doc_id, greatest(1, sum(len(list_filter(input_ids, lambda x: x {test} 0)))) AS dv FROM f GROUP BY doc_id),
+cnt AS (SELECT doc_id, tok, count(*) AS c FROM (SELECT doc_id, unnest(input_ids) AS tok FROM f) GROUP BY doc_id, tok),
+dims AS (SELECT c.doc_id, u.i, sum(c.c * u.x::DOUBLE) AS s
          FROM cnt c JOIN (SELECT vec_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM embeddings) u
            ON u.vec_id = c.tok % (SELECT count(*) FROM embeddings)
-         GROUP BY c.doc_id, c.dv, u.i)
-SELECT f.doc_id, coalesce(list(round(d.s / d.dv, 6) + 0.0 ORDER BY d.i) FILTER (WHERE d.i IS NOT NULL),
-                          list_transform(range(64), lambda x: 0.0)) AS pooled
-FROM f LEFT JOIN dims d USING (doc_id) GROUP BY f.doc_id"""
+         GROUP BY c.doc_id, u.i)
+SELECT d.doc_id, list(round(d.s / n.dv, 6) + 0.0 ORDER BY d.i) AS pooled FROM dims d JOIN n USING (doc_id) GROUP BY d.doc_id"""
 
 
 def q_mean_pool_windows(divisor: str, L: int = 128) -> str:

@@ -163,10 +163,13 @@ def pooled_documents(spark, sf, divisor):
 
 
 def _pooled(spark, sf, divisor):
+    """Sum of a document's token vectors over all its windows, by the pads or the real
+    tokens of all of them."""
     v = _vocab(spark, sf)
-    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, MAX_LEN)
-    return rounded(MO.mean_pool(feats, ["doc_id"], D.token_vector_table(spark, sf, len(v.map)), len(v.map),
-                                divisor))
+    feats = FE.encode(_docs(spark, sf).select("doc_id", "text"), ["doc_id"], "text", None, v, MAX_LEN, overflow="windows")
+    n = F.size(F.filter("input_ids", lambda x: x == 0 if divisor == "pad" else x != 0))
+    sums = MO.mean_pool(feats.withColumn("n", n), ["doc_id", "n"], D.token_vector_table(spark, sf, len(v.map)), len(v.map), divisor)
+    return rounded(MO.mean_of_sums(sums, ["doc_id"], "n"))
 
 
 @register("mean_pool_pad_divisor", X.q_mean_pool("pad", MAX_LEN))

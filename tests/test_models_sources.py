@@ -108,9 +108,15 @@ def test_windowed_pooling_queries_read_whole_texts(spark, tmp_path):
                           "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(i, [float(i % 7), float(i % 11)]) for i in range(300)],
                           "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
-    for divisor in ("pad", "token"):
-        got = {r["doc_id"]: r["pooled"] for r in E.queries()[f"mean_pool_windows_{divisor}_divisor"](spark, str(tmp_path)).collect()}
-        assert len(got) == 3 and got[1] != got[2] != got[3] != got[1], divisor
+    for name in ("mean_pool_windows_pad_divisor", "mean_pool_windows_token_divisor", "mean_pool_pad_divisor", "mean_pool_token_divisor"):
+        got = {r["doc_id"]: r["pooled"] for r in E.queries()[name](spark, str(tmp_path)).collect()}
+        assert len(got) == 3 and got[1] != got[2] != got[3] != got[1], name
+
+
+def test_windows_are_summed_before_they_are_divided(spark):
+    parts = spark.createDataFrame([(1, 3, [1.0, 2.0]), (1, 0, [5.0, 5.0]), (2, 0, [4.0, 0.0])], "k long, n int, pooled array<double>")
+    got = {r["k"]: r["pooled"] for r in MO.mean_of_sums(parts, ["k"], "n").collect()}
+    assert np.allclose(got[1], [8 / 3, 11 / 3]) and np.allclose(got[2], [4.0, 0.0])
 
 
 def test_token_vectors_must_be_complete_and_equally_wide(spark):
