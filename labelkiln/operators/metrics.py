@@ -7,8 +7,12 @@ collapsed by value (so a hot score value is one row, not a hot partition).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelkiln.functions.columns import bce_term, ce_term_2class
@@ -210,11 +214,83 @@ XNLI_METRICS: dict[str, tuple[str, ...]] = {"xnli": ("acc",)}
 REGRESSION_METRICS = ("pearson", "spearmanr", "corr")
 
 
+@dataclass(frozen=True)
+class SummedMetric:
+    """A metric that no built-in aggregate gives: ``partial(pred, label)`` turns a batch of
+    numpy arrays into a vector of fixed length, the vectors of all batches are added up,
+    and ``finish(vector)`` is the value. So no group is ever held whole."""
+    partial: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    finish: Callable[[np.ndarray], float]
+
+
+CLASSIFICATION_METRICS = ("acc", "f1", "acc_and_f1", "mcc")
+#: Metrics beyond the built-in ones: an aggregate of (pred, label), or a ``SummedMetric``.
+METRICS: dict[str, Callable[[Column, Column], Column] | SummedMetric] = {}
+
+
+def register_metric(name: str, builder: Callable[[Column, Column], Column] | SummedMetric) -> None:
+    """Add a metric that task metric sets may name: a function of the prediction and
+    label columns that returns an aggregate column, or a ``SummedMetric``."""
+    if name in (*CLASSIFICATION_METRICS, *REGRESSION_METRICS):
+        raise ValueError(f"{name} is a built-in metric")
+    METRICS[name] = builder
+
+
 def register_task_metrics(task: str, metrics: Sequence[str]) -> None:
-    """Add or replace a task's metric set (the pluggable-metric hook)."""
+    """Add or replace a task's metric set (the pluggable-metric hook); KeyError for a
+    metric that is neither built in nor registered."""
+    for m in metrics:
+        if m not in (*CLASSIFICATION_METRICS, *REGRESSION_METRICS, *METRICS):
+            raise KeyError(m)
     TASK_METRICS[task] = tuple(metrics)
 
 
+def registered_metrics(df: DataFrame, task_col: str, pred: str, label: str, wanted: Mapping[str, Sequence[str]]) -> DataFrame | None:
+    """``task_col, metric, value`` of the registered metrics in ``wanted`` (metrics of each
+    task): one aggregation for all built by columns, one pass for all summed ones; None
+    where no task names one."""
+    names = sorted({m for ms in wanted.values() for m in ms if m in METRICS})
+    plain = [m for m in names if not isinstance(METRICS[m], SummedMetric)]
+    summed = [m for m in names if m not in plain]
+
+    def rows_of(metrics: Sequence[str]) -> DataFrame:
+        return df.filter(F.col(task_col).isin([t for t, ms in wanted.items() if set(ms) & set(metrics)]))
+
+    out = []
+    if plain:
+        built = [METRICS[m](F.col(pred), F.col(label)).cast("double").alias(m) for m in plain]
+        out.append(rows_of(plain).groupBy(task_col).agg(*built).unpivot([task_col], plain, "metric", "value"))
+    if summed:
+        partials = {m: METRICS[m].partial for m in summed}
+        finishes = {m: METRICS[m].finish for m in summed}
+        own = {t: [m for m in ms if m in partials] for t, ms in wanted.items()}
+
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[str, str], np.ndarray] = {}
+            for b in batches:
+                tasks = b.column(0).dictionary_encode()
+                code, p, y = tasks.indices.to_numpy(), *(b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+                for i, t in enumerate(tasks.dictionary.to_pylist()):
+                    for m in own[t]:
+                        v = np.asarray(partials[m](p[code == i], y[code == i]), np.float64)
+                        held[t, m] = held[t, m] + v if (t, m) in held else v
+            yield pa.RecordBatch.from_pylist([{task_col: t, "metric": m, "i": i, "v": float(x)} for (t, m), v in held.items()
+                                              for i, x in enumerate(v)], pa.schema([(task_col, pa.string()), ("metric", pa.string()),
+                                                                                    ("i", pa.int32()), ("v", pa.float64())]))
+
+        def finish(metric: pa.Array, vectors: pa.Array) -> pa.Array:
+            return pa.array([float(finishes[m.as_py()](v.values.to_numpy(zero_copy_only=False))) for m, v in zip(metric, vectors)],
+                            pa.float64())
+
+        parts = rows_of(summed).select(F.col(task_col).cast("string"), F.col(pred).cast("double"), F.col(label).cast("double")).mapInArrow(
+            sums, f"{task_col} string, metric string, i int, v double")
+        vectors = (parts.groupBy(task_col, "metric", "i").agg(F.sum("v").alias("v")).groupBy(task_col, "metric")
+                   .agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("vs")))  # as long as the metric's vector
+        out.append(vectors.select(task_col, "metric", F.arrow_udf(finish, "double")(
+            "metric", F.transform("vs", lambda x: x["v"])).alias("value")))
+    return reduce(DataFrame.unionByName, out) if out else None
+
+
 def metrics_for(task: str, table: dict[str, tuple[str, ...]] | None = None) -> tuple[str, ...]:
     table = TASK_METRICS if table is None else table
     if task not in table:
@@ -237,29 +313,34 @@ def compute_task_metrics(df: DataFrame, task: str, pred: str = "pred", label: st
                          table: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Metrics of one task as a long table (metric, value). Unknown task -> KeyError."""
     wanted = metrics_for(task, table)
-    if set(wanted) <= set(REGRESSION_METRICS):
-        wide = pearson_and_spearman(df, [], pred, label)
-    else:
-        wide = _classification_stats(df, [], pred, label)
-    return wide.unpivot([], list(wanted), "metric", "value")
+    out = []
+    if mine := [m for m in wanted if m in CLASSIFICATION_METRICS]:
+        out.append(_classification_stats(df, [], pred, label).unpivot([], mine, "metric", "value"))
+    if mine := [m for m in wanted if m in REGRESSION_METRICS]:
+        out.append(pearson_and_spearman(df, [], pred, label).unpivot([], mine, "metric", "value"))
+    if [m for m in wanted if m in METRICS]:
+        out.append(registered_metrics(df.withColumn("_task", F.lit(task)), "_task", pred, label, {task: wanted}).drop("_task"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def task_metrics(df: DataFrame, task_col: str = "task", pred: str = "pred", label: str = "label",
                  table: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Metrics for many tasks at once: one aggregation for the classification
-    tasks, one for the regression tasks, then each task keeps its own metric
-    set. A task without an entry fails the job (``raise_error``)."""
+    tasks, one for the regression tasks, those of ``register_metric``, then each task
+    keeps its own metric set. A task without an entry fails the job (``raise_error``)."""
     table = TASK_METRICS if table is None else table
     spark = df.sparkSession
     spec = spark.createDataFrame([(t, m) for t, ms in table.items() for m in ms],
                                  f"{task_col} string, metric string")
-    reg_tasks = [t for t, ms in table.items() if set(ms) <= set(REGRESSION_METRICS)]
+    reg_tasks = [t for t, ms in table.items() if set(ms) & set(REGRESSION_METRICS)]
+    reg_only = [t for t in reg_tasks if not set(table[t]) & set(CLASSIFICATION_METRICS)]
     is_reg = F.col(task_col).isin(reg_tasks)
-    cls = _classification_stats(df.filter(~is_reg), [task_col], pred, label) \
+    cls = _classification_stats(df.filter(~F.col(task_col).isin(reg_only)), [task_col], pred, label) \
         .unpivot([task_col], ["acc", "f1", "acc_and_f1", "mcc"], "metric", "value")
     reg = pearson_and_spearman(df.filter(is_reg), [task_col], pred, label) \
         .unpivot([task_col], list(REGRESSION_METRICS), "metric", "value")
-    computed = cls.unionByName(reg)
+    more = registered_metrics(df, task_col, pred, label, table)
+    computed = cls.unionByName(reg) if more is None else cls.unionByName(reg).unionByName(more)
     # the registry is a handful of rows: safe to broadcast
     want = F.broadcast(spec.withColumn("_want", F.lit(True)))
     known = F.broadcast(spec.select(task_col).distinct().withColumn("_known", F.lit(True)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelkiln.functions.columns import linspace, rounded
@@ -92,6 +93,33 @@ def task_metrics_dispatch(spark, sf):
     return rounded(M.task_metrics(D.task_predictions(spark, sf), "task", "pred", "label", table=table))
 
 
+def _class_pairs(pred, label):
+    """Counts of (prediction, label) over the classes 0 to 2."""
+    return np.bincount((3 * pred + label).astype(np.int64), minlength=9)
+
+
+def _kappa(counts):
+    """Agreement beyond chance."""
+    m = counts.reshape(3, 3) / counts.sum()
+    chance = m.sum(axis=0) @ m.sum(axis=1)
+    return (np.trace(m) - chance) / (1 - chance) if chance < 1 else 0.0
+
+
+M.register_metric("balanced_acc", lambda pred, label: (F.avg(F.when(label == 1, (pred == label).cast("int")))
+                                                       + F.avg(F.when(label != 1, (pred == label).cast("int")))) / 2)
+M.register_metric("mae", lambda pred, label: F.avg(F.abs(pred - label)))
+M.register_metric("kappa", M.SummedMetric(_class_pairs, _kappa))
+
+
+@register("task_metrics_custom", Q.q_task_metrics_custom())
+def task_metrics_custom(spark, sf):
+    """X3: metric sets with metrics that a caller registered."""
+    table = {**M.TASK_METRICS, **M.XNLI_METRICS, "cola": ("mcc", "balanced_acc"), "mnli": ("acc", "kappa"),
+             "xnli": ("kappa",), "sts-b": ("pearson", "mae")}
+    got = M.task_metrics(D.task_predictions(spark, sf), "task", "pred", "label", table=table)
+    return rounded(got.filter(F.col("task").isin("cola", "mnli", "xnli", "sts-b") & ~F.col("metric").isin("mcc", "pearson")))
+
+
 @register("pred_label_alignment_check", Q.q_pred_label_alignment_check())
 def pred_label_alignment_check(spark, sf):
     """Per split, label, encoder and epoch: keys, and the rows that one side lacks

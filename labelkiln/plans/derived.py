@@ -101,6 +101,6 @@ def regression_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab_r = (F.col("turn") % 6).cast("double")
     return conv.select(
         F.lit("sts-b").alias("task"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("id"),
         (lab_r * F.lit(0.8) + hash_byte_score("stsb:", F.col("conv_id"), ":", F.col("turn"))).alias("pred"),
         lab_r.alias("label"))

@@ -72,7 +72,7 @@ TASK_PRED = f"""task_pred AS (
                CAST(CASE WHEN t.k = 2 THEN l.toxic ELSE l.doc_id % 3 END AS INTEGER) AS lab
         FROM labels l CROSS JOIN (VALUES {TASK_VALUES}) t(task, k)) x
   UNION ALL
-  SELECT 'sts-b', conv_id * 1000 + turn,
+  SELECT 'sts-b', conv_id * 1000000 + turn,
          (turn % 6)::DOUBLE * 0.8::DOUBLE + {BYTE.format(x="'stsb:' || conv_id || ':' || turn")},
          (turn % 6)::DOUBLE
   FROM conversations)"""
@@ -175,6 +175,23 @@ SELECT m.task, m.metric, round(m.value, 6) AS value
 FROM (SELECT * FROM cls_m UNION ALL SELECT * FROM reg_m) m JOIN spec USING (task, metric)"""
 
 
+def q_task_metrics_custom() -> str:
+    return with_(TASK_PRED) + """
+, k AS (SELECT task, pred, label, count(*) AS n, any_value(total) AS total FROM task_pred
+      JOIN (SELECT task, count(*) AS total FROM task_pred GROUP BY task) USING (task)
+      WHERE task IN ('mnli', 'xnli') GROUP BY task, pred, label),
+a AS (SELECT task, pred AS c, sum(n) / any_value(total) AS p FROM k GROUP BY task, pred),
+b AS (SELECT task, label AS c, sum(n) / any_value(total) AS p FROM k GROUP BY task, label),
+chance AS (SELECT task, sum(a.p * b.p) AS pe FROM a JOIN b USING (task, c) GROUP BY task),
+same AS (SELECT task, sum(CASE WHEN pred = label THEN n ELSE 0 END) / any_value(total) AS po FROM k GROUP BY task)
+SELECT task, 'kappa' AS metric, round((po - pe) / (1 - pe), 6) AS value FROM same JOIN chance USING (task)
+UNION ALL SELECT task, 'acc', round(avg((pred = label)::INT), 6) FROM task_pred WHERE task = 'mnli' GROUP BY task
+UNION ALL SELECT task, 'balanced_acc', round((avg(CASE WHEN label = 1 THEN (pred = label)::INT END)
+                                              + avg(CASE WHEN label <> 1 THEN (pred = label)::INT END)) / 2, 6)
+          FROM task_pred WHERE task = 'cola' GROUP BY task
+UNION ALL SELECT task, 'mae', round(avg(abs(pred - label)), 6) FROM task_pred WHERE task = 'sts-b' GROUP BY task"""
+
+
 def q_pred_label_alignment_check() -> str:
     return with_(COMMENTS, LABELLED, SCORED) + """
 SELECT split, label_name, encoder, epoch, count(*) AS n_keys,

@@ -8,7 +8,7 @@ from labelkiln.sources.tasks import TASKS
 CLEAN = "regexp_replace({x}, '[\\t\\r\\n]', ' ', 'g')"
 
 PAIRS = f"""pairs AS (
-  SELECT u.conv_id, u.turn, u.conv_id * 1000 + u.turn AS pair_id, u.text AS raw_a, a.text AS raw_b,
+  SELECT u.conv_id, u.turn, u.conv_id * 1000000 + u.turn AS pair_id, u.text AS raw_a, a.text AS raw_b,
          {CLEAN.format(x='u.text')} AS text_a, {CLEAN.format(x='a.text')} AS text_b,
          CASE WHEN {H52.format(x="'split:' || u.conv_id || ':' || u.turn")} % 10 < 8 THEN 'train' ELSE 'dev' END AS part
   FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
@@ -229,7 +229,7 @@ def q_features_repeated_guid(L: int = 128) -> str:
     return f"""
 SELECT 'train' AS set_type, pair_id AS row_idx,
        CASE WHEN pair_id % 5 = 0 THEN NULL ELSE 'train-' || (pair_id % 3) END AS guid,
-       input_ids, attention_mask, token_type_ids, ((pair_id // 1000) % 2)::BIGINT AS label_id, NULL::DOUBLE AS label_value
+       input_ids, attention_mask, token_type_ids, ((pair_id // 1000000) % 2)::BIGINT AS label_id, NULL::DOUBLE AS label_value
 FROM ({pairs}) e"""
 
 

@@ -2,7 +2,7 @@
 
 Rows come from the test tables by fixed rules:
 * pair tasks: a user turn with the assistant turn that follows it in the same
-  conversation (pair_id = conv_id * 1000 + turn); class = conv_id mod #classes;
+  conversation (pair_id = conv_id * 1_000_000 + turn); class = conv_id mod #classes;
   sts-b score = turn mod 6; qqp rows of conversations with conv_id mod 7 = 0 are
   written short (4 columns); qnli rows with conv_id mod 17 = 0 carry a label
   outside the label list.
@@ -38,7 +38,7 @@ def pair_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("text_b"))
     part = F.when(hash52("split:", F.col("conv_id"), ":", F.col("turn")) % 10 < 8, "train").otherwise("dev")
     return u.join(a, ["conv_id", "turn"]).select(
-        "conv_id", "turn", (F.col("conv_id") * 1000 + F.col("turn")).alias("pair_id"),
+        "conv_id", "turn", (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("pair_id"),
         F.col("text_a"), F.col("text_b"), part.alias("part"))
 
 
