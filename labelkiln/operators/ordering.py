@@ -8,17 +8,21 @@ Two building blocks replace ``Window.orderBy(...)`` without ``partitionBy``
   ``monotonically_increasing_id`` is contiguous inside a block; a block table
   (one row per block) gives each block's offset.
 * ``prefix_below`` -- for rows keyed by ``(group, value)``, the sum of weight
-  columns over all rows of the group with a strictly smaller value. Values are
-  cut into quantile-adaptive buckets; a window over bucket totals (at most
-  ``buckets`` rows per group) gives bucket offsets, and a window inside each
-  bucket finishes the job. No window ever holds a whole group.
+  columns over all rows of the group with a strictly smaller value. Rows are
+  partitioned by sampled ranges; running sums inside each range and one total per
+  (group, range) finish the job. No window ever holds a whole group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from labelkiln.session import cut_lineage
 
 
 def _before(group_cols, *order) -> Window:
@@ -101,6 +105,39 @@ def value_buckets(df: DataFrame, group_cols: Sequence[str], value_col: str, buck
     return out.drop("_lk_q", "_lk_min", "_lk_max")
 
 
+def _running_sums(groups: int, weights: Sequence[int]):
+    """Rows sorted by group and value -> the same with the range's number and, per weight
+    column, the sum over the earlier rows of the group in this range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last, carry = None, [0] * len(weights)
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            new = np.zeros(n, bool)
+            for j in range(groups):
+                codes = b.column(j).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                new[1:] |= codes[1:] != codes[:-1]
+            new[0] = last != (first := tuple(b.column(j)[0].as_py() for j in range(groups)))
+            starts = np.flatnonzero(new)
+            at = np.searchsorted(starts, np.arange(n), "right") - 1  # -1: the group of the batch before goes on
+            sums = []
+            for k, w in enumerate(weights):
+                v = b.column(w).to_numpy(zero_copy_only=False)
+                before = np.cumsum(v) - v
+                own = before - np.where(at >= 0, before[starts[np.maximum(at, 0)]] if len(starts) else 0, 0)
+                own = np.where(at >= 0, own, own + carry[k])
+                carry[k] = own[-1] + v[-1]
+                sums.append(pa.array(own))
+            last = first if not new[1:].any() else tuple(b.column(j)[n - 1].as_py() for j in range(groups))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(n, part, np.int64)), *sums],
+                                             [*b.schema.names, "_lk_b", *(f"_lk_l_{k}" for k in range(len(weights)))])
+
+    return run
+
+
 def prefix_below(df: DataFrame, group_cols: Sequence[str], value_col: str,
                  weight_cols: Sequence[str], buckets: int | None = None,
                  lo: float | None = None, hi: float | None = None,
@@ -108,24 +145,34 @@ def prefix_below(df: DataFrame, group_cols: Sequence[str], value_col: str,
     """For each row add ``<w><suffix>`` = sum of ``w`` over rows of the same group
     whose ``value_col`` is strictly smaller. Rows with equal values must already
     be collapsed to one row (group by value first): then "strictly smaller" is
-    "earlier in order". Buckets come from ``value_buckets`` (quantile-adaptive),
-    so no window holds more than about 1/buckets of a group."""
+    "earlier in order".
+
+    Rows are partitioned by sampled ranges of (group, value), so each partition holds
+    about as many rows whatever the distribution, and equal values never part. Sums run
+    inside a partition; one total per (group, partition) gives what lies before it.
+    ``buckets`` is the number of ranges; ``lo`` and ``hi`` are not needed any more."""
     cols = df.columns
     g = list(group_cols)
     if not g:  # a constant group keeps every join an equi-join
         df, g = df.withColumn("_lk_all", F.lit(0)), ["_lk_all"]
-    b = value_buckets(df, g, value_col, buckets, lo, hi)
-
-    # bucket totals: at most `buckets` rows per group reach the offset window
-    totals = b.groupBy(*g, "_lk_b").agg(*[F.sum(c).alias(f"_lk_t_{c}") for c in weight_cols])
+    rest = [c for c in df.columns if c not in (*g, value_col)]
+    df = df.select(*g, value_col, *rest)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = [T.LongType() if isinstance(df.schema[c].dataType, T.IntegralType) else T.DoubleType() for c in weight_cols]
+    schema = T.StructType([*df.schema.fields, T.StructField("_lk_b", T.LongType()),
+                           *(T.StructField(f"_lk_l_{k}", t) for k, t in enumerate(kinds))])
+    ranged = df.repartitionByRange(n, *g, value_col).sortWithinPartitions(*g, value_col)
+    # read twice below, and the ranges are sampled: written once
+    local = cut_lineage(ranged.mapInArrow(_running_sums(len(g), [df.columns.index(c) for c in weight_cols]), schema), "ranges")
+
+    # one row per (group, range)
+    totals = local.groupBy(*g, "_lk_b").agg(*[F.sum(c).alias(f"_lk_t_{c}") for c in weight_cols])
     wb = _before(g, "_lk_b")
     offs = totals.select(*g, "_lk_b", *[F.coalesce(F.sum(f"_lk_t_{c}").over(wb), F.lit(0)).alias(f"_lk_o_{c}")
                                         for c in weight_cols])
-    wi = _before([*g, "_lk_b"], value_col)
-    local = b.select("*", *[F.coalesce(F.sum(c).over(wi), F.lit(0)).alias(f"_lk_l_{c}") for c in weight_cols])
     out = local.join(offs, [*g, "_lk_b"])
-    return out.select(*cols, *[(F.col(f"_lk_o_{c}") + F.col(f"_lk_l_{c}")).alias(f"{c}{suffix}")
-                               for c in weight_cols])
+    return out.select(*cols, *[(F.col(f"_lk_o_{c}") + F.col(f"_lk_l_{k}")).alias(f"{c}{suffix}")
+                               for k, c in enumerate(weight_cols)])
 
 
 def average_rank(df: DataFrame, group_cols: Sequence[str], value_col: str,
