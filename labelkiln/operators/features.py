@@ -16,6 +16,8 @@ window of ``budget`` pieces.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -184,16 +186,66 @@ def segment_pieces(df: DataFrame, text_cols: list[str], vocab, budget: int | Non
     return out
 
 
+class TokenizerFile:
+    """A whole tokenizer as a file: its bytes go to the workers once, and each worker
+    builds the batch function ``load(bytes) -> (list of texts -> list of id lists)`` once."""
+
+    def __init__(self, spark, path: str, load, max_bytes: int = 64 << 20):
+        with open(path, "rb") as f:
+            data = f.read(max_bytes + 1)
+        if len(data) > max_bytes:
+            raise ValueError(f"{path} is larger than {max_bytes} bytes")
+        self._name, self._load, self._data = hashlib.sha256(data).hexdigest(), load, spark.sparkContext.broadcast(data)
+
+    def __call__(self):
+        """The batch function, kept per worker."""
+        key = self._name, getattr(self._load, "__qualname__", repr(self._load))
+        if key not in _BUILT:
+            _BUILT[key] = self._load(self._data.value)
+        return _BUILT[key]
+
+
+_BUILT: dict = {}
+
+
+def text_ids_udf(tokenizer):
+    """Arrow UDF string -> array<int> of a tokenizer: a function without arguments that
+    gives the batch function (a ``TokenizerFile``, say). A null text is an empty one; a
+    text may have no ids at all; the first id list of another length than the batch's
+    number of texts is an error."""
+
+    def tokenize(texts: pa.Array) -> pa.Array:
+        given = texts.fill_null("").to_pylist()
+        ids = tokenizer()(given)
+        if len(ids) != len(given):
+            raise ValueError(f"the tokenizer gave {len(ids)} id lists for {len(given)} texts")
+        return pa.array([list(map(int, i)) for i in ids], pa.list_(pa.int32()))
+
+    return F.arrow_udf(tokenize, "array<int>")
+
+
+def text_pieces(df: DataFrame, text_cols: list[str], tokenizer, budget: int | None) -> DataFrame:
+    """``df`` with ``ids_<i>`` and ``n_<i>`` as ``segment_pieces`` gives them, by a whole
+    tokenizer instead of words and pieces."""
+    ids, out = text_ids_udf(tokenizer), df
+    for i, tc in enumerate(text_cols):
+        got = ids(F.col(tc))
+        out = out.withColumn(f"ids_{i}", F.slice(got, 1, budget) if budget else got).withColumn(f"n_{i}", F.size(f"ids_{i}"))
+    return out
+
+
 # ----------------------------------------------------------------- encode --
 def _fill(v: int, n: Column) -> Column:
     return F.array_repeat(F.lit(v), n)
 
 
 def pack(a: Column, b: Column | None, max_length: int, pad_on_left: bool = False, pad_token: int = 0,
-         pad_token_segment_id: int = 0, mask_padding_with_zero: bool = True) -> list[Column]:
+         pad_token_segment_id: int = 0, mask_padding_with_zero: bool = True,
+         specials: tuple[int, int] | None = None) -> list[Column]:
     """[CLS] a [SEP] (b [SEP]) -> (input_ids, attention_mask, token_type_ids),
-    each padded to ``max_length``. ``a``/``b`` are already truncated."""
-    cls, sep = F.array(F.lit(SPECIAL_IDS[CLS])), F.array(F.lit(SPECIAL_IDS[SEP]))
+    each padded to ``max_length``. ``a``/``b`` are already truncated; ``specials`` are
+    the ids of the two marks where they are not the vocabulary's own."""
+    cls, sep = (F.array(F.lit(i)) for i in specials or (SPECIAL_IDS[CLS], SPECIAL_IDS[SEP]))
     if b is None:
         ids = F.concat(cls, a, sep)
         types = _fill(0, F.size(a) + 2)
@@ -221,12 +273,15 @@ def truncate_pair(na: Column, nb: Column, budget: int) -> tuple[Column, Column]:
 def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None, vocab,
            max_length: int = 512, pad_on_left: bool = False, pad_token: int = 0, pad_token_segment_id: int = 0,
            mask_padding_with_zero: bool = True, splitter=words, piece_fn=None,
-           carry_cols: list[str] = (), overflow: str = "truncate") -> DataFrame:
+           carry_cols: list[str] = (), overflow: str = "truncate", tokenizer=None,
+           specials: tuple[int, int] | None = None) -> DataFrame:
     """``key_cols, carry_cols, input_ids, attention_mask, token_type_ids`` (array<int>
     of ``max_length``) for single texts or text pairs, one row per input row.
     ``splitter`` replaces the word step (any Column -> array<string> expression);
     ``piece_fn`` replaces the subword step (a Python ``word -> list[int]``). Either
-    way each word must yield at least one id. ``overflow='windows'`` gives a single
+    way each word must yield at least one id. ``tokenizer`` replaces both (see
+    ``text_ids_udf``; ``vocab`` is not read then, and ``specials`` are its ids of the
+    two marks). ``overflow='windows'`` gives a single
     text one row per window of pieces instead of its beginning, with ``window``
     (0, 1, ...); a text without words is one window."""
     texts = [text_a] + ([text_b] if text_b else [])
@@ -234,7 +289,9 @@ def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None,
     if overflow not in ("truncate", "windows") or (overflow == "windows" and text_b):
         raise ValueError(f"overflow {overflow!r} with {len(texts)} texts")
     whole = overflow == "windows"
-    seg = segment_pieces(df, texts, _as_vocab(vocab), None if whole else budget, splitter, piece_fn)
+    room = None if whole else budget
+    seg = (text_pieces(df, texts, tokenizer, room) if tokenizer is not None
+           else segment_pieces(df, texts, _as_vocab(vocab), room, splitter, piece_fn))
     extra = []
     if whole:
         last = F.greatest(F.ceil(F.col("n_0") / budget) - 1, F.lit(0)).cast("int")
@@ -245,7 +302,7 @@ def encode(df: DataFrame, key_cols: list[str], text_a: str, text_b: str | None,
         a, b = F.slice("ids_0", F.lit(1), ka), F.slice("ids_1", F.lit(1), kb)
     else:
         a, b = F.col("ids_0"), None
-    cols = pack(a, b, max_length, pad_on_left, pad_token, pad_token_segment_id, mask_padding_with_zero)
+    cols = pack(a, b, max_length, pad_on_left, pad_token, pad_token_segment_id, mask_padding_with_zero, specials)
     return seg.select(*key_cols, *carry_cols, *extra, cols[0].alias("input_ids"), cols[1].alias("attention_mask"),
                       cols[2].alias("token_type_ids"))
 
