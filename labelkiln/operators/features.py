@@ -125,18 +125,89 @@ def greedy_pieces(word: str, vocab: dict[str, int], unk: int = 1, max_chars: int
     return out
 
 
+class PieceTrie:
+    """Greedy longest-match-first pieces in one pass over a word.
+
+    A trie of the vocabulary without and with the continuation mark; each node knows
+    where to go on when its next letter has no child: the pieces that a greedy reader
+    would have cut off by then (``pops``), and the node of what is left of the letters read
+    (``fail``). Both follow from the parent's, breadth first, so no letter of a word is
+    read again however long its pieces are. A node from which the rest cannot be cut into
+    pieces fails for good."""
+
+    def __init__(self, vocab: dict[str, int]):
+        # node 0 begins a word, node 1 continues one
+        self.next: list[dict[str, int]] = [{}, {}]
+        piece: list[int | None] = [None, None]
+        for text, i in vocab.items():
+            inner = text.startswith("##") and len(text) > 2
+            for at in ([(1, text[2:])] if inner else []) + [(0, text)]:
+                node, rest = at
+                for c in rest:
+                    if c not in self.next[node]:
+                        self.next[node][c] = len(piece)
+                        self.next.append({})
+                        piece.append(None)
+                    node = self.next[node][c]
+                if rest:
+                    piece[node] = i
+        self.fail: list[int | None] = [None] * len(piece)
+        self.pops: list[list[int]] = [[] for _ in piece]
+        queue = [0, 1]
+        for node in queue:  # grows: breadth first
+            for c, child in self.next[node].items():
+                queue.append(child)
+                if piece[child] is not None:  # all letters read are one piece
+                    self.fail[child], self.pops[child] = 1, [piece[child]]
+                    continue
+                pops, at = list(self.pops[node]), self.fail[node]
+                while at is not None and c not in self.next[at]:
+                    pops += self.pops[at]
+                    at = self.fail[at]
+                if at is not None:
+                    self.fail[child], self.pops[child] = self.next[at][c], pops
+
+    def pieces(self, word: str, unk: int = 1, max_chars: int = MAX_WORD_CHARS) -> list[int]:
+        """Piece ids of a word, ``[unk]`` where no pieces make it up or it is too long."""
+        if len(word) > max_chars:
+            return [unk]
+        out, node, fail, pops, nxt = [], 0, self.fail, self.pops, self.next
+        for c in word:
+            while c not in nxt[node]:
+                if fail[node] is None:
+                    return [unk]
+                out += pops[node]
+                node = fail[node]
+            node = nxt[node][c]
+        while word and node != 1:  # the end: what is left must be pieces
+            if fail[node] is None:
+                return [unk]
+            out += pops[node]
+            node = fail[node]
+        return out
+
+
 def _as_vocab(vocab) -> "Vocab":
     return vocab if isinstance(vocab, Vocab) else Vocab.of(vocab)
 
 
 def _word_function(spark, v: "Vocab", piece_fn=None):
-    """() -> (word -> piece ids) for use in workers: greedy WordPiece over the
-    broadcast vocabulary, or a caller's ``piece_fn(word) -> list[int]``."""
+    """() -> (word -> piece ids) for use in workers: greedy WordPiece over a trie of the
+    broadcast vocabulary, built once per worker, or a caller's ``piece_fn(word) ->
+    list[int]``."""
     if piece_fn is not None:
         return lambda: lambda w: [int(i) for i in piece_fn(w)]
+    name = "pieces", hashlib.sha256(repr(sorted(v.map.items())).encode()).hexdigest()
     bc = spark.sparkContext.broadcast(v.map)
-    unk, span = SPECIAL_IDS[UNK], v.max_piece
-    return lambda: lambda w: greedy_pieces(w, bc.value, unk, MAX_WORD_CHARS, span)
+    unk = SPECIAL_IDS[UNK]
+
+    def function():
+        if name not in _BUILT:
+            _BUILT[name] = PieceTrie(bc.value)
+        trie = _BUILT[name]
+        return lambda w: trie.pieces(w, unk)
+
+    return function
 
 
 def pieces_udf(spark, vocab, piece_fn=None):
