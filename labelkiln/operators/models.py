@@ -139,17 +139,6 @@ def text_feature_pipeline(text_col: str, num_features: int = 4096):
                             IDF(inputCol="_tf", outputCol="features")])
 
 
-def featurize(feature_model, rows, keep_cols, weight_col: str | None = None):
-    """Apply the shared feature model once. Every label's (and every epoch's)
-    fit or scoring reads the result, so it is checkpointed in the shared
-    folder: computed once, no cache left behind, safe if executors are lost."""
-    from labelkiln.session import cut_lineage
-    cols = [*keep_cols, "label_name", F.col("y").cast("double").alias("label"), "features"]
-    if weight_col:
-        cols.append(weight_col)
-    return cut_lineage(feature_model.transform(rows).select(*cols))
-
-
 def fit_per_label(train_feats, feature_model, label_names, max_iter: int = 5, weight_col: str | None = "weight",
                   reg: float = 0.0):
     """One binary classifier per label on featurized rows (independent fits).

@@ -32,18 +32,22 @@ def _long_with_text(spark, sf):
     return SA.row_weights(train, w), lab.filter(F.col("split") != "train")
 
 
-def _feature_model(spark, train_long):
-    docs = train_long.select("doc_id", "comment_text").dropDuplicates(["doc_id"])
+def _feature_model(spark, docs):
+    docs = docs.select("doc_id", "comment_text").dropDuplicates(["doc_id"])
     return MO.text_feature_pipeline("comment_text", NUM_FEATURES).fit(docs)
 
 
 def _prepared(spark, sf):
-    """Feature model fitted on train texts; train and held-out rows featurized once."""
-    train, held = _long_with_text(spark, sf)
-    fm = _feature_model(spark, train)
-    train_f = MO.featurize(fm, train, ["doc_id"], "weight")
-    held_f = MO.featurize(fm, held, ["doc_id", "split"])
-    return fm, train_f, held_f
+    """Feature model fitted on train texts; every document featurized once, and the labels
+    unpivoted from that table."""
+    docs = D.comments(spark, sf)
+    fm = _feature_model(spark, docs.filter(F.col("split") == "train"))
+    feats = cut_lineage(fm.transform(docs).select("doc_id", "split", *D.LABEL_NAMES, "features"), "features")
+    long = feats.unpivot(["doc_id", "split", "features"], list(D.LABEL_NAMES), "label_name", "y")
+    train = long.filter(F.col("split") == "train")
+    weighted = SA.row_weights(train, SA.class_weights(SA.class_counts(train)))
+    cols = ["doc_id", "label_name", F.col("y").cast("double").alias("label"), "features"]
+    return fm, weighted.select(*cols, "weight"), long.filter(F.col("split") != "train").select(*cols, "split")
 
 
 def _epoch_fits(spark, sf):

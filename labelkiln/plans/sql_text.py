@@ -297,6 +297,10 @@ FROM (SELECT vec_id, greatest(0.0, {dot('embedding', 0)}) AS z0, greatest(0.0, {
       FROM embeddings) t"""
 
 
+def q_feature_sink(L: int = 128) -> str:
+    return f"""SELECT f.*, l.toxic::BIGINT AS label FROM ({q_encode_single(L)}) f LEFT JOIN labels l ON l.doc_id = f.doc_id"""
+
+
 def q_mean_pool(divisor: str, L: int = 128) -> str:
     """Sum of a document's token vectors (embedding row = token id) over all its windows,
     divided by their pad count ('pad') or their real-token count."""

@@ -207,11 +207,13 @@ def argmax_class(spark, sf):
 
 
 # ------------------------------------------------------------------ sinks --
-@register("feature_sink_round_trip", X.q_encode_single(MAX_LEN))
+@register("feature_sink_round_trip", X.q_feature_sink(MAX_LEN))
 def feature_sink_round_trip(spark, sf):
-    """K1: features written as Parquet (int arrays) and read back."""
+    """K1: features (int arrays) and label written as Parquet and read back; a document
+    without a label has a null one."""
     path = fresh_dir(spark, "features") + "/features"
-    _single(spark, sf).write.parquet(path)
+    label = D.table(spark, sf, "labels").select("doc_id", F.col("toxic").cast("bigint").alias("label"))
+    _single(spark, sf).join(label, "doc_id", "left").write.parquet(path)
     return spark.read.parquet(path)
 
 
