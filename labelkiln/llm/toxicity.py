@@ -41,6 +41,7 @@ import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,8 @@ MAX_TOXIC, MAX_CLEAN, MAX_WORDS, MAX_HARD, INSULTS, OTHERS, ROUNDS = 4000, 8000,
 EVIDENCE, ODDS = 12.0, 4.0
 #: Letters put into training insults, how many at most, forms of a word for each number.
 INSERTED, MOST_INSERTED, FORMS = "abcdefghijklmnopqrstuvwxyz0", 3, 9
+#: Letters up to which all triples of letters are one table.
+MOST_LETTERS = 128
 #: Score at which a text counts as toxic.
 DECISION = 0.3
 #: Lengths of stems; insults of inflected languages share one.
@@ -80,13 +83,6 @@ def windows(word: str) -> list[str]:
     return [word[i : i + WIDEST] for i in range(0, len(word) - WIDEST // 2, WIDEST // 2)]
 
 
-def _codes(words: list[str], length: int) -> np.ndarray:
-    out = np.zeros((len(words), length), np.int32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.int32)
-    return out
-
-
 class Subsequences:
     """All subsequences of ``ORDER`` = 3 letters of some words, as a trie: the letters,
     then the pairs, then the triples that occur. ``vectors`` has one decayed count per
@@ -116,6 +112,12 @@ class Subsequences:
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "vectors"}
 
+    def _codes(self, words: list[str]) -> np.ndarray:
+        """Letters of equally long words as numbers, a row per place; 0: none of the trie's."""
+        text = "".join(words)
+        known = np.fromiter((self.letters.get(c, 0) for c in text), np.int32, len(text))
+        return np.ascontiguousarray(known.reshape(len(words), -1).T)
+
     def sums(self, words: list[str], weights: np.ndarray) -> np.ndarray:
         """For each word the sum of ``weights`` (a row per triple) over its own decayed
         triples: with ``vectors.T`` the kernel with every word of the trie."""
@@ -123,52 +125,83 @@ class Subsequences:
         by_length: dict[int, list[int]] = {}
         for r, w in enumerate(words):
             by_length.setdefault(len(w), []).append(r)
+        flat = weights.shape[1] == 1 and len(self.pairs) <= MOST_LETTERS
+        table = weights[:, 0][self.ends[self.pairs]].ravel() if flat else None  # a weight per three letters
         for length, rows in by_length.items():
             for at in range(0, len(rows), 1 << 14):
                 part = np.array(rows[at : at + (1 << 14)])
-                codes = np.array([[self.letters.get(c, 0) for c in words[r]] for r in part.tolist()], np.int32).T
-                total = np.zeros((len(part), weights.shape[1]))
-                for i, j in combinations(range(length - 1), 2):
-                    pair = self.pairs[codes[i], codes[j]]
-                    some = np.flatnonzero(pair)
-                    if not len(some):
-                        continue
-                    below = self.ends[pair[some]]
-                    for k in range(j + 1, length):
-                        found = below[np.arange(len(some)), codes[k][some]]
-                        hit = np.flatnonzero(found)
-                        total[some[hit]] += weights[found[hit]] * DECAY ** (k - i + 1)
-                out[part] = total
+                if length >= ORDER:
+                    codes = self._codes([words[r] for r in part.tolist()])
+                    out[part] = self._one_column(codes, table)[:, None] if flat else self._columns(codes, weights)
         return out
 
+    def _one_column(self, codes: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """One weight per triple: looked up at once, added up by the letters spanned."""
+        length, n = len(codes), len(self.pairs)
+        spans = np.zeros((length + 1, codes.shape[1]))
+        for i, j in combinations(range(length - 1), 2):
+            pair = (codes[i] * n + codes[j]) * n
+            for k in range(j + 1, length):
+                spans[k - i + 1] += table[pair + codes[k]]
+        return DECAY ** np.arange(length + 1) @ spans
+
+    def _columns(self, codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Many weights per triple: only triples of the trie are gone through."""
+        total = np.zeros((codes.shape[1], weights.shape[1]))
+        for i, j in combinations(range(len(codes) - 1), 2):
+            pair = self.pairs[codes[i], codes[j]]
+            some = np.flatnonzero(pair)
+            if not len(some):
+                continue
+            below = self.ends[pair[some]]
+            for k in range(j + 1, len(codes)):
+                found = below[np.arange(len(some)), codes[k][some]]
+                hit = np.flatnonzero(found)
+                total[some[hit]] += weights[found[hit]] * DECAY ** (k - i + 1)
+        return total
+
 
 def self_kernel(words: list[str]) -> np.ndarray:
-    """Kernel of each word with itself."""
+    """Kernel of each word with itself. Where no letter comes twice, only equal places
+    match, and it follows from the length."""
     out = np.zeros(len(words))
     by_length: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         by_length.setdefault(len(w), []).append(i)
     for length, rows in by_length.items():
-        c = _codes([words[i] for i in rows], length) if length else np.zeros((len(rows), 0), np.int32)
-        held = np.zeros((ORDER, length, len(rows)))
-        total = np.zeros(len(rows))
-        for i in range(length):
-            match = (c[:, i][None] == c.T) * DECAY**2
-            for level in range(ORDER, 0, -1):
-                hit = match.copy()
-                if level > 1:
-                    hit[0] = 0
-                    hit[1:] *= held[level - 1][:-1]
-                if level == ORDER:
-                    total += hit.sum(axis=0)
-                    continue
-                for j in range(1, length):
-                    hit[j] += DECAY * hit[j - 1]
-                held[level] = held[level] * DECAY + hit
-        out[rows] = total
+        if length < ORDER:
+            continue
+        part = np.array(rows)
+        c = np.frombuffer("".join([words[i] for i in rows]).encode("utf-32-le", "surrogatepass"), np.int32).reshape(-1, length)
+        ordered = np.sort(c, axis=1)
+        twice = np.flatnonzero((ordered[:, 1:] == ordered[:, :-1]).any(axis=1))
+        out[part] = sum((length - s + 1) * comb(s - 2, ORDER - 2) * DECAY ** (2 * s) for s in range(ORDER, length + 1))
+        if len(twice):
+            out[part[twice]] = _self_kernel_rows(np.ascontiguousarray(c[twice].T))
     return out
 
 
+def _self_kernel_rows(c: np.ndarray) -> np.ndarray:
+    """The same by dynamic programming over equally long words (a row per place)."""
+    length = len(c)
+    held = np.zeros((ORDER, length, c.shape[1]))
+    total = np.zeros(c.shape[1])
+    for i in range(length):
+        match = (c[i][None] == c) * DECAY**2
+        for level in range(ORDER, 0, -1):
+            hit = match.copy()
+            if level > 1:
+                hit[0] = 0
+                hit[1:] *= held[level - 1][:-1]
+            if level == ORDER:
+                total += hit.sum(axis=0)
+                continue
+            for j in range(1, length):
+                hit[j] += DECAY * hit[j - 1]
+            held[level] = held[level] * DECAY + hit
+    return total
+
+
 def similarity(a: list[str], b: list[str]) -> np.ndarray:
     """Normalised kernel (0 for words shorter than a subsequence)."""
     trie = Subsequences(b)
