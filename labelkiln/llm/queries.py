@@ -13,7 +13,7 @@ from labelkiln.llm import sql_text
 from labelkiln.llm.common import table
 
 QUERIES = {}
-ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
+ORACLE: dict[str, str] = {"op2_substring_dedup": sql_text.OP2, "op4_mixing": sql_text.OP4, "op4_mixing_filled": sql_text.OP4, "op6_quality_rules": sql_text.OP6,
                           "op7_chat_format": sql_text.OP7, "op11_spelling_variants": sql_text.OP11, "op12_prefix_trie": sql_text.OP12,
                           "op13_embedding_near_dedup": sql_text.OP13}
 
@@ -53,6 +53,12 @@ def op4_mixing(spark, sf_dir):
     return mix_counts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_mixing_filled(spark, sf_dir):
+    """``op4_mixing`` under the name that its rule had before."""
+    return op4_mixing(spark, sf_dir)
+
+
 @query
 def op5_nearest_neighbours(spark, sf_dir):
     """The 10 nearest vectors of every vector whose id is divisible by 100."""
