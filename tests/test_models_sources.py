@@ -114,6 +114,8 @@ def test_windowed_pooling_queries_read_whole_texts(spark, tmp_path):
 
 
 def test_windows_are_summed_before_they_are_divided(spark):
+    import numpy as np
+    from labelkiln.operators import models as MO
     parts = spark.createDataFrame([(1, 3, [1.0, 2.0]), (1, 0, [5.0, 5.0]), (2, 0, [4.0, 0.0])], "k long, n int, pooled array<double>")
     got = {r["k"]: r["pooled"] for r in MO.mean_of_sums(parts, ["k"], "n").collect()}
     assert np.allclose(got[1], [8 / 3, 11 / 3]) and np.allclose(got[2], [4.0, 0.0])
