@@ -14,9 +14,10 @@ probes are doubled until the sample's own search reaches ``FIT_RECALL``; where
 number of hashes grows with the logarithm of the table. Every vector is indexed.
 
 Equal vectors are one entry with its ``k + 1`` smallest ids, which are all that can
-appear in a result. Index entries and probes meet by (table, bucket, chunk):
-buckets of more than ``CHUNK`` entries are dealt into chunks that each probe
-visits, and a chunk returns each query's ``k + 1`` best, never the pairs. A query
+appear in a result. Buckets of more than ``CHUNK`` entries are dealt into chunks that
+each probe visits. All chunks are dealt over as many parts as there are shuffle
+partitions; a query's vector is sent to a part once, with the list of the chunks it
+visits there, and a part returns each query's ``k + 1`` best, never the pairs. A query
 left with fewer than k neighbours is compared with all vectors, in blocks of
 ``FALLBACK`` queries.
 
@@ -43,6 +44,8 @@ from labelkiln.session import cut_lineage
 FIT_ROWS, FIT_QUERIES, FIT_RECALL, MOST_PROBES, MOST_TABLES = 2048, 64, 0.97, 4096, 16
 #: Entries of a bucket handled together, queries compared with everything at a time, distances at a time.
 CHUNK, FALLBACK, DISTANCES = 4096, 4096, 1 << 20
+#: Share of the squared norms by which a matrix product may be off (rounding is far below it).
+SLACK = 1e-9
 
 
 class Tables:
@@ -175,46 +178,118 @@ def _keys_udf(tables: Tables, probes: int | None):
 
 def _best(qid: np.ndarray, q: np.ndarray, vid: np.ndarray, x: np.ndarray, most: int) -> pa.RecordBatch:
     """Each query's ``most`` nearest of the given vectors, ties to the smaller id."""
-    out = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-    order = np.argsort(vid, kind="stable")
-    vid, x = vid[order], x[order]
-    rows = max(1, DISTANCES // max(1, len(x)))
-    for at in range(0, len(q) if len(x) else 0, rows):
-        d = distances(q[at : at + rows], x)
-        take = np.argsort(d, axis=1, kind="stable")[:, :most]
-        out[0].append(np.repeat(qid[at : at + rows], take.shape[1]))
-        out[1].append(vid[take].ravel())
-        out[2].append(np.take_along_axis(d, take, axis=1).ravel())
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], ["qid", "vid", "score"])
-
-
-def _search_buckets(most: int):
-    """Sorted rows (table, bucket, chunk, is_query, id, vec): each run of one
-    bucket chunk holds its entries and the queries that visit it."""
+    best = Nearest(qid, q, most)
+    rows = np.arange(len(qid))
+    step = max(1, DISTANCES // max(1, len(qid)))
+    for at in range(0, len(vid), step):
+        best.add(rows, vid[at : at + step], x[at : at + step])
+    return best.result()
+
+
+class Nearest:
+    """The ``most`` nearest entries of each query among those added so far.
+
+    A matrix product gives squared distances up to rounding; pairs above the query's
+    ``most``-th distance, by more than rounding can explain, are passed over. The others
+    get their distance by differences, so results do not depend on the product."""
+
+    def __init__(self, qid: np.ndarray, q: np.ndarray, most: int):
+        self.qid, self.q, self.most = qid, q, most
+        # the product of (q, limit, 1) and (x, 1, norm) is below 0 where x is too far
+        self.norm = (q * q).sum(axis=1)
+        self.left = np.concatenate([q, np.full((len(q), 1), np.inf), np.ones((len(q), 1))], axis=1)
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, rows: np.ndarray, vid: np.ndarray, x: np.ndarray) -> None:
+        """Compares the queries at ``rows`` with entries."""
+        step = max(1, DISTANCES // max(1, len(x)))
+        right = np.concatenate([x, np.ones((len(x), 1)), (-0.5 + SLACK) * (x * x).sum(axis=1, keepdims=True)], axis=1).T
+        for at in range(0, len(rows) if len(x) else 0, step):
+            some = rows[at : at + step]
+            r, c = np.nonzero(~(self.left[some] @ right < 0))  # NaN (squares that overflow) is never passed over
+            for lo in range(0, len(r), DISTANCES // 16):
+                i, j = some[r[lo : lo + DISTANCES // 16]], c[lo : lo + DISTANCES // 16]
+                d = np.sqrt(((self.q[i] - x[j]) ** 2).sum(axis=1))
+                self.held.append((i, vid[j], d))
+                self.waiting += len(d)
+                if self.waiting > max(1 << 16, 8 * self.most * len(self.q)):
+                    self._settle()
+
+    def _settle(self) -> None:
+        """Keeps the ``most`` best of each query, an entry once."""
+        if not self.held:
+            return
+        row, vid, d = (np.concatenate(h) for h in zip(*self.held))
+        order = np.lexsort((vid, d, row))
+        row, vid, d = row[order], vid[order], d[order]
+        once = np.r_[True, (row[1:] != row[:-1]) | (vid[1:] != vid[:-1]) | (d[1:] != d[:-1])]
+        row, vid, d = row[once], vid[once], d[once]
+        first = np.searchsorted(row, row)
+        rank = np.arange(len(row)) - first
+        last = rank == self.most - 1
+        self.left[row[last], -2] = 0.5 * d[last] ** 2 - (0.5 - SLACK) * self.norm[row[last]]
+        keep = rank < self.most
+        self.held, self.waiting = [(row[keep], vid[keep], d[keep])], 0
+
+    def result(self) -> pa.RecordBatch:
+        self._settle()
+        row, vid, d = self.held[0] if self.held else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.RecordBatch.from_arrays([pa.array(self.qid[row]), pa.array(vid), pa.array(d)], ["qid", "vid", "score"])
+
+
+def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last + 1 of each run of equal rows."""
+    cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+    return zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(keys)].tolist())
+
+
+def _search_parts(most: int):
+    """Sorted rows (part, entry, table, bucket, chunk, id, vec, visits): a part's queries
+    come first, each once with the (table, bucket, chunk) it visits there; then its
+    entries by bucket chunk. A task holds the queries of one part and one batch of entries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def answer(keys, ask, ids, x):
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(keys)]):
-                asked = ask[a:b]
-                if asked.any() and not asked.all():
-                    yield _best(ids[a:b][asked], x[a:b][asked], ids[a:b][~asked], x[a:b][~asked], most)
-
-        rest = None
+        part, asked, best, starts, whom = None, [], None, {}, None
+
+        def ready():
+            nonlocal best, starts, whom, asked
+            qid, q = np.concatenate([a[0] for a in asked]), np.concatenate([a[1] for a in asked])
+            rows = np.repeat(np.arange(len(qid)), np.concatenate([a[2] for a in asked]))
+            keys = np.concatenate([a[3] for a in asked])
+            order = np.lexsort((rows, *keys.T[::-1]))
+            keys, whom = keys[order], rows[order]
+            starts = {tuple(keys[a].tolist()): (a, b) for a, b in _runs(keys)} if len(keys) else {}
+            best, asked = Nearest(qid, q, most), []
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = (np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)], axis=1),
-                    batch.column(3).to_numpy(zero_copy_only=False).astype(bool),
-                    batch.column(4).to_numpy(zero_copy_only=False), _matrix(batch.column(5)))
-            rest = part if rest is None else tuple(np.concatenate(p) for p in zip(rest, part))
-            ends = np.flatnonzero((rest[0][1:] != rest[0][:-1]).any(axis=1))
-            if len(ends):  # the last run may go on
-                end = ends[-1] + 1
-                yield from answer(*(p[:end] for p in rest))
-                rest = tuple(p[end:] for p in rest)
-        if rest is not None:
-            yield from answer(*rest)
+            parts = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            entry = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for a, b in _runs(np.stack([parts, entry], axis=1)):
+                if parts[a] != part:
+                    if best is not None:
+                        yield best.result()
+                    part, asked, best = parts[a], [], None
+                ids, x = batch.column(5).slice(a, b - a).to_numpy(zero_copy_only=False), _matrix(batch.column(6).slice(a, b - a))
+                if not entry[a]:
+                    visits = batch.column(7).slice(a, b - a)
+                    flat = visits.flatten()
+                    asked.append((ids, x, visits.value_lengths().to_numpy(zero_copy_only=False), np.stack(
+                        [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in flat.flatten()], axis=1)))
+                    continue
+                if asked:
+                    ready()
+                if best is None:  # nobody visits this part
+                    continue
+                keys = np.stack([batch.column(i).slice(a, b - a).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 3, 4)], axis=1)
+                for lo, hi in _runs(keys):
+                    at = starts.get(tuple(keys[lo].tolist()))
+                    if at:
+                        best.add(whom[at[0] : at[1]], ids[lo:hi], x[lo:hi])
+        if best is not None:
+            yield best.result()
 
     return run
 
@@ -260,16 +335,24 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     chunks = index.groupBy("table", "bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     big = chunks.filter("chunks > 1")
     mine = F.pmod(F.xxhash64("id"), F.coalesce("chunks", F.lit(1)))
-    held = index.join(big, ["table", "bucket"], "left").select("table", "bucket", mine.cast("int").alias("chunk"),
-                                                              F.lit(False).alias("asks"), "id", "vec")
-    visits = queries.select("qid", "vec", F.explode(_keys_udf(made, probes)("vec")).alias("k")).select(
-        "k.table", "k.bucket", F.col("qid").alias("id"), "vec")
-    sent = visits.join(chunks, ["table", "bucket"]).select(
-        "table", "bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        F.lit(True).alias("asks"), "id", "vec")
+    held = index.join(big, ["table", "bucket"], "left").select("table", "bucket", mine.cast("int").alias("chunk"), "id", "vec")
+    # a bucket chunk lies in one part; a query goes to each part once, with all it visits there
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("table", "bucket", "chunk"), F.lit(parts)).cast("int").alias("part")
+    visits = queries.select(F.col("qid").alias("id"), F.explode(_keys_udf(made, probes)("vec")).alias("k")).select(
+        "k.table", "k.bucket", "id")
+    sent = visits.join(big, ["table", "bucket"], "left").select(
+        "table", "bucket", "id", F.explode(F.sequence(F.lit(0), F.coalesce("chunks", F.lit(1)) - 1)).alias("chunk"))
+    lists = sent.groupBy(part, "id").agg(F.collect_list(F.struct("table", "bucket", "chunk")).alias("visits"))
+    asked = lists.join(queries.select(F.col("qid").alias("id"), "vec"), "id")
     key = ["table", "bucket", "chunk"]
-    met = held.unionByName(sent).repartition(*key).sortWithinPartitions(*key)
-    found = cut_lineage(_merge(met.mapInArrow(_search_buckets(most), "qid long, vid long, score double"), most), "found")
+    none = F.lit(None)
+    met = held.select(part, F.lit(True).alias("entry"), *key, "id", "vec", none.cast(lists.schema["visits"].dataType).alias("visits")).unionByName(
+        asked.select("part", F.lit(False).alias("entry"), none.cast("int").alias("table"), none.cast("long").alias("bucket"),
+                     none.cast("int").alias("chunk"), "id", "vec", "visits"))
+    met = met.repartition(parts, "part").sortWithinPartitions("part", "entry", *key)
+    found = cut_lineage(_merge(met.mapInArrow(_search_parts(most), "qid long, vid long, score double"), most), "found")
 
     got = found.join(entries.select("vid", F.size("ids").alias("n")), "vid").groupBy("qid").agg(F.sum("n").alias("n"))
     short = cut_lineage(queries.join(got, "qid", "left").filter(F.coalesce("n", F.lit(0)) <= k)

@@ -271,3 +271,18 @@ def test_stages_take_empty_and_strange_tables(spark, tmp_path, docs):
         df = docs(rows).select("doc_id", "text", "lang", "source", "n_chars")
         for _, stage in P.STAGES:
             assert stage(spark, df, str(tmp_path)).count() <= 3 * max(len(rows), 1)
+
+
+def test_nearest_by_product_equals_differences(monkeypatch):
+    monkeypatch.setattr(N, "DISTANCES", 256)  # many small steps
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=(300, 6)) * 1e6 + 1e9, rng.normal(size=(300, 6))])  # large equal parts, small ones
+    x[400:420] = x[400]
+    ids, q = np.arange(600) * 3, x[::40]
+    best = N.Nearest(ids[::40], q, 7)
+    for some in (rng.permutation(600), np.arange(100)):  # entries seen twice count once
+        best.add(np.arange(len(q)), ids[some], x[some])
+    got = best.result().to_pydict()
+    d = N.distances(q, x)
+    want = [(int(ids[40 * i]), int(ids[j]), d[i, j]) for i in range(len(q)) for j in np.lexsort((ids, d[i]))[:7]]
+    assert list(zip(got["qid"], got["vid"], got["score"])) == want
