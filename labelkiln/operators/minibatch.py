@@ -1,8 +1,9 @@
 """Logistic classifiers trained batch by batch, all labels and epochs in one run.
 
-A step reads its own batch only (the batches are written in step order), computes
-partial gradients where the rows are, adds them up by coordinate before they reach the
-driver, and moves the weights, which go out again with the next step. The optimizer's
+The training rows are written once, each with the steps that drew it and how often. A
+step picks its own rows, computes partial gradients where they are, adds them up by
+coordinate before they reach the driver, and moves the weights, which go out again with
+the next step. The optimizer's
 state lives on over epochs, so epoch e + 1 continues where e ended and nothing is
 fitted again. Every label has batches of its own (its own weighted draws); one step
 moves all of them.
@@ -31,14 +32,39 @@ def hashed_words(text: Column, dim: int) -> Column:
 
 def batch_rows(draws: DataFrame, features: DataFrame, labels: Sequence[str], per_epoch: int, batch_size: int) -> DataFrame:
     """``draws(label_name, draw, doc_id, y)`` with draws 0 to epochs x per_epoch - 1, and
-    ``features(doc_id, idx)`` -> the batches in step order: ``step, label, idx, y``; the
-    last batch of an epoch may be short."""
+    ``features(doc_id, idx)`` -> each drawn row once: ``turns`` (step -> list of label, y and
+    how often), ``idx``; the last batch of an epoch may be short. Only the narrow draws are
+    shuffled for it, not a copy of the words for each draw."""
     steps = -(-per_epoch // batch_size)
     place = F.create_map(*[F.lit(x) for i, name in enumerate(labels) for x in (name, i)])
     at = F.col("draw") % per_epoch
     step = F.floor(F.col("draw") / per_epoch) * steps + F.floor(at / batch_size)
-    rows = draws.join(features, "doc_id").select(step.cast("int").alias("step"), place[F.col("label_name")].alias("label"), "idx", "y")
-    return cut_lineage(rows.repartitionByRange("step").sortWithinPartitions("step"), "batches")
+    times = draws.groupBy("doc_id", step.cast("int").alias("step"), place[F.col("label_name")].alias("label"), "y").agg(
+        F.count("*").alias("n"))
+    turn = F.struct(F.col("label").cast("int").alias("label"), F.col("y").cast("double").alias("y"), F.col("n").cast("double").alias("n"))
+    # a row has at most one entry a step, and in it one turn for each label and class
+    each = times.groupBy("doc_id", "step").agg(F.collect_list(turn).alias("turns")).groupBy("doc_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("step", "turns"))).alias("turns"))
+    rows = each.join(features.select("doc_id", "idx"), "doc_id")
+    # a given number of partitions: merged by size, these rows would keep few cores busy
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(rows.repartition(parts, F.xxhash64("doc_id")).select("turns", "idx"), "batches")
+
+
+#: Cells of (words x weights) looked up at a time.
+CELLS = 1 << 20
+
+
+def pieces(idx: pa.Array, width: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of rows whose words, ``width`` weights each, are about ``CELLS``
+    cells (one row at least)."""
+    ends = np.cumsum(idx.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    most, lo = max(1, CELLS // max(1, width)), 0
+    while lo < len(idx):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+        hi = min(hi, lo + most, len(idx))
+        yield lo, hi
+        lo = hi
 
 
 def margins(idx: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -47,32 +73,41 @@ def margins(idx: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     row, at = np.repeat(np.arange(len(idx)), sizes), idx.flatten().to_numpy(zero_copy_only=False)
     scale = 1 / np.sqrt(np.maximum(sizes, 1))
     z = np.tile(weights[-1], (len(idx), 1)).astype(np.float64)
-    np.add.at(z, row, weights[at] * scale[row, None])
+    some = np.flatnonzero(sizes)
+    if len(some):
+        z[some] += np.add.reduceat(weights[at], (np.cumsum(sizes) - sizes)[some], axis=0) * scale[some, None]
     return z, row, at, scale
 
 
-def gradient(idx: pa.Array, label: np.ndarray, y: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums over rows: gradient of the log loss, loss and row number per label."""
+def gradient(idx: pa.Array, doc: np.ndarray, label: np.ndarray, y: np.ndarray, n: np.ndarray,
+             weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums over turns (row ``doc``, label, y, how often): gradient of the log loss, loss
+    and number of turns per label."""
     z, row, at, scale = margins(idx, weights)
-    own = z[np.arange(len(label)), label]
+    own = z[doc, label]
     p = 1 / (1 + np.exp(-own))
-    out, losses = np.zeros(weights.shape), np.zeros(weights.shape[1])
-    np.add.at(out, (at, label[row]), ((p - y) * scale)[row])
-    np.add.at(out, (-1, label), p - y)
-    np.add.at(losses, label, np.logaddexp(0, own) - y * own)
-    return out, losses, np.bincount(label, minlength=weights.shape[1]).astype(float)
+    k = weights.shape[1]
+    pull = np.bincount(doc * k + label, n * (p - y), len(idx) * k).reshape(len(idx), k)
+    out = np.zeros(weights.shape)
+    for i in range(k):
+        out[:-1, i] = np.bincount(at, (pull[:, i] * scale)[row], len(weights) - 1)
+        out[-1, i] = pull[:, i].sum()
+    losses = np.bincount(label, n * (np.logaddexp(0, own) - y * own), k)
+    return out, losses, np.bincount(label, n, k)
 
 
 def _partial(weights: np.ndarray):
-    """(label, idx, y) rows -> one (cell, value) row per touched cell of a partition's
+    """(turns of the step, idx) rows -> one (cell, value) row per touched cell of a partition's
     gradient; cells behind the weights hold the losses, then the row numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(weights.size + 2 * weights.shape[1])
         for b in batches:
-            if b.num_rows:
-                g, loss, n = gradient(b.column(1), b.column(0).to_numpy(), b.column(2).to_numpy(), weights)
-                total += np.concatenate([g.ravel(), loss, n])
+            for lo, hi in pieces(b.column(1), weights.shape[1]):
+                turns = b.column(0).slice(lo, hi - lo)
+                doc = np.repeat(np.arange(hi - lo), turns.value_lengths().to_numpy(zero_copy_only=False))
+                label, y, n = (c.to_numpy(zero_copy_only=False) for c in turns.flatten().flatten())
+                total += np.concatenate([g.ravel() for g in gradient(b.column(1).slice(lo, hi - lo), doc, label, y, n, weights)])
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "value"])
 
@@ -108,7 +143,8 @@ def train(batches: DataFrame, labels: Sequence[str], dim: int, epochs: int, step
     k = len(labels)
     for step in range(epochs * steps):
         sums = np.zeros(w.size + 2 * k)
-        got = (batches.filter(F.col("step") == step).select("label", "idx", "y").mapInArrow(_partial(w), "cell long, value double")
+        own = batches.select(F.try_element_at("turns", F.lit(step)).alias("turns"), "idx").filter("turns IS NOT NULL")
+        got = (own.mapInArrow(_partial(w), "cell long, value double")
                .groupBy("cell").agg(F.sum("value").alias("value")).toArrow())
         sums[got.column("cell").to_numpy()] = got.column("value").to_numpy()
         g, loss, n = sums[: w.size].reshape(w.shape), sums[w.size : -k], np.maximum(sums[-k:], 1)
@@ -119,18 +155,28 @@ def train(batches: DataFrame, labels: Sequence[str], dim: int, epochs: int, step
     return run
 
 
-def score(rows: DataFrame, keep: Sequence[str], run: Run, labels: Sequence[str]) -> DataFrame:
-    """``rows(keep, idx)`` -> ``keep, label_name, epoch, p`` for every label and epoch,
-    in one pass over the rows."""
+def probabilities(rows: DataFrame, keep: Sequence[str], run: Run) -> DataFrame:
+    """``rows(keep, idx)`` -> ``keep, ps``: the probabilities of every label, epoch by epoch."""
     weights = np.concatenate(run.weights, axis=1)  # epoch by epoch
 
-    def probabilities(idx: pa.Array) -> pa.Array:
-        z = margins(idx, weights)[0]
-        p = 1 / (1 + np.exp(-z))
+    def scored(idx: pa.Array) -> pa.Array:
+        p = np.empty((len(idx), weights.shape[1]))
+        for lo, hi in pieces(idx, weights.shape[1]):
+            p[lo:hi] = 1 / (1 + np.exp(-margins(idx.slice(lo, hi - lo), weights)[0]))
         return pa.ListArray.from_arrays(pa.array(np.arange(len(idx) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel()))
 
-    scored = rows.select(*keep, F.arrow_udf(probabilities, "array<double>")("idx").alias("ps"))
+    return rows.select(*keep, F.arrow_udf(scored, "array<double>")("idx").alias("ps"))
+
+
+def each_probability(scored: DataFrame, keep: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """``keep, ps`` -> ``keep, label_name, epoch, p``."""
     at = F.col("i")
     return scored.select(*keep, F.posexplode("ps").alias("i", "p")).select(
         *keep, F.element_at(F.array(*[F.lit(x) for x in labels]), (at % len(labels) + 1)).alias("label_name"),
         (F.floor(at / len(labels)) + 1).cast("int").alias("epoch"), "p")
+
+
+def score(rows: DataFrame, keep: Sequence[str], run: Run, labels: Sequence[str]) -> DataFrame:
+    """``rows(keep, idx)`` -> ``keep, label_name, epoch, p`` for every label and epoch,
+    in one pass over the rows."""
+    return each_probability(probabilities(rows, keep, run), keep, labels)
